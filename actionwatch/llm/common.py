@@ -8,6 +8,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,7 +54,7 @@ def pieces(batches: Iterable[pa.RecordBatch], column: str, most: int = PIECE_BYT
         if not n:
             continue
         texts = batch.column(batch.schema.get_field_index(column))
-        lengths = pa.compute.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False)
+        lengths = pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False)
         at = 0
         ends = np.cumsum(lengths, dtype=np.int64)
         while at < n:

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import sharding, url_filter
+from . import quality, sharding, token_output, url_filter
+from .common import scratch
 
 RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
 
@@ -16,11 +17,28 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, "tokens")
+    token_output.write_tokens(_table(spark, sf_dir, "documents"), path, tokenizer_path=tokenizer_path("word_bpe_49k.json"), end_id=2)
+    return token_output.token_digests(spark, path)
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = sharding.shard_documents(_table(spark, sf_dir, "documents"), shards=40)
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), F.col("vslot").alias("virtual_slot"))
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return quality.quality_report(docs, quality.train_field(docs, _table(spark, sf_dir, "labels")))
+
+
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages")
     out = url_filter.filter_urls(pages, url_filter.thin_page_urls(pages), id_col="page_id", url_col="url", rules=RULES)
@@ -28,7 +46,7 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_sharding": op2_sharding, "op10_url_filters": op10_url_filters}
+    return {"op1_token_output": op1_token_output, "op5_quality_rules": op5_quality_rules, "op2_sharding": op2_sharding, "op10_url_filters": op10_url_filters}
 
 
 def oracle_sql() -> dict[str, str]:
