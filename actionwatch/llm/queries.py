@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality, sharding, token_output, url_filter
+from . import quality, sharding, token_count, token_output, url_filter
 from .common import scratch
 
 RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
@@ -39,6 +39,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(docs, quality.train_field(docs, _table(spark, sf_dir, "labels")))
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_count.count_tokens(_table(spark, sf_dir, "documents"), tokenizer_path=tokenizer_path("byte_bpe_50k.json"), limit=512)
+
+
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages")
     out = url_filter.filter_urls(pages, url_filter.thin_page_urls(pages), id_col="page_id", url_col="url", rules=RULES)
@@ -46,7 +50,7 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_token_output": op1_token_output, "op5_quality_rules": op5_quality_rules, "op2_sharding": op2_sharding, "op10_url_filters": op10_url_filters}
+    return {"op1_token_output": op1_token_output, "op5_quality_rules": op5_quality_rules, "op2_sharding": op2_sharding, "op6_token_counts": op6_token_counts, "op10_url_filters": op10_url_filters}
 
 
 def oracle_sql() -> dict[str, str]:
