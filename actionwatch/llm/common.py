@@ -70,19 +70,18 @@ def byte_texts(batch: pa.RecordBatch, column: str) -> list[bytes]:
     return texts.fill_null("").cast(pa.binary()).to_pylist()
 
 
-def split_words(texts: list[bytes]) -> tuple[list[bytes], np.ndarray]:
-    """All words ``[^\\x20\\x09-\\x0D]+`` of the texts in order, and the number of words of each text."""
-    lists = [t.split() for t in texts]
-    counts = np.fromiter(map(len, lists), np.int64, len(lists))
-    return [w for ws in lists for w in ws], counts
-
-
-def word_codes(words: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
-    """Dense codes of words, and the distinct words."""
-    if not words:
-        return np.empty(0, np.int64), []
-    coded = pa.array(words, pa.large_binary()).dictionary_encode()
-    return coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
+def coded_words(texts: list[bytes]) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """Words ``[^\\x20\\x09-\\x0D]+`` of the texts: codes in order, distinct words, words of each text."""
+    whole = pc.ascii_trim_whitespace(pa.array(texts, pa.large_binary()).cast(pa.large_string()))
+    lists = pc.ascii_split_whitespace(whole)
+    counts = np.diff(lists.offsets.to_numpy()).astype(np.int64)
+    words = lists.flatten()
+    if (empty := pc.binary_length(whole).to_numpy(zero_copy_only=False) == 0).any():
+        # An empty text gives one empty word.
+        words = words.filter(pa.array(~np.repeat(empty, counts)))
+        counts[empty] = 0
+    coded = words.dictionary_encode()
+    return coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary, counts
 
 
 def starts_of(counts: np.ndarray) -> np.ndarray:
@@ -118,3 +117,10 @@ def mix64(x: np.ndarray) -> np.ndarray:
     x *= np.uint64(0x94D049BB133111EB)
     x ^= x >> np.uint64(31)
     return x
+
+
+def byte_alphabet() -> dict[str, int]:
+    """The printable stand-in of each byte: itself where printable, else the next free code point from 256."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    free = iter(range(256, 512))
+    return {chr(b if b in own else next(free)): b for b in range(256)}

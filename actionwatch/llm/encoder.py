@@ -1,24 +1,33 @@
 """Exact encoding of many texts with a lower-casing, white-space-dropping BPE tokenizer, one distinct word at a time.
 
 White space always ends a token of such a tokenizer, so the ids of a text are those of its words in order. Words
-repeat; each distinct word is encoded once by the tokenizers library and looked up afterwards. The table of known
-words lives in the Python worker, is bounded, and starts anew when it is full.
+repeat; each distinct word is encoded once and looked up afterwards. Words of small Latin letters are merged many at
+a time, lowest rank first and leftmost among equals; all others go through the tokenizers library. The table of
+known words lives in the Python worker, is bounded, and starts anew when it is full.
 """
 
 from __future__ import annotations
 
+import json
 import os
+import re
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-from .common import ranges, segment_sums, split_words, word_codes
+from .common import byte_alphabet, coded_words, ranges, segment_sums, starts_of
 
 #: Words known at most; about 150 bytes each.
-KNOWN = 500_000
+KNOWN = 250_000
 #: A tail of these after a letter is a token group of its own.
-TAIL = b'!"#$%&()*+,-./:;=?@[\\]^_`{}~'
-RUN = 400
+TAIL = '!"#$%&()*+,-./:;=?@[\\]^_`{}~'
+#: Words of these letters are one token group; lower case and composed already.
+PLAIN = re.compile(rb"(?:[a-z]|\xc3[\xa0-\xb6\xb8-\xbf])+")
+#: Words merged together.
+TOGETHER = 8192
+NONE = 1 << 30
 
 
 @lru_cache(maxsize=4)
@@ -38,11 +47,56 @@ class WordEncoder:
 
     def __init__(self, path: str):
         self.tokenizer = tokenizer(path)
-        vocab = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.ends = np.zeros(max(vocab.values()) + 1, bool)
-        self.ends[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
+        with open(path, encoding="utf-8") as f:
+            model = json.load(f)["model"]
+        vocab, end = model["vocab"], model["end_of_word_suffix"]
+        letters = {b: c for c, b in byte_alphabet().items()}
+        self.first = np.array([vocab[letters[b]] for b in range(256)], np.int64)
+        self.last = np.array([vocab[letters[b] + end] for b in range(256)], np.int64)
+        pairs = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
+        keys = np.array([vocab[x] << 20 | vocab[y] for x, y in pairs], np.int64)
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.ranks = keys[order], order
+        self.made = np.array([vocab[x + y] for x, y in pairs], np.int64)
         self._forget()
 
+    def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of each pair of tokens; NONE where they do not merge."""
+        key = left << 20 | right
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where((self.keys[at] == key) & (right >= 0), self.ranks[at], NONE)
+
+    def _merge(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of plain words, and the ids of each, by repeated merging of all words at once."""
+        n, lens = len(words), np.fromiter(map(len, words), np.int64, len(words))
+        data, width = np.frombuffer(b"".join(words), np.uint8), int(lens.max())
+        row = np.repeat(np.arange(n), lens)
+        ends = np.cumsum(lens)
+        tokens = np.full((n, width + 1), -1, np.int64)
+        tokens[row, np.arange(len(data)) - (ends - lens)[row]] = self.first[data]
+        tokens[np.arange(n), lens - 1] = self.last[data[ends - 1]]
+        ranks = self._rank(tokens[:, :-1], tokens[:, 1:])
+        live, columns, done = np.arange(n), np.arange(width), np.full((n, width), -1, np.int64)
+        while len(live):
+            at = ranks.argmin(1)
+            best = ranks[np.arange(len(live)), at]
+            go = best < NONE
+            if not go.all():
+                done[live[~go]] = tokens[~go, :width]
+                live, tokens, ranks, at, best = live[go], tokens[go], ranks[go], at[go], best[go]
+                if not len(live):
+                    break
+            rows = np.arange(len(live))
+            take = columns + (columns > at[:, None])
+            tokens[:, :width] = np.take_along_axis(tokens, take, 1)
+            tokens[rows, at] = self.made[best]
+            ranks = np.take_along_axis(ranks, np.minimum(take, width - 1), 1)
+            ranks[rows, at] = self._rank(tokens[rows, at], tokens[rows, at + 1])
+            before = np.flatnonzero(at > 0)
+            ranks[before, at[before] - 1] = self._rank(tokens[before, at[before] - 1], tokens[before, at[before]])
+        kept = done >= 0
+        return done[kept].astype(np.uint32), kept.sum(1)
+
     def _forget(self) -> None:
         self.known: dict[bytes, int] = {}
         self.flat, self.used = np.empty(1 << 16, np.uint32), 0
@@ -62,54 +116,61 @@ class WordEncoder:
 
     def _learn(self, words: list[bytes]) -> None:
         """Encode words that are not known yet."""
-        plain = [w for w in words if w.isalpha() and w.islower()]  # ASCII letters: one token group each
-        runs = [plain[i : i + RUN] for i in range(0, len(plain), RUN)]
-        rest = [w for w in words if not (w.isalpha() and w.islower())]
-        encoded = self.tokenizer.encode_batch_fast([b" ".join(r).decode() for r in runs], add_special_tokens=False)
-        for run, e in zip(runs, encoded, strict=True):
-            ids = np.array(e.ids, np.uint32)
-            last = np.flatnonzero(self.ends[ids])
-            if len(last) != len(run):
-                rest += run
-                continue
-            self._add(run, ids, np.diff(last, prepend=-1))
+        plain, rest = [], []
+        for w in words:
+            (plain if PLAIN.fullmatch(w) else rest).append(w)
+        plain.sort(key=len)
+        for i in range(0, len(plain), TOGETHER):
+            self._add(plain[i : i + TOGETHER], *self._merge(plain[i : i + TOGETHER]))
         if rest:
             each = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode() for w in rest], add_special_tokens=False)]
             self._add(rest, np.array([i for ids in each for i in ids], np.uint32), np.array([len(ids) for ids in each], np.int64))
 
-    @staticmethod
-    def _parts(word: bytes) -> tuple[bytes, bytes]:
-        """The word in lower case and its tail of punctuation, where they are encoded apart from each other."""
-        if b"<|" in word or b"|>" in word:
-            return word, b""
-        low = word.lower()
-        core = low.rstrip(TAIL)
-        if core and len(core) < len(low) and 97 <= core[-1] <= 122:
-            return core, low[len(core) :]
-        return low, b""
+    def _numbers(self, words: pa.Array) -> np.ndarray:
+        """Places of words in the table; unknown ones are learned."""
+        coded = words.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        known = self.known
+        if new := [w for w in distinct if w not in known]:
+            self._learn(new)
+        return np.fromiter((known[w] for w in distinct), np.int64, len(distinct))[coded.indices.to_numpy()]
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in order, and the number of ids of each text."""
-        words, counts = split_words(texts)
-        codes, distinct = word_codes(words)
-        del words
+        codes, distinct, counts = coded_words(texts)
         if len(self.known) > KNOWN:
             self._forget()
-        parts = [self._parts(w) for w in distinct]
-        new = {p for pair in parts for p in pair if p not in self.known}
-        new.discard(b"")
-        if new:
-            self._learn(list(new))
-        if b"" not in self.known:
-            self._add([b""], np.empty(0, np.uint32), np.zeros(1, np.int64))
-        known = self.known
-        pair = np.array([(known[a], known[b]) for a, b in parts], np.int64).reshape(-1, 2)
+        core, tail = lower_and_tail(distinct)
+        pair = np.column_stack([self._numbers(core), self._numbers(tail)])
         both = pair[codes].reshape(-1)
         lens = self.lens[both]
         ids = self.flat[ranges(self.starts[both], lens)]
         return ids, segment_sums(segment_sums(lens, np.full(len(codes), 2)), counts)
 
 
+def lower_and_tail(words: pa.Array) -> tuple[pa.Array, pa.Array]:
+    """Words in lower case without their tail of punctuation, and that tail, where the two are encoded apart.
+
+    The tail follows an ASCII letter; else it stays in the word. Words that may hold a special token stay as they are.
+    """
+    special = pc.or_(pc.match_substring(words, "<|"), pc.match_substring(words, "|>"))
+    low = pc.if_else(special, words, pc.ascii_lower(words))
+    core = pc.ascii_rtrim(low, characters=TAIL)
+    sizes, cut = (pc.binary_length(x).to_numpy(zero_copy_only=False).astype(np.int64) for x in (low, core))
+    low = low.cast(pa.large_binary())
+    begin = np.frombuffer(low.buffers()[1], np.int64)[low.offset : low.offset + len(low)]
+    data = np.frombuffer(low.buffers()[2] or b"", np.uint8)
+    last = data[begin + np.maximum(cut, 1) - 1] if len(low) else np.empty(0, np.uint8)
+    apart = (cut > 0) & (cut < sizes) & (last >= 97) & (last <= 122) & ~special.to_numpy(zero_copy_only=False)
+    cut = np.where(apart, cut, sizes)
+
+    def parts(at: np.ndarray, n: np.ndarray) -> pa.Array:
+        offsets = starts_of(n)
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(n), [None, pa.py_buffer(offsets), pa.py_buffer(data[ranges(at, n)])])
+
+    return parts(begin, cut), parts(begin + cut, sizes - cut)
+
+
 @lru_cache(maxsize=2)
 def word_encoder(path: str) -> WordEncoder:
     return WordEncoder(path)

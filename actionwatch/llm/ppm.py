@@ -1,13 +1,14 @@
 """Language-model scores by prediction by partial matching over bytes.
 
-The trie holds, for contexts of up to three bytes, how often each byte followed in the training texts. A byte's
-probability is c / (n + d) in the longest context that has seen it, times d / (n + d) for each longer context that
-has not (n: occurrences, d: different bytes); bytes already seen in a longer context are excluded from the counts of
+The trie holds, for contexts of up to four bytes, how often each byte followed in the training texts. A byte's
+probability is (2 c - 1) / 2 n in the longest context that has seen it, times the escape d / 2 n of each longer
+context that has not (n: occurrences, d: different bytes); bytes already seen in a longer context are excluded from the counts of
 shorter ones. Below the empty context the bytes left over are equally likely. An end mark closes each text.
 
 The trie is never in one place. Texts are dealt into blocks of bounded size; a block lists its distinct words and
-four-byte grams with their training counts. Grams are summed over the corpus and grouped by the last two bytes of
-context: a group holds a whole subtree of contexts, at most 256 ** 2 grams. The code length of every gram goes back
+five-byte grams with their training counts. Grams are summed over the corpus and grouped by the last two bytes of
+context: a group holds a whole
+subtree of contexts. The code length of every gram goes back
 to the blocks that hold it, beside the count of every word, and each block then scores its own texts.
 """
 
@@ -19,15 +20,15 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_texts, materialize, pieces, ranges, segment_sums, split_words, starts_of, text_of, word_codes
+from .common import byte_texts, coded_words, materialize, pieces, ranges, segment_sums, starts_of, text_of
 
 #: Text bytes of a block.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 16 << 20
 #: Base model: added to every count.
 ADD = 0.1
 #: Bytes that never occur in UTF-8: before the start, and after the end.
 PAD, END = 0xFE, 0xFF
-ORDER = 3
+ORDER = 4
 WORD, GRAM = 0, 1
 KEYS = "block long, kind int, key binary, n long"
 
@@ -42,31 +43,41 @@ def lowered(texts: list[bytes]) -> list[bytes]:
     return [t.lower() for t in texts]
 
 
-def text_words(texts: list[bytes]) -> tuple[np.ndarray, list[bytes], np.ndarray]:
-    """Codes of all words, distinct words, words of each text."""
-    words, counts = split_words(texts)
-    codes, distinct = word_codes(words)
-    return codes, distinct, counts
-
-
 def text_grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """The packed four-byte gram that ends at each byte and end mark of the texts, and the grams of each text."""
+    """The packed five-byte gram that ends at each byte and end mark of the texts, and the grams of each text."""
     head, tail = bytes([PAD]) * ORDER, bytes([END])
-    data = np.frombuffer(b"".join([head + t + tail for t in texts]), np.uint8).astype(np.uint32)
-    grams = data[:-3] << 24 | data[1:-2] << 16 | data[2:-1] << 8 | data[3:]
+    data = np.frombuffer(b"".join([head + t + tail for t in texts]), np.uint8)
+    grams = np.zeros(max(len(data) - ORDER, 0), np.int64)
+    for k in range(ORDER + 1):
+        grams = grams << 8 | data[k : len(data) - ORDER + k]
     counts = np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))
     begin = starts_of(counts + ORDER)[:-1]
     return grams[ranges(begin, counts)], counts
 
 
+def packed_keys(grams: np.ndarray) -> pa.Array:
+    """The grams' bytes."""
+    data = grams.astype(">i8").view(np.uint8).reshape(-1, 8)[:, 7 - ORDER :].tobytes()
+    return pa.FixedSizeBinaryArray.from_buffers(pa.binary(ORDER + 1), len(grams), [None, pa.py_buffer(data)]).cast(pa.binary())
+
+
+def unpacked(keys: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    """Grams of their bytes."""
+    data = np.frombuffer(b"".join(keys.to_pylist()), np.uint8).reshape(-1, ORDER + 1)
+    out = np.zeros(len(data), np.int64)
+    for k in range(ORDER + 1):
+        out = out << 8 | data[:, k]
+    return out
+
+
 class Dense:
-    """Dense codes of packed grams by three table look-ups."""
+    """Dense codes of packed grams by a table look-up for each byte."""
 
     def __init__(self, grams: np.ndarray):
         self.steps = []
         codes = np.zeros(len(grams), np.int64)
-        for shift in (24, 16, 8, 0):
-            codes = codes * 256 + ((grams >> np.uint32(shift)) & np.uint32(255))
+        for shift in range(8 * ORDER, -1, -8):
+            codes = codes << 8 | (grams >> shift) & 255
             seen = np.zeros((int(codes.max()) + 1) if len(codes) else 1, bool)
             seen[codes] = True
             rank = np.cumsum(seen) - 1
@@ -79,7 +90,7 @@ class Dense:
         up = np.zeros(1, np.int64)
         for step in self.steps:
             up = up[step >> 8] << 8 | (step & 255)
-        return up.astype(np.uint32)
+        return up
 
 
 def _block_keys(batches):
@@ -90,8 +101,7 @@ def _block_keys(batches):
         if words:
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(words), block)), pa.array(np.full(len(words), WORD, np.int32)), pa.array(list(words), pa.binary()), pa.array(list(words.values()), pa.int64())], ["block", "kind", "key", "n"])
         if grams is not None:
-            keys = grams[0].astype(">u4").tobytes()
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(grams[0]), block)), pa.array(np.full(len(grams[0]), GRAM, np.int32)), pa.array([keys[i : i + 4] for i in range(0, len(keys), 4)], pa.binary()), pa.array(grams[1])], ["block", "kind", "key", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(grams[0]), block)), pa.array(np.full(len(grams[0]), GRAM, np.int32)), packed_keys(grams[0]), pa.array(grams[1])], ["block", "kind", "key", "n"])
 
     for batch in pieces(batches, "text"):
         blocks = batch.column(0).to_numpy()
@@ -103,7 +113,8 @@ def _block_keys(batches):
             part = batch.slice(a, b - a)
             train = part.column(1).to_numpy(zero_copy_only=False)
             texts = lowered(byte_texts(part, "text"))
-            codes, distinct, counts = text_words(texts)
+            codes, found, counts = coded_words(texts)
+            distinct = found.cast(pa.large_binary()).to_pylist()
             n = np.bincount(codes, weights=np.repeat(train, counts), minlength=len(distinct)).astype(np.int64).tolist()
             if words:
                 for w, k in zip(distinct, n, strict=True):
@@ -123,17 +134,17 @@ def _block_keys(batches):
 
 
 def code_lengths(grams: np.ndarray, counts: np.ndarray, low: np.ndarray) -> np.ndarray:
-    """log10 probability of each packed gram's last byte after its three others.
+    """log10 probability of each packed gram's last byte after its others.
 
     ``grams`` hold all grams, with their training counts (0: only in held-out texts), of one or more last two
     context bytes; ``low[256, 256]`` counts bytes after one byte of context, for the two shortest contexts.
     """
-    g = grams.astype(np.int64)
+    g = grams
     out = np.zeros(len(g))
     open_ = np.ones(len(g), bool)  # not yet predicted
     seen = counts > 0
     prior: tuple[np.ndarray, np.ndarray] | None = None  # (context, byte) pairs seen one order higher, by shorter context
-    for order in (3, 2, 1, 0):
+    for order in range(ORDER, -1, -1):
         if order >= 2:
             node = (g[seen] & ((1 << 8 * (order + 1)) - 1)).astype(np.int64)
             nodes, where = np.unique(node, return_inverse=True)
@@ -172,9 +183,9 @@ def code_lengths(grams: np.ndarray, counts: np.ndarray, low: np.ndarray) -> np.n
         hit = open_ & (nodes[k] == mine) if len(nodes) else np.zeros(len(g), bool)
         # A context in which nothing is left predicts nothing and costs nothing.
         any_left = total_n > 0
-        below = np.maximum(total_n + total_d, 1)
+        below = 2 * np.maximum(total_n, 1)
         if len(nodes):
-            out[hit] += np.log10(n[k][hit] / below[hit])
+            out[hit] += np.log10((2 * n[k][hit] - 1) / below[hit])
         miss = open_ & ~hit
         escape = miss & any_left
         out[escape] += np.log10(total_d[escape] / below[escape])
@@ -188,7 +199,7 @@ def code_lengths(grams: np.ndarray, counts: np.ndarray, low: np.ndarray) -> np.n
 def gram_scores(grams: DataFrame) -> DataFrame:
     """(key, value): the code length of each gram, from (key, n) summed over the corpus."""
     # Contexts of one byte and none: at most 256 * 256 counts.
-    pair = grams.groupBy(F.substring("key", 3, 2).alias("pair")).agg(F.sum("n").alias("n")).where("n > 0").toArrow()
+    pair = grams.groupBy(F.substring("key", ORDER, 2).alias("pair")).agg(F.sum("n").alias("n")).where("n > 0").toArrow()
     low = np.zeros((256, 256), np.int64)
     for key, n in zip(pair.column(0).to_pylist(), pair.column(1).to_pylist(), strict=True):
         low[key[0], key[1]] = n
@@ -199,8 +210,7 @@ def gram_scores(grams: DataFrame) -> DataFrame:
         held = []
 
         def score(table):
-            keys = np.frombuffer(b"".join(table.column(1).to_pylist()), ">u4").astype(np.uint32)
-            value = code_lengths(keys, table.column(2).to_numpy(), low_.value)
+            value = code_lengths(unpacked(table.column(1)), table.column(2).to_numpy(), low_.value)
             return pa.RecordBatch.from_arrays([table.column(1).combine_chunks(), pa.array(value)], ["key", "value"])
 
         for batch in batches:
@@ -216,7 +226,7 @@ def gram_scores(grams: DataFrame) -> DataFrame:
         if held:
             yield score(pa.Table.from_batches(held))
 
-    group = F.conv(F.hex(F.substring("key", 2, 2)), 16, 10).cast("int")
+    group = F.conv(F.hex(F.substring("key", ORDER - 1, 2)), 16, 10).cast("int")
     dealt = grams.select(group.alias("group"), "key", "n").repartition("group").sortWithinPartitions("group")
     return dealt.mapInArrow(run, "key binary, value double")
 
@@ -253,15 +263,15 @@ def score_documents(docs: DataFrame, *, block_bytes: int = BLOCK_BYTES, mod: int
         is_word = kinds == WORD
         known_words = pa.array(values.column("key").filter(pa.array(is_word)).to_pylist(), pa.large_binary())
         word_values = values.column("value").filter(pa.array(is_word)).to_numpy()
-        gram_keys = np.frombuffer(b"".join(values.column("key").filter(pa.array(~is_word)).to_pylist()), ">u4").astype(np.uint32)
+        gram_keys = unpacked(values.column("key").filter(pa.array(~is_word)))
         gram_values = values.column("value").filter(pa.array(~is_word)).to_numpy()
         order = np.argsort(gram_keys)
         gram_keys, gram_values = gram_keys[order], gram_values[order]
         out = []
         for part in pieces(texts_of_block.to_batches(), "text"):
             texts = lowered(byte_texts(part, "text"))
-            codes, distinct, n_words = text_words(texts)
-            at = pc.index_in(pa.array(distinct, pa.large_binary()), value_set=known_words).to_numpy(zero_copy_only=False).astype(np.int64)
+            codes, distinct, n_words = coded_words(texts)
+            at = pc.index_in(distinct.cast(pa.large_binary()), value_set=known_words).to_numpy(zero_copy_only=False).astype(np.int64)
             counts = word_values[at] if len(at) else np.empty(0)
             base_sums = segment_sums(np.log10(counts + ADD)[codes], n_words) + np.log10(ends + ADD) - (n_words + 1) * base
             n_known = segment_sums((counts > 0)[codes].astype(np.int64), n_words) + (ends > 0)

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_texts, pieces, segment_sums, split_words, starts_of, text_of, word_codes
+from .common import byte_texts, coded_words, pieces, segment_sums, starts_of, text_of
 
 #: Fixed values of the base rules.
 SYMBOLS = b"#*$%&|<>"
@@ -39,9 +39,7 @@ def base_counts(texts: list[bytes]) -> dict[str, np.ndarray]:
     n = len(texts)
     data = np.frombuffer(b"".join(texts), np.uint8)
     sizes = np.fromiter(map(len, texts), np.int64, n)
-    words, n_words = split_words(texts)
-    codes, _ = word_codes(words)
-    del words
+    codes, _, n_words = coded_words(texts)
     repeat = np.zeros(len(codes), bool)
     at = starts_of(n_words)
     windows = np.maximum(n_words - 2, 0)

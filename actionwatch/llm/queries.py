@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_reuse, ppm, quality, sharding, token_count, token_output, url_filter
+from . import bpe_reuse, decontam, ppm, quality, sharding, token_count, token_output, url_filter
 from .common import scratch
 
 RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
@@ -53,6 +53,11 @@ def op8_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm.score_documents(_table(spark, sf_dir, "documents"))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "contaminated", F.col("matches.item_id").alias("item_ids"), F.size("matches").cast("long").alias("n_items"))
+
+
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages")
     out = url_filter.filter_urls(pages, url_filter.thin_page_urls(pages), id_col="page_id", url_col="url", rules=RULES)
@@ -60,7 +65,7 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_token_output": op1_token_output, "op5_quality_rules": op5_quality_rules, "op2_sharding": op2_sharding, "op6_token_counts": op6_token_counts, "op7_bpe_reuse": op7_bpe_reuse, "op8_ppm_scores": op8_ppm_scores, "op10_url_filters": op10_url_filters}
+    return {"op1_token_output": op1_token_output, "op5_quality_rules": op5_quality_rules, "op2_sharding": op2_sharding, "op6_token_counts": op6_token_counts, "op7_bpe_reuse": op7_bpe_reuse, "op8_ppm_scores": op8_ppm_scores, "op9_decontamination": op9_decontamination, "op10_url_filters": op10_url_filters}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .chunks import first_cut, fixed_chunks, last_cut
-from .common import byte_texts, materialize, pieces, segment_sums, text_of
+from .common import byte_alphabet, byte_texts, materialize, pieces, segment_sums, text_of
 
 #: Bytes of a chunk.
 CHUNK = 1 << 16
@@ -34,13 +34,6 @@ TRANSITIONS, WORDS = 600_000, 200_000
 WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
 
-def byte_alphabet() -> dict[str, int]:
-    """The printable stand-in of each byte: itself where printable, else the next free code point from 256."""
-    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    free = iter(range(256, 512))
-    return {chr(b if b in own else next(free)): b for b in range(256)}
-
-
 class Transducer:
     """A lazily compiled deterministic transducer that counts BPE tokens of one word."""
 
