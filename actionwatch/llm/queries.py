@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_reuse, decontam, ppm, quality, sharding, token_count, token_output, url_filter
+from . import bpe_reuse, decontam, jaccard, ppm, quality, sharding, token_count, token_output, url_filter
 from .common import scratch
 
 RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
@@ -34,6 +34,10 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), F.col("vslot").alias("virtual_slot"))
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_documents(_table(spark, sf_dir, "documents"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return quality.quality_report(docs, quality.train_field(docs, _table(spark, sf_dir, "labels")))
@@ -65,7 +69,7 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_token_output": op1_token_output, "op5_quality_rules": op5_quality_rules, "op2_sharding": op2_sharding, "op6_token_counts": op6_token_counts, "op7_bpe_reuse": op7_bpe_reuse, "op8_ppm_scores": op8_ppm_scores, "op9_decontamination": op9_decontamination, "op10_url_filters": op10_url_filters}
+    return {"op1_token_output": op1_token_output, "op5_quality_rules": op5_quality_rules, "op2_sharding": op2_sharding, "op6_token_counts": op6_token_counts, "op7_bpe_reuse": op7_bpe_reuse, "op8_ppm_scores": op8_ppm_scores, "op9_decontamination": op9_decontamination, "op3_jaccard_join": op3_jaccard_join, "op10_url_filters": op10_url_filters}
 
 
 def oracle_sql() -> dict[str, str]:
