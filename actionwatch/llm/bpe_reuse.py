@@ -21,15 +21,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from .chunks import first_cut, last_cut
-from .common import byte_texts, materialize, pieces, starts_of, text_of
+from .common import byte_texts, pieces, starts_of, text_of
 from .encoder import tokenizer, word_encoder
 
 #: A chunk has about 2 ** MASK_BITS bytes; the rolling hash covers 16 bytes.
 MASK_BITS = 9
 #: The filter has so many 64-bit words: 2 MiB, whatever the input.
 FILTER_WORDS = 1 << 18
-_RANDOM = np.random.RandomState(7).randint(1, 1 << 62, 256, dtype=np.int64).astype(np.uint64)
-_M = np.uint64(0x9E3779B97F4A7C15)
+_RANDOM = np.random.RandomState(7).randint(1, 1 << 31, 256, dtype=np.int64).astype(np.uint32)
+_M = np.uint32(0x9E3779B1)
 
 
 def cut_points(texts: list[bytes]) -> list[list[int]]:
@@ -44,7 +44,7 @@ def cut_points(texts: list[bytes]) -> list[list[int]]:
         h = h[:-width] * m + h[width:]
         m = m * m
     # h[i] covers data[i : i + 16]; a border stands at i + 16, before a character's first byte.
-    borders = np.flatnonzero((h[:-1] >> np.uint64(64 - MASK_BITS)) == 0) + 16
+    borders = np.flatnonzero((h[:-1] >> np.uint32(32 - MASK_BITS)) == 0) + 16
     borders = borders[(data[borders] & 0xC0) != 0x80]
     owner = np.searchsorted(at, borders, side="right") - 1
     inside = borders - at[owner]
@@ -124,10 +124,10 @@ def body(chunk: bytes) -> bytes:
     return b"" if a < 0 else chunk[a : last_cut(chunk)]
 
 
-def encode_documents(docs: DataFrame, *, tokenizer_path: str) -> DataFrame:
+def encode_documents(docs: DataFrame, *, tokenizer_path: str, decode: bool = False) -> DataFrame:
     """(doc_id, ids array<int>) of each document's whole text, as the library gives them without special tokens.
 
-    A null text is empty and has no ids. Equal texts are encoded once; repeated rows and equal ids all come out.
+    With ``decode`` also ``decoded``, the library's decoding of the ids. A null text is empty and has no ids. Equal texts are encoded once; repeated rows and equal ids all come out.
     Columns other than doc_id and text are not read. The tokenizer must drop white space (``encoder``).
     """
     spark = docs.sparkSession
@@ -143,7 +143,12 @@ def encode_documents(docs: DataFrame, *, tokenizer_path: str) -> DataFrame:
             _, _, hit, at = _marked(texts, bloom.value)
             mask = np.add.reduceat(np.append(hit, False), at[:-1]) == 0
             ids, counts = encoder.encode([t for t, own in zip(texts, mask, strict=True) if own])
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(mask)), _id_lists(ids, counts)], ["doc_id", "ids"])
+            out = [batch.column(0).filter(pa.array(mask)), lists := _id_lists(ids, counts)]
+            names = ["doc_id", "ids"]
+            if decode:
+                out.append(_decoded(encoder.tokenizer, lists))
+                names.append("decoded")
+            yield pa.RecordBatch.from_arrays(out, names)
 
     def sharing(batches):
         """Pass on the texts that have one."""
@@ -152,15 +157,22 @@ def encode_documents(docs: DataFrame, *, tokenizer_path: str) -> DataFrame:
             mask = np.add.reduceat(np.append(hit, False), at[:-1]) > 0
             yield batch.filter(pa.array(mask))
 
-    def references(batches):
+    def held(batches):
+        """(key, number, print) of all shared chunks of a text."""
         for batch in pieces(batches, "text"):
-            texts = byte_texts(batch, "text")
-            chunks, prints, hit, at = _marked(texts, bloom.value)
-            flat = [c for cs in chunks for c in cs]
-            number = np.arange(len(flat)) - np.repeat(at[:-1], np.diff(at))
-            keys = np.repeat(np.arange(len(texts)), np.diff(at))[hit]
+            _, prints, hit, at = _marked(byte_texts(batch, "text"), bloom.value)
+            number = np.arange(len(prints)) - np.repeat(at[:-1], np.diff(at))
+            keys = np.repeat(np.arange(batch.num_rows), np.diff(at))[hit]
             which = np.flatnonzero(hit)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(keys)), pa.array(number[which]), pa.array([prints[i] for i in which], pa.binary()), pa.array([body(flat[i]) for i in which], pa.binary())], ["key", "number", "print", "body"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(keys)), pa.array(number[which]), pa.array([prints[i] for i in which], pa.binary())], ["key", "number", "print"])
+
+    def bodies(batches):
+        """(print, body) of all shared chunks, each once a batch."""
+        for batch in pieces(batches, "text"):
+            chunks, prints, hit, _ = _marked(byte_texts(batch, "text"), bloom.value)
+            flat = [c for cs in chunks for c in cs]
+            own = {prints[i]: body(flat[i]) for i in np.flatnonzero(hit)}
+            yield pa.RecordBatch.from_arrays([pa.array(list(own), pa.binary()), pa.array(list(own.values()), pa.binary())], ["print", "body"])
 
     def encode_bodies(batches):
         encoder = word_encoder(tokenizer_path)
@@ -173,11 +185,15 @@ def encode_documents(docs: DataFrame, *, tokenizer_path: str) -> DataFrame:
         encoder = word_encoder(tokenizer_path)
         for batch in pieces(batches, "text"):
             texts = byte_texts(batch, "text")
-            given = batch.column(2).to_pylist()
+            lists = batch.column(2)
+            flat = lists.flatten()
+            numbers, ids = flat.field("number").to_numpy(), flat.field("ids")
+            values, id_at = ids.values.to_numpy(zero_copy_only=False), ids.offsets.to_numpy()
+            per_text = starts_of(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
             chunks = chunks_of(texts)
             todo, plan, owner = [], [], []
-            for i, (cs, known) in enumerate(zip(chunks, given, strict=True)):
-                ready = {s["number"]: s["ids"] for s in known or ()}
+            for i, cs in enumerate(chunks):
+                ready = {int(numbers[x]): x for x in range(per_text[i], per_text[i + 1])}
                 joint = b""
                 for k, c in enumerate(cs):
                     a = first_cut(c)
@@ -190,7 +206,8 @@ def encode_documents(docs: DataFrame, *, tokenizer_path: str) -> DataFrame:
                     b = last_cut(c)
                     owner.append(i)
                     if k in ready:
-                        plan.append(np.asarray(ready[k], np.uint32))
+                        x = ready[k]
+                        plan.append(values[id_at[x] : id_at[x + 1]].astype(np.uint32))
                     else:
                         plan.append(len(todo))
                         todo.append(c[a:b])
@@ -204,17 +221,24 @@ def encode_documents(docs: DataFrame, *, tokenizer_path: str) -> DataFrame:
             sizes = np.bincount(np.array(owner, np.int64), weights=[len(p) for p in parts], minlength=len(texts)).astype(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), _id_lists(np.concatenate(parts) if parts else np.empty(0, np.uint32), sizes)], ["key", "ids"])
 
-    done = rows.mapInArrow(alone, f"doc_id {kind}, ids array<int>")
-    others = rows.mapInArrow(sharing, f"doc_id {kind}, text string").withColumn("key", F.unhex(F.md5("text")))
-    once = materialize(others.groupBy("key").agg(F.first("text").alias("text")), "texts")
-    refs = materialize(once.mapInArrow(references, "key binary, number long, print binary, body binary"), "chunk-references")
-    encoded = refs.groupBy("print").agg(F.first("body").alias("body")).mapInArrow(encode_bodies, "print binary, ids array<int>")
-    handed = refs.select("key", "number", "print").join(encoded, "print").groupBy("key").agg(F.collect_list(F.struct("number", "ids")).alias("known"))
+    columns = ", decoded string" if decode else ""
+    done = rows.mapInArrow(alone, f"doc_id {kind}, ids array<int>{columns}")
+    keyed = rows.select(F.unhex(F.md5("text")).alias("key"), "text")
+    encoded = rows.select("text").mapInArrow(bodies, "print binary, body binary").groupBy("print").agg(F.first("body").alias("body")).mapInArrow(encode_bodies, "print binary, ids array<int>")
+    refs = keyed.mapInArrow(held, "key binary, number long, print binary").distinct()
+    handed = refs.join(encoded, "print").groupBy("key").agg(F.collect_list(F.struct("number", "ids")).alias("known"))
+    once = keyed.mapInArrow(sharing, "key binary, text string").groupBy("key").agg(F.first("text").alias("text"))
     whole = once.join(handed, "key", "left").select("key", "text", "known").mapInArrow(assemble, "key binary, ids array<int>")
-    members = others.select("doc_id", "key").join(whole, "key").select("doc_id", "ids")
+    members = rows.select("doc_id", F.unhex(F.md5("text")).alias("key")).join(whole, "key").select("doc_id", "ids")
+    if decode:
+        members = decode_ids(members, tokenizer_path=tokenizer_path)
     return done.unionByName(members)
 
 
+def _decoded(library, ids: pa.ListArray) -> pa.Array:
+    return pa.array(library.decode_batch(ids.to_pylist(), skip_special_tokens=False), pa.string())
+
+
 def decode_ids(encoded: DataFrame, *, tokenizer_path: str) -> DataFrame:
     """Add ``decoded``: the library's decoding of ``ids``, special tokens included."""
     where = encoded.columns.index("ids")
@@ -222,7 +246,8 @@ def decode_ids(encoded: DataFrame, *, tokenizer_path: str) -> DataFrame:
     def run(batches):
         library = tokenizer(tokenizer_path)
         for batch in batches:
-            texts = library.decode_batch(batch.column(where).to_pylist(), skip_special_tokens=False)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, "decoded"])
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                yield pa.RecordBatch.from_arrays([*part.columns, _decoded(library, part.column(where))], [*batch.schema.names, "decoded"])
 
     return encoded.mapInArrow(run, StructType([*encoded.schema.fields, StructField("decoded", StringType())]))

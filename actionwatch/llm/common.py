@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Text handled at once inside a task; a longer single text is handled alone.
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 2 << 20
 
 
 def checkpoint_dir(spark: SparkSession) -> str:

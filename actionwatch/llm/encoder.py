@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from .common import byte_alphabet, coded_words, ranges, segment_sums, starts_of
 
 #: Words known at most; about 150 bytes each.
-KNOWN = 250_000
+KNOWN = 200_000
 #: A tail of these after a letter is a token group of its own.
 TAIL = '!"#$%&()*+,-./:;=?@[\\]^_`{}~'
 #: Words of these letters are one token group; lower case and composed already.

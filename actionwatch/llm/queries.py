@@ -48,8 +48,7 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_bpe_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = tokenizer_path("word_bpe_49k.json")
-    out = bpe_reuse.decode_ids(bpe_reuse.encode_documents(_table(spark, sf_dir, "documents"), tokenizer_path=path), tokenizer_path=path)
+    out = bpe_reuse.encode_documents(_table(spark, sf_dir, "documents"), tokenizer_path=tokenizer_path("word_bpe_49k.json"), decode=True)
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
