@@ -73,26 +73,36 @@ def unpacked(keys: pa.ChunkedArray | pa.Array) -> np.ndarray:
 class Dense:
     """Dense codes of packed grams by a table look-up for each byte."""
 
-    def __init__(self, grams: np.ndarray):
-        self.steps = []
-        codes = np.zeros(len(grams), np.int64)
+    def __init__(self, grams: np.ndarray, alphabet: np.ndarray):
+        """``alphabet``: all bytes that occur."""
+        self.alphabet, self.steps = alphabet, []
+        place = np.zeros(256, np.int32)
+        place[alphabet] = np.arange(len(alphabet))
+        codes = np.zeros(len(grams), np.int32)
         for shift in range(8 * ORDER, -1, -8):
-            codes = codes << 8 | (grams >> shift) & 255
+            codes = codes * np.int32(len(alphabet)) + place[(grams >> shift) & 255]
             seen = np.zeros((int(codes.max()) + 1) if len(codes) else 1, bool)
             seen[codes] = True
-            rank = np.cumsum(seen) - 1
-            codes = rank[codes]
             self.steps.append(np.flatnonzero(seen))
+            codes = (np.cumsum(seen, dtype=np.int32) - np.int32(1))[codes]
         self.codes = codes
 
     def values(self) -> np.ndarray:
         """The distinct grams, by code."""
-        up = np.zeros(1, np.int64)
+        up, n = np.zeros(1, np.int64), len(self.alphabet)
         for step in self.steps:
-            up = up[step >> 8] << 8 | (step & 255)
+            up = up[step // n] << 8 | self.alphabet[step % n]
         return up
 
 
+def alphabet_of(texts: list[bytes]) -> np.ndarray:
+    seen = np.zeros(256, bool)
+    seen[[PAD, END]] = True
+    for t in texts:
+        seen[np.frombuffer(t, np.uint8)] = True
+    return np.flatnonzero(seen)
+
+
 def _block_keys(batches):
     """Distinct words and grams of each block, with their training counts. Rows come sorted by block."""
     block, words, grams = None, {}, None
@@ -122,7 +132,7 @@ def _block_keys(batches):
             else:
                 words = dict(zip(distinct, n, strict=True))
             packed, counts = text_grams(texts)
-            dense = Dense(packed)
+            dense = Dense(packed, alphabet_of(texts))
             n = np.bincount(dense.codes, weights=np.repeat(train, counts)).astype(np.int64)
             values = dense.values()
             if grams is not None:
@@ -276,7 +286,7 @@ def score_documents(docs: DataFrame, *, block_bytes: int = BLOCK_BYTES, mod: int
             base_sums = segment_sums(np.log10(counts + ADD)[codes], n_words) + np.log10(ends + ADD) - (n_words + 1) * base
             n_known = segment_sums((counts > 0)[codes].astype(np.int64), n_words) + (ends > 0)
             packed, n_grams = text_grams(texts)
-            dense = Dense(packed)
+            dense = Dense(packed, alphabet_of(texts))
             lengths = gram_values[np.searchsorted(gram_keys, dense.values())]
             sums_ = segment_sums(lengths[dense.codes], n_grams)
             out.append(pa.Table.from_arrays([part.column(part.schema.get_field_index("doc_id")), pa.array(~part.column(1).to_numpy(zero_copy_only=False)), pa.array(n_words + 1), pa.array(n_known), pa.array(np.full(len(texts), big_n)), pa.array(base_sums), pa.array(sums_), pa.array(n_grams - 1)], OUT))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_reuse, decontam, jaccard, ppm, quality, sharding, token_count, token_output, url_filter
+from . import bpe_reuse, decontam, jaccard, ppm, quality, sharding, token_count, token_output, url_filter, warc
 from .common import scratch
 
 RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
@@ -38,6 +38,12 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_documents(_table(spark, sf_dir, "documents"))
 
 
+def op4_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.resolve_revisits(warc.crawl_log(_table(spark, sf_dir, "pages")))
+    lines = F.transform(F.array_sort(F.map_entries("headers")), lambda e: F.concat(e["key"], F.lit(": "), e["value"]))
+    return found.withColumn("headers", F.array_join(lines, "|"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return quality.quality_report(docs, quality.train_field(docs, _table(spark, sf_dir, "labels")))
@@ -68,8 +74,8 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_token_output": op1_token_output, "op5_quality_rules": op5_quality_rules, "op2_sharding": op2_sharding, "op6_token_counts": op6_token_counts, "op7_bpe_reuse": op7_bpe_reuse, "op8_ppm_scores": op8_ppm_scores, "op9_decontamination": op9_decontamination, "op3_jaccard_join": op3_jaccard_join, "op10_url_filters": op10_url_filters}
+    return {"op1_token_output": op1_token_output, "op5_quality_rules": op5_quality_rules, "op2_sharding": op2_sharding, "op6_token_counts": op6_token_counts, "op7_bpe_reuse": op7_bpe_reuse, "op8_ppm_scores": op8_ppm_scores, "op9_decontamination": op9_decontamination, "op3_jaccard_join": op3_jaccard_join, "op4_warc_revisits": op4_warc_revisits, "op10_url_filters": op10_url_filters}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_warc_revisits": warc.ORACLE_SQL, "op10_url_filters": url_filter.ORACLE_SQL}

@@ -111,3 +111,35 @@ def thin_page_urls(pages: DataFrame, thin_chars: int = THIN_CHARS) -> DataFrame:
     """A list derived from the crawl: canonical URLs of pages with little visible text. A null page is thin."""
     visible = F.length(F.regexp_replace(F.regexp_replace(F.coalesce("html", F.lit("")), r"(?s)<(script|style)[^>]*>.*?</(script|style)>", ""), "<[^>]*>", ""))
     return pages.where(visible < thin_chars).select(canonical(F.col("url")).alias("url"))
+
+
+#: The query on the table of pages with the rules of ``queries.RULES``; an exact join only.
+ORACLE_SQL = r"""
+WITH base AS (
+  SELECT page_id, url, coalesce(html, '') AS html,
+    coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+    coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path,
+    list_sort(list_filter(string_split(regexp_extract(url, '(?s)^[^?#]*\?([^#]*)', 1), '&'),
+      lambda p: p <> '' AND NOT regexp_matches(p, '^(utm_[^=]*|ref|fbclid|gclid)(=|$)'))) AS params
+  FROM pages
+), named AS (
+  SELECT page_id, host, path, html,
+    CASE WHEN url LIKE '%://%' THEN regexp_replace(host, '^www\.', '') || regexp_replace(path, '/+$', '')
+      || CASE WHEN len(params) > 0 THEN '?' || array_to_string(params, '&') ELSE '' END END AS canonical_url,
+    CASE
+      WHEN (host = 'www.example.com' OR host LIKE '%.www.example.com') AND starts_with(path, '/en/') THEN 'www.example.com/en/'
+      WHEN (host = 'example.com' OR host LIKE '%.example.com') AND starts_with(path, '/en/') THEN 'example.com/en/'
+      WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/es/') THEN 'net/es/'
+      WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/fr/') THEN 'net/fr/'
+      WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/') THEN 'com/'
+    END AS rule
+  FROM base
+), listed AS (
+  SELECT DISTINCT canonical_url FROM named WHERE canonical_url IS NOT NULL AND length(
+    regexp_replace(regexp_replace(html, '(?s)<(script|style)[^>]*>.*?</(script|style)>', '', 'g'), '<[^>]*>', '', 'g')) < 1000
+)
+SELECT page_id, host, path, rule,
+  CASE WHEN rule IN ('www.example.com/en/', 'com/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+    WHEN canonical_url IN (SELECT canonical_url FROM listed) THEN 'block' ELSE 'allow' END AS verdict, canonical_url
+FROM named
+"""
