@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import byte_texts, coded_words, materialize, mix64, pieces, ranges, starts_of, text_of
@@ -286,9 +286,14 @@ def keep_one(docs: DataFrame, **params) -> DataFrame:
     Of repeated rows with that id one stays. Documents with a null id are their class's choice only where no other is.
     """
     found = similar_documents(docs, **params)
-    # The chosen id of each class; a class of null ids has its least text key.
-    chosen = found.groupBy("class_id", F.when(F.col("class_id").isNull(), F.col("text_key")).alias("alone")).agg(F.min_by("text_key", F.struct(F.coalesce(F.col("doc_id") != F.col("class_id"), F.lit(True)), "text_key")).alias("aw_text_key"))
-    kept = chosen.select(F.col("class_id").alias("aw_class_id"), "aw_text_key")
-    same = docs["doc_id"].eqNullSafe(kept["aw_class_id"]) & (F.md5(F.coalesce(docs["text"], F.lit(""))) == kept["aw_text_key"])
-    rows = docs.join(kept, same, "left_semi")
-    return rows.dropDuplicates(["doc_id", "text"])
+    # A class of null ids only is one of equal or linked texts without an id: its least text key.
+    alone = F.when(F.col("class_id").isNull(), F.col("text_key"))
+    other = F.coalesce(F.col("doc_id") != F.col("class_id"), F.lit(True))
+    chosen = found.groupBy("class_id", alone.alias("alone")).agg(F.min_by("text_key", F.struct(other, F.col("text_key"))).alias("text_key"))
+    kept = chosen.select(_row_key(F.col("class_id"), F.col("text_key")).alias("aw_row_key"))
+    rows = docs.withColumn("aw_row_key", _row_key(F.col("doc_id"), F.md5(text_of())))
+    return rows.join(kept, "aw_row_key", "left_semi").dropDuplicates(["aw_row_key"]).drop("aw_row_key")
+
+
+def _row_key(doc_id: Column, text_key: Column) -> Column:
+    return F.md5(F.concat_ws("|", F.coalesce(doc_id.cast("string"), F.lit("-")), text_key))

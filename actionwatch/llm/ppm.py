@@ -78,13 +78,14 @@ class Dense:
         self.alphabet, self.steps = alphabet, []
         place = np.zeros(256, np.int32)
         place[alphabet] = np.arange(len(alphabet))
-        codes = np.zeros(len(grams), np.int32)
+        kind = np.int32 if len(grams) < 1 << 22 else np.int64
+        codes = np.zeros(len(grams), kind)
         for shift in range(8 * ORDER, -1, -8):
-            codes = codes * np.int32(len(alphabet)) + place[(grams >> shift) & 255]
+            codes = codes * kind(len(alphabet)) + place[(grams >> shift) & 255]
             seen = np.zeros((int(codes.max()) + 1) if len(codes) else 1, bool)
             seen[codes] = True
             self.steps.append(np.flatnonzero(seen))
-            codes = (np.cumsum(seen, dtype=np.int32) - np.int32(1))[codes]
+            codes = (np.cumsum(seen, dtype=kind) - kind(1))[codes]
         self.codes = codes
 
     def values(self) -> np.ndarray:
