@@ -28,7 +28,7 @@ def article_body(html: Column, least: int = 400, most: int = 6000) -> Column:
     article = F.regexp_extract(clean, r"(?is)<article\b[^>]*>(.*?)</article>", 1)
     scope = F.when(article != "", article).otherwise(clean)
     paragraphs = F.regexp_extract_all(scope, F.lit(r"(?is)<p\b[^>]*>(.*?)(?=</p>|<p\b|$)"), F.lit(1))
-    text = F.array_join(F.filter(F.transform(paragraphs, strip_html), lambda x: x != ""), " ")
+    text = F.array_join(F.filter(F.transform(paragraphs, lambda p: strip_html(p)), lambda x: x != ""), " ")
     return F.when(F.length(text) >= least, F.substring(text, 1, most))
 
 
@@ -61,7 +61,7 @@ def source_kind(url: Column, strict: bool = True) -> Column:
 
 def split_list(text: Column, separator: str = "\n") -> Column:
     """Packed list to array: trimmed, without empty entries (FUN-13)."""
-    return F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), separator), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), separator), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def first_sentences(text: Column, n: int = 2) -> Column:
