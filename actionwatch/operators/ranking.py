@@ -88,6 +88,6 @@ def numeric_then_text(column: str) -> list[Column]:
 
 def sliding_count(df: DataFrame, *, key: str, ts: str, seconds: int = 60, most: int = 5) -> DataFrame:
     """Attempts of a key in the last ``seconds`` (this one too, the far end open), and whether they are too many (WIN-19)."""
-    at = F.unix_micros(ts)
+    at = F.unix_micros(F.col(ts).cast("timestamp"))
     w = Window.partitionBy(key).orderBy(at).rangeBetween(-seconds * 1_000_000 + 1, 0)
     return df.withColumn("attempts", F.count(F.lit(1)).over(w)).withColumn("limited", F.col("attempts") > most)
