@@ -12,20 +12,21 @@ is not; that chunk then only goes the longer way. If the filter fills up, all te
 
 from __future__ import annotations
 
-import hashlib
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from .chunks import first_cut, last_cut
-from .common import byte_texts, pieces, starts_of, text_of
+from .common import byte_texts, pieces, ranges, starts_of, text_of
 from .encoder import tokenizer, word_encoder
 
 #: A chunk has about 2 ** MASK_BITS bytes; the rolling hash covers 16 bytes.
-MASK_BITS = 9
+MASK_BITS = 11
 #: The filter has so many 64-bit words: 2 MiB, whatever the input.
 FILTER_WORDS = 1 << 18
 _RANDOM = np.random.RandomState(7).randint(1, 1 << 31, 256, dtype=np.int64).astype(np.uint32)
@@ -63,7 +64,7 @@ def chunks_of(texts: list[bytes]) -> list[list[bytes]]:
 
 
 def fingerprint(chunk: bytes) -> bytes:
-    return hashlib.blake2b(chunk, digest_size=16).digest()
+    return xxhash.xxh3_128_digest(chunk)
 
 
 def _short(prints: list[bytes]) -> np.ndarray:
@@ -146,7 +147,7 @@ def encode_documents(docs: DataFrame, *, tokenizer_path: str, decode: bool = Fal
             out = [batch.column(0).filter(pa.array(mask)), lists := _id_lists(ids, counts)]
             names = ["doc_id", "ids"]
             if decode:
-                out.append(_decoded(encoder.tokenizer, lists))
+                out.append(decoder(tokenizer_path).decode(lists))
                 names.append("decoded")
             yield pa.RecordBatch.from_arrays(out, names)
 
@@ -235,8 +236,43 @@ def encode_documents(docs: DataFrame, *, tokenizer_path: str, decode: bool = Fal
     return done.unionByName(members)
 
 
-def _decoded(library, ids: pa.ListArray) -> pa.Array:
-    return pa.array(library.decode_batch(ids.to_pylist(), skip_special_tokens=False), pa.string())
+class Decoder:
+    """The library's decoding of id lists, special tokens included.
+
+    Without a decoder of its own the library joins the tokens with one space; that is done here for many texts at
+    once, by copying the tokens' bytes. With one, the library decodes.
+    """
+
+    def __init__(self, path: str):
+        self.library = tokenizer(path)
+        self.plain = self.library.decoder is None
+        if self.plain:
+            size = self.library.get_vocab_size(with_added_tokens=True)
+            tokens = [(self.library.id_to_token(i) or "").encode() + b" " for i in range(size)]
+            self.sizes = np.fromiter(map(len, tokens), np.int64, size)
+            self.starts = starts_of(self.sizes)[:-1]
+            self.bytes = np.frombuffer(b"".join(tokens), np.uint8)
+
+    def decode(self, ids: pa.ListArray) -> pa.Array:
+        if not self.plain:
+            return pa.array(self.library.decode_batch(ids.to_pylist(), skip_special_tokens=False), pa.string())
+        at = ids.offsets.to_numpy().astype(np.int64)
+        values = ids.values.to_numpy(zero_copy_only=False)[at[0] : at[-1]]
+        at = at - at[0]
+        sizes = self.sizes[values]
+        sizes[at[1:][np.diff(at) > 0] - 1] -= 1  # no space after the last token
+        data = np.concatenate([np.empty(0, np.uint8), *(self.bytes[ranges(self.starts[values[i : i + DECODE]], sizes[i : i + DECODE])] for i in range(0, len(values), DECODE))])
+        offsets = starts_of(sizes)[at]
+        return pa.LargeStringArray.from_buffers(len(ids), pa.py_buffer(offsets), pa.py_buffer(data)).cast(pa.string())
+
+
+#: Ids decoded at once.
+DECODE = 1 << 17
+
+
+@lru_cache(maxsize=2)
+def decoder(path: str) -> Decoder:
+    return Decoder(path)
 
 
 def decode_ids(encoded: DataFrame, *, tokenizer_path: str) -> DataFrame:
@@ -244,10 +280,10 @@ def decode_ids(encoded: DataFrame, *, tokenizer_path: str) -> DataFrame:
     where = encoded.columns.index("ids")
 
     def run(batches):
-        library = tokenizer(tokenizer_path)
+        own = decoder(tokenizer_path)
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
-                yield pa.RecordBatch.from_arrays([*part.columns, _decoded(library, part.column(where))], [*batch.schema.names, "decoded"])
+                yield pa.RecordBatch.from_arrays([*part.columns, own.decode(part.column(where))], [*batch.schema.names, "decoded"])
 
     return encoded.mapInArrow(run, StructType([*encoded.schema.fields, StructField("decoded", StringType())]))
