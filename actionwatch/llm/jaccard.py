@@ -264,7 +264,8 @@ def similar_documents(docs: DataFrame, *, threshold: float = THRESHOLD, toleranc
     grouped = grouped.select("bucket", "i", "j", "block", "key", "sig").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "block")
     left = materialize(grouped.mapInArrow(_prune(tolerance, threshold), "bucket long, i int, j int, key binary, partners array<binary>"), "candidates")
 
-    needed = left.select("key").distinct()
+    # The keys grow with the input: never broadcast.
+    needed = left.select("key").distinct().hint("merge")
     texts = rows.select("key", "text").join(needed, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
     dealt = left.join(texts, "key").select("bucket", "i", "j", "key", "partners", "text").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
     links = materialize(dealt.mapInArrow(_verify(threshold), "key binary, links long, root binary"), "links")
