@@ -30,7 +30,7 @@ MASK_BITS = 11
 #: The filter has so many 64-bit words: 2 MiB, whatever the input.
 FILTER_WORDS = 1 << 18
 _RANDOM = np.random.RandomState(7).randint(1, 1 << 31, 256, dtype=np.int64).astype(np.uint32)
-_M = np.uint32(0x9E3779B1)
+_M = np.array([0x9E3779B1], np.uint32)
 
 
 def cut_points(texts: list[bytes]) -> list[list[int]]:
