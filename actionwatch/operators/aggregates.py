@@ -32,10 +32,12 @@ def list_facet(df: DataFrame, column: str) -> DataFrame:
 def distinct_values(df: DataFrame, columns: list[str]) -> DataFrame:
     """(facet, value) of scalar and list columns, without blanks (AGG-05)."""
     lists = {f.name for f in df.schema if f.dataType.typeName() == "array"}
-    parts = [df.select(F.lit(c).alias("facet"), (F.explode(c) if c in lists else F.col(c)).alias("value")) for c in columns]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+
+    def entries(c: str) -> Column:
+        values = F.coalesce(F.col(c), F.array().cast("array<string>")) if c in lists else F.array(F.col(c))
+        return F.transform(values, lambda v: F.struct(F.lit(c).alias("facet"), v.alias("value")))
+
+    out = df.select(F.inline(F.concat(*map(entries, columns))))
     return out.where("value is not null and value <> ''").distinct()
 
 

@@ -1,9 +1,10 @@
 """Clustering reports of a group into events (LIF-04).
 
 Texts become sets of word runs. MinHash bands propose pairs inside a group; pairs are verified exactly; verified
-links are joined into components by alternating stars written to the shared folder each round. A bucket links its
-rows to its least row and, after the verified rows have left, again to the least of those that are left, so a bucket
-of n rows makes n pair rows a round instead of n squared.
+links are joined into components by label rounds written to the shared folder. A bucket of a few rows proposes all
+its pairs. A larger one links its rows to its least row and, after the verified rows have left, again to the least of
+those that are left, so it makes n pair rows a round instead of n squared; rows of such a bucket meet again in other
+bands.
 """
 
 from __future__ import annotations
@@ -48,27 +49,36 @@ def candidate_buckets(sets: DataFrame, *, group: str, row: str, bands: int, per_
     return signature.select(group, row, F.explode(keys).alias("bucket"))
 
 
-def cluster(df: DataFrame, *, group: str, row: str, text: str, threshold: float = 0.7, words: int = 3, bands: int = 16, per_band: int = 4, max_rounds: int = 30) -> DataFrame:
+def cluster(df: DataFrame, *, group: str, row: str, text: str, threshold: float = 0.7, words: int = 3, bands: int = 16, per_band: int = 4, small: int = 32, max_rounds: int = 30) -> DataFrame:
     """(group, row, cluster): the cluster is the least row connected with it by similarities of ``threshold`` or more.
 
     Rows without a word are clusters of their own.
     """
     sets = written(shingles(df, group=group, row=row, text=text, words=words), "sets")
     open_ = written(candidate_buckets(sets, group=group, row=row, bands=bands, per_band=per_band), "buckets")
-    links = None
     a, b = sets.select(group, F.col(row).alias("least"), F.col("set").alias("a")), sets.select(group, row, F.col("set").alias("b"))
-    for _ in range(max_rounds):
-        least = open_.groupBy(group, "bucket").agg(F.min(row).alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
-        pairs = open_.join(least, [group, "bucket"]).where(F.col(row) != F.col("least"))
-        pairs = written(pairs.select(group, "bucket", row, "least"), "pairs")
-        both = F.size(F.array_intersect("a", "b"))
+    both = F.size(F.array_intersect("a", "b"))
+
+    def verified(pairs: DataFrame) -> DataFrame:
         near = pairs.select(group, "least", row).distinct().join(a, [group, "least"]).join(b, [group, row])
         near = near.where(both >= threshold * (F.size("a") + F.size("b") - both)).select(group, "least", row)
-        near = written(near, "links")
-        links = near if links is None else links.unionByName(near)
-        open_ = written(pairs.join(near, [group, "least", row], "left_anti").select(group, row, "bucket"), "buckets")
-        if open_.groupBy(group, "bucket").count().where("count > 1").isEmpty():
+        return written(near, "links")
+
+    sizes = open_.groupBy(group, "bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    counted = open_.join(sizes, [group, "bucket"])
+    few = counted.where(F.col("n") <= small).select(group, "bucket", row)
+    links = verified(few.join(few.withColumnRenamed(row, "least"), [group, "bucket"]).where(F.col("least") < F.col(row)))
+    open_ = counted.where(F.col("n") > small).select(group, "bucket", row)
+    for _ in range(max_rounds):
+        least = open_.groupBy(group, "bucket").agg(F.min(row).alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
+        pairs = written(open_.join(least, [group, "bucket"]).where(F.col(row) != F.col("least")).select(group, "bucket", row, "least"), "pairs")
+        if pairs.isEmpty():
             break
+        near = verified(pairs)
+        links = links.unionByName(near)
+        open_ = written(pairs.join(near, [group, "least", row], "left_anti").select(group, "bucket", row), "buckets")
+    else:
+        raise RuntimeError(f"buckets left after {max_rounds} rounds")
     parents = components(links.select(F.struct(group, row).alias("u"), F.struct(F.col(group), F.col("least").alias(row)).alias("v")))
     own = F.struct(group, row)
     rows = df.select(group, row, own.alias("node")).join(parents, "node", "left")

@@ -37,7 +37,17 @@ def _(t):
     return fx.events(t).select("event_id", op.agency_group(F.col("agency"), ["opm", "a1"]).alias("grp"))
 
 
-@query("LIF-04")
+CLUSTERED = """WITH RECURSIVE w AS (SELECT lang, doc_id, list_filter(regexp_split_to_array(lower(text), '\\s+'), lambda x: x <> '') AS p FROM documents),
+s AS (SELECT lang, doc_id, list_distinct(CASE WHEN len(p) <= 3 THEN [array_to_string(p, ' ')] ELSE list_transform(range(1, len(p) - 1), lambda i: p[i] || ' ' || p[i + 1] || ' ' || p[i + 2]) END) AS g FROM w WHERE len(p) > 0),
+x AS (SELECT lang, doc_id, len(g) AS n, unnest(g) AS h FROM s),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b FROM x a JOIN x b ON a.lang = b.lang AND a.h = b.h AND a.doc_id < b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING count(*) >= 0.7 * (a.n + b.n - count(*))),
+edges AS (SELECT a, b FROM pairs UNION SELECT b, a FROM pairs),
+reach AS (SELECT a AS node, a AS other FROM edges UNION SELECT reach.node, edges.b FROM reach JOIN edges ON reach.other = edges.a)
+SELECT lang, doc_id, coalesce((SELECT min(other) FROM reach WHERE node = doc_id), doc_id) AS cluster FROM documents"""
+
+
+@query("LIF-04", CLUSTERED)
 def _(t):
     return cluster(t("documents").select("lang", "doc_id", "text"), group="lang", row="doc_id", text="text")
 
