@@ -1,16 +1,15 @@
 """Exact encoding of many texts with a lower-casing, white-space-dropping BPE tokenizer, one distinct word at a time.
 
 White space always ends a token of such a tokenizer, so the ids of a text are those of its words in order. Words
-repeat; each distinct word is encoded once and looked up afterwards. Words of small Latin letters are merged many at
-a time, lowest rank first and leftmost among equals; all others go through the tokenizers library. The table of
-known words lives in the Python worker, is bounded, and starts anew when it is full.
+repeat; each distinct word of a batch is encoded once. Words of small Latin letters are merged many at a time, lowest
+rank first and leftmost among equals; all others go through the tokenizers library, and a bounded table in the Python
+worker remembers them.
 """
 
 from __future__ import annotations
 
 import json
 import os
-import re
 from functools import lru_cache
 
 import numpy as np
@@ -19,12 +18,10 @@ import pyarrow.compute as pc
 
 from .common import byte_alphabet, coded_words, ranges, segment_sums, starts_of
 
-#: Words known at most; about 150 bytes each.
-KNOWN = 200_000
+#: Words of the library known at most; about 150 bytes each.
+KNOWN = 100_000
 #: A tail of these after a letter is a token group of its own.
 TAIL = '!"#$%&()*+,-./:;=?@[\\]^_`{}~'
-#: Words of these letters are one token group; lower case and composed already.
-PLAIN = re.compile(rb"(?:[a-z]|\xc3[\xa0-\xb6\xb8-\xbf])+")
 #: Words merged together.
 TOGETHER = 8192
 NONE = 1 << 30
@@ -51,32 +48,63 @@ class WordEncoder:
             model = json.load(f)["model"]
         vocab, end = model["vocab"], model["end_of_word_suffix"]
         letters = {b: c for c, b in byte_alphabet().items()}
-        self.first = np.array([vocab[letters[b]] for b in range(256)], np.int64)
-        self.last = np.array([vocab[letters[b] + end] for b in range(256)], np.int64)
+        self.first = np.array([vocab[letters[b]] for b in range(256)], np.int32)
+        self.last = np.array([vocab[letters[b] + end] for b in range(256)], np.int32)
         pairs = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
-        keys = np.array([vocab[x] << 20 | vocab[y] for x, y in pairs], np.int64)
+        self.bits = max(vocab.values()).bit_length()
+        keys = np.array([vocab[x] << self.bits | vocab[y] for x, y in pairs], np.int64)
+        self.kind = np.uint32 if self.bits <= 16 else np.int64
         order = np.argsort(keys, kind="stable")
-        self.keys, self.ranks = keys[order], order
-        self.made = np.array([vocab[x + y] for x, y in pairs], np.int64)
+        self.keys, self.ranks = keys[order].astype(self.kind), order.astype(np.int32)
+        self.made = np.array([vocab[x + y] for x, y in pairs], np.int32)
+        # Ranks of two neighbouring bytes, the second inside a word or at its end (index + 256).
+        both = np.concatenate([self.first, self.last])
+        self.byte_ranks = self._rank(np.repeat(self.first, 512), np.tile(both, 256)).astype(np.int32).reshape(256, 512)
         self._forget()
 
+    def _forget(self) -> None:
+        """Words that the library encodes: place in the flat list of ids."""
+        self.known: dict[bytes, int] = {}
+        self.flat, self.used = np.empty(1 << 12, np.uint32), 0
+        self.starts, self.lens = np.zeros(1 << 10, np.int64), np.zeros(1 << 10, np.int64)
+
+    def _learn(self, words: list[bytes]) -> None:
+        """Encode words by the library."""
+        each = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
+        ids, lens = np.array([i for x in each for i in x], np.uint32), np.fromiter(map(len, each), np.int64, len(each))
+        n, m = len(self.known), len(words)
+        while len(self.flat) < self.used + len(ids):
+            self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
+        while len(self.starts) < n + m:
+            self.starts, self.lens = np.concatenate([self.starts, np.zeros_like(self.starts)]), np.concatenate([self.lens, np.zeros_like(self.lens)])
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.starts[n : n + m] = self.used + np.cumsum(lens) - lens
+        self.lens[n : n + m] = lens
+        self.used += len(ids)
+        self.known.update(zip(words, range(n, n + m), strict=True))
+
     def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of each pair of tokens; NONE where they do not merge."""
-        key = left << 20 | right
+        key = left.astype(self.kind) << self.kind(self.bits) | np.maximum(right, 0).astype(self.kind)
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return np.where((self.keys[at] == key) & (right >= 0), self.ranks[at], NONE)
 
-    def _merge(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of plain words, and the ids of each, by repeated merging of all words at once."""
-        n, lens = len(words), np.fromiter(map(len, words), np.int64, len(words))
-        data, width = np.frombuffer(b"".join(words), np.uint8), int(lens.max())
+    def _merge(self, data: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of plain words (their bytes, one after the other), and the ids of each, by merging all words at once."""
+        n, width = len(lens), int(lens.max())
         row = np.repeat(np.arange(n), lens)
         ends = np.cumsum(lens)
-        tokens = np.full((n, width + 1), -1, np.int64)
-        tokens[row, np.arange(len(data)) - (ends - lens)[row]] = self.first[data]
+        column = np.arange(len(data)) - (ends - lens)[row]
+        tokens = np.full((n, width + 1), -1, np.int32)
+        tokens[row, column] = self.first[data]
         tokens[np.arange(n), lens - 1] = self.last[data[ends - 1]]
-        ranks = self._rank(tokens[:, :-1], tokens[:, 1:])
-        live, columns, done = np.arange(n), np.arange(width), np.full((n, width), -1, np.int64)
+        ranks = np.full((n, width), NONE, np.int32)
+        inner = np.ones(len(data), bool)
+        inner[ends - 1] = False
+        left = np.flatnonzero(inner)
+        right = data[left + 1].astype(np.int64) + 256 * ~inner[left + 1]
+        ranks[row[left], column[left]] = self.byte_ranks[data[left], right]
+        live, columns, done = np.arange(n), np.arange(width), np.full((n, width), -1, np.int32)
         while len(live):
             at = ranks.argmin(1)
             best = ranks[np.arange(len(live)), at]
@@ -97,55 +125,62 @@ class WordEncoder:
         kept = done >= 0
         return done[kept].astype(np.uint32), kept.sum(1)
 
-    def _forget(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.flat, self.used = np.empty(1 << 16, np.uint32), 0
-        self.starts, self.lens = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
-
-    def _add(self, words: list[bytes], ids: np.ndarray, lens: np.ndarray) -> None:
-        n, m = len(self.known), len(words)
-        while len(self.flat) < self.used + len(ids):
-            self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
-        while len(self.starts) < n + m:
-            self.starts, self.lens = np.concatenate([self.starts, np.zeros_like(self.starts)]), np.concatenate([self.lens, np.zeros_like(self.lens)])
-        self.flat[self.used : self.used + len(ids)] = ids
-        self.starts[n : n + m] = self.used + np.cumsum(lens) - lens
-        self.lens[n : n + m] = lens
-        self.used += len(ids)
-        self.known.update(zip(words, range(n, n + m), strict=True))
-
-    def _learn(self, words: list[bytes]) -> None:
-        """Encode words that are not known yet."""
-        plain, rest = [], []
-        for w in words:
-            (plain if PLAIN.fullmatch(w) else rest).append(w)
-        plain.sort(key=len)
-        for i in range(0, len(plain), TOGETHER):
-            self._add(plain[i : i + TOGETHER], *self._merge(plain[i : i + TOGETHER]))
-        if rest:
-            each = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode() for w in rest], add_special_tokens=False)]
-            self._add(rest, np.array([i for ids in each for i in ids], np.uint32), np.array([len(ids) for ids in each], np.int64))
-
-    def _numbers(self, words: pa.Array) -> np.ndarray:
-        """Places of words in the table; unknown ones are learned."""
-        coded = words.dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        known = self.known
-        if new := [w for w in distinct if w not in known]:
-            self._learn(new)
-        return np.fromiter((known[w] for w in distinct), np.int64, len(distinct))[coded.indices.to_numpy()]
+    def _table(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of distinct words: a flat list, and the start and number of each word's ids in it."""
+        begin, data = buffers(words)
+        sizes = pc.binary_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
+        plain = plain_words(begin, sizes, data)
+        starts, lens, flat, used = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64), [], 0
+        order = np.flatnonzero(plain)
+        order = order[np.argsort(sizes[order], kind="stable")]
+        for i in range(0, len(order), TOGETHER):
+            some = order[i : i + TOGETHER]
+            ids, n = self._merge(data[ranges(begin[some], sizes[some])], sizes[some])
+            starts[some], lens[some] = used + np.cumsum(n) - n, n
+            flat.append(ids)
+            used += len(ids)
+        rest = np.flatnonzero(~plain & (sizes > 0))
+        if len(rest):
+            names = words.take(pa.array(rest)).to_pylist()
+            if len(self.known) > KNOWN:
+                self._forget()
+            if new := [w for w in names if w not in self.known]:
+                self._learn(new)
+            place = np.fromiter((self.known[w] for w in names), np.int64, len(names))
+            starts[rest], lens[rest] = used + self.starts[place], self.lens[place]
+            flat.append(self.flat[: self.used])
+        return np.concatenate(flat) if flat else np.empty(0, np.uint32), starts, lens
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in order, and the number of ids of each text."""
         codes, distinct, counts = coded_words(texts)
-        if len(self.known) > KNOWN:
-            self._forget()
         core, tail = lower_and_tail(distinct)
-        pair = np.column_stack([self._numbers(core), self._numbers(tail)])
+        coded = pa.chunked_array([core, tail]).combine_chunks().dictionary_encode()
+        flat, starts, lens = self._table(coded.dictionary)
+        pair = coded.indices.to_numpy().reshape(2, -1).T
         both = pair[codes].reshape(-1)
-        lens = self.lens[both]
-        ids = self.flat[ranges(self.starts[both], lens)]
-        return ids, segment_sums(segment_sums(lens, np.full(len(codes), 2)), counts)
+        sizes = lens[both]
+        return flat[ranges(starts[both], sizes)], segment_sums(segment_sums(sizes, np.full(len(codes), 2)), counts)
+
+
+def buffers(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Start of each value of a large binary array, and the bytes."""
+    offsets = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words)] if len(words) else np.empty(0, np.int64)
+    return offsets, np.frombuffer(words.buffers()[2] or b"", np.uint8)
+
+
+def plain_words(begin: np.ndarray, sizes: np.ndarray, data: np.ndarray) -> np.ndarray:
+    """Words of ASCII and Latin-1 small letters only: one token group each, in lower case and composed already."""
+    if not len(begin):
+        return np.empty(0, bool)
+    at = ranges(begin, sizes)
+    bytes_ = data[at]
+    lead = bytes_ == 0xC3
+    after = np.concatenate([[False], lead[:-1]])
+    letter = (bytes_ >= 97) & (bytes_ <= 122) & ~after
+    second = after & (bytes_ >= 0xA0) & (bytes_ <= 0xBF) & (bytes_ != 0xB7)
+    good = segment_sums((letter | lead | second).astype(np.int64), sizes) == sizes
+    return good & (sizes > 0)
 
 
 def lower_and_tail(words: pa.Array) -> tuple[pa.Array, pa.Array]:
@@ -158,8 +193,7 @@ def lower_and_tail(words: pa.Array) -> tuple[pa.Array, pa.Array]:
     core = pc.ascii_rtrim(low, characters=TAIL)
     sizes, cut = (pc.binary_length(x).to_numpy(zero_copy_only=False).astype(np.int64) for x in (low, core))
     low = low.cast(pa.large_binary())
-    begin = np.frombuffer(low.buffers()[1], np.int64)[low.offset : low.offset + len(low)]
-    data = np.frombuffer(low.buffers()[2] or b"", np.uint8)
+    begin, data = buffers(low)
     last = data[begin + np.maximum(cut, 1) - 1] if len(low) else np.empty(0, np.uint8)
     apart = (cut > 0) & (cut < sizes) & (last >= 97) & (last <= 122) & ~special.to_numpy(zero_copy_only=False)
     cut = np.where(apart, cut, sizes)

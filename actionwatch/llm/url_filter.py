@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import materialize
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Query parameters that do not name a resource.
 TRACKING = "^(utm_[^=]*|ref|fbclid|gclid)(=|$)"
@@ -76,7 +78,8 @@ def filter_urls(urls: DataFrame, listed: DataFrame, *, id_col: str, url_col: str
     row of ``urls``: id, host, path, rule, verdict, canonical_url, possible (the filter's answer; null under a rule).
     Null and malformed URLs have empty host and path and are allowed. Other columns of ``urls`` are not read.
     """
-    listed = listed.select("url").where(F.col("url").isNotNull()).distinct()
+    # Written once: it is counted, hashed into the filter and joined.
+    listed = materialize(listed.select("url").where(F.col("url").isNotNull()).distinct(), "listed-urls")
     blocks = max(1, -(-listed.count() * bits_per_url // (32 * WORDS)))
     table = bloom_blocks(listed, blocks)
     if blocks <= BROADCAST_BLOCKS:
