@@ -38,7 +38,7 @@ def test_query(spark, db, name):
     assert got == want
 
 
-@pytest.mark.parametrize("name", ["FUN-02", "FUN-15", "LIF-04"])
+@pytest.mark.parametrize("name", ["FUN-02", "FUN-15"])
 def test_runs(spark, name):
     assert __spark_entry__.queries()[name](spark, SF).count() >= 0
 
