@@ -298,3 +298,21 @@ def keep_one(docs: DataFrame, **params) -> DataFrame:
 
 def _row_key(doc_id: Column, text_key: Column) -> Column:
     return F.md5(F.concat_ws("|", F.coalesce(doc_id.cast("string"), F.lit("-")), text_key))
+
+
+#: The same classes and links by comparing all texts that share a shingle.
+ORACLE_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(text, '') AS text, md5(coalesce(text, '')) AS k FROM documents),
+w AS (SELECT k, list_filter(regexp_split_to_array(any_value(text), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS p FROM d GROUP BY k),
+s AS (SELECT k, list_distinct(CASE WHEN len(p) < 5 THEN [array_to_string(p, ' ')] ELSE list_transform(range(1, len(p) - 3),
+  lambda i: p[i] || ' ' || p[i + 1] || ' ' || p[i + 2] || ' ' || p[i + 3] || ' ' || p[i + 4]) END) AS g FROM w WHERE len(p) > 0),
+x AS (SELECT k, len(g) AS n, unnest(g) AS h FROM s),
+pairs AS (SELECT a.k AS a, b.k AS b FROM x a JOIN x b ON a.h = b.h AND a.k < b.k GROUP BY a.k, b.k, a.n, b.n HAVING 5 * count(*) >= 4 * (a.n + b.n - count(*))),
+edges AS (SELECT a, b FROM pairs UNION SELECT b, a FROM pairs),
+reach AS (SELECT k AS node, k AS other FROM w UNION SELECT reach.node, edges.b FROM reach JOIN edges ON reach.other = edges.a),
+least AS (SELECT node, min(doc_id) AS class_id FROM reach JOIN d ON d.k = reach.other GROUP BY node),
+copies AS (SELECT k, count(*) AS n_copies FROM d GROUP BY k),
+degree AS (SELECT a AS k, count(*) AS n_links FROM edges GROUP BY a)
+SELECT doc_id, class_id, coalesce(n_links, 0) AS n_links, n_copies, d.k AS text_key
+FROM d JOIN least ON least.node = d.k JOIN copies ON copies.k = d.k LEFT JOIN degree ON degree.k = d.k
+"""

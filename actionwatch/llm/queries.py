@@ -78,4 +78,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_warc_revisits": warc.ORACLE_SQL, "op10_url_filters": url_filter.ORACLE_SQL}
+    return {"op3_jaccard_join": jaccard.ORACLE_SQL, "op4_warc_revisits": warc.ORACLE_SQL, "op10_url_filters": url_filter.ORACLE_SQL}
