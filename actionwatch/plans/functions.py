@@ -17,7 +17,11 @@ def _(t):
     return t("pages").select("page_id", text.strip_html(F.col("html")).alias("text"))
 
 
-@query("FUN-02")
+@query("FUN-02", """WITH a AS (SELECT page_id, regexp_replace(regexp_replace(html, '(?is)<script\\b.*?</script>', '', 'g'), '(?is)<style\\b.*?</style>', '', 'g') AS h FROM pages),
+b AS (SELECT page_id, coalesce(nullif(regexp_extract(h, '(?is)<article\\b[^>]*>(.*?)</article>', 1), ''), h) AS s FROM a),
+c AS (SELECT page_id, array_to_string(list_filter(list_transform(list_slice(regexp_split_to_array(s, '(?i)<p\\b[^>]*>'), 2, 1000000),
+  lambda x: """ + STRIP.format("split_part(x, '</p>', 1)") + """), lambda x: x <> ''), ' ') AS t FROM b)
+SELECT page_id, CASE WHEN length(t) >= 400 THEN substr(t, 1, 6000) END AS body FROM c""")
 def _(t):
     return t("pages").select("page_id", text.article_body(F.col("html")).alias("body"))
 
@@ -96,9 +100,11 @@ def _(t):
     return d.select("doc_id", text.first_sentences(F.col("text"), 1).alias("lead"))
 
 
-@query("FUN-15")
+@query("FUN-15", with_("raw") + "SELECT row_id, (['none', 'sentences', 'punctuation', 'state', 'long'])[1 + k % 5] AS problem FROM raw")
 def _(t):
-    return fx.items(t).select("item_id", text.blurb_problem(text.first_sentences(F.col("body"), 2), F.lit(None).cast("string")).alias("problem"))
+    blurbs = ["Gov. Lee of Ohio signed. It starts now.", "Ohio acts.", "Ohio acts; more. Then rest.", "They act. Then rest.", "Ohio acts. " + "word " * 31 + "end."]
+    problem = text.blurb_problem(fx.pick(blurbs, F.col("k")), F.lit("Ohio"))
+    return fx.raw(t).select("row_id", F.coalesce(problem, F.lit("none")).alias("problem"))
 
 
 @query("FUN-16", with_("items") + "SELECT item_id, len(list_filter(regexp_split_to_array(title, '\\s+'), lambda x: x <> '')) > 30 AS over FROM items")
