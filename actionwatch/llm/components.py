@@ -8,17 +8,23 @@ from pyspark.sql import functions as F
 from .common import materialize
 
 
+def _written_least(edges: DataFrame) -> DataFrame:
+    """The least neighbour of each node, written apart: the join with it then has an exchange on both sides, and Spark
+    can split a node with very many edges over tasks."""
+    return materialize(edges.groupBy("u").agg(F.min("v").alias("m")), "least")
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     """Link every larger neighbour of a node to the least of the node and its neighbours."""
     both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("m", "u").alias("m"))
+    least = _written_least(both).select("u", F.least("m", "u").alias("m"))
     return both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Link a node and its smaller neighbours to the least of them."""
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
+    least = _written_least(down)
     moved = down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
 
