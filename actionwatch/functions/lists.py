@@ -17,9 +17,14 @@ def valid_scalar(value: Column, choices: list[str], default: str | None) -> Colu
 
 
 def clamp_relevance(value: Column, categories: Column | None = None) -> Column:
-    """1 to 3, else null; null too without a category (FIL-12)."""
+    """1 to 3, else null; null too without a category (FIL-12).
+
+    A fractional number is cut (2.7 counts as 2); a fraction in text is invalid.
+    """
     text = F.trim(value.cast("string"))
-    number = F.when(text.rlike("^[1-3]$"), text.cast("int"))
+    fraction = F.typeof(value).rlike("double|float|decimal")
+    digit = F.when(fraction, F.regexp_extract(text, r"^([1-3])(\.\d+)?$", 1)).otherwise(F.regexp_extract(text, "^([1-3])$", 1))
+    number = F.when(digit != "", digit.cast("int"))
     return number if categories is None else F.when(F.size(categories) > 0, number)
 
 

@@ -23,7 +23,7 @@ def test_title_splits_at_last_dash(spark):
     assert tuple(one(spark, both, t="plain")) == ("plain", "fallback")
 
 
-@pytest.mark.parametrize(("given", "want"), [("2", 2), (" 2 ", 2), ("2.7", None), ("x", None), ("4", None)])
+@pytest.mark.parametrize(("given", "want"), [("2", 2), (" 2 ", 2), ("2.7", None), (2.7, 2), (3, 3), (4.0, None), ("x", None), ("4", None)])
 def test_relevance(spark, given, want):
     assert one(spark, lists.clamp_relevance(F.col("r"), F.col("c")), r=given, c=["digital"]) == want
     assert one(spark, lists.clamp_relevance(F.col("r"), F.col("c")), r=given, c=[]) is None
