@@ -11,9 +11,14 @@ def blank_to_null(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 
 
+def strip(c: Column) -> Column:
+    """Without white space at either end (``trim`` takes spaces only)."""
+    return F.regexp_replace(c, r"^\s+|\s+$", "")
+
+
 def first_filled(*columns: Column) -> Column:
     """The first value that is neither null nor empty (FIL-20)."""
-    return F.coalesce(*(blank_to_null(F.trim(c.cast("string"))) for c in columns))
+    return F.coalesce(*(blank_to_null(strip(c.cast("string"))) for c in columns))
 
 
 def strip_html(html: Column, collapse: bool = True) -> Column:
@@ -61,17 +66,17 @@ def source_kind(url: Column, strict: bool = True) -> Column:
 
 def split_list(text: Column, separator: str = "\n") -> Column:
     """Packed list to array: trimmed, without empty entries (FUN-13)."""
-    return F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), separator), lambda x: F.trim(x)), lambda x: x != "")
+    return F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), separator), lambda x: strip(x)), lambda x: x != "")
 
 
 def first_sentences(text: Column, n: int = 2) -> Column:
     """The first ``n`` sentences (FUN-14)."""
-    parts = F.split(F.trim(F.coalesce(text, F.lit(""))), r"(?<=[.!?])\s+")
-    return F.trim(F.array_join(F.slice(parts, 1, n), " "))
+    parts = F.split(strip(F.coalesce(text, F.lit(""))), r"(?<=[.!?])\s+")
+    return strip(F.array_join(F.slice(parts, 1, n), " "))
 
 
 def word_count(text: Column) -> Column:
-    t = F.trim(F.coalesce(text, F.lit("")))
+    t = strip(F.coalesce(text, F.lit("")))
     return F.when(t == "", 0).otherwise(F.size(F.split(t, r"\s+")))
 
 
@@ -86,7 +91,7 @@ ABBREVIATIONS = r"(?:U\.S|D\.C|Gov|Sen|Rep|Dr|Mr|Mrs|Ms|Jr|Sr|St|No|vs|Inc|Co|Co
 
 def sentences(text: Column) -> Column:
     """Sentences, not cut after common abbreviations."""
-    held = F.regexp_replace(F.trim(F.coalesce(text, F.lit(""))), rf"\b({ABBREVIATIONS})\.(?=\s)", "$1\u0001")
+    held = F.regexp_replace(strip(F.coalesce(text, F.lit(""))), rf"\b({ABBREVIATIONS})\.(?=\s)", "$1\u0001")
     return F.filter(F.split(held, r"(?<=[.!?])\s+"), lambda s: s != "")
 
 

@@ -69,8 +69,15 @@ def ordered_distinct(value: str, order: list[str]) -> Column:
 
 
 def provenance(df: DataFrame, *, key: list[str], order: list[str], url: str = "url", outlet: str = "outlet") -> DataFrame:
-    """Merged sources of a cluster (AGG-09), earliest date (AGG-13) and rows."""
-    return df.groupBy(*key).agg(ordered_distinct(url, order).alias("source_urls"), ordered_distinct(outlet, order).alias("source_outlets"), F.count(F.lit(1)).alias("members"), F.min("date").alias("date"))
+    """Merged sources of a cluster (AGG-09), earliest date (AGG-13) and rows.
+
+    Rows are first summed up by (cluster, URL, outlet), so a cluster's list holds different sources only, however many
+    rows repeat them.
+    """
+    pairs = df.groupBy(*dict.fromkeys([*key, url, outlet])).agg(F.min(F.struct(*order)).alias("o"), F.count(F.lit(1)).alias("n"), F.min("date").alias("date"))
+    lists = pairs.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("o", F.col(url).alias("u"), F.col(outlet).alias("t")))).alias("e"), F.sum("n").alias("members"), F.min("date").alias("date"))
+    values = lambda c: F.array_distinct(F.filter(F.transform("e", lambda e: e[c]), lambda x: F.coalesce(x, F.lit("")) != ""))
+    return lists.select(*key, values("u").alias("source_urls"), values("t").alias("source_outlets"), "members", "date")
 
 
 def highest(value: str, ranks: list[str], default: str) -> Column:

@@ -78,3 +78,9 @@ def test_outlets_and_names(spark):
     assert one(spark, text.outlet_summary(F.col("o"), 2), o=["a", "b", "c"]) == "a, b +1 more"
     assert one(spark, text.name_variants(F.col("n")), n="Ann B. Mae Lee") == ["Ann B. Mae Lee", "Ann Mae Lee", "Ann Lee"]
     assert one(spark, text.slug_title(F.col("t"), F.lit("https://x/big-news_today/")), t="Big...") == "Big news today"
+
+
+def test_white_space_is_stripped(spark):
+    assert one(spark, text.word_count(F.col("t")), t="\n two\twords \n") == 2
+    assert one(spark, text.split_list(F.col("t")), t=" a \n\t\nb\t") == ["a", "b"]
+    assert one(spark, text.first_sentences(F.col("t"), 1), t="\n One. Two.") == "One."
