@@ -63,7 +63,11 @@ def packed_keys(grams: np.ndarray) -> pa.Array:
 
 def unpacked(keys: pa.ChunkedArray | pa.Array) -> np.ndarray:
     """Grams of their bytes."""
-    data = np.frombuffer(b"".join(keys.to_pylist()), np.uint8).reshape(-1, ORDER + 1)
+    keys = keys.combine_chunks() if isinstance(keys, pa.ChunkedArray) else keys
+    if not len(keys):
+        return np.empty(0, np.int64)
+    at = np.frombuffer(keys.buffers()[1], np.int32)[keys.offset : keys.offset + len(keys) + 1]
+    data = np.frombuffer(keys.buffers()[2], np.uint8)[at[0] : at[-1]].reshape(-1, ORDER + 1)
     out = np.zeros(len(data), np.int64)
     for k in range(ORDER + 1):
         out = out << 8 | data[:, k]
@@ -272,7 +276,7 @@ def score_documents(docs: DataFrame, *, block_bytes: int = BLOCK_BYTES, mod: int
     def score(texts_of_block: pa.Table, values: pa.Table) -> pa.Table:
         kinds = values.column("kind").to_numpy()
         is_word = kinds == WORD
-        known_words = pa.array(values.column("key").filter(pa.array(is_word)).to_pylist(), pa.large_binary())
+        known_words = values.column("key").filter(pa.array(is_word)).combine_chunks().cast(pa.large_binary())
         word_values = values.column("value").filter(pa.array(is_word)).to_numpy()
         gram_keys = unpacked(values.column("key").filter(pa.array(~is_word)))
         gram_values = values.column("value").filter(pa.array(~is_word)).to_numpy()
