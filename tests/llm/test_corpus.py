@@ -368,3 +368,35 @@ def test_pipeline_keeps_and_drops(spark, tmp_path):
     for i, r in got.items():
         ids = lib.encode(texts[i], add_special_tokens=False).ids
         assert r.ids == ids and r.decoded_sha256 == hashlib.sha256(lib.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+
+
+def test_op4_equals_brute_force(spark):
+    rnd = random.Random(8)
+    rows = []
+    for i in range(400):
+        full = rnd.random() < 0.3
+        tag = f'"{rnd.randint(0, 2)}"'
+        rows.append((i, f"http://h{rnd.choice('aaab')}.example/", rnd.randint(0, 200), "response" if full else "revisit", 200 if full else 304, {"etag": tag} if rnd.random() < 0.8 else {}, i if full else None))
+    got = {r.record_id: (r.resolution, r.target_id) for r in warc.resolve_revisits(spark.createDataFrame(rows, warc.RECORDS).repartition(5), bucket=10).collect()}
+    for i, url, ts, kind, _, headers, _ in rows:
+        if kind != "revisit":
+            continue
+        before = [r for r in rows if r[3] == "response" and r[1] == url and (r[2], r[0]) < (ts, i)]
+        if not before:
+            assert got[i] == ("orphan", None)
+            continue
+        target = max(before, key=lambda r: (r[2], r[0]))
+        both = headers.get("etag"), target[5].get("etag")
+        want = "unverified" if None in both else "resolved" if both[0] == both[1] else "mismatch"
+        assert got[i] == (want, target[0])
+
+
+def test_op10_large_filter_is_shuffled(spark, monkeypatch):
+    monkeypatch.setattr(url_filter, "BROADCAST_BLOCKS", 0)
+    test_op10_no_false_negative(spark)
+    test_op10_rules_and_filter(spark)
+
+
+def test_op9_many_shards(spark, monkeypatch):
+    monkeypatch.setattr(decontam, "SHARD_POSTINGS", 60)
+    test_op9_finds_whole_items_only(spark, spark.createDataFrame([], "doc_id long, text string"))
