@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -16,17 +17,18 @@ from pyspark.sql import functions as F
 PIECE_BYTES = 2 << 20
 
 
+@lru_cache(maxsize=1)
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="spark-")
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for written intermediate tables.
 
     The cluster names it in ``spark.checkpoint.dir``; a temporary folder is used only where that is unset
     (one machine, as in tests).
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path.rstrip("/")
+    return (spark.conf.get("spark.checkpoint.dir", None) or _own_folder()).rstrip("/")
 
 
 def scratch(spark: SparkSession, name: str) -> str:
