@@ -266,7 +266,8 @@ def similar_documents(docs: DataFrame, *, threshold: float = THRESHOLD, toleranc
 
     # The keys grow with the input: never broadcast.
     needed = left.select("key").distinct().hint("merge")
-    texts = rows.select("key", "text").join(needed, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
+    # One text a class, chosen before the shuffle: a class of very many copies does not meet in one task.
+    texts = rows.groupBy("key").agg(F.first("text").alias("text")).join(needed, "key", "left_semi")
     dealt = left.join(texts, "key").select("bucket", "i", "j", "key", "partners", "text").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
     links = materialize(dealt.mapInArrow(_verify(threshold), "key binary, links long, root binary"), "links")
 
