@@ -31,6 +31,8 @@ LOOKS, TOLERANCE = (32, 64, 128, HASHES), 1e-6
 #: Classes of a block.
 BLOCK = 256
 _P = np.uint64(0x100000001B3)
+#: Factors and summands of the orders: independent for each, as bands and posterior assume.
+_A, _B = mix64(np.arange(2 * HASHES, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(0x5851F42D4C957F2D)).reshape(2, HASHES) | np.array([[1], [0]], np.uint64)
 
 
 def shingle_hashes(texts: list[bytes], n: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -57,18 +59,19 @@ def shingle_hashes(texts: list[bytes], n: int = SHINGLE) -> tuple[np.ndarray, np
 def signatures(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """A row of ``HASHES`` bytes for each text with a shingle (``sizes`` > 0).
 
-    The k-th order of shingles sorts by first half + k * second half of their hash, modulo 2 ** 32.
+    The k-th order of shingles sorts by their hash * a[k] + b[k], modulo 2 ** 64, with fixed random a[k] (odd) and b[k].
     """
     sizes = sizes[sizes > 0]
     out = np.empty((len(sizes), HASHES), np.uint8)
     if not len(sizes):
         return out
     first = starts_of(sizes)[:-1]
-    value, step = (hashes >> np.uint64(32)).astype(np.uint32), (hashes & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+    value = np.empty_like(hashes)
     for k in range(HASHES):
-        value += step
+        np.multiply(hashes, _A[k], out=value)
+        value += _B[k]
         least = np.minimum.reduceat(value, first)
-        out[:, k] = (least * np.uint32(0x9E3779B1)) >> np.uint32(24)
+        out[:, k] = mix64(least) >> np.uint64(56)
     return out
 
 

@@ -156,6 +156,21 @@ def test_op3_posterior_table():
     assert all(0 < n < look for n, look in zip(need, jaccard.LOOKS, strict=True)) and need == sorted(need)
 
 
+@pytest.mark.parametrize("size", [5, 10, 25])
+def test_op3_loses_no_pairs_at_the_threshold(size):
+    """Pairs of exactly 0.8 (a set, and four fifths of it) that meet in no band or are dropped by the posterior."""
+    hashes, lost, pairs, part = np.random.default_rng(size), 0, 102_400, 12_800
+    for _ in range(pairs // part):
+        a = hashes.integers(0, 2**64, (part, size), np.uint64)
+        x, y = (jaccard.signatures(h.ravel(), np.full(part, h.shape[1])) for h in (a, np.ascontiguousarray(a[:, : size * 4 // 5])))
+        equal = x == y
+        good = equal.reshape(part, jaccard.BANDS, jaccard.ROWS).all(2).any(1)
+        for look, least in zip(jaccard.LOOKS, jaccard.fewest_matches(), strict=True):
+            good &= equal[:, :look].sum(1) >= least
+        lost += int((~good).sum())
+    assert lost <= 6  # 5e-6 for the bands and what the posterior adds: one pair or two
+
+
 def test_components_of_a_chain(spark):
     edges = spark.range(60).select(F.col("id").alias("u"), (F.col("id") + 1).alias("v"))
     got = dict(components.connected_components(edges).collect())
