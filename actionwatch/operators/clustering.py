@@ -1,20 +1,25 @@
 """Clustering reports of a group into events (LIF-04).
 
-Texts become sets of word runs. MinHash bands propose pairs inside a group; pairs are verified exactly; verified
-links are joined into components by label rounds written to the shared folder. A bucket of a few rows proposes all
-its pairs. A larger one links its rows to its least row and, after the verified rows have left, again to the least of
-those that are left, so it makes n pair rows a round instead of n squared; rows of such a bucket meet again in other
-bands.
+Texts become sets of word runs; equal texts of a group go on as one. MinHash bands give buckets, and all pairs of a
+bucket are compared, whatever its size: buckets are split into blocks, and blocks meet in pairs, so no task holds more
+than two blocks and no pair rows are made. A task compares signatures in arrays, then verifies the pairs that are left
+exactly, and gives for each text the least one it is connected with there. Components of these few links are joined by
+label rounds written to the shared folder.
 """
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 from functools import lru_cache
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 @lru_cache(maxsize=1)
@@ -34,57 +39,225 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def shingles(df: DataFrame, *, group: str, row: str, text: str, words: int = 3) -> DataFrame:
-    """(group, row, set): distinct hashes of word runs of the text in lower case; short texts are one run."""
-    parts = F.filter(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"\s+"), lambda w: w != "")
-    runs = F.when(F.size("parts") <= words, F.array(F.array_join("parts", " "))).otherwise(F.transform(F.sequence(F.lit(1), F.size("parts") - (words - 1)), lambda i: F.array_join(F.slice("parts", i, words), " ")))
-    sets = df.select(group, row, parts.alias("parts")).where(F.size("parts") > 0)
-    return sets.select(group, row, F.array_distinct(F.transform(runs, lambda r: F.xxhash64(r))).alias("set"))
+def keyed_texts(df: DataFrame, *, group: str, row: str, text: str) -> DataFrame:
+    """(group, row, key, words): equal words of a group share the key. Rows without a group, an id or a word are left out."""
+    words = F.filter(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"\s+"), lambda w: w != "")
+    rows = df.where(F.col(group).isNotNull() & F.col(row).isNotNull()).select(group, row, F.array_join(words, " ").alias("words")).where("words <> ''")
+    return rows.withColumn("key", F.unhex(F.md5(F.concat(F.md5(F.col(group).cast("string")), "words"))))
 
 
-def candidate_buckets(sets: DataFrame, *, group: str, row: str, bands: int, per_band: int) -> DataFrame:
-    """(group, bucket, row) for each band of the MinHash signature, computed by one explode and mins."""
+def shingles(texts: DataFrame, *, group: str, words: int = 3) -> DataFrame:
+    """The texts with ``set`` for ``words``: distinct hashes of the group and word runs; short texts are one run."""
+    runs = F.when(F.size("parts") <= words, F.array("words")).otherwise(F.transform(F.sequence(F.lit(1), F.size("parts") - (words - 1)), lambda i: F.array_join(F.slice("parts", i, words), " ")))
+    sets = F.array_distinct(F.transform(runs, lambda r: F.xxhash64(group, r)))
+    return texts.withColumn("parts", F.split("words", " ")).withColumn("set", sets).drop("words", "parts")
+
+
+def _mix(x: np.ndarray) -> np.ndarray:
+    """The splitmix64 finalizer on unsigned 64-bit values."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def signatures(values: np.ndarray, sizes: np.ndarray, hashes: int) -> np.ndarray:
+    """A row of ``hashes`` MinHash bytes for each set, of independent orders. Sets are not empty."""
+    factors, summands = _mix(np.arange(1, 2 * hashes + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).reshape(2, hashes)
+    factors |= np.uint64(1)
+    out = np.empty((len(sizes), hashes), np.uint8)
+    ends = np.cumsum(sizes)
+    at = 0
+    while at < len(sizes):  # pieces that stay in a core's cache
+        base = int(ends[at - 1]) if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, base + 50_000, side="right")))
+        part, first = values[base : int(ends[to - 1])], ends[at:to] - sizes[at:to] - base
+        order = np.empty_like(part)
+        for k in range(hashes):
+            np.multiply(part, factors[k], out=order)
+            order += summands[k]
+            out[at:to, k] = _mix(np.minimum.reduceat(order, first)) >> np.uint64(56)
+        at = to
+    return out
+
+
+def fewest_matches(n: int, threshold: float, lost: float = 1e-9) -> int:
+    """The equal bytes of ``n`` that a pair at the threshold has but with a probability of ``lost``."""
+    below = 0.0
+    for m in range(n + 1):
+        below += math.comb(n, m) * threshold**m * (1 - threshold) ** (n - m)
+        if below > lost:
+            return m
+    return n
+
+
+def _numbers(lists) -> tuple[np.ndarray, np.ndarray]:
+    """Values of all lists, and each one's length."""
+    return lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64), pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _sketch(hashes: int):
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                found = signatures(*_numbers(batch.column(3)), hashes)
+                yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array([x.tobytes() for x in found], pa.binary())], [*batch.schema.names[:3], "sig"])
+
+    return run
+
+
+def _bands(bands: int, per_band: int):
+    """A bucket number for each band: a hash of the band and its bytes."""
+
+    def run(batches):
+        for batch in batches:
+            n = batch.num_rows
+            sig = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(n, bands, per_band)
+            bucket = np.broadcast_to(np.arange(1, bands + 1, dtype=np.uint64), (n, bands))
+            for k in range(per_band):
+                bucket = _mix(bucket * np.uint64(0x100000001B3) + sig[:, :, k])
+            yield pa.RecordBatch.from_arrays([pa.array(bucket.ravel().view(np.int64)), pa.array(np.tile(np.arange(bands, dtype=np.int32), n)), batch.column(0).take(pa.array(np.repeat(np.arange(n), bands)))], ["bucket", "band", "key"])
+
+    return run
+
+
+def _groups(batches):
+    """Tables of one (bucket, i, j) each from rows sorted by these first columns."""
+    held = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        ids = np.stack([batch.column(c).to_numpy() for c in range(3)], 1)
+        edges = [0, *(np.flatnonzero((ids[1:] != ids[:-1]).any(1)) + 1).tolist(), len(ids)]
+        for s, e in zip(edges, edges[1:], strict=False):
+            if held and (s or held[-1][0] != tuple(ids[0])):
+                yield pa.Table.from_batches([b for _, b in held]).combine_chunks()
+                held = []
+            held.append((tuple(ids[s]), batch.slice(s, e - s)))
+    if held:
+        yield pa.Table.from_batches([b for _, b in held]).combine_chunks()
+
+
+def _prune(bands: int, per_band: int, threshold: float):
+    """Compare the signatures of each group's pairs; give every text that is left its partners."""
     hashes = bands * per_band
-    each = sets.select(group, row, F.explode("set").alias("h"))
-    signature = each.groupBy(group, row).agg(*(F.min(F.xxhash64("h", F.lit(i))).alias(f"m{i}") for i in range(hashes)))
-    keys = F.array(*(F.xxhash64(F.lit(b), *(F.col(f"m{b * per_band + i}") for i in range(per_band))) for b in range(bands)))
-    return signature.select(group, row, F.explode(keys).alias("bucket"))
+    looks = [n for n in (32, 64, 128) if n < hashes] + [hashes]
+
+    def run(batches):
+        need = [fewest_matches(n, threshold) for n in looks]
+        out, held = [[], [], [], [], []], 0
+        for table in _groups(batches):
+            bucket, i, j, band = (table.column(c)[0].as_py() for c in range(4))
+            block = table.column(4).to_numpy()
+            sig = np.frombuffer(b"".join(table.column(6).to_pylist()), np.uint8).reshape(-1, hashes)
+            keys = table.column(5).to_pylist()
+            left, right = (np.flatnonzero(block == x) for x in (i, j))
+            if len(left) > 1 and i == j or i != j and len(left) and len(right):
+                pairs: dict[int, list] = {}
+                for x in left.tolist():
+                    b = right[right > x] if i == j else right
+                    matches, done = np.zeros(len(b), np.int64), 0
+                    for look, least in zip(looks, need, strict=True):
+                        matches += (sig[b, done:look] == sig[x, done:look]).sum(1)
+                        done = look
+                        good = matches >= least
+                        b, matches = b[good], matches[good]
+                    if len(b):
+                        # The first band in which a pair meets handles it.
+                        equal = (sig[b] == sig[x]).reshape(len(b), bands, per_band).all(2)
+                        b = b[equal.argmax(1) == band]
+                    if len(b):
+                        pairs[x] = b.tolist()
+                for x in {*pairs, *(y for b in pairs.values() for y in b)}:
+                    partners = [keys[y] for y in pairs[x]] if x in pairs else None
+                    for column, value in zip(out, (bucket, i, j, keys[x], partners), strict=True):
+                        column.append(value)
+                    held += len(partners or ())
+                if held > 200_000:
+                    yield _left(out)
+                    out, held = [[], [], [], [], []], 0
+        if out[0]:
+            yield _left(out)
+
+    return run
+
+
+def _left(out: list[list]) -> pa.RecordBatch:
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.list_(pa.binary())]
+    return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds, strict=True)], ["bucket", "i", "j", "key", "partners"])
+
 
+def _verify(threshold: float):
+    """Exact similarities of each group's pairs: the least text that each one is connected with there."""
 
-def cluster(df: DataFrame, *, group: str, row: str, text: str, threshold: float = 0.7, words: int = 3, bands: int = 16, per_band: int = 4, small: int = 32, max_rounds: int = 30) -> DataFrame:
+    def run(batches):
+        for table in _groups(batches):
+            keys, lists = table.column(3).to_pylist(), table.column(5).combine_chunks()
+            values, sizes = _numbers(lists)
+            ends = np.cumsum(sizes)
+            _, codes = np.unique(values, return_inverse=True)
+            mark = np.zeros(len(values) and int(codes.max()) + 1, bool)
+            place = {k: x for x, k in enumerate(keys)}
+            root = list(range(len(keys)))
+
+            def find(x, root=root):
+                while root[x] != x:
+                    root[x] = root[root[x]]
+                    x = root[x]
+                return x
+
+            for a, partners in enumerate(table.column(4).to_pylist()):
+                mine = codes[ends[a] - sizes[a] : ends[a]]
+                mark[mine] = True
+                for b in (place[p] for p in partners or ()):
+                    p, q = find(a), find(b)
+                    if p == q:
+                        continue  # connected already
+                    common = int(np.count_nonzero(mark[codes[ends[b] - sizes[b] : ends[b]]]))
+                    if common >= threshold * (sizes[a] + sizes[b] - common) - 1e-9:
+                        low, high = (p, q) if keys[p] < keys[q] else (q, p)
+                        root[high] = low
+                mark[mine] = False
+            linked = [(keys[x], keys[find(x)]) for x in range(len(keys)) if find(x) != x]
+            if linked:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*linked, strict=True)], ["u", "v"])
+
+    return run
+
+
+def cluster(df: DataFrame, *, group: str, row: str, text: str, threshold: float = 0.7, words: int = 3, bands: int = 64, per_band: int = 4, block: int = 256) -> DataFrame:
     """(group, row, cluster): the cluster is the least row connected with it by similarities of ``threshold`` or more.
 
-    Rows without a word are clusters of their own.
+    A pair at 0.7 meets in none of 64 bands of 4 with a probability of 2e-8; what is linked is exact. Rows without a
+    word are clusters of their own.
     """
-    sets = written(shingles(df, group=group, row=row, text=text, words=words), "sets")
-    open_ = written(candidate_buckets(sets, group=group, row=row, bands=bands, per_band=per_band), "buckets")
-    a, b = sets.select(group, F.col(row).alias("least"), F.col("set").alias("a")), sets.select(group, row, F.col("set").alias("b"))
-    both = F.size(F.array_intersect("a", "b"))
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        near = pairs.select(group, "least", row).distinct().join(a, [group, "least"]).join(b, [group, row])
-        near = near.where(both >= threshold * (F.size("a") + F.size("b") - both)).select(group, "least", row)
-        return written(near, "links")
-
-    sizes = open_.groupBy(group, "bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    counted = open_.join(sizes, [group, "bucket"])
-    few = counted.where(F.col("n") <= small).select(group, "bucket", row)
-    links = verified(few.join(few.withColumnRenamed(row, "least"), [group, "bucket"]).where(F.col("least") < F.col(row)))
-    open_ = counted.where(F.col("n") > small).select(group, "bucket", row)
-    for _ in range(max_rounds):
-        least = open_.groupBy(group, "bucket").agg(F.min(row).alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
-        pairs = written(open_.join(least, [group, "bucket"]).where(F.col(row) != F.col("least")).select(group, "bucket", row, "least"), "pairs")
-        if pairs.isEmpty():
-            break
-        near = verified(pairs)
-        links = links.unionByName(near)
-        open_ = written(pairs.join(near, [group, "least", row], "left_anti").select(group, "bucket", row), "buckets")
-    else:
-        raise RuntimeError(f"buckets left after {max_rounds} rounds")
-    parents = components(links.select(F.struct(group, row).alias("u"), F.struct(F.col(group), F.col("least").alias(row)).alias("v")))
-    own = F.struct(group, row)
-    rows = df.select(group, row, own.alias("node")).join(parents, "node", "left")
-    return rows.select(group, row, F.coalesce(F.col(f"component.{row}"), F.col(row)).alias("cluster"))
+    rows = keyed_texts(df, group=group, row=row, text=text)
+    signed = T.StructType([df.schema[group], df.schema[row], T.StructField("key", T.BinaryType()), T.StructField("sig", T.BinaryType())])
+    members = written(shingles(rows.select(group, row, "key", "words"), group=group, words=words).mapInArrow(_sketch(bands * per_band), signed), "members")
+    sketches = written(members.groupBy("key").agg(F.first("sig").alias("sig")), "sketches")
+
+    banded = sketches.mapInArrow(_bands(bands, per_band), "bucket long, band int, key binary")
+    sizes = banded.groupBy("bucket", "band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    blocks = F.ceil(F.col("n") / block).cast("int")
+    mine = F.pmod(F.xxhash64("key", "bucket"), blocks.cast("long")).cast("int")
+    placed = banded.join(sizes, ["bucket", "band"]).select("bucket", "band", "key", blocks.alias("blocks"), mine.alias("block"))
+    placed = placed.select("bucket", "band", "key", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("with"))
+    met = placed.select("bucket", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "band", "block", "key").join(sketches, "key")
+    met = met.select("bucket", "i", "j", "band", "block", "key", "sig").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    left = written(met.mapInArrow(_prune(bands, per_band, threshold), "bucket long, i int, j int, key binary, partners array<binary>"), "candidates")
+    # The keys grow with the input: never broadcast.
+    needed = left.select("key").distinct().hint("merge")
+    texts = rows.groupBy("key").agg(F.first(group).alias(group), F.first("words").alias("words")).join(needed, "key", "left_semi")
+    dealt = left.join(shingles(texts, group=group, words=words), "key").select("bucket", "i", "j", "key", "partners", "set").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    links = written(dealt.mapInArrow(_verify(threshold), "u binary, v binary"), "links")
+
+    parents = components(links)
+    least = members.groupBy("key").agg(F.min(row).alias("least")).join(parents.withColumnRenamed("node", "key"), "key", "left")
+    classes = written(least.withColumn("component", F.coalesce("component", "key")), "classes")
+    named = classes.groupBy("component").agg(F.min("least").alias("cluster"))
+    per_key = classes.join(named, "component").select("key", "cluster")
+    clustered = members.join(per_key, "key").select(group, row, "cluster")
+    others = df.where(F.col(group).isNull() | F.col(row).isNull() | ~F.coalesce(F.col(text), F.lit("")).rlike(r"\S"))
+    return clustered.unionByName(others.select(group, row, F.col(row).alias("cluster")))
 
 
 def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:

@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 from pyspark.sql import functions as F
 
@@ -114,6 +115,28 @@ def test_cluster_finds_near_copies(spark):
     assert got == {1: 1, 2: 1, 3: 3, 4: 4, 5: 5, 6: 6, 7: 1}
 
 
+def clustered_as_brute_force(spark, texts):
+    sets = [{tuple(w[i : i + 3]) for i in range(len(w) - 2)} for w in map(str.split, texts)]
+    want = list(range(len(texts)))
+    for b in range(len(texts)):
+        for a in range(b):
+            common = len(sets[a] & sets[b])
+            if 10 * common >= 7 * (len(sets[a]) + len(sets[b]) - common) and want[a] != want[b]:
+                low, high = sorted((want[a], want[b]))
+                want = [low if x == high else x for x in want]
+    df = spark.createDataFrame([("g", i, t) for i, t in enumerate(texts)], "grp string, id long, text string")
+    got = {r.id: r.cluster for r in cluster(df, group="grp", row="id", text="text").collect()}
+    return got == dict(enumerate(want))
+
+
+def test_cluster_compares_all_of_a_large_group(spark):
+    """400 variants of one passage, around the threshold: their buckets hold far over 32 rows."""
+    rnd = random.Random(5)
+    base = [f"w{i}" for i in range(150)]
+    texts = [" ".join(f"x{rnd.random()}" if rnd.random() < 0.055 else w for w in base) for _ in range(400)]
+    assert clustered_as_brute_force(spark, texts)
+
+
 def test_components_of_a_chain(spark):
     edges = spark.range(40).select(F.col("id").alias("u"), (F.col("id") + 1).alias("v"))
     assert {r.component for r in components(edges).collect()} == {0}
