@@ -137,6 +137,12 @@ def test_cluster_compares_all_of_a_large_group(spark):
     assert clustered_as_brute_force(spark, texts)
 
 
+def test_cluster_of_many_dissimilar_texts_with_one_passage(spark):
+    """Two thirds of each text are one passage: buckets of far over 32 texts, none of them near another."""
+    passage = " ".join(f"w{i}" for i in range(120))
+    assert clustered_as_brute_force(spark, [passage + "".join(f" x{n}-{i}" for i in range(60)) for n in range(300)])
+
+
 def test_components_of_a_chain(spark):
     edges = spark.range(40).select(F.col("id").alias("u"), (F.col("id") + 1).alias("v"))
     assert {r.component for r in components(edges).collect()} == {0}
