@@ -12,6 +12,11 @@ def top_per_group(df: DataFrame, *, group: list[str], order: list[Column], cap:
     return df.withColumn(rank, F.row_number().over(w)).where(F.col(rank) <= cap)
 
 
+def placed_in_group(df: DataFrame, *, group: list[str], order: list[Column], rank: str = "rank") -> DataFrame:
+    """Every row with its place in its group, whatever the group's size."""
+    return df.withColumn(rank, F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
+
+
 def top_per_category(df: DataFrame, *, choices: list[str], cap: int = 4) -> DataFrame:
     """The best of each primary category: relevance 3, then 2; most sources; newest (WIN-01)."""
     from ..functions.lists import primary

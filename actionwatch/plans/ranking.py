@@ -112,7 +112,7 @@ STATUS_ORDER = ["incumbent", "nominee", "running", "declared"]
 SELECT candidate, state, CAST(row_number() OVER (PARTITION BY state ORDER BY status_rank, party, candidate) AS INTEGER) AS place FROM r""")
 def _(t):
     ranked = fx.roster(t).withColumn("status_rank", op.place_in("status", STATUS_ORDER))
-    return op.top_per_group(ranked, group=["state"], order=[F.asc("status_rank"), F.asc("party"), F.asc("candidate")], cap=1_000_000, rank="place").select("candidate", "state", "place")
+    return op.placed_in_group(ranked, group=["state"], order=[F.asc("status_rank"), F.asc("party"), F.asc("candidate")], rank="place").select("candidate", "state", "place")
 
 
 @query("WIN-16", """SELECT p_partkey AS id, v FROM (SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN p_brand ELSE CAST(p_size AS VARCHAR) END AS v FROM part)

@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from actionwatch.operators import aggregates, filters, joins, lifecycle, ranking
 from actionwatch.operators.clustering import cluster, components
+from actionwatch.plans import ranking as plans
+from actionwatch.plans.registry import QUERIES
 from actionwatch.sources import tables
 
 
@@ -86,6 +88,14 @@ def test_page_clamps(spark):
     assert ranking.page_links(5, 9) == [1, None, 4, 5, 6, None, 9]
 
 
+def test_places_have_no_cap(spark, monkeypatch):
+    n = 1_000_002
+    roster = spark.range(n).select(F.lit("S1").alias("state"), F.col("id").alias("candidate"), F.lit("D").alias("party"), F.lit("running").alias("status"))
+    monkeypatch.setattr(plans.fx, "roster", lambda t: roster)
+    got = QUERIES["WIN-15"](None).agg(F.count("place"), F.max("place")).first()
+    assert tuple(got) == (n, n)
+
+
 def test_facets_without_choice(spark):
     df = spark.sql("select * from values (1, array('a')), (2, cast(array() as array<string>)) as t(id, competency)")
     assert rows(filters.facets(df, categories=[], empty_shows_all=True).select("id")) == [(1,)]
