@@ -253,6 +253,11 @@ def similar_documents(docs: DataFrame, *, threshold: float = THRESHOLD, toleranc
     shingle; texts without a word link with nothing and are only copies of equal texts (null counts as empty). A null
     doc_id is never the least unless a class has no other. Other columns are not read.
     """
+    return _classes(docs, threshold, tolerance, block).drop("component")
+
+
+def _classes(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE, block: int = BLOCK) -> DataFrame:
+    """``similar_documents`` with the class's own key, ``component``."""
     rows = docs.select("doc_id", F.unhex(F.md5(text_of())).alias("key"), text_of().alias("text"))
     sketches = rows.select("key", "text").mapInArrow(_sketch, "key binary, sig binary")
     sketches = materialize(sketches.groupBy("key").agg(F.first("sig").alias("sig")), "sketches")
@@ -281,8 +286,8 @@ def similar_documents(docs: DataFrame, *, threshold: float = THRESHOLD, toleranc
     copies = ids.groupBy("key").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n_copies"))
     classes = materialize(copies.join(linked, "key", "left").withColumn("component", F.coalesce("component", "key")), "classes")
     named = classes.groupBy("component").agg(F.min("least").alias("class_id"))
-    per_key = classes.join(named, "component").select("key", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), "n_copies")
-    return ids.join(per_key, "key").select("doc_id", "class_id", "n_links", "n_copies", F.lower(F.hex("key")).alias("text_key"))
+    per_key = classes.join(named, "component").select("key", "component", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), "n_copies")
+    return ids.join(per_key, "key").select("doc_id", "class_id", "n_links", "n_copies", F.lower(F.hex("key")).alias("text_key"), "component")
 
 
 def keep_one(docs: DataFrame, **params) -> DataFrame:
@@ -290,12 +295,11 @@ def keep_one(docs: DataFrame, **params) -> DataFrame:
 
     Of repeated rows with that id one stays. Documents with a null id are their class's choice only where no other is.
     """
-    found = similar_documents(docs, **params)
-    # A class of null ids only is one of equal or linked texts without an id: its least text key.
-    alone = F.when(F.col("class_id").isNull(), F.col("text_key"))
-    other = F.coalesce(F.col("doc_id") != F.col("class_id"), F.lit(True))
-    chosen = found.groupBy("class_id", alone.alias("alone")).agg(F.min_by("text_key", F.struct(other, F.col("text_key"))).alias("text_key"))
-    kept = chosen.select(_row_key(F.col("class_id"), F.col("text_key")).alias("aw_row_key"))
+    found = _classes(docs, **params)
+    # By the component: different classes may have the same least id.
+    place = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("text_key"))
+    chosen = found.groupBy("component").agg(F.min_by(F.struct("doc_id", "text_key"), place).alias("row")).select("row.*")
+    kept = chosen.select(_row_key(F.col("doc_id"), F.col("text_key")).alias("aw_row_key"))
     rows = docs.withColumn("aw_row_key", _row_key(F.col("doc_id"), F.md5(text_of())))
     return rows.join(kept, "aw_row_key", "left_semi").dropDuplicates(["aw_row_key"]).drop("aw_row_key")
 

@@ -151,6 +151,11 @@ def test_op3_empty_and_null_ids(spark, none):
     assert sorted(map(tuple, jaccard.keep_one(df).collect()), key=str) == [(4, "a b"), (None, "c")]
 
 
+def test_op3_classes_with_the_same_least_id(spark):
+    df = spark.createDataFrame([(1, "a b"), (1, "c d"), (2, "a b"), (3, "c d")], "doc_id long, text string")
+    assert sorted(map(tuple, jaccard.keep_one(df).collect())) == [(1, "a b"), (1, "c d")]
+
+
 def test_op3_posterior_table():
     need = jaccard.fewest_matches()
     assert all(0 < n < look for n, look in zip(need, jaccard.LOOKS, strict=True)) and need == sorted(need)
