@@ -2,10 +2,15 @@
 
 The index maps terms to items with BM25 impacts, divided by the item's score against itself, so one threshold fits
 items of any length: a passage that holds a whole item scores 1. Every text is asked whole, as overlapping passages.
-Block-max WAND runs over a batch of passages at once: items stand in small blocks with the largest impact of each
-term; what a passage's rare terms can reach in a block, plus all that the block's frequent terms could ever add, is
-an upper bound, and only blocks whose bound meets the threshold are scored item by item. Found items are then
-verified: enough of the question's and of the answer's word runs must stand in the passage.
+Block-max WAND runs over a batch of passages at once. A passage's terms are put in ascending order of their upper
+bounds; the pivot is the first with which the running sum meets the threshold. An item that reaches the threshold
+holds a term from the pivot on, so only blocks of items in the lists of those terms are looked at. The block maxima of
+these, plus the bounds of the terms before the pivot, must meet the threshold; then the block maxima of all terms; and
+only then is a block scored item by item. Found items are verified: enough of the question's and of the answer's word
+runs must stand in the passage.
+
+An index of at most ``SHARD_POSTINGS`` postings is sent to every executor and asked in one pass. A larger one is cut
+into shards of about that size; each is sent, asked by all texts and taken back before the next is built.
 """
 
 from __future__ import annotations
@@ -19,16 +24,18 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_texts, pieces, ranges, starts_of, text_of
+from .common import byte_texts, materialize, pieces, ranges, starts_of, text_of
 
 #: BM25 parameters, items a block, and the share of an item's own score that a passage must reach.
 K1, B, BLOCK, THRESHOLD = 1.2, 0.75, 8, 0.5
-#: Terms in more than this share of the items count as frequent.
-FREQUENT = 0.05
 #: Shares of the question's and answer's word runs that must stand in the passage.
 QUESTION, ANSWER = 0.6, 0.5
 #: An index shard has about so many postings; more items make more shards, each asked by all passages.
-SHARD_POSTINGS = 2_000_000
+SHARD_POSTINGS = 1_000_000
+#: Candidates (passage and block, or passage, block and term) handled at once; one passage alone may have more.
+SLICE = 1 << 20
+#: Items whose word runs a worker keeps.
+PARTS = 20_000
 #: Passages of at least so many new words; longer where items are longer.
 STRIDE = 64
 #: ASCII letters in lower case, ASCII punctuation as space.
@@ -65,96 +72,129 @@ def runs(words: list[bytes], n: int) -> set[tuple[bytes, ...]]:
 class Shard:
     """Part of the items, ready to be asked: arrays only."""
 
-    item_ids: np.ndarray
+    item_ids: list
     texts: list[str]
     vocabulary: list[bytes]
-    starts: np.ndarray  # postings of each term
-    items: np.ndarray
+    upper: np.ndarray  # largest impact of each term
+    posts: np.ndarray  # term * items + item, ascending
     impacts: np.ndarray
-    block_starts: np.ndarray  # block maxima of each rare term
-    blocks: np.ndarray
+    block_posts: np.ndarray  # term * blocks + block, ascending
     maxima: np.ndarray
-    frequent: np.ndarray
-    rest: np.ndarray  # most that the frequent terms can add, by block
     stride: int
 
+    @property
+    def blocks(self) -> int:
+        return len(self.texts) // BLOCK + 1
 
-def index_postings(items: DataFrame) -> DataFrame:
-    """(item_id, text, words, postings array<struct<term, df, impact>>): impacts over the item's own score."""
-    clean = items.where("item_id is not null").groupBy("item_id").agg(F.min(text_of()).alias("text"))
+
+def index_of(items: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Entries (entry, item_id, text) and postings (entry, term, impact) of the index, both written.
+
+    Each different pair of id and text is an entry of its own. Impacts are over the entry's own score.
+    """
+    rows = items.select("item_id", text_of().alias("text")).distinct()
+    key = F.md5(F.concat_ws("|", F.coalesce(F.col("item_id").cast("string"), F.lit("-")), "text"))
+    rows = materialize(rows.select(key.alias("entry"), "item_id", "text"), "index-entries")
     # As ``terms_of``: ASCII only.
     lowered = F.translate(F.col("text"), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     words = F.filter(F.split(lowered, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"), lambda w: w != "")
-    sized = clean.select("item_id", "text", words.alias("words"))
-    shape = sized.agg(F.count_if(F.size("words") > 0).alias("n"), F.avg(F.when(F.size("words") > 0, F.size("words"))).alias("mean")).first()
-    tf = sized.select("item_id", F.size("words").alias("size"), F.explode("words").alias("term")).groupBy("item_id", "size", "term").count()
+    sized = rows.select("entry", words.alias("words")).where(F.size("words") > 0)
+    shape = sized.agg(F.count(F.lit(1)).alias("n"), F.avg(F.size("words")).alias("mean")).first()
+    tf = sized.select("entry", F.size("words").alias("size"), F.explode("words").alias("term")).groupBy("entry", "size", "term").count()
     df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     idf = F.log1p((F.lit(float(shape["n"])) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     impact = idf * F.col("count") * (K1 + 1) / (F.col("count") + K1 * (1 - B + B * F.col("size") / F.lit(float(shape["mean"] or 1))))
-    scored = tf.join(df, "term").select("item_id", "term", "df", impact.alias("impact"))
-    own = scored.groupBy("item_id").agg(F.sum("impact").alias("own"), F.collect_list(F.struct("term", "df", "impact")).alias("postings"))
-    scaled = own.select("item_id", F.transform("postings", lambda p: F.struct(p["term"].alias("term"), p["df"].alias("df"), (p["impact"] / F.col("own")).alias("impact"))).alias("postings"))
-    return clean.join(scaled, "item_id").select("item_id", "text", F.lit(shape["n"]).alias("n"), "postings")
-
-
-def build_shard(rows: list, threshold: float) -> Shard:
-    """Arrays of the given items."""
-    rows = sorted(rows, key=lambda r: r["item_id"])
-    n = len(rows)
-    vocabulary: dict[str, int] = {}
-    term, item, impact, df = [], [], [], {}
-    for i, r in enumerate(rows):
-        for p in r["postings"]:
-            t = vocabulary.setdefault(p["term"], len(vocabulary))
-            term.append(t)
-            item.append(i)
-            impact.append(p["impact"])
-            df[t] = p["df"]
-    term, item, impact = np.array(term, np.int64), np.array(item, np.int64), np.array(impact)
+    scored = materialize(tf.join(df, "term").select("entry", "term", impact.alias("impact")), "impacts")
+    own = scored.groupBy("entry").agg(F.sum("impact").alias("own"))
+    return rows, materialize(scored.join(own, "entry").select("entry", "term", (F.col("impact") / F.col("own")).alias("impact")), "index-postings")
+
+
+def build_shard(entries: pa.Table, postings: pa.Table) -> Shard:
+    """Arrays of the given entries and their postings."""
+    used = pc.is_in(entries.column("entry"), value_set=pc.unique(postings.column("entry")))
+    entries = entries.filter(used).sort_by([("item_id", "ascending"), ("entry", "ascending")])
+    n, blocks = entries.num_rows, entries.num_rows // BLOCK + 1
+    item = pc.index_in(postings.column("entry"), value_set=entries.column("entry").combine_chunks()).to_numpy().astype(np.int64)
+    vocabulary = pc.unique(postings.column("term")).sort()
+    term = pc.index_in(postings.column("term"), value_set=vocabulary).to_numpy().astype(np.int64)
     order = np.lexsort((item, term))
-    term, item, impact = term[order], item[order], impact[order]
-    size = len(vocabulary)
-    frequent = np.array([df[t] for t in range(size)]) > max(1, FREQUENT * rows[0]["n"])
-    key, first = np.unique(term * n + item // BLOCK, return_index=True)
-    maxima = np.maximum.reduceat(impact, first)
-    block_term, blocks = key // n, key % n
-    rest = np.zeros(n // BLOCK + 1)
-    by_item = np.bincount(item, weights=impact * frequent[term], minlength=n)
-    np.maximum.at(rest, np.arange(n) // BLOCK, by_item)
-    rare = ~frequent[block_term]
-    longest = max(len(terms_of(r["text"])) for r in rows)
+    term, item, impact = term[order], item[order], postings.column("impact").to_numpy()[order]
+    block_posts, first = np.unique(term * blocks + item // BLOCK, return_index=True)
+    texts = entries.column("text").to_pylist()
+    longest = max((len(terms_of(t)) for t in texts), default=0)
+    upper = np.maximum.reduceat(impact, np.searchsorted(term, np.arange(len(vocabulary)))) if len(term) else np.zeros(0)
     return Shard(
-        np.array([r["item_id"] for r in rows], np.int64), [r["text"] for r in rows], [v.encode() for v in vocabulary],
-        np.searchsorted(term, np.arange(size + 1)), item, impact,
-        np.searchsorted(block_term[rare], np.arange(size + 1)), blocks[rare], maxima[rare], frequent, rest, max(STRIDE, longest),
+        entries.column("item_id").to_pylist(), texts, [v.encode() for v in vocabulary.to_pylist()], upper, term * n + item, impact,
+        block_posts, np.maximum.reduceat(impact, first) if len(first) else impact, max(STRIDE, longest),
     )
 
 
-def retrieve(shard: Shard, passage: np.ndarray, term: np.ndarray, passages: int, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _slices(sizes: np.ndarray):
+    """Ranges of neighbours whose sizes add up to about ``SLICE`` at the most."""
+    upto, at = np.cumsum(sizes), 0
+    while at < len(sizes):
+        to = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + SLICE, side="right")))
+        yield at, to
+        at = to
+
+
+def retrieve(shard: Shard, passage: np.ndarray, term: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All (passage, item, score) with a score of at least ``threshold``; ``passage`` and ``term``: distinct pairs."""
-    n_blocks, n = len(shard.rest), len(shard.item_ids)
-    # Bounds of (passage, block) from the rare terms' block maxima.
-    counts = (shard.block_starts[1:] - shard.block_starts[:-1])[term]
-    at = ranges(shard.block_starts[:-1][term], counts)
-    key, where = np.unique(np.repeat(passage, counts) * n_blocks + shard.blocks[at], return_inverse=True)
-    bound = np.bincount(where, weights=shard.maxima[at], minlength=len(key)) + shard.rest[key % n_blocks]
-    alive = key[bound >= threshold - 1e-9]
-    # Blocks that frequent terms alone could fill are never skipped.
-    if (open_ := np.flatnonzero(shard.rest >= threshold - 1e-9)).size:
-        alive = np.union1d(alive, (np.arange(passages)[:, None] * n_blocks + open_).ravel())
-    if not len(alive):
+    least, found = threshold - 1e-9, []
+    order = np.lexsort((shard.upper[term], passage))
+    passage, term = passage[order], term[order]
+    upper = shard.upper[term]
+    names, begin = np.unique(passage, return_index=True)
+    ends = np.append(begin[1:], len(passage))
+    who = np.repeat(np.arange(len(names)), ends - begin)
+    running = np.cumsum(upper)
+    running -= (running - upper)[begin][who]
+    # From the pivot on; where no term brings the sum to the threshold, no item can have it.
+    beyond = running >= least
+    below = np.bincount(who, weights=upper * ~beyond, minlength=len(names))
+    blocks = shard.blocks
+    lists = np.searchsorted(shard.block_posts, np.stack([term, term + 1]) * blocks)
+    counts = (lists[1] - lists[0]) * beyond
+    for s, e in _slices(np.add.reduceat(counts, begin) if len(begin) else counts):
+        a, b = begin[s], ends[e - 1]
+        at = ranges(lists[0][a:b], counts[a:b])
+        if not len(at):
+            continue
+        key, where = np.unique(np.repeat(who[a:b], counts[a:b]) * blocks + shard.block_posts[at] % blocks, return_inverse=True)
+        rest = below[key // blocks]
+        bound = np.bincount(where, weights=shard.maxima[at], minlength=len(key))
+        key = key[bound + rest >= least]
+        for i, j in _slices((ends - begin)[key // blocks]):
+            found += _score_blocks(shard, key[i:j], begin, ends, term, least)
+    if not found:
         return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
-    # Score the items of those blocks.
-    keep = np.isin(passage, np.unique(alive // n_blocks))
-    passage, term = passage[keep], term[keep]
-    counts = (shard.starts[1:] - shard.starts[:-1])[term]
-    at = ranges(shard.starts[:-1][term], counts)
-    who, item = np.repeat(passage, counts), shard.items[at]
-    live = np.isin(who * n_blocks + item // BLOCK, alive)
-    pair, where = np.unique(who[live] * n + item[live], return_inverse=True)
-    score = np.bincount(where, weights=shard.impacts[at][live], minlength=len(pair))
-    good = score >= threshold - 1e-9
-    return pair[good] // n, pair[good] % n, score[good]
+    pair, score = (np.concatenate(x) for x in zip(*found, strict=True))
+    n = len(shard.texts)
+    return names[pair // n], pair % n, score
+
+
+def _score_blocks(shard: Shard, key: np.ndarray, begin: np.ndarray, ends: np.ndarray, term: np.ndarray, least: float):
+    """Check the block maxima of all terms of each (passage, block), then score the items of the blocks left."""
+    blocks, n = shard.blocks, len(shard.texts)
+
+    def spread(key):
+        size = (ends - begin)[key // blocks]
+        return np.repeat(np.arange(len(key)), size), term[ranges(begin[key // blocks], size)]
+
+    row, terms = spread(key)
+    wanted = terms * blocks + (key % blocks)[row]
+    at = np.minimum(np.searchsorted(shard.block_posts, wanted), max(len(shard.block_posts) - 1, 0))
+    bound = np.bincount(row, weights=np.where(shard.block_posts[at] == wanted, shard.maxima[at], 0), minlength=len(key))
+    key = key[bound >= least]
+    if not len(key):
+        return []
+    row, terms = spread(key)
+    first = (key % blocks)[row] * BLOCK
+    low, high = np.searchsorted(shard.posts, np.stack([terms * n + first, terms * n + np.minimum(first + BLOCK, n)]))
+    at = ranges(low, high - low)
+    pair, where = np.unique(np.repeat((key // blocks)[row], high - low) * n + shard.posts[at] % n, return_inverse=True)
+    score = np.bincount(where, weights=shard.impacts[at], minlength=len(pair))
+    return [(pair[score >= least], score[score >= least])]
 
 
 class Asker:
@@ -163,10 +203,17 @@ class Asker:
     def __init__(self, shard: Shard, threshold: float):
         self.shard, self.threshold = shard, threshold
         self.vocabulary = pa.array(shard.vocabulary, pa.large_binary()).cast(pa.large_string())
-        self.parts = []
-        for text in shard.texts:
-            q, a = question_and_answer(text)
-            self.parts.append((runs(q, 5), runs(a, 2), min(5, len(q)), min(2, len(a))))
+        self.parts: dict[int, tuple] = {}
+
+    def part(self, item: int) -> tuple:
+        """Question runs, answer runs and their lengths of an item."""
+        known = self.parts.get(item)
+        if known is None:
+            if len(self.parts) >= PARTS:
+                self.parts.clear()
+            q, a = question_and_answer(self.shard.texts[item])
+            known = self.parts[item] = (runs(q, 5), runs(a, 2), min(5, len(q)), min(2, len(a)))
+        return known
 
     def ask(self, texts: list[bytes]) -> list[tuple[int, int, float, float, float]]:
         """(text, item, score, question share, answer share) of all verified items, the best passage of each."""
@@ -186,9 +233,9 @@ class Asker:
         here = codes >= 0
         own, before = base + np.minimum(slot, last), base + np.maximum(slot - 1, 0)
         passage = np.concatenate([own[here], before[here]])
-        size = len(self.shard.vocabulary)
+        size = max(len(self.shard.vocabulary), 1)
         key = np.unique(passage * size + np.concatenate([codes[here], codes[here]]))
-        who, item, score = retrieve(self.shard, key // size, key % size, int(first_window[-1]), self.threshold)
+        who, item, score = retrieve(self.shard, key // size, key % size, self.threshold)
         best: dict[tuple[int, int], tuple] = {}
         words: dict[int, list[bytes]] = {}
         for w, i, s in zip(who.tolist(), item.tolist(), score.tolist(), strict=True):
@@ -198,7 +245,7 @@ class Asker:
             at = (w - int(first_window[t])) * stride
             # Empty leading words of the split shift places by one at most.
             window = words[t][max(at - 1, 0) : at + 2 * stride + 1]
-            q, a, nq, na = self.parts[i]
+            q, a, nq, na = self.part(i)
             share_q = len(q & runs_of(window, nq)) / len(q) if q else 0.0
             share_a = len(a & runs_of(window, na)) / len(a) if a else 0.0
             if share_q >= QUESTION and share_a >= ANSWER:
@@ -210,71 +257,96 @@ def runs_of(words: list[bytes], n: int) -> set[tuple[bytes, ...]]:
     return set(zip(*(words[k:] for k in range(n)), strict=False)) if n else set()
 
 
-def shards_of(items: DataFrame, threshold: float = THRESHOLD) -> list:
-    """Broadcast shards of the index, each of a bounded number of postings."""
-    spark = items.sparkSession
-    rows = index_postings(items)
-    total = rows.agg(F.sum(F.size("postings")).alias("n")).first()["n"] or 0
-    n = -(-total // SHARD_POSTINGS)
-    out = []
-    for k in range(n):
-        part = rows.where(F.pmod(F.xxhash64("item_id"), F.lit(n)) == k).collect()
-        if part:
-            out.append(spark.sparkContext.broadcast(build_shard(part, threshold)))
-    return out
+MATCH = "array<struct<item_id:long,score:double,question:double,answer:double>>"
+MATCH_STRUCT = pa.struct([("item_id", pa.int64()), ("score", pa.float64()), ("question", pa.float64()), ("answer", pa.float64())])
 
 
-MATCH = "array<struct<item_id:long,score:double,question:double,answer:double>>"
-MATCH_TYPE = pa.list_(pa.struct([("item_id", pa.int64()), ("score", pa.float64()), ("question", pa.float64()), ("answer", pa.float64())]))
+def _asking(shard, threshold: float):
+    """A function that gives the matches of each text; the asker is built once a worker's task."""
+    held: list[Asker] = []
+
+    def ask(texts: list[bytes]) -> list[list[dict]]:
+        if not held:
+            held.append(Asker(shard.value, threshold))
+        out: list[list[dict]] = [[] for _ in texts]
+        for t, i, s, q, a in held[0].ask(texts):
+            out[t].append({"item_id": shard.value.item_ids[i], "score": s, "question": q, "answer": a})
+        return out
+
+    return ask
+
+
+def _plan(items: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """Entries and postings of the index, and the number of shards."""
+    entries, postings = index_of(items)
+    return entries, postings, -(-postings.count() // SHARD_POSTINGS)
+
+
+def _broadcast(entries: DataFrame, postings: DataFrame, k: int, n: int):
+    """Shard ``k`` of ``n``, on every executor."""
+    mine = F.pmod(F.xxhash64("entry"), F.lit(n)) == k
+    return entries.sparkSession.sparkContext.broadcast(build_shard(entries.where(mine).toArrow(), postings.where(mine).toArrow()))
+
+
+def _hits(rows: DataFrame, entries: DataFrame, postings: DataFrame, n: int, threshold: float) -> DataFrame:
+    """(key, matches) of the texts that match an item of any of ``n`` shards; the key is the text's MD5.
+
+    A pass over the texts for each shard; its hits are written before the shard is taken back.
+    """
+    keyed, out = rows.select(F.unhex(F.md5("text")).alias("key"), "text"), None
+    for k in range(n):
+        shard = _broadcast(entries, postings, k, n)
 
+        def run(batches, shard=shard):
+            ask = _asking(shard, threshold)
+            for batch in pieces(batches, "text"):
+                found = ask(byte_texts(batch, "text"))
+                pairs = [(key, m) for key, ms in zip(batch.column(0).to_pylist(), found, strict=True) for m in ms]
+                if pairs:
+                    yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in pairs], pa.binary()), pa.array([m for _, m in pairs], MATCH_STRUCT)], ["key", "match"])
 
-def _asked(shard, threshold: float, texts: list[bytes], askers: dict) -> list[list[dict]]:
-    if "asker" not in askers:
-        askers["asker"] = Asker(shard.value, threshold)
-    out: list[list[dict]] = [[] for _ in texts]
-    ids = shard.value.item_ids
-    for t, i, s, q, a in askers["asker"].ask(texts):
-        out[t].append({"item_id": int(ids[i]), "score": s, "question": q, "answer": a})
-    return out
+        part = materialize(keyed.mapInArrow(run, f"key binary, match {MATCH[6:-1]}"), "hits")
+        shard.destroy()
+        out = part if out is None else out.unionByName(part)
+    return out.groupBy("key").agg(F.array_sort(F.collect_set("match")).alias("matches"))
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, *, threshold: float = THRESHOLD) -> DataFrame:
     """One row for each document: doc_id, contaminated, matches (verified items, by item_id).
 
-    Null and empty texts match nothing; null item ids are ignored; of items with one id the least text counts; items
-    without a word match nothing. Repeated documents each get a row. Other columns are not read. All index shards
-    are asked in one pass over the documents, without a shuffle of texts.
+    Null and empty texts match nothing. Each different text of an item id is an item of its own, also where the id is
+    null; items without a word match nothing. Repeated documents each get a row. Other columns are not read.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", text_of().alias("text"))
-    shards = shards_of(benchmark, threshold)
+    entries, postings, n = _plan(benchmark)
+    if n > 1:
+        found = rows.select("doc_id", F.unhex(F.md5("text")).alias("key")).join(_hits(rows, entries, postings, n, threshold), "key", "left")
+        return found.select("doc_id", F.col("matches").isNotNull().alias("contaminated"), F.coalesce("matches", F.array().cast(MATCH)).alias("matches"))
+    shard = _broadcast(entries, postings, 0, 1)
 
     def run(batches):
-        each: list[dict] = [{} for _ in shards]
+        ask = _asking(shard, threshold)
         for batch in pieces(batches, "text"):
-            texts = byte_texts(batch, "text")
-            matches: list[list[dict]] = [[] for _ in texts]
-            for shard, askers in zip(shards, each, strict=True):
-                for m, more in zip(matches, _asked(shard, threshold, texts, askers), strict=True):
-                    m += more
+            matches = ask(byte_texts(batch, "text"))
             for m in matches:
-                m.sort(key=lambda x: x["item_id"])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([bool(m) for m in matches], pa.bool_()), pa.array(matches, MATCH_TYPE)], ["doc_id", "contaminated", "matches"])
+                m.sort(key=lambda x: (x["item_id"] is not None, x["item_id"], x["score"]))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([bool(m) for m in matches], pa.bool_()), pa.array(matches, pa.list_(MATCH_STRUCT))], ["doc_id", "contaminated", "matches"])
 
     return rows.mapInArrow(run, f"doc_id {kind}, contaminated boolean, matches {MATCH}")
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, *, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that hold no verified test item, with all their columns."""
-    shards = shards_of(benchmark, threshold)
+    entries, postings, n = _plan(benchmark)
+    if n > 1:
+        hits = _hits(docs.select(text_of().alias("text")), entries, postings, n, threshold).select(F.col("key").alias("_leaked"))
+        return docs.join(hits, F.unhex(F.md5(text_of())) == F.col("_leaked"), "left_anti").select(docs.columns)
+    shard = _broadcast(entries, postings, 0, 1)
 
     def run(batches):
-        each: list[dict] = [{} for _ in shards]
+        ask = _asking(shard, threshold)
         for batch in pieces(batches, "text"):
-            texts = byte_texts(batch, "text")
-            clean = np.ones(len(texts), bool)
-            for shard, askers in zip(shards, each, strict=True):
-                clean &= [not m for m in _asked(shard, threshold, texts, askers)]
-            yield batch.filter(pa.array(clean))
+            yield batch.filter(pa.array([not m for m in ask(byte_texts(batch, "text"))], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -4,10 +4,12 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -317,37 +319,60 @@ def test_op9_finds_whole_items_only(spark, none):
     rnd = random.Random(2)
     word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(2, 6)))
     items = [" ".join(word() for _ in range(rnd.randint(15, 50))) + ". " + " ".join(word() for _ in range(9)) + "." for _ in range(30)]
-    bench = spark.createDataFrame([*((i, t, 1.0) for i, t in enumerate(items)), (30, None, 1.0), (31, "", 1.0), (None, "x y", 1.0), (3, items[3], 1.0)], "item_id long, text string, impact double")
+    bench = spark.createDataFrame([*((i, t, 1.0) for i, t in enumerate(items)), (30, None, 1.0), (31, "", 1.0), (None, "x y", 1.0), (3, items[3], 1.0), (3, "ab abc " * 9, 1.0), (None, items[12] + " more words", 1.0)], "item_id long, text string, impact double")
     body = lambda n: " ".join(word() for _ in range(n))
-    texts = [None, "", body(400), items[4], body(300) + "\n" + items[7].upper() + "\n" + body(10), items[2] + " " + body(500) + " " + items[3], items[5][: len(items[5]) // 3] + " " + body(80), body(63) + " " + items[9], " ".join(items[11].split()[::-1])]
+    texts = [None, "", body(400), items[4], body(300) + "\n" + items[7].upper() + "\n" + body(10), items[2] + " " + body(500) + " " + items[3], items[5][: len(items[5]) // 3] + " " + body(80), body(63) + " " + items[9], " ".join(items[11].split()[::-1]), "ab abc " * 30, items[12] + " more words", body(90_000) + " " + items[13] + " " + body(90_000)]
     df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, matches string")
     got = {r.doc_id: [m.item_id for m in r.matches] for r in decontam.find_leaks(df, bench).collect()}
-    assert got == {0: [], 1: [], 2: [], 3: [4], 4: [7], 5: [2, 3], 6: [], 7: [9], 8: []}
+    assert got == {0: [], 1: [], 2: [], 3: [4], 4: [7], 5: [2, 3], 6: [], 7: [9], 8: [], 9: [3], 10: [None, 12], 11: [13]}
     kept = decontam.drop_leaks(df, bench)
     assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == [0, 1, 2, 6, 8]
     assert decontam.find_leaks(none, bench).count() == 0
     assert not decontam.find_leaks(df, bench.where("false")).where("contaminated").count()
 
 
-def test_op9_wand_equals_full_scoring(spark):
+def asked(items, passages, threshold):
+    """What a shard of the items answers, and what scoring everything gives."""
+    entries = pa.table({"entry": [f"{i:06d}" for i in range(len(items))], "item_id": pa.array(range(len(items)), pa.int64()), "text": items})
+    posts, df = [], Counter(t for x in items for t in set(x.split()))
+    for i, x in enumerate(items):
+        each = {t: c / (c + 1) * math.log1p(len(items) / df[t]) for t, c in Counter(x.split()).items()}
+        posts += [(f"{i:06d}", t, v / sum(each.values())) for t, v in each.items()]
+    shard = decontam.build_shard(entries, pa.table(dict(zip(["entry", "term", "impact"], map(list, zip(*posts, strict=True)), strict=True))))
+    place = {t: k for k, t in enumerate(shard.vocabulary)}
+    pairs = sorted((p, place[t.encode()]) for p, terms in enumerate(passages) for t in terms if t.encode() in place)
+    who, item, score = decontam.retrieve(shard, np.array([p for p, _ in pairs], np.int64), np.array([t for _, t in pairs], np.int64), threshold)
+    return {(int(p), int(shard.item_ids[i])): s for p, i, s in zip(who, item, score, strict=True)}, posts
+
+
+@pytest.mark.parametrize("slice_", [1 << 20, 50])
+def test_op9_wand_equals_full_scoring(monkeypatch, slice_):
+    monkeypatch.setattr(decontam, "SLICE", slice_)
     rnd = random.Random(9)
     items = [" ".join(rnd.choice([f"c{i}" for i in range(8)] + [f"r{i}" for i in range(300)]) for _ in range(30)) for _ in range(50)]
-    rows = decontam.index_postings(spark.createDataFrame(list(enumerate(items)), "item_id long, text string")).collect()
-    shard = decontam.build_shard(rows, 0.3)
-    place = {t: k for k, t in enumerate(shard.vocabulary)}
     passages = [set(rnd.sample(items[rnd.randrange(50)].split() + [f"c{i}" for i in range(8)], 18)) for _ in range(200)]
-    pairs = sorted((p, place[t.encode()]) for p, terms in enumerate(passages) for t in terms if t.encode() in place)
-    who, item, score = decontam.retrieve(shard, np.array([p for p, _ in pairs]), np.array([t for _, t in pairs]), 200, 0.3)
-    want = {}
+    got, posts = asked(items, passages, 0.3)
+    want = Counter()
     for p, terms in enumerate(passages):
-        for r in rows:
-            s = sum(x["impact"] for x in r["postings"] if x["term"] in terms)
-            if s >= 0.3:
-                want[p, r["item_id"]] = s
-    got = {(int(p), int(shard.item_ids[i])): s for p, i, s in zip(who, item, score, strict=True)}
+        for entry, t, v in posts:
+            if t in terms:
+                want[p, int(entry)] += v
+    want = {k: v for k, v in want.items() if v >= 0.3 - 1e-9}
     assert got.keys() == want.keys() and len(want) > 20 and all(abs(got[k] - want[k]) < 1e-9 for k in want)
 
 
+def test_op9_many_items_of_common_terms_stay_small():
+    """Passages of the items' own common words; memory does not grow with passages times items."""
+    rnd = random.Random(3)
+    words = [f"w{i}" for i in range(400)]
+    items = [" ".join(rnd.sample(words, 16)) for _ in range(20_000)]
+    tracemalloc.start()
+    got, _ = asked(items, [set(rnd.sample(words, 40)) for _ in range(300)], 0.9)
+    assert tracemalloc.get_traced_memory()[1] < 900e6
+    tracemalloc.stop()
+    assert all(v >= 0.9 - 1e-9 for v in got.values())
+
+
 def test_op10_rules_and_filter(spark):
     rules = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/")]
     rows = ["http://A.Example.COM/en/x", "https://www.example.com/en/", "https://example.com/fr/", "http://x.net/es/a?b#c", "http://x.org/a/?utm_x=1&z=2&b=1#q", "http://www.x.org/a?b=1&z=2", "http://y.org", "noscheme", None, "://", "http://com/", "http://example.com", "http://y.org/"]
