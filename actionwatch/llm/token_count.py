@@ -1,71 +1,138 @@
-"""Token counts by a compiled transducer.
+"""Token counts by a compiled transducer whose chunk state maps are composed by a prefix scan.
 
 The merges of a byte-level BPE tokenizer are compiled, as they are needed, into a deterministic transducer over
 bytes. Its state after a prefix of a word holds the last token of the encoding of every shorter prefix that a later
 token can still reach back to, and how many tokens that encoding has. A transition on a byte finds the one token
-that ends there and is compatible with the token before it; it is annotated with the change of the token count.
-Running a word through the transducer and adding the annotations gives its count without building its tokens.
-
-Texts are cut into chunks. The state map of a chunk (head, count inside, tail; see ``chunks``) does not depend on
-what stands before it; maps compose associatively. Maps of a text's chunks are joined by a prefix scan: a window
-numbers the runs of chunks that belong to one junction, and each junction is counted by the same transducer.
+that ends there and is compatible with the token before it; it is annotated with the change of the token count. A
+byte that begins a word of the tokenizer's own pre-splitting carries a mark and starts from the first state, whatever
+the state before it. Adding the annotations along a text gives its count without building its tokens.
+
+Every text is cut into chunks of fixed size, and all chunks of a batch run side by side, one byte a step. Where a chunk
+begins, the state before it is not known yet: it is guessed by a short run-up. What a run finds is an entry of the
+chunk's state map: state before -> (state after, tokens). Maps compose: the state after one chunk is looked up in the
+map of the next. A prefix scan by doubling composes them along each text. Where a map lacks the state that the scan
+arrives with, the chunk is run from that state, and its later neighbours from all states seen in the text; so the result
+never depends on a guess.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import re
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .chunks import first_cut, fixed_chunks, last_cut
-from .common import byte_alphabet, byte_texts, materialize, pieces, segment_sums, text_of
-
-#: Bytes of a chunk.
-CHUNK = 1 << 16
-#: Compiled transitions and known words kept in a worker; beyond, the table starts anew.
-TRANSITIONS, WORDS = 600_000, 200_000
-#: How the tokenizer cuts a text into words (fixed values).
-WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+from .common import byte_alphabet, byte_texts, pieces, ranges, starts_of, text_of
+
+#: Bytes of a chunk, and of the run-up before it.
+CHUNK, RUN_UP = 512, 48
+#: Compiled transitions kept in a worker; beyond, the table starts anew.
+TRANSITIONS = 600_000
+#: Bytes of chunks that run together.
+TOGETHER = 2 << 20
+#: States of a text from which its unfinished chunks are run ahead of the scan.
+AHEAD = 32
+#: Marks are found in windows of so many bytes, with so many around them.
+WINDOW, AROUND = 4 << 20, 64
+OTHER, LETTER, NUMBER, SPACE = range(4)
+#: What follows an apostrophe that is split off with it.
+CONTRACTIONS = ["s", "t", "re", "ve", "m", "ll", "d"]
+
+
+@lru_cache(maxsize=1)
+def char_classes() -> np.ndarray:
+    """The class of each code point."""
+    out = np.zeros(0x110000, np.uint8)
+    every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+    for kind, pattern in ((LETTER, r"\p{L}"), (NUMBER, r"\p{N}"), (SPACE, r"\s")):
+        out[np.frombuffer("".join(regex.findall(pattern, every)).encode("utf-32-le"), np.uint32)] = kind
+    return out
+
+
+def word_marks(data: np.ndarray, heads: np.ndarray) -> np.ndarray:
+    """Whether a word of the pre-splitting begins at each byte; ``heads`` flags the first bytes of the parts."""
+    if len(data) <= WINDOW:
+        return _marks(data, heads)
+    out = np.zeros(len(data), bool)
+    for at in range(0, len(data), WINDOW):
+        low, to = max(0, at - AROUND), min(len(data), at + WINDOW)
+        out[at:to] = _marks(data[low : to + AROUND], heads[low : to + AROUND])[at - low : to - low]
+    return out
+
+
+def _marks(data: np.ndarray, heads: np.ndarray) -> np.ndarray:
+    at = np.flatnonzero((data & 0xC0) != 0x80)
+    if not len(at):
+        return np.zeros(len(data), bool)
+    wide = np.concatenate([data, np.zeros(3, np.uint8)])
+    b = [wide[at + k].astype(np.int32) for k in range(4)]
+    low = [x & 63 for x in b]
+    point = np.select([b[0] < 0x80, b[0] < 0xE0, b[0] < 0xF0], [b[0], (b[0] & 31) << 6 | low[1], (b[0] & 15) << 12 | low[1] << 6 | low[2]], (b[0] & 7) << 18 | low[1] << 12 | low[2] << 6 | low[3])
+    kind = char_classes()[np.minimum(point, 0x10FFFF)]
+    head = heads[at]
+    last = np.append(head[1:], True)  # the part's last character
+    begins = head | np.append(True, kind[1:] != kind[:-1])
+    # The last of a run of white space goes by itself, or, where it is a plain space, with what follows.
+    single = (kind == SPACE) & ~last & np.append(kind[1:] != SPACE, False)
+    begins |= single
+    joined = np.flatnonzero(single & (point == 32)) + 1
+    begins[joined] = False
+    # An apostrophe that begins a run takes one of a few endings along; the next word begins after them.
+    quote = np.flatnonzero(begins & (point == 39))
+    ends = np.append(np.flatnonzero(head)[1:], len(at))
+    end = ends[np.searchsorted(ends, quote, side="right")] if len(quote) else quote
+    for tail in CONTRACTIONS:
+        n = len(tail)
+        fits = quote + n < end
+        for k, c in enumerate(tail, 1):
+            fits &= point[np.minimum(quote + k, len(point) - 1)] == ord(c)
+        begins[quote[fits] + 1] = False
+        after = quote[fits] + n + 1
+        begins[after[after < end[fits]]] = True
+    out = np.zeros(len(data), bool)
+    out[at[begins]] = True
+    return out
 
 
 class Transducer:
-    """A lazily compiled deterministic transducer that counts BPE tokens of one word."""
+    """A lazily compiled deterministic transducer that counts BPE tokens."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         to_byte = byte_alphabet()
-        self.special = [t["content"] for t in spec["added_tokens"]]
-        special = set(self.special)
+        special = {t["content"] for t in spec["added_tokens"]}
+        # Leftmost first, the longest of those that begin at one place.
+        self.special = re.compile(b"|".join(re.escape(s.encode()) for s in sorted(special, key=lambda s: (-len(s), s)))) if special else None
         raw = lambda s: bytes(to_byte[c] for c in s)
         self.ids = {raw(t): i for t, i in spec["model"]["vocab"].items() if t not in special}
         self.bytes = {i: t for t, i in self.ids.items()}
         self.merge: dict[tuple[int, int], tuple[int, int]] = {}
-        self.split: dict[int, tuple[int, int, int]] = {}
         for rank, m in enumerate(spec["model"]["merges"]):
             a, b = (raw(x) for x in (m if isinstance(m, list) else m.split(" ")))
-            pair, made = (self.ids[a], self.ids[b]), self.ids[a + b]
-            self.merge.setdefault(pair, (rank, made))
-            self.split.setdefault(made, (rank, *pair))
-        self.longest = max(map(len, self.ids))
+            self.merge.setdefault((self.ids[a], self.ids[b]), (rank, self.ids[a + b]))
         self.prefixes = {t[:k] for t in self.ids for k in range(1, len(t))}
         # Tokens whose own encoding is one token; others never come out.
         self.sound: dict[int, bool] = {}
         self.pairs: dict[tuple[int, int], bool] = {}
-        self.words: dict[bytes, int] = {}
         self._anew()
 
     def _anew(self) -> None:
         # A state: (open suffix, last tokens at its boundaries, counts there relative to the end).
         self.states: list[tuple[bytes, tuple, tuple]] = [(b"", (-1,), (0,))]
         self.numbers = {self.states[0]: 0}
-        self.moves: dict[int, int] = {}
+        self.used = 0
+        self._room(1 << 16)
+
+    def _room(self, slots: int) -> None:
+        """An empty hash table of transitions: key ``state << 8 | byte``, value ``next state << 12 | change + 2048``."""
+        self.keys, self.moves = np.full(slots, -1, np.int64), np.zeros(slots, np.int64)
 
     def encode(self, word: bytes) -> list[int]:
         """Plain merging, used to check pairs of tokens while compiling."""
@@ -96,13 +163,13 @@ class Transducer:
             return True
         known = self.pairs.get((left, right))
         if known is None:
-            known = self.pairs[left, right] = self.encode(self.bytes[left] + self.bytes[right]) == [left, right]
             if len(self.pairs) > TRANSITIONS:
                 self.pairs.clear()
+            known = self.pairs[left, right] = self.encode(self.bytes[left] + self.bytes[right]) == [left, right]
         return known
 
     def _compile(self, state: int, byte: int) -> int:
-        """The transition as ``next state * 4096 + change of the count + 2048``."""
+        """The transition as ``next state << 12 | change of the count + 2048``."""
         suffix, lasts, counts = self.states[state]
         grown = suffix + bytes([byte])
         # Boundary j of ``lasts`` stands before suffix[j:]; the last one is the end.
@@ -115,51 +182,158 @@ class Transducer:
             raise ValueError("no token fits")  # single bytes are tokens
         keep = next((k for k in range(len(grown)) if grown[k:] in self.prefixes), len(grown))
         new = (grown[keep:], (*lasts, token)[keep:], tuple(c - change for c in (*counts, change)[keep:]))
-        number = self.numbers.get(new)
-        if number is None:
-            number = self.numbers[new] = len(self.states)
-            self.states.append(new)
-        move = self.moves[state << 8 | byte] = number << 12 | (change + 2048)
-        return move
-
-    def count(self, word: bytes) -> int:
-        """Tokens of one word."""
-        known = self.words.get(word)
-        if known is not None:
-            return known
-        if len(self.moves) > TRANSITIONS:
-            self._anew()
-        if len(self.words) > WORDS:
-            self.words.clear()
-        state, total, moves = 0, 0, self.moves
-        for byte in word:
-            move = moves.get(state << 8 | byte)
-            if move is None:
-                move = self._compile(state, byte)
-            state = move >> 12
-            total += (move & 4095) - 2048
-        self.words[word] = total
-        return total
-
-    def counts(self, texts: list[bytes]) -> np.ndarray:
-        """Tokens of each text, or part of a text between sure token ends."""
-        words, sizes, extra = [], np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
+        return self._number(new) << 12 | (change + 2048)
+
+    def _find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Slot of each key: its own, or the empty one where it belongs; and whether it is its own."""
+        mask = len(self.keys) - 1
+        slot = ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)).astype(np.int64) & mask
+        held = self.keys[slot]
+        own = held == keys
+        todo = np.flatnonzero(~own & (held >= 0))
+        while len(todo):
+            slot[todo] = (slot[todo] + 1) & mask
+            held = self.keys[slot[todo]]
+            own[todo] = held == keys[todo]
+            todo = todo[(held >= 0) & (held != keys[todo])]
+        return slot, own
+
+    def _learn(self, keys: list[int], moves: list[int]) -> None:
+        self.used += len(keys)
+        if 3 * self.used > len(self.keys):
+            full = self.keys >= 0
+            keys, moves = [*self.keys[full].tolist(), *keys], [*self.moves[full].tolist(), *moves]
+            self._room(len(self.keys) * 4)
+        key, move = np.array(keys, np.int64), np.array(moves, np.int64)
+        while len(key):
+            slot, _ = self._find(key)
+            _, first = np.unique(slot, return_index=True)  # one key a slot at a time
+            self.keys[slot[first]], self.moves[slot[first]] = key[first], move[first]
+            rest = np.ones(len(key), bool)
+            rest[first] = False
+            key, move = key[rest], move[rest]
+
+    def _step(self, keys: np.ndarray) -> np.ndarray:
+        slot, own = self._find(keys)
+        if not own.all():
+            new = np.unique(keys[~own]).tolist()
+            self._learn(new, [self._compile(k >> 8, k & 255) for k in new])
+            slot, _ = self._find(keys)
+        return self.moves[slot]
+
+    def run(self, data: np.ndarray, marks: np.ndarray, begin: np.ndarray, end: np.ndarray, states: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """States after the given ranges of bytes, all ranges stepping together, and the changes of the count."""
+        order = np.argsort(begin - end, kind="stable")
+        at, size = begin[order], (end - begin)[order]
+        state, total = states[order].astype(np.int64), np.zeros(len(order), np.int64)
+        live = np.searchsorted(-size, -np.arange(int(size.max(initial=0))), side="left")
+        for k, m in enumerate(live.tolist()):
+            place = at[:m] + k
+            move = self._step(np.where(marks[place], 0, state[:m]) << 8 | data[place])
+            state[:m] = move >> 12
+            total[:m] += (move & 4095) - 2048
+        out, count = np.empty_like(state), np.empty_like(total)
+        out[order], count[order] = state, total
+        return out, count
+
+    def counts(self, texts: list[bytes], chunk: int = CHUNK) -> np.ndarray:
+        """Tokens of each text."""
+        parts, owner, extra = [], [], np.zeros(len(texts), np.int64)
         for i, text in enumerate(texts):
-            parts = [text.decode()]
-            for s in self.special:
-                if s.encode() in text:
-                    cut = [p.split(s) for p in parts]
-                    extra[i] += sum(len(c) - 1 for c in cut)
-                    parts = [x for c in cut for x in c]
-            for p in parts:
-                found = WORD.findall(p)
-                sizes[i] += len(found)
-                words += found
-        if not words:
+            at = 0
+            for m in self.special.finditer(text) if self.special else ():
+                parts.append(text[at : m.start()])
+                owner.append(i)
+                extra[i] += 1
+                at = m.end()
+            parts.append(text[at:] if at else text)
+            owner.append(i)
+        kept = [k for k, p in enumerate(parts) if p]
+        if not kept:
             return extra
-        coded = pa.array(words, pa.large_string()).dictionary_encode()
-        each = np.array([self.count(w.encode()) for w in coded.dictionary.to_pylist()], np.int64)
-        return extra + segment_sums(each[coded.indices.to_numpy()], sizes)
+        parts, owner = [parts[k] for k in kept], np.array(owner, np.int64)[kept]
+        data = np.frombuffer(b"".join(parts), np.uint8)
+        edges = starts_of(np.fromiter(map(len, parts), np.int64, len(parts)))
+        heads = np.zeros(len(data), bool)
+        heads[edges[:-1]] = True
+        marks = word_marks(data, heads)
+        n = -(-np.diff(edges) // chunk)
+        part = np.repeat(np.arange(len(parts)), n)
+        begin = edges[part] + ranges(np.zeros(len(n), np.int64), n) * chunk
+        end = np.minimum(begin + chunk, edges[part + 1])
+        marked = np.flatnonzero(marks)
+        total, at, carried = np.zeros(len(parts), np.int64), 0, None
+        while at < len(begin):
+            to = max(at + 1, int(np.searchsorted(end, begin[at] + TOGETHER, side="right")))
+            if self.used > TRANSITIONS:
+                self._anew()
+            some = slice(at, to)
+            first = np.zeros(part[to - 1] - part[at] + 1, np.int64)
+            if carried:
+                first[0] = self._number(carried)
+            # The run-up begins at the last marked byte nearby, if there is one.
+            near = marked[np.searchsorted(marked, begin[some], side="right") - 1]
+            guess, _ = self.run(data, marks, np.clip(near, begin[some] - RUN_UP, begin[some]), begin[some], np.zeros(to - at, np.int64))
+            sums, last = self._compose(data, marks, begin[some], end[some], part[some] - part[at], guess, first)
+            total[part[at] : part[to - 1] + 1] += sums
+            carried = self.states[last] if to < len(part) and part[to] == part[to - 1] else None
+            at = to
+        return extra + np.bincount(owner, weights=total, minlength=len(texts)).astype(np.int64)
+
+    def _number(self, state: tuple) -> int:
+        """A state's number; a new one, where the table does not know it."""
+        number = self.numbers.setdefault(state, len(self.states))
+        if number == len(self.states):
+            self.states.append(state)
+        return number
+
+    def _compose(self, data, marks, begin, end, part, guess, entering) -> tuple[np.ndarray, int]:
+        """Tokens of each part: the composition of its chunks' maps, applied to the state that enters it.
+
+        The maps' entries are nodes (chunk, state before); a node points to the next chunk's entry for its state after.
+        Also returns the state after the last part.
+        """
+        first = np.flatnonzero(np.diff(part, prepend=-1))
+        closing = np.append(part[1:] != part[:-1], True)
+        forgets = marks[begin]  # a marked byte forgets the state before it
+        before, chunk = np.where(forgets, 0, guess), np.arange(len(begin))
+        before[first] = entering = np.where(forgets[first], 0, entering)
+        after, tokens = self.run(data, marks, begin, end, before)
+        while True:
+            # Entries by (chunk, state before), each once.
+            order = np.lexsort((before, chunk))
+            chunk, before, after, tokens = chunk[order], before[order], after[order], tokens[order]
+            new = np.append(True, (chunk[1:] != chunk[:-1]) | (before[1:] != before[:-1]))
+            chunk, before, after, tokens = chunk[new], before[new], after[new], tokens[new]
+            key = chunk << 32 | before
+            follow = np.minimum(chunk + 1, len(begin) - 1)
+            wanted = follow << 32 | np.where(forgets[follow], 0, after)
+            jump = np.minimum(np.searchsorted(key, wanted), len(key) - 1)
+            jump[closing[chunk] | (key[jump] != wanted)] = -1
+            reach, sums = np.arange(len(key)), tokens.copy()
+            while (go := np.flatnonzero(jump >= 0)).size:
+                to = jump[go]
+                sums[go], reach[go], jump[go] = sums[go] + sums[to], reach[to], jump[to]
+            start = np.searchsorted(key, first << 32 | entering)
+            end_node = reach[start]
+            open_ = ~closing[chunk[end_node]]
+            if not open_.any():
+                return sums[start], int(after[end_node[-1]])
+            # The state that the scan arrives with, and for the rest of the part the states that it has seen.
+            at, state = [chunk[end_node[open_]] + 1], [after[end_node[open_]]]
+            for node in end_node[open_].tolist():
+                p = part[chunk[node]]
+                low, high = np.searchsorted(chunk, np.searchsorted(part, [p, p + 1]))
+                seen = np.unique(after[low:high])[:AHEAD]
+                rest = np.arange(chunk[node] + 1, np.searchsorted(part, p + 1))
+                at.append(np.repeat(rest, len(seen)))
+                state.append(np.tile(seen, len(rest)))
+            at, state = np.concatenate(at), np.concatenate(state)
+            state[forgets[at]] = 0
+            todo = np.setdiff1d(at << 32 | state, key)
+            at, state = todo >> 32, todo & 0xFFFFFFFF
+            found, count = self.run(data, marks, begin[at], end[at], state)
+            chunk, before, after, tokens = np.append(chunk, at), np.append(before, state), np.append(after, found), np.append(tokens, count)
 
 
 @lru_cache(maxsize=2)
@@ -168,77 +342,19 @@ def transducer(path: str) -> Transducer:
     return Transducer(path)
 
 
+def count_tokens(docs: DataFrame, *, tokenizer_path: str, limit: int, chunk: int = CHUNK) -> DataFrame:
+    """One row for each document: doc_id, n_bytes, n_tokens, over_limit (n_tokens > limit).
 
-def _whole(path: str):
-    """Counts of texts of one chunk; longer texts are left to ``_chunk_maps``."""
+    A null text is empty: no bytes, no tokens. Texts of any length go the same way. Repeated rows and equal ids all
+    come out; other columns are not read. One pass without a shuffle.
+    """
+    kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
-        machine = transducer(path)
+        machine = transducer(tokenizer_path)
         for batch in pieces(batches, "text"):
             texts = byte_texts(batch, "text")
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(t) for t in texts], pa.int64()), pa.array(machine.counts(texts))], ["doc_id", "n_bytes", "n_tokens"])
-
-    return run
-
-
-def _cut(size: int):
-    def run(batches):
-        for batch in pieces(batches, "text"):
-            for key, text in zip(batch.column(0).to_pylist(), byte_texts(batch, "text"), strict=True):
-                parts = fixed_chunks(text, size)
-                yield pa.RecordBatch.from_arrays([pa.array([key] * len(parts), pa.string()), pa.array(range(len(parts)), pa.int64()), pa.array(parts, pa.binary())], ["key", "number", "chunk"])
-
-    return run
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(t) for t in texts], pa.int64()), pa.array(machine.counts(texts, chunk))], ["doc_id", "n_bytes", "n_tokens"])
 
-
-def _chunk_maps(path: str):
-    def run(batches):
-        machine = transducer(path)
-        for batch in batches:
-            heads, insides, tails = [], [], []
-            for chunk in batch.column(2).to_pylist():
-                a, b = first_cut(chunk), last_cut(chunk)
-                heads.append(chunk if a < 0 else chunk[:a])
-                tails.append(None if a < 0 else chunk[b:])
-                insides.append(b"" if a < 0 else chunk[a:b])
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(heads, pa.binary()), pa.array(machine.counts(insides)), pa.array(tails, pa.binary())], ["key", "number", "head", "inside", "tail"])
-
-    return run
-
-
-def _junctions(path: str):
-    def run(batches):
-        machine = transducer(path)
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(machine.counts([b"".join(x) for x in batch.column(1).to_pylist()]))], ["key", "n"])
-
-    return run
-
-
-def count_tokens(docs: DataFrame, *, tokenizer_path: str, limit: int, chunk: int = CHUNK) -> DataFrame:
-    """One row for each document: doc_id, n_bytes, n_tokens, over_limit (n_tokens > limit).
-
-    A null text is empty: no bytes, no tokens. Texts longer than a chunk are cut; their chunks are dealt out to all
-    tasks and their state maps composed. Repeated rows and equal ids all come out; other columns are not read.
-    """
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = docs.select("doc_id", text_of().alias("text"))
-    long_text = F.octet_length("text") > chunk
-    short = rows.where(~long_text).mapInArrow(_whole(tokenizer_path), f"doc_id {kind}, n_bytes long, n_tokens long")
-
-    # Equal texts share one key: each is counted once.
-    many = rows.where(long_text).select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("key"), "text")
-    once = many.groupBy("key").agg(F.first("text").alias("text"))
-    cut = once.mapInArrow(_cut(chunk), "key string, number long, chunk binary").repartition("key", "number")
-    maps = materialize(cut.mapInArrow(_chunk_maps(tokenizer_path), "key string, number long, head binary, inside long, tail binary"), "state-maps")
-    order = Window.partitionBy("key").orderBy("number")
-    # A chunk's head belongs to the junction opened by the last chunk before it that has a tail.
-    closed = F.col("tail").isNotNull().cast("long")
-    scanned = maps.withColumn("junction", F.coalesce(F.sum(closed).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    heads = scanned.select("key", "junction", (2 * F.col("number")).alias("at"), F.col("head").alias("part"))
-    tails = scanned.where("tail is not null").select("key", (F.col("junction") + 1).alias("junction"), (2 * F.col("number") + 1).alias("at"), F.col("tail").alias("part"))
-    joined = heads.unionByName(tails).groupBy("key", "junction").agg(F.array_sort(F.collect_list(F.struct("at", "part"))).alias("parts"))
-    joints = joined.select("key", F.transform("parts", lambda p: p["part"]).alias("parts")).mapInArrow(_junctions(tokenizer_path), "key string, n long")
-    totals = maps.select("key", F.col("inside").alias("n")).unionByName(joints).groupBy("key").agg(F.sum("n").alias("n_tokens"))
-    composed = many.select("doc_id", "n_bytes", "key").join(totals, "key").select("doc_id", "n_bytes", "n_tokens")
-    return short.unionByName(composed).withColumn("over_limit", F.col("n_tokens") > limit)
+    counted = docs.select("doc_id", text_of().alias("text")).mapInArrow(run, f"doc_id {kind}, n_bytes long, n_tokens long")
+    return counted.withColumn("over_limit", F.col("n_tokens") > limit)

@@ -246,7 +246,7 @@ def test_op5_viterbi_is_optimal():
         at += n
 
 
-@pytest.mark.parametrize("chunk", [1 << 16, 40])
+@pytest.mark.parametrize("chunk", [512, 40])
 def test_op6_counts(spark, docs, none, chunk):
     got = {r.doc_id: r for r in token_count.count_tokens(docs, tokenizer_path=public.path("byte_bpe_50k.json"), limit=20, chunk=chunk).collect()}
     lib = library("byte_bpe_50k.json")
@@ -254,6 +254,39 @@ def test_op6_counts(spark, docs, none, chunk):
         n = len(lib.encode(t, add_special_tokens=False).ids)
         assert (got[i].n_bytes, got[i].n_tokens, got[i].over_limit) == (len(t.encode()), n, n > 20), t[:80]
     assert len(got) == len(made()) and token_count.count_tokens(none, tokenizer_path=public.path("byte_bpe_50k.json"), limit=5).count() == 0
+    twice = spark.createDataFrame([(None, "a b"), (7, "a b"), (7, "a b"), (7, None)], "doc_id long, text string")
+    assert sorted(r.n_tokens for r in token_count.count_tokens(twice, tokenizer_path=public.path("byte_bpe_50k.json"), limit=5).collect()) == [0, 2, 2, 2]
+
+
+@pytest.mark.parametrize("chunk", [512, 7, 1])
+def test_op6_maps_compose(monkeypatch, chunk):
+    """Texts whose chunks cut words, special tokens and characters; states that never settle; tables that start anew."""
+    lib, machine, rnd = library("byte_bpe_50k.json"), token_count.Transducer(public.path("byte_bpe_50k.json")), random.Random(chunk)
+    parts = [*PARTS, "'ll", "'t", "'re", "''", "\r\n", "\x1c", "\x85", "²", "Ⅷ", "٣"]
+    texts = ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 300))) for _ in range(300)] + ["a" * 3001, "ab" * 900, "\n" * 999, " " * 998 + "x"]
+    texts.append("".join(rnd.choice("abcdefghij") for _ in range(6000)))
+    want = [len(e.ids) for e in lib.encode_batch(texts, add_special_tokens=False)]
+    assert machine.counts([t.encode() for t in texts], chunk).tolist() == want
+    monkeypatch.setattr(token_count, "TRANSITIONS", 50)
+    monkeypatch.setattr(token_count, "TOGETHER", 1000)
+    assert machine.counts([t.encode() for t in texts], chunk).tolist() == want
+
+
+def test_op6_ten_megabytes_without_white_space():
+    machine, lib = token_count.Transducer(public.path("byte_bpe_50k.json")), library("byte_bpe_50k.json")
+    text = "abcabcxa" * 1_250_000
+    part = len(lib.encode(text[:80_000], add_special_tokens=False).ids)
+    more = len(lib.encode(text[:160_000], add_special_tokens=False).ids) - part
+    assert machine.counts([text.encode()])[0] == part + more * 124
+
+
+def test_op6_marks_in_windows(monkeypatch):
+    data = np.frombuffer((" ".join(made(20)[9:]) * 4).encode(), np.uint8)
+    heads = np.zeros(len(data), bool)
+    heads[[0, 700]] = True
+    whole = token_count.word_marks(data, heads)
+    monkeypatch.setattr(token_count, "WINDOW", 101)
+    assert (token_count.word_marks(data, heads) == whole).all()
 
 
 def test_op7_round_trip(spark, docs, none):
