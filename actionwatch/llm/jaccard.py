@@ -7,7 +7,9 @@ dropped when it falls below a tolerance. A pair that meets in several bands is h
 verified exactly on the shingle sets.
 
 Buckets are split into blocks, and blocks meet in pairs, so no task holds more than two blocks whatever a bucket's
-size, and no pair rows are made: a task compares its blocks in arrays and gives, for each class, its number of links
+size. Comparing signatures gives only the classes of a bucket that still have a candidate there: a row each, however
+many partners it has. These alone get their shingle hashes and are dealt out anew, in blocks bounded by bytes; the same
+comparison then gives the pairs again, inside the task, which verifies them and returns each class's number of links
 and the least class it is connected with there. These few links give the classes' connected components.
 """
 
@@ -18,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_texts, coded_words, materialize, mix64, pieces, ranges, starts_of, text_of
+from .common import byte_texts, coded_words, materialize, mix64, pieces, ranges, segment_sums, starts_of, text_of
 from .components import connected_components
 
 #: Words a shingle, and the similarity of a link.
@@ -28,8 +30,10 @@ BANDS, ROWS = 40, 6
 HASHES = BANDS * ROWS
 #: Hashes compared before each look at the posterior, and the probability below which a pair is dropped.
 LOOKS, TOLERANCE = (32, 64, 128, HASHES), 1e-6
-#: Classes of a block.
-BLOCK = 256
+#: Classes of a block, and bytes of shingle hashes of a block that is verified.
+BLOCK, BLOCK_BYTES = 2048, 8 << 20
+#: Rows of one text are dealt into so many parts where they meet their class.
+SALTS = 256
 _P = np.uint64(0x100000001B3)
 #: Factors and summands of the orders: independent for each, as bands and posterior assume.
 _A, _B = mix64(np.arange(2 * HASHES, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(0x5851F42D4C957F2D)).reshape(2, HASHES) | np.array([[1], [0]], np.uint64)
@@ -129,89 +133,90 @@ def _whole_groups(batches, columns: int):
         yield pa.Table.from_batches(held).combine_chunks()
 
 
+def _edges(bucket: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Where a new group begins."""
+    return np.flatnonzero((np.diff(bucket) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0)) + 1
+
+
+def _candidates(bucket: np.ndarray, i: np.ndarray, j: np.ndarray, block: np.ndarray, sig: np.ndarray, need: list[int]):
+    """Pairs of rows of one group whose signatures agree often enough, in the first band in which they meet.
+
+    Rows are sorted by group and block: in a pair of two blocks, the second's rows end the group.
+    """
+    n = len(bucket)
+    edge = _edges(bucket, i, j)
+    ends = np.repeat(np.append(edge, n), np.diff(np.concatenate([[0], edge, [n]])))
+    other = np.flatnonzero(np.concatenate([[True], (np.diff(bucket) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0) | (np.diff(block) != 0)]))
+    run_end = np.repeat(np.append(other[1:], n), np.diff(np.append(other, n)))
+    begin = np.where(i == j, np.arange(n) + 1, np.where(block == i, run_end, ends))
+    count = ends - begin
+    upto = np.cumsum(count)
+    at = 0
+    while at < n:
+        to = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + 200_000, side="right")))
+        rows = np.arange(at, to)
+        a, b = np.repeat(rows, count[rows]), ranges(begin[rows], count[rows])
+        at = to
+        matches, done = np.zeros(len(a), np.int64), 0
+        for look, least in zip(LOOKS, need, strict=True):
+            matches += (sig[a, done:look] == sig[b, done:look]).sum(1)
+            done = look
+            good = matches >= least
+            a, b, matches = a[good], b[good], matches[good]
+        if not len(a):
+            continue
+        # The first band in which a pair meets handles it.
+        equal = (sig[a] == sig[b]).reshape(len(a), BANDS, ROWS).all(2)
+        mine = equal.argmax(1) == (bucket[a] >> 48)
+        if mine.any():
+            yield a[mine], b[mine]
+
+
+def _signed(table: pa.Table, column: int) -> np.ndarray:
+    return np.frombuffer(b"".join(table.column(column).to_pylist()), np.uint8).reshape(table.num_rows, HASHES)
+
+
 def _prune(tolerance: float, threshold: float):
-    """Compare the signatures of each group's pairs; give every class that is left its partners."""
+    """The rows of each group that have a candidate left."""
 
     def run(batches):
         need = fewest_matches(LOOKS, threshold, tolerance)
         for table in _whole_groups(batches, 3):
             bucket, i, j, block = (table.column(c).to_numpy() for c in range(4))
-            n = len(bucket)
-            sig = np.frombuffer(b"".join(table.column(5).to_pylist()), np.uint8).reshape(n, HASHES)
-            edge = np.flatnonzero((np.diff(bucket) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0)) + 1
-            ends = np.repeat(np.append(edge, n), np.diff(np.concatenate([[0], edge, [n]])))
-            # Rows are sorted by block too: in a pair of two blocks, the second's rows end the group.
-            other = np.flatnonzero(np.concatenate([[True], (np.diff(bucket) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0) | (np.diff(block) != 0)]))
-            run_end = np.repeat(np.append(other[1:], n), np.diff(np.append(other, n)))
-            begin = np.where(i == j, np.arange(n) + 1, np.where(block == i, run_end, ends))
-            count = ends - begin
-            keys = table.column(4)
-            upto = np.cumsum(count)
-            at = 0
-            while at < n:
-                to = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + 400_000, side="right")))
-                rows = np.arange(at, to)
-                a, b = np.repeat(rows, count[rows]), ranges(begin[rows], count[rows])
-                at = to
-                matches, done = np.zeros(len(a), np.int64), 0
-                for look, least in zip(LOOKS, need, strict=True):
-                    matches += (sig[a, done:look] == sig[b, done:look]).sum(1)
-                    done = look
-                    good = matches >= least
-                    a, b, matches = a[good], b[good], matches[good]
-                if not len(a):
-                    continue
-                # The first band in which a pair meets handles it.
-                equal = (sig[a] == sig[b]).reshape(len(a), BANDS, ROWS).all(2)
-                mine = equal.argmax(1) == (bucket[a] >> 48)
-                a, b = a[mine], b[mine]
-                if not len(a):
-                    continue
-                first, where = np.unique(a, return_index=True)
-                partners = keys.take(pa.array(b)).combine_chunks()
-                lists = pa.ListArray.from_arrays(pa.array(np.append(where, len(a)), pa.int32()), partners)
-                # A row for each class that takes part; those that only are partners have no list.
-                rest = np.setdiff1d(np.unique(b), first)
-                empty = pa.array([None] * len(rest), lists.type)
-                rows = np.concatenate([first, rest])
-                both = pa.concat_arrays([lists, empty])
-                yield pa.RecordBatch.from_arrays([*(pa.array(x[rows]) for x in (bucket, i, j)), keys.take(pa.array(rows)).combine_chunks(), both], ["bucket", "i", "j", "key", "partners"])
+            left = np.zeros(len(bucket), bool)
+            for a, b in _candidates(bucket, i, j, block, _signed(table, 5), need):
+                left[a] = left[b] = True
+            if left.any():
+                yield from table.select([0, 4]).filter(pa.array(left)).to_batches()
 
     return run
 
 
-def _verify(threshold: float):
+def _hashed(batches):
+    """Distinct shingle hashes of each text, ascending, as bytes."""
+    for batch in pieces(batches, "text"):
+        hashes, sizes = shingle_hashes(byte_texts(batch, "text"))
+        at = starts_of(sizes)
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([np.unique(hashes[a:b]).tobytes() for a, b in zip(at[:-1], at[1:], strict=True)], pa.binary())], ["key", "hashes"])
+
+
+def _verify(tolerance: float, threshold: float):
     """Exact similarities of each group's pairs: links of each class, and the least class it is connected with."""
 
     def run(batches):
+        need = fewest_matches(LOOKS, threshold, tolerance)
         for table in _whole_groups(batches, 3):
-            bucket, i, j = (table.column(c).to_numpy() for c in range(3))
-            edge = np.flatnonzero((np.diff(bucket) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0)) + 1
+            bucket, i, j, block = (table.column(c).to_numpy() for c in range(4))
+            edge = _edges(bucket, i, j)
+            sig = _signed(table, 5)
             out: tuple[list, list, list] = ([], [], [])
             for s, e in zip([0, *edge.tolist()], [*edge.tolist(), len(bucket)], strict=True):
-                part = table.slice(s, e - s)
-                keys = part.column(3).to_pylist()
-                wanted: dict[bytes, set] = {}
-                for key, partners in zip(keys, part.column(4).to_pylist(), strict=True):
-                    wanted.setdefault(key, set()).update(partners or ())
-                texts = dict(zip(keys, part.column(5).cast(pa.binary()).to_pylist(), strict=True))
-                names = sorted(texts)
-                place = {k: x for x, k in enumerate(names)}
-                hashes, sizes = shingle_hashes([texts[k] for k in names])
-                pair = np.unique(np.stack([np.repeat(np.arange(len(names)), sizes).astype(np.uint64), hashes], 1), axis=0) if len(names) < 3 else None
-                if pair is None:
-                    order = np.lexsort((hashes, np.repeat(np.arange(len(names)), sizes)))
-                    owner, hashes = np.repeat(np.arange(len(names)), sizes)[order], hashes[order]
-                    new = np.concatenate([[True], (owner[1:] != owner[:-1]) | (hashes[1:] != hashes[:-1])])
-                    owner, hashes = owner[new], hashes[new]
-                else:
-                    owner, hashes = pair[:, 0].astype(np.int64), pair[:, 1]
-                size = np.bincount(owner, minlength=len(names))
+                keys, sets = table.column(4).slice(s, e - s).to_pylist(), table.column(6).slice(s, e - s).to_pylist()
+                size = np.fromiter(map(len, sets), np.int64, len(sets)) // 8
                 at = starts_of(size)
-                _, codes = np.unique(hashes, return_inverse=True)
-                mark = np.zeros(int(codes.max()) + 1, bool)
-                links = np.zeros(len(names), np.int64)
-                root = list(range(len(names)))
+                _, codes = np.unique(np.frombuffer(b"".join(sets), np.uint64), return_inverse=True)
+                mark = np.zeros(int(codes.max(initial=-1)) + 1, bool)
+                links, root = np.zeros(e - s, np.int64), list(range(e - s))
 
                 def find(x, root=root):
                     while root[x] != x:
@@ -219,32 +224,44 @@ def _verify(threshold: float):
                         x = root[x]
                     return x
 
-                for key, partners in wanted.items():
-                    if not partners:
-                        continue
-                    a = place[key]
-                    b = np.array([place[p] for p in partners], np.int64)
-                    mine = codes[at[a] : at[a + 1]]
-                    mark[mine] = True
-                    common = np.add.reduceat(mark[codes[ranges(at[b], size[b])]].astype(np.int64), starts_of(size[b])[:-1])
-                    mark[mine] = False
-                    linked = b[common >= threshold * (size[a] + size[b] - common) - 1e-9]
-                    links[a] += len(linked)
-                    links[linked] += 1
-                    for x in linked.tolist():
-                        p, q = find(a), find(x)
-                        root[max(p, q)] = min(p, q)
+                for first, second in _candidates(bucket[s:e], i[s:e], j[s:e], block[s:e], sig[s:e], need):
+                    starts = np.flatnonzero(np.diff(first, prepend=-1))
+                    for a, partners in zip(first[starts].tolist(), np.split(second, starts[1:]), strict=True):
+                        mine = codes[at[a] : at[a + 1]]
+                        mark[mine] = True
+                        common = segment_sums(mark[codes[ranges(at[partners], size[partners])]].astype(np.int64), size[partners])
+                        mark[mine] = False
+                        linked = partners[common >= threshold * (size[a] + size[partners] - common) - 1e-9]
+                        links[a] += len(linked)
+                        links[linked] += 1
+                        for x in linked.tolist():
+                            p, q = find(a), find(x)
+                            if p != q:
+                                low, high = (p, q) if keys[p] < keys[q] else (q, p)
+                                root[high] = low
                 for x in np.flatnonzero(links).tolist():
-                    out[0].append(names[x])
+                    out[0].append(keys[x])
                     out[1].append(int(links[x]))
-                    out[2].append(names[find(x)])
+                    out[2].append(keys[find(x)])
             if out[0]:
                 yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.binary()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.binary())], ["key", "links", "root"])
 
     return run
 
 
-def similar_documents(docs: DataFrame, *, threshold: float = THRESHOLD, tolerance: float = TOLERANCE, block: int = BLOCK) -> DataFrame:
+def _in_blocks(placed: DataFrame) -> DataFrame:
+    """Rows (bucket, blocks, key, ...) in a random block of their bucket, once for each pair of blocks that it is in."""
+    mine = F.pmod(F.xxhash64("key", "bucket"), F.col("blocks").cast("long")).cast("int")
+    rest = [c for c in placed.columns if c not in ("bucket", "blocks", "key")]
+    dealt = placed.select("bucket", "key", *rest, mine.alias("block"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("with"))
+    return dealt.select("bucket", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "key", *rest)
+
+
+def _grouped(df: DataFrame) -> DataFrame:
+    return df.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "block")
+
+
+def similar_documents(docs: DataFrame, *, threshold: float = THRESHOLD, tolerance: float = TOLERANCE, block: int = BLOCK, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row for each document: doc_id, class_id, n_links, n_copies, text_key.
 
     Documents of equal text share ``text_key``; ``n_copies`` counts them, itself included. ``n_links`` is the number
@@ -253,41 +270,43 @@ def similar_documents(docs: DataFrame, *, threshold: float = THRESHOLD, toleranc
     shingle; texts without a word link with nothing and are only copies of equal texts (null counts as empty). A null
     doc_id is never the least unless a class has no other. Other columns are not read.
     """
-    return _classes(docs, threshold, tolerance, block).drop("component")
+    return _classes(docs, threshold, tolerance, block, block_bytes).drop("component")
 
 
-def _classes(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE, block: int = BLOCK) -> DataFrame:
+def _classes(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE, block: int = BLOCK, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``similar_documents`` with the class's own key, ``component``."""
     rows = docs.select("doc_id", F.unhex(F.md5(text_of())).alias("key"), text_of().alias("text"))
     sketches = rows.select("key", "text").mapInArrow(_sketch, "key binary, sig binary")
     sketches = materialize(sketches.groupBy("key").agg(F.first("sig").alias("sig")), "sketches")
 
     banded = sketches.mapInArrow(_bands, "bucket long, key binary")
-    sizes = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    blocks = F.ceil(F.col("n") / block).cast("int")
-    mine = F.pmod(F.xxhash64("key", "bucket"), blocks.cast("long")).cast("int")
-    placed = banded.join(sizes, "bucket").select("bucket", "key", blocks.alias("blocks"), mine.alias("block"))
-    placed = placed.select("bucket", "key", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("with"))
-    grouped = placed.select("bucket", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "key").join(sketches, "key")
-    grouped = grouped.select("bucket", "i", "j", "block", "key", "sig").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "block")
-    left = materialize(grouped.mapInArrow(_prune(tolerance, threshold), "bucket long, i int, j int, key binary, partners array<binary>"), "candidates")
+    sizes = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
+    met = _in_blocks(banded.join(sizes, "bucket")).join(sketches, "key").select("bucket", "i", "j", "block", "key", "sig")
+    left = _grouped(met).mapInArrow(_prune(tolerance, threshold), "bucket long, key binary").distinct()
+    left = materialize(left, "candidates")
 
     # The keys grow with the input: never broadcast.
     needed = left.select("key").distinct().hint("merge")
     # One text a class, chosen before the shuffle: a class of very many copies does not meet in one task.
     texts = rows.groupBy("key").agg(F.first("text").alias("text")).join(needed, "key", "left_semi")
-    dealt = left.join(texts, "key").select("bucket", "i", "j", "key", "partners", "text").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-    links = materialize(dealt.mapInArrow(_verify(threshold), "key binary, links long, root binary"), "links")
+    sets = materialize(texts.mapInArrow(_hashed, "key binary, hashes binary").join(sketches, "key"), "shingles")
+    sized = left.join(sets.select("key", F.octet_length("hashes").cast("long").alias("bytes")), "key")
+    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / block), F.ceil(F.sum("bytes") / block_bytes)).cast("int")
+    placed = _in_blocks(left.join(sized.groupBy("bucket").agg(blocks.alias("blocks")), "bucket"))
+    dealt = _grouped(placed.join(sets, "key").select("bucket", "i", "j", "block", "key", "sig", "hashes"))
+    links = materialize(dealt.mapInArrow(_verify(tolerance, threshold), "key binary, links long, root binary"), "links")
 
     members = connected_components(links.select(F.col("key").alias("u"), F.col("root").alias("v")))
     counts = links.groupBy("key").agg(F.sum("links").alias("n_links"))
     linked = counts.join(members.withColumnRenamed("node", "key"), "key").select("key", "n_links", "component")
-    ids = rows.select("doc_id", "key")
-    copies = ids.groupBy("key").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n_copies"))
+    # Rows of one text are dealt into parts, and its class has a row for each part that there is.
+    ids = rows.select("doc_id", "key", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("short").alias("part"))
+    copies = ids.groupBy("key", "part").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n"))
+    copies = copies.groupBy("key").agg(F.min("least").alias("least"), F.sum("n").alias("n_copies"), F.collect_list("part").alias("parts"))
     classes = materialize(copies.join(linked, "key", "left").withColumn("component", F.coalesce("component", "key")), "classes")
     named = classes.groupBy("component").agg(F.min("least").alias("class_id"))
-    per_key = classes.join(named, "component").select("key", "component", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), "n_copies")
-    return ids.join(per_key, "key").select("doc_id", "class_id", "n_links", "n_copies", F.lower(F.hex("key")).alias("text_key"), "component")
+    per_key = classes.join(named, "component").select("key", F.explode("parts").alias("part"), "component", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), "n_copies")
+    return ids.join(per_key, ["key", "part"]).select("doc_id", "class_id", "n_links", "n_copies", F.lower(F.hex("key")).alias("text_key"), "component")
 
 
 def keep_one(docs: DataFrame, **params) -> DataFrame:
@@ -299,9 +318,12 @@ def keep_one(docs: DataFrame, **params) -> DataFrame:
     # By the component: different classes may have the same least id.
     place = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("text_key"))
     chosen = found.groupBy("component").agg(F.min_by(F.struct("doc_id", "text_key"), place).alias("row")).select("row.*")
-    kept = chosen.select(_row_key(F.col("doc_id"), F.col("text_key")).alias("aw_row_key"))
-    rows = docs.withColumn("aw_row_key", _row_key(F.col("doc_id"), F.md5(text_of())))
-    return rows.join(kept, "aw_row_key", "left_semi").dropDuplicates(["aw_row_key"]).drop("aw_row_key")
+    name = "row_key"
+    while name.lower() in [c.lower() for c in docs.columns]:
+        name += "_"
+    kept = chosen.select(_row_key(F.col("doc_id"), F.col("text_key")).alias(name))
+    rows = docs.withColumn(name, _row_key(F.col("doc_id"), F.md5(text_of())))
+    return rows.join(kept, name, "left_semi").dropDuplicates([name]).drop(name)
 
 
 def _row_key(doc_id: Column, text_key: Column) -> Column:

@@ -115,11 +115,12 @@ def near_texts(seed=1, groups=6, size=14):
     return out
 
 
-@pytest.mark.parametrize("block", [256, 3])
-def test_op3_is_exact(spark, none, block):
-    texts = [*made(), *near_texts(), *near_texts()[:7]]
+@pytest.mark.parametrize(("block", "block_bytes"), [(2048, 8 << 20), (3, 8 << 20), (2048, 5000)])
+def test_op3_is_exact(spark, none, block, block_bytes):
+    long_ = [f"v{i}" for i in range(60_000)]
+    texts = [*made(), *near_texts(), *near_texts()[:7], " ".join(long_), " ".join([*long_, "end"]), *[near_texts()[0]] * 40]
     df = spark.createDataFrame([(i, t, 5) for i, t in enumerate(texts)], "doc_id long, text string, n_links int").repartition(4)
-    got = {r.doc_id: r for r in jaccard.similar_documents(df, block=block).collect()}
+    got = {r.doc_id: r for r in jaccard.similar_documents(df, block=block, block_bytes=block_bytes).collect()}
     assert len(got) == len(texts)
     different = sorted({t or "" for t in texts})
     sets, root = [shingles(t) for t in different], list(range(len(different)))
@@ -143,8 +144,28 @@ def test_op3_is_exact(spark, none, block):
     for i, t in enumerate(texts):
         k = different.index(t or "")
         assert (got[i].class_id, got[i].n_links, got[i].n_copies) == (least[find(k)], links[k], sum((x or "") == (t or "") for x in texts))
-    kept = jaccard.keep_one(df)
-    assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == sorted(least.values())
+    kept = jaccard.keep_one(df.withColumnRenamed("n_links", "row_key"))
+    assert kept.columns == ["doc_id", "text", "row_key"] and sorted(r.doc_id for r in kept.collect()) == sorted(least.values())
+
+
+def test_op3_candidates_grow_with_the_family(spark, monkeypatch):
+    """Rows of candidates of families of near copies: in proportion to the family, not to its pairs."""
+    seen, write = {}, jaccard.materialize
+
+    def counted(df, name):
+        out = write(df, name)
+        seen[name] = out.count()
+        return out
+
+    monkeypatch.setattr(jaccard, "materialize", counted)
+    rows = {}
+    for n in (300, 600, 1200):
+        texts = [" ".join("x" if k == i % 200 else f"{w}-{i // 200}" if k == i % 200 + 1 else w for k, w in enumerate(f"w{k}" for k in range(202))) for i in range(n)]
+        df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+        got = jaccard.similar_documents(df).agg(F.min("n_links"), F.max("class_id")).first()
+        assert got == (len(set(texts)) - 1, 0)
+        rows[n] = seen["candidates"]
+    assert rows[1200] < 4.6 * rows[300]
 
 
 def test_op3_empty_and_null_ids(spark, none):
