@@ -1,23 +1,28 @@
 """Quality rules with line labels: a linear-chain conditional random field marks lines as content or boilerplate.
 
 Viterbi decoding labels the lines of each whole text; the share of characters in content lines decides retention,
-after fixed base rules. The field is trained here on a bounded sample of labelled documents.
+after fixed base rules. The field is trained here on a bounded sample of labelled documents. Labels stand on documents,
+so lines get theirs from three sources: what kind of documents hold the same line, the document's own label, and, for
+lines of rejected documents that no other document holds, what lines of that look are elsewhere.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_texts, coded_words, pieces, segment_sums, starts_of, text_of
+from .common import byte_texts, coded_words, pieces, ranges, segment_sums, starts_of, text_of
 
 #: Fixed values of the base rules.
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS, MAX_REPEAT = 50, 50
 #: A training sample has at most so many labelled documents, and so many lines of each.
 SAMPLE_DOCS, SAMPLE_LINES = 2000, 100
+#: Rounds in which the lines of rejected documents are labelled anew.
+LABEL_ROUNDS = 5
 #: Content must make up this share of the characters.
 CONTENT_SHARE = 0.5
 FEATURES = ["bias", "symbols", "uppercase", "digits", "sentence_end", "exclaims", "bars", "short", "long_words", "repeated", "first", "log_words"]
@@ -127,70 +132,116 @@ class LineField:
         return labels
 
     @staticmethod
-    def train(features: np.ndarray, counts: np.ndarray, labels: np.ndarray, *, rounds: int = 150, rate: float = 0.1, penalty: float = 1e-3) -> LineField:
-        """Maximum likelihood by Adam, with forward-backward over padded sequences. No lines: all content."""
-        emit, move = np.zeros((features.shape[1] if features.ndim == 2 else len(FEATURES), 2)), np.zeros((2, 2))
-        keep = counts > 0
-        if not keep.any():
+    def train(features: np.ndarray, counts: np.ndarray, labels: np.ndarray, *, rounds: int = 200, rate: float = 0.1, penalty: float = 1e-3, near: float = 1e-3) -> LineField:
+        """Maximum likelihood by Adam with scaled forward-backward, until no slope exceeds ``near``. No lines: all content.
+
+        Lines are put in order of their place, texts from the longest down, so each step works on neighbours in memory.
+        """
+        emit, move = np.zeros((len(FEATURES) if not features.size else features.shape[1], 2)), np.zeros((2, 2))
+        if not len(features):
             emit[0, CONTENT] = 1.0
             return LineField(emit, move)
-        at = starts_of(counts)[:-1][keep]
-        counts = counts[keep]
-        n, steps = len(counts), int(counts.max())
-        index = at[:, None] + np.minimum(np.arange(steps), counts[:, None] - 1)
-        mask = np.arange(steps) < counts[:, None]
-        gold = labels[index]
-        one_hot = np.eye(2)[gold] * mask[..., None]
-        pairs = np.einsum("nti,ntj->ij", one_hot[:, :-1], one_hot[:, 1:])
-        x = features[index] * mask[..., None]
-        gold_emit = np.einsum("ntf,nti->fi", x, one_hot)
-        params = np.concatenate([emit.ravel(), move.ravel()])
+        begin = starts_of(counts)[:-1]
+        order = np.argsort(-counts, kind="stable")
+        live = np.searchsorted(-counts[order], -np.arange(int(counts.max())), side="left")
+        places = np.concatenate([begin[order[:m]] + k for k, m in enumerate(live)])
+        x, gold = features[places], np.eye(2)[labels[places]]
+        at = starts_of(live)
+        later = np.arange(live[0], len(x))
+        former = ranges(at[:-2], live[1:])
+        gold_emit, gold_move = x.T @ gold, gold[former].T @ gold[later]
+        params = np.zeros(emit.size + 4)
         m1, m2 = np.zeros_like(params), np.zeros_like(params)
-        add = np.logaddexp
         for r in range(1, rounds + 1):
-            emit, move = params[: emit.size].reshape(emit.shape), params[emit.size :].reshape(2, 2)
-            s = x @ emit
-            fwd, bwd = np.zeros((n, steps, 2)), np.zeros((n, steps, 2))
-            fwd[:, 0] = s[:, 0]
-            for t in range(1, steps):
-                step = add(fwd[:, t - 1, 0, None] + move[0], fwd[:, t - 1, 1, None] + move[1]) + s[:, t]
-                fwd[:, t] = np.where(mask[:, t, None], step, fwd[:, t - 1])
-            for t in range(steps - 2, -1, -1):
-                nxt = bwd[:, t + 1] + s[:, t + 1]
-                step = add(move[:, 0] + nxt[:, 0, None], move[:, 1] + nxt[:, 1, None])
-                bwd[:, t] = np.where(mask[:, t + 1, None], step, 0)
-            z = add(fwd[:, -1, 0], fwd[:, -1, 1])
-            each = np.exp(fwd + bwd - z[:, None, None]) * mask[..., None]
-            both = np.exp(fwd[:, :-1, :, None] + move + (s[:, 1:] + bwd[:, 1:])[:, :, None, :] - z[:, None, None, None]) * mask[:, 1:, None, None]
-            grad = np.concatenate([(gold_emit - np.einsum("ntf,nti->fi", x, each)).ravel(), (pairs - both.sum((0, 1))).ravel()]) / n - penalty * params
+            emit, move = params[: emit.size].reshape(emit.shape), np.exp(params[emit.size :].reshape(2, 2))
+            score = x @ emit
+            local = np.exp(score - score.max(1, keepdims=True))
+            ahead, scale = np.empty_like(local), np.empty((len(x), 1))
+            for k, m in enumerate(live):
+                a, b = at[k], at[k] + m
+                now = local[a:b] if not k else (ahead[at[k - 1] : at[k - 1] + m] @ move) * local[a:b]
+                scale[a:b] = now.sum(1, keepdims=True)
+                ahead[a:b] = now / scale[a:b]
+            local /= scale
+            behind = np.ones_like(local)
+            for k in range(len(live) - 2, -1, -1):
+                a, b = at[k + 1], at[k + 2]
+                behind[at[k] : at[k] + live[k + 1]] = (local[a:b] * behind[a:b]) @ move.T
+            both = (ahead[former].T @ (local * behind)[later]) * move
+            grad = np.concatenate([(gold_emit - x.T @ (ahead * behind)).ravel(), (gold_move - both).ravel()]) / len(counts) - penalty * params
+            if np.abs(grad).max() < near:
+                break
             m1, m2 = 0.9 * m1 + 0.1 * grad, 0.99 * m2 + 0.01 * grad**2
             params = params + rate * (m1 / (1 - 0.9**r)) / (np.sqrt(m2 / (1 - 0.99**r)) + 1e-8)
         return LineField(params[: emit.size].reshape(emit.shape), params[emit.size :].reshape(2, 2))
 
 
+def line_labels(features: np.ndarray, hashes: np.ndarray, doc: np.ndarray, quality: np.ndarray) -> np.ndarray:
+    """A label for each line of a sample; ``doc`` is the line's document, ``quality`` 1 or 0 for each document.
+
+    A line held by several documents is boilerplate where most of them are rejected ones. Other lines of accepted
+    documents are content. Other lines of rejected documents begin as boilerplate; then a model of single lines is
+    fitted, and they take the label that it gives them, until nothing changes. The line of a rejected document that
+    looks most like boilerplate stays boilerplate, as something made it be rejected.
+    """
+    bad = quality[doc] == 0
+    _, line = np.unique(hashes, return_inverse=True)
+    pairs = np.unique(line * len(quality) + doc)
+    holders = np.bincount(pairs // len(quality))
+    rejected = np.bincount(pairs // len(quality), weights=quality[pairs % len(quality)] == 0)
+    several = holders[line] > 1
+    labels = np.where(several, 2 * rejected[line] > holders[line], bad).astype(np.int64)
+    open_ = bad & ~several
+    for _ in range(LABEL_ROUNDS):
+        model = LineField.train(features, np.ones(len(features), np.int64), labels)
+        lead = (features @ model.emit) @ np.array([-1.0, 1.0])
+        new = np.where(open_, lead > 0, labels)
+        order = np.lexsort((-lead, doc))
+        first = order[np.flatnonzero(np.diff(doc[order], prepend=-1))]
+        new[first[open_[first]]] = BOILERPLATE
+        if (new == labels).all():
+            break
+        labels = new
+    return labels
+
+
 def _sample_rows(batches):
     for batch in pieces(batches, "text"):
         lines, counts = lines_of(byte_texts(batch, "text"))
         features, _ = line_features(lines, counts)
         at = starts_of(counts)
-        rows = [features[a : min(b, a + SAMPLE_LINES)].ravel().tolist() for a, b in zip(at[:-1], at[1:], strict=True)]
-        yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index("quality")), pa.array(rows, pa.list_(pa.float64()))], ["quality", "features"])
+        cut = [slice(a, min(b, a + SAMPLE_LINES)) for a, b in zip(at[:-1], at[1:], strict=True)]
+        hashes = [[xxhash.xxh3_64_intdigest(x) >> 1 for x in lines[c]] for c in cut]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([features[c].ravel().tolist() for c in cut], pa.list_(pa.float64())), pa.array(hashes, pa.list_(pa.int64()))], ["doc_id", "quality", "features", "hashes"])
+
+
+def labelled_lines(docs: DataFrame, labels: DataFrame, *, sample_docs: int = SAMPLE_DOCS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features, lines of each document and line labels of the training sample (see ``train_field``)."""
+    chosen = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.max("quality").cast("int").alias("quality"))
+    chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs)
+    rows = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(chosen), "doc_id")
+    rows = rows.groupBy("doc_id").agg(F.first("quality").alias("quality"), F.min("text").alias("text"))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    found = rows.mapInArrow(_sample_rows, f"doc_id {kind}, quality int, features array<double>, hashes array<long>").collect()
+    # At most ``sample_docs`` rows, in an order that no partitioning changes.
+    found = sorted((r for r in found if r.hashes), key=lambda r: r.doc_id)
+    counts = np.array([len(r.hashes) for r in found], np.int64)
+    features = np.concatenate([np.zeros(0), *(np.asarray(r.features, float) for r in found)]).reshape(-1, len(FEATURES))
+    hashes = np.array([h for r in found for h in r.hashes], np.int64)
+    quality = np.array([r.quality != 0 for r in found], np.int64)
+    if not len(found):
+        return features, counts, hashes
+    return features, counts, line_labels(features, hashes, np.repeat(np.arange(len(found)), counts), quality)
 
 
 def train_field(docs: DataFrame, labels: DataFrame, *, sample_docs: int = SAMPLE_DOCS) -> LineField:
     """Fit the field on at most ``sample_docs`` labelled documents (the smallest id hashes).
 
-    Lines of documents of quality 1 count as content, of quality 0 as boilerplate. Documents without a label, with
-    a null label or a null text are not used. Only feature rows of the sample reach the driver.
+    Documents without a label, with a null label or a null text are not used; of labels of one id the best counts, of
+    documents of one id the least text. Only feature rows of the sample reach the driver. The field is the same on any
+    partitioning of the tables.
     """
-    chosen = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.max("quality").cast("int").alias("quality"))
-    chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs)
-    rows = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(chosen), "doc_id").select("quality", "text")
-    found = rows.mapInArrow(_sample_rows, "quality int, features array<double>").limit(4 * sample_docs).collect()
-    counts = np.array([len(r.features) // len(FEATURES) for r in found], np.int64)
-    features = np.concatenate([np.zeros(0), *(np.asarray(r.features, float) for r in found)]).reshape(-1, len(FEATURES))
-    kinds = np.repeat(np.array([CONTENT if r.quality else BOILERPLATE for r in found], np.int64), counts)
-    return LineField.train(features, counts, kinds)
+    return LineField.train(*labelled_lines(docs, labels, sample_docs=sample_docs))
 
 
 def judge(texts: list[bytes], field: LineField, content_share: float = CONTENT_SHARE) -> dict[str, np.ndarray]:
