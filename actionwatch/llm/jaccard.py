@@ -281,6 +281,8 @@ def _classes(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = T
 
     banded = sketches.mapInArrow(_bands, "bucket long, key binary")
     sizes = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
+    # Written apart: the join then has an exchange on both sides, and Spark can split a bucket of very many classes.
+    sizes = materialize(sizes, "bucket-blocks")
     met = _in_blocks(banded.join(sizes, "bucket")).join(sketches, "key").select("bucket", "i", "j", "block", "key", "sig")
     left = _grouped(met).mapInArrow(_prune(tolerance, threshold), "bucket long, key binary").distinct()
     left = materialize(left, "candidates")
@@ -292,7 +294,7 @@ def _classes(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = T
     sets = materialize(texts.mapInArrow(_hashed, "key binary, hashes binary").join(sketches, "key"), "shingles")
     sized = left.join(sets.select("key", F.octet_length("hashes").cast("long").alias("bytes")), "key")
     blocks = F.greatest(F.ceil(F.count(F.lit(1)) / block), F.ceil(F.sum("bytes") / block_bytes)).cast("int")
-    placed = _in_blocks(left.join(sized.groupBy("bucket").agg(blocks.alias("blocks")), "bucket"))
+    placed = _in_blocks(left.join(materialize(sized.groupBy("bucket").agg(blocks.alias("blocks")), "verified-blocks"), "bucket"))
     dealt = _grouped(placed.join(sets, "key").select("bucket", "i", "j", "block", "key", "sig", "hashes"))
     links = materialize(dealt.mapInArrow(_verify(tolerance, threshold), "key binary, links long, root binary"), "links")
 
