@@ -3,15 +3,19 @@
 A rolling hash cuts texts into chunks at places that depend on the bytes nearby, so a passage gives the same chunks
 wherever it stands. Chunk fingerprints are counted over the whole corpus. Texts without a shared chunk are encoded
 where they are read. In the others, each shared chunk is encoded once, for all texts, and handed to those that hold
-it; their own chunks are encoded beside it. Where two chunks meet, the text around the join is encoded again, from
-the last sure token end before it to the first after it (see ``chunks``), so the result equals that of the whole.
-
-A fixed-size Bloom filter of shared fingerprints decides which way a text goes. It can take a chunk for shared that
-is not; that chunk then only goes the longer way. If the filter fills up, all texts go that way, with equal results.
+it; their own chunks are encoded beside it. A chunk may end inside a word, so the ids next to a join of two chunks can
+be wrong. Each join is repaired: a window around it is encoded again, and its first and last words must have the same
+ids there, in the chunk on that side, and alone; where they do not agree, the window grows and is encoded again, up to
+the whole text. What then stands left and right of the windows is taken from the chunks.
+
+A Bloom filter of shared fingerprints, sized by their number up to ``FILTER_WORDS``, decides which way a text goes. It
+can take a chunk for shared that is not; that chunk then only goes the longer way. Beyond that size the filter fills up
+and more texts go that way, with equal results.
 """
 
 from __future__ import annotations
 
+import bisect
 from functools import lru_cache
 
 import numpy as np
@@ -21,14 +25,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from .chunks import first_cut, last_cut
-from .common import byte_texts, pieces, ranges, starts_of, text_of
+from .chunks import CUT, last_cut
+from .common import byte_texts, materialize, pieces, ranges, starts_of, text_of
 from .encoder import tokenizer, word_encoder
 
 #: A chunk has about 2 ** MASK_BITS bytes; the rolling hash covers 16 bytes.
 MASK_BITS = 11
-#: The filter has so many 64-bit words: 2 MiB, whatever the input.
-FILTER_WORDS = 1 << 18
+#: The filter has 16 bits for each shared fingerprint, but between so many 64-bit words: 8 KiB to 16 MiB.
+LEAST_WORDS, FILTER_WORDS = 1 << 10, 1 << 21
 _RANDOM = np.random.RandomState(7).randint(1, 1 << 31, 256, dtype=np.int64).astype(np.uint32)
 _M = np.array([0x9E3779B1], np.uint32)
 
@@ -71,10 +75,10 @@ def _short(prints: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(prints), "<i8")[::2] if prints else np.empty(0, np.int64)
 
 
-def _slots(short: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+def _slots(short: np.ndarray, words: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """Two (word, bit) places of each fingerprint."""
     u = short.astype(np.uint64)
-    return [((u >> np.uint64(s)) & np.uint64(FILTER_WORDS - 1), np.uint64(1) << ((u >> np.uint64(s + 20)) & np.uint64(63))) for s in (0, 32)]
+    return [((u >> np.uint64(s)) & np.uint64(words - 1), np.uint64(1) << ((u >> np.uint64(s + 22)) & np.uint64(63))) for s in (0, 32)]
 
 
 def shared_filter(rows: DataFrame) -> np.ndarray:
@@ -87,21 +91,23 @@ def shared_filter(rows: DataFrame) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(values), pa.array(times)], ["print", "n"])
 
     counted = rows.select("text").mapInArrow(count, "print long, n long").groupBy("print").agg(F.sum("n").alias("n")).where("n > 1")
+    shared = materialize(counted.select("print"), "shared-prints")
+    words = min(max(LEAST_WORDS, 1 << (shared.count() // 4).bit_length()), FILTER_WORDS)
 
     def places(batches):
         for batch in batches:
-            both = _slots(batch.column(0).to_numpy())
+            both = _slots(batch.column(0).to_numpy(), words)
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([w for w, _ in both]).astype(np.int64)), pa.array(np.concatenate([b for _, b in both]).view(np.int64))], ["word", "bits"])
 
-    found = counted.select("print").mapInArrow(places, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
-    out = np.zeros(FILTER_WORDS, np.uint64)
+    found = shared.mapInArrow(places, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    out = np.zeros(words, np.uint64)
     out[found.column(0).to_numpy()] = found.column(1).to_numpy().view(np.uint64)
     return out
 
 
 def _hits(prints: list[bytes], bloom: np.ndarray) -> np.ndarray:
     hit = np.ones(len(prints), bool)
-    for word, bit in _slots(_short(prints)):
+    for word, bit in _slots(_short(prints), len(bloom)):
         hit &= (bloom[word] & bit) != 0
     return hit
 
@@ -119,17 +125,123 @@ def _id_lists(ids: np.ndarray, counts: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(starts_of(counts), pa.int32()), pa.array(ids.astype(np.int32)))
 
 
-def body(chunk: bytes) -> bytes:
-    """The part of a chunk between its first and last sure token ends."""
-    a = first_cut(chunk)
-    return b"" if a < 0 else chunk[a : last_cut(chunk)]
+def cut_before(text: bytes, at: int) -> int:
+    """The last sure token end at or before a place; 0 without one."""
+    reach = 256
+    while True:
+        low = max(0, at + 1 - reach)
+        if (found := last_cut(text[low : at + 1])) > 0:
+            return low + found
+        if not low:
+            return 0
+        reach *= 8
+
+
+def cut_after(text: bytes, at: int) -> int:
+    """The first sure token end after a place; the text's end without one."""
+    m = CUT.search(text, at)
+    return m.end() if m else len(text)
+
+
+def windows_of(text: bytes, borders: list[int], words: int) -> list[tuple[int, int, int, int]]:
+    """(begin, end of the first word, begin of the last word, end) of the windows around the inner chunk borders.
+
+    A window has ``words`` sure token ends on either side of its border, and one word more. Windows that meet are one.
+    """
+    out: list[tuple[int, int, int, int]] = []
+    for border in borders:
+        left = border
+        for _ in range(words):
+            left = cut_before(text, left - 1) if left > 0 else 0
+        right = border
+        for _ in range(words):
+            right = cut_after(text, right)
+        begin = cut_before(text, left - 1) if left > 0 else 0
+        new = (begin, left, right, cut_after(text, right))
+        if out and begin <= out[-1][3]:
+            new = (*out.pop()[:2], *new[2:])
+        out.append(new)
+    return out
+
+
+def join_chunks(texts: list[bytes], chunks: list[list[bytes]], known: dict[tuple[int, int], np.ndarray], encode) -> list[np.ndarray]:
+    """Ids of whole texts from the ids of their chunks; ``known`` has some of them, by (text, chunk).
+
+    ``encode`` gives all ids of a list of texts and the number of ids of each.
+    """
+
+    def encoded(parts: list[bytes]) -> list[np.ndarray]:
+        ids, counts = encode(parts)
+        at = starts_of(counts)
+        return [ids[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
+
+    own = [(i, k) for i, cs in enumerate(chunks) for k in range(len(cs)) if (i, k) not in known]
+    ids = known | dict(zip(own, encoded([chunks[i][k] for i, k in own]), strict=True))
+    out: list[np.ndarray] = [np.empty(0, np.uint32)] * len(texts)
+    todo, words = list(range(len(texts))), 1
+    while todo:
+        parts: list[bytes] = []
+        plans = []
+        for i in todo:
+            edges = starts_of(np.fromiter(map(len, chunks[i]), np.int64, len(chunks[i]))).tolist()
+            found = windows_of(texts[i], edges[1:-1], words)
+            # What the windows leave of each chunk: between the end of one window and the begin of the next.
+            gaps = zip([0, *(w[3] for w in found)], [*(w[0] for w in found), len(texts[i])], strict=True)
+            plan = []
+            for n, (a, b) in enumerate(gaps):
+                k = max(bisect.bisect_right(edges, a) - 1, 0)
+                if a < b:
+                    plan.append((k, len(parts), n))
+                    parts += [texts[i][edges[k] : a], texts[i][b : edges[k + 1]]]
+                if n < len(found):
+                    begin, left, right, end = found[n]
+                    plan.append((None, len(parts), n))
+                    parts += [texts[i][begin:end], texts[i][begin:left], texts[i][right:end]]
+            plans.append((i, found, plan))
+        made = encoded(parts)
+        again = []
+        for i, found, plan in plans:
+            agreed, pieces_ = True, []
+            for k, at, n in plan:
+                if k is None:
+                    whole, first, last = made[at : at + 3]
+                    agreed &= _starts(whole, first) and _ends(whole, last)
+                    pieces_.append(whole)
+                    continue
+                have, before, after = ids[i, k], made[at], made[at + 1]
+                agreed &= len(before) + len(after) <= len(have) and _starts(have, before) and _ends(have, after)
+                # The words at the windows' inner edges, once more: in the chunk as in the window.
+                if n:
+                    agreed &= _ends(before, encoded_word(made, plan, n - 1, 2))
+                if n < len(found):
+                    agreed &= _starts(after, encoded_word(made, plan, n, 1))
+                pieces_.append(have[len(before) : len(have) - len(after)])
+            if agreed:
+                out[i] = np.concatenate(pieces_) if pieces_ else out[i]
+            else:
+                again.append(i)
+        todo, words = again, 2 * words
+    return out
+
+
+def encoded_word(made: list[np.ndarray], plan: list[tuple], window: int, which: int) -> np.ndarray:
+    """Ids of a window's first (1) or last (2) word alone."""
+    return next(made[at + which] for k, at, n in plan if k is None and n == window)
+
+
+def _starts(ids: np.ndarray, part: np.ndarray) -> bool:
+    return len(part) <= len(ids) and bool((ids[: len(part)] == part).all())
+
+
+def _ends(ids: np.ndarray, part: np.ndarray) -> bool:
+    return len(part) <= len(ids) and bool((ids[len(ids) - len(part) :] == part).all())
 
 
 def encode_documents(docs: DataFrame, *, tokenizer_path: str, decode: bool = False) -> DataFrame:
     """(doc_id, ids array<int>) of each document's whole text, as the library gives them without special tokens.
 
-    With ``decode`` also ``decoded``, the library's decoding of the ids. A null text is empty and has no ids. Equal texts are encoded once; repeated rows and equal ids all come out.
-    Columns other than doc_id and text are not read. The tokenizer must drop white space (``encoder``).
+    With ``decode`` also ``decoded``, the library's decoding of the ids. A null text is empty and has no ids. Equal
+    texts with shared chunks are encoded once; repeated rows and equal ids all come out. Columns other than doc_id and text are not read. The tokenizer must drop white space (``encoder``).
     """
     spark = docs.sparkSession
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -168,11 +280,11 @@ def encode_documents(docs: DataFrame, *, tokenizer_path: str, decode: bool = Fal
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(keys)), pa.array(number[which]), pa.array([prints[i] for i in which], pa.binary())], ["key", "number", "print"])
 
     def bodies(batches):
-        """(print, body) of all shared chunks, each once a batch."""
+        """(print, chunk) of all shared chunks, each once a batch."""
         for batch in pieces(batches, "text"):
             chunks, prints, hit, _ = _marked(byte_texts(batch, "text"), bloom.value)
             flat = [c for cs in chunks for c in cs]
-            own = {prints[i]: body(flat[i]) for i in np.flatnonzero(hit)}
+            own = {prints[i]: flat[i] for i in np.flatnonzero(hit)}
             yield pa.RecordBatch.from_arrays([pa.array(list(own), pa.binary()), pa.array(list(own.values()), pa.binary())], ["print", "body"])
 
     def encode_bodies(batches):
@@ -182,53 +294,29 @@ def encode_documents(docs: DataFrame, *, tokenizer_path: str, decode: bool = Fal
             yield pa.RecordBatch.from_arrays([batch.column(0), _id_lists(ids, counts)], ["print", "ids"])
 
     def assemble(batches):
-        """Put texts together from shared ids, own chunks and encoded joins."""
+        """Put texts together from shared and own chunks."""
         encoder = word_encoder(tokenizer_path)
         for batch in pieces(batches, "text"):
             texts = byte_texts(batch, "text")
             lists = batch.column(2)
             flat = lists.flatten()
             numbers, ids = flat.field("number").to_numpy(), flat.field("ids")
-            values, id_at = ids.values.to_numpy(zero_copy_only=False), ids.offsets.to_numpy()
-            per_text = starts_of(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
-            chunks = chunks_of(texts)
-            todo, plan, owner = [], [], []
-            for i, cs in enumerate(chunks):
-                ready = {int(numbers[x]): x for x in range(per_text[i], per_text[i + 1])}
-                joint = b""
-                for k, c in enumerate(cs):
-                    a = first_cut(c)
-                    if a < 0:
-                        joint += c
-                        continue
-                    plan.append(len(todo))
-                    todo.append(joint + c[:a])
-                    owner.append(i)
-                    b = last_cut(c)
-                    owner.append(i)
-                    if k in ready:
-                        x = ready[k]
-                        plan.append(values[id_at[x] : id_at[x + 1]].astype(np.uint32))
-                    else:
-                        plan.append(len(todo))
-                        todo.append(c[a:b])
-                    joint = c[b:]
-                plan.append(len(todo))
-                todo.append(joint)
-                owner.append(i)
-            ids, counts = encoder.encode(todo)
-            at = starts_of(counts)
-            parts = [ids[at[p] : at[p + 1]] if isinstance(p, int) else p for p in plan]
-            sizes = np.bincount(np.array(owner, np.int64), weights=[len(p) for p in parts], minlength=len(texts)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), _id_lists(np.concatenate(parts) if parts else np.empty(0, np.uint32), sizes)], ["key", "ids"])
+            values, id_at = ids.values.to_numpy(zero_copy_only=False).astype(np.uint32), ids.offsets.to_numpy()
+            owner = np.repeat(np.arange(len(texts)), lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+            known = {(int(i), int(k)): values[a:b] for i, k, a, b in zip(owner, numbers, id_at[:-1], id_at[1:], strict=True)}
+            whole = join_chunks(texts, chunks_of(texts), known, encoder.encode)
+            counts = np.fromiter(map(len, whole), np.int64, len(whole))
+            yield pa.RecordBatch.from_arrays([batch.column(0), _id_lists(np.concatenate(whole) if whole else np.empty(0, np.uint32), counts)], ["key", "ids"])
 
     columns = ", decoded string" if decode else ""
     done = rows.mapInArrow(alone, f"doc_id {kind}, ids array<int>{columns}")
     keyed = rows.select(F.unhex(F.md5("text")).alias("key"), "text")
-    encoded = rows.select("text").mapInArrow(bodies, "print binary, body binary").groupBy("print").agg(F.first("body").alias("body")).mapInArrow(encode_bodies, "print binary, ids array<int>")
-    refs = keyed.mapInArrow(held, "key binary, number long, print binary").distinct()
-    handed = refs.join(encoded, "print").groupBy("key").agg(F.collect_list(F.struct("number", "ids")).alias("known"))
+    # Equal texts once; what follows reads this table only.
     once = keyed.mapInArrow(sharing, "key binary, text string").groupBy("key").agg(F.first("text").alias("text"))
+    once = materialize(once, "sharing-texts")
+    encoded = once.select("text").mapInArrow(bodies, "print binary, body binary").groupBy("print").agg(F.first("body").alias("body")).mapInArrow(encode_bodies, "print binary, ids array<int>")
+    refs = once.mapInArrow(held, "key binary, number long, print binary")
+    handed = refs.join(encoded, "print").groupBy("key").agg(F.collect_list(F.struct("number", "ids")).alias("known"))
     whole = once.join(handed, "key", "left").select("key", "text", "known").mapInArrow(assemble, "key binary, ids array<int>")
     members = rows.select("doc_id", F.unhex(F.md5("text")).alias("key")).join(whole, "key").select("doc_id", "ids")
     if decode:

@@ -1,10 +1,7 @@
-"""Cutting texts where tokens surely end, so that parts are tokenized apart and put together again.
+"""Places in a text where a token surely ends.
 
-A position between a byte that is not ASCII white space and an ASCII white space ends a token of both tokenizer
-families used here, whatever stands before or after. A chunk of a text is summed up by three parts: its head (up to
-the first such position), its inside, its tail (from the last one). Two neighbours compose by joining the tail of
-the left with the head of the right; a chunk without such a position is all head. This composition is associative,
-so any tree of it gives the whole text's value.
+A position between a byte that is not ASCII white space and an ASCII white space ends a token of a tokenizer that drops
+white space, whatever stands before or after.
 """
 
 from __future__ import annotations
@@ -15,12 +12,6 @@ CUT = re.compile(rb"[^ \t\n\r\x0b\x0c](?=[ \t\n\r\x0b\x0c])")
 SPACES = b" \t\n\r\x0b\x0c"
 
 
-def first_cut(chunk: bytes) -> int:
-    """The first sure end of a token inside the chunk, or -1."""
-    m = CUT.search(chunk)
-    return m.end() if m else -1
-
-
 def last_cut(chunk: bytes) -> int:
     """The last sure end of a token inside the chunk, or -1."""
     at = len(chunk)
@@ -30,16 +21,3 @@ def last_cut(chunk: bytes) -> int:
             return at
     return -1
 
-
-def fixed_chunks(text: bytes, size: int) -> list[bytes]:
-    """Chunks of ``size`` bytes, moved back so as not to cut a character."""
-    if len(text) <= size:
-        return [text]
-    out, at = [], 0
-    while at < len(text):
-        to = min(len(text), at + size)
-        while to < len(text) and (text[to] & 0xC0) == 0x80:
-            to -= 1
-        out.append(text[at:to])
-        at = to
-    return out

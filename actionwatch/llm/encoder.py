@@ -39,13 +39,34 @@ def tokenizer(path: str):
     return t
 
 
+#: The word pattern that plain words and tails of punctuation are merged by.
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def require(spec: dict) -> None:
+    """Raise unless the tokenizer file is of the kind that ``WordEncoder`` merges words for."""
+    steps = [n.get("type") for n in (spec["normalizer"] or {}).get("normalizers", [])]
+    cuts = (spec["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+    model = spec["model"]
+    fits = {
+        "normalizer": steps == ["NFC", "Replace", "Lowercase"],
+        "word pattern": [c.get("type") for c in cuts] == ["Split", "ByteLevel"] and cuts[0]["pattern"].get("Regex") == WORD_PATTERN and cuts[0].get("invert") and cuts[0].get("behavior") == "Removed" and not cuts[1]["add_prefix_space"] and not cuts[1]["use_regex"],
+        "model": model["type"] == "BPE" and bool(model.get("end_of_word_suffix")) and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "byte_fallback", "ignore_merges")),
+        "added tokens": all(t["content"].startswith("<|") and not (t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"]) for t in spec["added_tokens"]),
+    }
+    if wrong := [name for name, good in fits.items() if not good]:
+        raise ValueError(f"the tokenizer is of another kind: {', '.join(wrong)}")
+
+
 class WordEncoder:
     """Ids of texts by distinct words. Valid only where white space separates tokens and is dropped."""
 
     def __init__(self, path: str):
         self.tokenizer = tokenizer(path)
         with open(path, encoding="utf-8") as f:
-            model = json.load(f)["model"]
+            spec = json.load(f)
+        require(spec)
+        model = spec["model"]
         vocab, end = model["vocab"], model["end_of_word_suffix"]
         letters = {b: c for c, b in byte_alphabet().items()}
         self.first = np.array([vocab[letters[b]] for b in range(256)], np.int32)

@@ -54,7 +54,9 @@ def write_tokens(docs: DataFrame, path: str, *, tokenizer_path: str, end_id: int
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    dealt = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
+    # Ranges cut by text hash too: the rows of one id, or without one, need not meet in one task.
+    rows = rows.withColumn("order", F.xxhash64("text"))
+    dealt = rows.repartitionByRange("doc_id", "order").sortWithinPartitions("doc_id", "order", "text").drop("order")
     dealt.mapInArrow(_encode(tokenizer_path, end_id), DATA).write.options(**(options or write_options())).parquet(f"{path}/data")
     meta = read_tokens(spark, path).select("doc_id", "part", "n_tokens")
     files = meta.groupBy("part").agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last_doc_id"), F.count(F.lit(1)).alias("documents"), F.sum("n_tokens").alias("tokens"))

@@ -64,6 +64,38 @@ def test_op1_files(spark, docs, none, tmp_path):
     assert token_output.token_digests(spark, f"{tmp_path}/none").count() == 0
 
 
+def test_op1_file_layout(spark, tmp_path):
+    """Encodings, bounded row groups and page indexes, as the footers have them."""
+    from pyarrow import parquet
+
+    path = f"{tmp_path}/tokens"
+    rows = spark.range(3000).select(F.col("id").alias("doc_id"), F.concat(F.lit("some words of text number "), "id").alias("text"))
+    token_output.write_tokens(rows.coalesce(1), path, tokenizer_path=public.path("word_bpe_49k.json"), end_id=2, options=token_output.write_options(row_group_mb=1, page_kb=4, page_rows=100))
+    for file in (tmp_path / "tokens" / "data").glob("*.parquet"):
+        meta = parquet.ParquetFile(file).metadata
+        for g in range(meta.num_row_groups):
+            assert meta.row_group(g).total_byte_size < 2 << 20
+            for c in range(5):
+                column = meta.row_group(g).column(c)
+                assert column.has_offset_index and column.has_column_index and column.compression == "ZSTD"
+                want = "RLE_DICTIONARY" if column.path_in_schema.startswith("ids") else "DELTA_BINARY_PACKED"
+                assert want in column.encodings, (column.path_in_schema, column.encodings)
+
+
+def test_op1_one_id_is_cut(spark, tmp_path):
+    """Rows without an id, or of one id, are spread over files."""
+    rows = spark.range(4000).select(F.when(F.col("id") % 2 == 0, 5).cast("long").alias("doc_id"), F.col("id").cast("string").alias("text"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        token_output.write_tokens(rows, f"{tmp_path}/t", tokenizer_path=public.path("word_bpe_49k.json"), end_id=2)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    parts = token_output.read_tokens(spark, f"{tmp_path}/t").groupBy("doc_id").agg(F.countDistinct("part").alias("n")).collect()
+    assert len(parts) == 2 and all(r.n > 1 for r in parts)
+    got = sorted(token_output.token_digests(spark, f"{tmp_path}/t").select("start", "n_tokens").collect())
+    assert all(a.start + a.n_tokens == b.start for a, b in zip(got, got[1:], strict=False))
+
+
 def test_op1_repeated_and_null_ids(spark, tmp_path):
     df = spark.createDataFrame([(None, "b"), (1, "a"), (1, "a"), (1, None)], "doc_id long, text string")
     path = f"{tmp_path}/tokens"
@@ -360,6 +392,43 @@ def test_op7_round_trip(spark, docs, none):
     assert len(got) == len(made()) and bpe_reuse.encode_documents(none, tokenizer_path=path).count() == 0
 
 
+def test_op7_shared_passages_null_and_repeated_ids(spark):
+    rnd = random.Random(6)
+    passage = " ".join(rnd.choice(["Some", "word's", "of", "naïve", "text", "<|endoftext|>", "12", "—"]) + str(rnd.randint(0, 99)) for _ in range(3000))
+    rows = [(None, passage), (1, passage + " tail"), (1, "head " + passage), (2, None), (2, passage), (2, passage), (3, passage[:9000] + "x" * 7000 + passage[9000:])]
+    df, path = spark.createDataFrame(rows, "doc_id long, text string"), public.path("word_bpe_49k.json")
+    lib = library("word_bpe_49k.json")
+    got = sorted((str(r.doc_id), tuple(r.ids)) for r in bpe_reuse.encode_documents(df, tokenizer_path=path).collect())
+    assert got == sorted((str(i), tuple(lib.encode(t or "", add_special_tokens=False).ids)) for i, t in rows)
+
+
+@pytest.mark.parametrize("reach", [1, 2, 7, 10**6])
+def test_op7_joins_grow_until_they_agree(reach):
+    """A toy encoder whose tokens reach over white space, so that near windows are wrong."""
+    rnd, number = random.Random(reach), {}
+
+    def encode(texts):
+        ids = []
+        for t in texts:
+            tokens = re.findall(rb"(?:y ){1,%d}x|\S+" % min(reach, 60_000), t)
+            ids.append([number.setdefault(x, len(number)) for x in tokens])
+        return np.array([i for x in ids for i in x], np.uint32), np.array([len(x) for x in ids], np.int64)
+
+    texts = [b" ".join(rnd.choice([b"y", b"y", b"y", b"x", b"abc", b"q"]) for _ in range(rnd.randint(1, 200))) for _ in range(30)]
+    chunks = []
+    for t in texts:
+        cuts = sorted(rnd.sample(range(1, len(t)), min(rnd.randint(0, 6), len(t) - 1)))
+        chunks.append([t[a:b] for a, b in zip([0, *cuts], [*cuts, len(t)], strict=True)])
+    known = {(i, k): encode([c])[0] for i, cs in enumerate(chunks) for k, c in enumerate(cs) if rnd.random() < 0.5}
+    got = bpe_reuse.join_chunks(texts, chunks, known, encode)
+    assert all(g.tolist() == encode([t])[0].tolist() for g, t in zip(got, texts, strict=True))
+
+
+def test_encoder_refuses_other_tokenizers(tmp_path):
+    with pytest.raises(ValueError, match="another kind"):
+        bpe_reuse.word_encoder(public.path("byte_bpe_50k.json"))
+
+
 def test_op7_chunks_depend_on_content_only():
     rnd = random.Random(5)
     shared = " ".join(f"p{rnd.randint(0, 10**6)}" for _ in range(4000)).encode()
