@@ -43,17 +43,19 @@ def first_map(spark: SparkSession, shards: int, slots: int = SLOTS) -> DataFrame
 def rebalance(slot_map: DataFrame, by_slot: DataFrame, shards: int) -> DataFrame:
     """Edit a map so that the shards hold nearly equal bytes, moving only what exceeds the mean.
 
-    Each shard keeps its slots, largest first, while they fit into the mean; the rest go, largest first, to the
-    shard with the fewest bytes at that moment. ``shards`` may be larger than in the given map. The tables have one
+    Each shard keeps its largest slot and, largest first, every other one that still fits into the mean; the rest go,
+    largest first, to the shard with the fewest bytes at that moment. ``shards`` may be larger than in the given map. The tables have one
     row for each slot, a fixed number. Returns (vslot, shard).
     """
     sized = slot_map.join(by_slot.select("vslot", "bytes"), "vslot")
     mean = (by_slot.agg(F.sum("bytes")).first()[0] or 0) / shards
-    order = Window.partitionBy("shard").orderBy(F.desc("bytes"), "vslot")
-    held = sized.withColumn("upto", F.sum("bytes").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    entry = F.struct(F.col("bytes"), F.col("vslot"), F.when(F.col("upto") <= F.lit(mean), F.col("shard")).alias("kept"))
+    # At most as many entries as there are slots, a fixed number.
+    own = sized.groupBy("shard").agg(F.reverse(F.array_sort(F.collect_list(F.struct("bytes", "vslot")))).alias("slots"))
+    kept = F.expr(f"""aggregate(slots, named_struct('load', 0L, 'kept', cast(array() as array<int>)),
+        (a, s) -> if(a.load = 0 or a.load + s.bytes <= {mean}D, named_struct('load', a.load + s.bytes, 'kept', array_append(a.kept, s.vslot)), a), a -> a.kept)""")
+    marked = own.withColumn("kept", kept).select("shard", F.expr("transform(slots, s -> named_struct('bytes', s.bytes, 'vslot', s.vslot, 'kept', if(array_contains(kept, s.vslot), shard, null)))").alias("slots"))
     # One row: all slots, largest first, and a fold that keeps the load of each shard.
-    one = held.agg(F.reverse(F.array_sort(F.collect_list(entry))).alias("slots"))
+    one = marked.agg(F.reverse(F.array_sort(F.flatten(F.collect_list("slots")))).alias("slots"))
     start = F.expr(f"""aggregate(filter(slots, s -> s.kept is not null), array_repeat(0L, {shards}),
         (l, s) -> transform(l, (x, i) -> if(i = s.kept, x + s.bytes, x)))""")
     moved = F.expr(f"""aggregate(filter(slots, s -> s.kept is null),
@@ -92,7 +94,8 @@ def shard_documents(docs: DataFrame, *, shards: int, slots: int = SLOTS, path: s
     """Put all documents into ``shards`` shards of near equal bytes (law ``bytes``).
 
     Stores version 0 (equal runs of slots) and version 1 (edited for the bytes found) of the map under ``path``.
-    Returns doc_id, size, text_crc32, shard, slot, vslot. Records with the same id share a virtual slot; repeated
+    Returns doc_id, size, text_crc32, shard, slot, vslot. Records with the same id share a virtual slot, records without
+    one that of their text; equal texts of different ids may lie in different shards, as the law is by bytes. Repeated
     rows all come out; an empty table gives no rows. Columns other than doc_id and text are not read.
     """
     spark = docs.sparkSession

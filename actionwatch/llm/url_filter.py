@@ -1,8 +1,9 @@
 """URL filters: host and path rules, then a blocked Bloom filter in front of an exact hash join.
 
-The whole path is DataFrame functions. The filter is a table of 256-bit blocks (eight 32-bit words): a listed
-URL sets one bit in each word of its block. A URL that hits all eight bits of its block is a possible hit;
-only possible hits take part in the exact join on the canonical URL, which removes false positives.
+The whole path is DataFrame functions. The filter is one array of 256-bit blocks (eight 32-bit words): a listed URL
+sets one bit in each word of its block. A URL that hits all eight bits of its block is a possible hit; only possible
+hits take part in the exact join on the canonical URL, which removes false positives. The array has a bounded size and
+goes to every executor as one row, so asking it costs no shuffle and stays in generated code.
 """
 
 from __future__ import annotations
@@ -17,8 +18,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 TRACKING = "^(utm_[^=]*|ref|fbclid|gclid)(=|$)"
 #: Bits of the filter for each listed URL.
 BITS_PER_URL = 16
-#: A filter of at most so many blocks (48 bytes a row) is sent to every executor; a larger one is joined by shuffle.
-BROADCAST_BLOCKS = 1 << 18
+#: The filter has at most so many blocks (32 bytes each: 32 MiB). A longer list gives more possible hits, not other results.
+MOST_BLOCKS = 1 << 20
 WORDS = 8
 
 
@@ -65,10 +66,14 @@ def _masks(url: Column) -> list[Column]:
     return [F.call_function("shiftleft", F.lit(1), F.shiftright(bits, 5 * i).bitwiseAND(F.lit(31)).cast("int")) for i in range(WORDS)]
 
 
-def bloom_blocks(listed: DataFrame, blocks: int) -> DataFrame:
-    """The blocked Bloom filter of ``listed(url)``: rows (block, w0..w7), none for empty blocks."""
+def bloom_filter(listed: DataFrame, blocks: int) -> DataFrame:
+    """The blocked Bloom filter of ``listed(url)``: one row with ``bloom``, the words of all blocks in order."""
     masks = listed.select(_block(F.col("url"), blocks).alias("block"), *(m.alias(f"w{i}") for i, m in enumerate(_masks(F.col("url")))))
-    return masks.groupBy("block").agg(*(F.bit_or(f"w{i}").alias(f"w{i}") for i in range(WORDS)))
+    found = masks.groupBy("block").agg(*(F.bit_or(f"w{i}").alias(f"w{i}") for i in range(WORDS)))
+    every = listed.sparkSession.range(blocks).withColumnRenamed("id", "block").join(found, "block", "left").fillna(0)
+    # As many entries as blocks, a bounded number.
+    words = F.array_sort(F.collect_list(F.struct("block", F.array(*(f"w{i}" for i in range(WORDS))).alias("words"))))
+    return every.agg(F.flatten(F.transform(words, lambda x: x["words"])).alias("bloom"))
 
 
 def filter_urls(urls: DataFrame, listed: DataFrame, *, id_col: str, url_col: str, rules: list[tuple[str, str, str]], bits_per_url: int = BITS_PER_URL) -> DataFrame:
@@ -80,30 +85,21 @@ def filter_urls(urls: DataFrame, listed: DataFrame, *, id_col: str, url_col: str
     """
     # Written once: it is counted, hashed into the filter and joined.
     listed = materialize(listed.select("url").where(F.col("url").isNotNull()).distinct(), "listed-urls")
-    blocks = max(1, -(-listed.count() * bits_per_url // (32 * WORDS)))
-    table = bloom_blocks(listed, blocks)
-    if blocks <= BROADCAST_BLOCKS:
-        table = F.broadcast(table)
-    url = F.col("url_")
+    blocks = min(max(1, -(-listed.count() * bits_per_url // (32 * WORDS))), MOST_BLOCKS)
+    bloom = materialize(bloom_filter(listed, blocks), "url-filter")
+    url, c, r = F.col("url_"), F.col("canonical_url"), F.col("r")
     base = urls.select(F.col(id_col), F.col(url_col).alias("url_")).select(id_col, host_of(url).alias("host"), path_of(url).alias("path"), canonical(url).alias("canonical_url"))
-    base = base.withColumn("r", rule_of(F.col("host"), F.col("path"), rules))
-    out = [id_col, "host", "path", "rule", "verdict", "canonical_url", "possible"]
-    none = F.lit(None).cast("string")
-    ruled = F.col("r").isNotNull()
-    by_rule = base.where(ruled).select(id_col, "host", "path", F.col("r.rule").alias("rule"), F.col("r.verdict").alias("verdict"), "canonical_url", F.lit(None).cast("boolean").alias("possible"))
-    empty = base.where(~ruled & F.col("canonical_url").isNull()).select(id_col, "host", "path", none.alias("rule"), F.lit("allow").alias("verdict"), "canonical_url", F.lit(False).alias("possible"))
-
-    c = F.col("canonical_url")
-    asked = base.where(~ruled & c.isNotNull()).withColumn("block", _block(c, blocks)).join(table, "block", "left")
+    base = base.withColumn("r", rule_of(F.col("host"), F.col("path"), rules)).join(F.broadcast(bloom))
     hit = F.lit(True)
     for i, mask in enumerate(_masks(c)):
-        hit &= F.col(f"w{i}").bitwiseAND(mask) == mask
-    asked = asked.select(id_col, "host", "path", none.alias("rule"), "canonical_url", F.coalesce(hit, F.lit(False)).alias("possible"))
-    passed = asked.where(~F.col("possible")).withColumn("verdict", F.lit("allow")).select(out)
+        hit &= F.get("bloom", (_block(c, blocks) * WORDS + i).cast("int")).bitwiseAND(mask) == mask
+    possible = F.when(r.isNull(), F.coalesce(hit, F.lit(False)))
+    # Written once: the patterns are evaluated in one pass, and only possible hits go on to the join.
+    asked = materialize(base.select(id_col, "host", "path", F.col("r.rule").alias("rule"), F.coalesce("r.verdict", F.lit("allow")).alias("verdict"), "canonical_url", possible.alias("possible")), "asked-urls")
     exact = listed.select(F.col("url").alias("listed_url"))
     checked = asked.where("possible").join(exact, F.col("canonical_url") == F.col("listed_url"), "left")
-    checked = checked.withColumn("verdict", F.when(F.col("listed_url").isNotNull(), "block").otherwise("allow")).select(out)
-    return by_rule.select(out).unionByName(empty.select(out)).unionByName(passed).unionByName(checked)
+    checked = checked.withColumn("verdict", F.when(F.col("listed_url").isNotNull(), "block").otherwise("allow")).select(asked.columns)
+    return asked.where(~F.coalesce("possible", F.lit(False))).unionByName(checked)
 
 
 #: Visible characters below which a page counts as thin.
