@@ -34,6 +34,8 @@ QUESTION, ANSWER = 0.6, 0.5
 SHARD_POSTINGS = 1_000_000
 #: Candidates (passage and block, or passage, block and term) handled at once; one passage alone may have more.
 SLICE = 1 << 20
+#: Largest table of (term, block) places.
+TABLE = 1 << 22
 #: Items whose word runs a worker keeps.
 PARTS = 20_000
 #: Passages of at least so many new words; longer where items are longer.
@@ -82,9 +84,21 @@ class Shard:
     maxima: np.ndarray
     stride: int
 
-    @property
-    def blocks(self) -> int:
-        return len(self.texts) // BLOCK + 1
+    def __post_init__(self):
+        self.blocks = len(self.texts) // BLOCK + 1
+        size = len(self.vocabulary) * self.blocks
+        # A table of places where it is small, else a search.
+        self.places = np.full(size, -1, np.int32) if size <= TABLE else None
+        if self.places is not None:
+            self.places[self.block_posts] = np.arange(len(self.block_posts))
+
+    def block_at(self, term: np.ndarray, block: np.ndarray) -> np.ndarray:
+        """Place of each (term, block) in ``block_posts``, or -1."""
+        key = term * self.blocks + block
+        if self.places is not None:
+            return self.places[key]
+        at = np.minimum(np.searchsorted(self.block_posts, key), len(self.block_posts) - 1)
+        return np.where(self.block_posts[at] == key, at, -1)
 
 
 def index_of(items: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -152,6 +166,7 @@ def retrieve(shard: Shard, passage: np.ndarray, term: np.ndarray, threshold: flo
     # From the pivot on; where no term brings the sum to the threshold, no item can have it.
     beyond = running >= least
     below = np.bincount(who, weights=upper * ~beyond, minlength=len(names))
+    before = np.bincount(who[~beyond], minlength=len(names))
     blocks = shard.blocks
     lists = np.searchsorted(shard.block_posts, np.stack([term, term + 1]) * blocks)
     counts = (lists[1] - lists[0]) * beyond
@@ -161,11 +176,11 @@ def retrieve(shard: Shard, passage: np.ndarray, term: np.ndarray, threshold: flo
         if not len(at):
             continue
         key, where = np.unique(np.repeat(who[a:b], counts[a:b]) * blocks + shard.block_posts[at] % blocks, return_inverse=True)
-        rest = below[key // blocks]
         bound = np.bincount(where, weights=shard.maxima[at], minlength=len(key))
-        key = key[bound + rest >= least]
+        good = bound + below[key // blocks] >= least
+        key, bound = key[good], bound[good]
         for i, j in _slices((ends - begin)[key // blocks]):
-            found += _score_blocks(shard, key[i:j], begin, ends, term, least)
+            found += _score_blocks(shard, key[i:j], bound[i:j], begin, begin + before, ends, term, least)
     if not found:
         return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
     pair, score = (np.concatenate(x) for x in zip(*found, strict=True))
@@ -173,23 +188,25 @@ def retrieve(shard: Shard, passage: np.ndarray, term: np.ndarray, threshold: flo
     return names[pair // n], pair % n, score
 
 
-def _score_blocks(shard: Shard, key: np.ndarray, begin: np.ndarray, ends: np.ndarray, term: np.ndarray, least: float):
-    """Check the block maxima of all terms of each (passage, block), then score the items of the blocks left."""
+def _score_blocks(shard: Shard, key: np.ndarray, bound: np.ndarray, begin: np.ndarray, pivot: np.ndarray, ends: np.ndarray, term: np.ndarray, least: float):
+    """Add the block maxima of the terms before the pivot to the bound of each (passage, block), then score what is left."""
     blocks, n = shard.blocks, len(shard.texts)
 
-    def spread(key):
-        size = (ends - begin)[key // blocks]
+    def spread(key, to):
+        size = (to - begin)[key // blocks]
         return np.repeat(np.arange(len(key)), size), term[ranges(begin[key // blocks], size)]
 
-    row, terms = spread(key)
-    wanted = terms * blocks + (key % blocks)[row]
-    at = np.minimum(np.searchsorted(shard.block_posts, wanted), max(len(shard.block_posts) - 1, 0))
-    bound = np.bincount(row, weights=np.where(shard.block_posts[at] == wanted, shard.maxima[at], 0), minlength=len(key))
+    row, terms = spread(key, pivot)
+    at = shard.block_at(terms, (key % blocks)[row])
+    bound = bound + np.bincount(row, weights=np.where(at < 0, 0, shard.maxima[at]), minlength=len(key))
     key = key[bound >= least]
     if not len(key):
         return []
-    row, terms = spread(key)
-    first = (key % blocks)[row] * BLOCK
+    row, terms = spread(key, ends)
+    first = (key % blocks)[row]
+    # Postings of each term inside the block.
+    held = shard.block_at(terms, first) >= 0
+    row, terms, first = row[held], terms[held], first[held] * BLOCK
     low, high = np.searchsorted(shard.posts, np.stack([terms * n + first, terms * n + np.minimum(first + BLOCK, n)]))
     at = ranges(low, high - low)
     pair, where = np.unique(np.repeat((key // blocks)[row], high - low) * n + shard.posts[at] % n, return_inverse=True)
@@ -234,7 +251,8 @@ class Asker:
         own, before = base + np.minimum(slot, last), base + np.maximum(slot - 1, 0)
         passage = np.concatenate([own[here], before[here]])
         size = max(len(self.shard.vocabulary), 1)
-        key = np.unique(passage * size + np.concatenate([codes[here], codes[here]]))
+        key = np.sort(passage * size + np.concatenate([codes[here], codes[here]]))
+        key = key[np.append(True, key[1:] != key[:-1])] if len(key) else key
         who, item, score = retrieve(self.shard, key // size, key % size, self.threshold)
         best: dict[tuple[int, int], tuple] = {}
         words: dict[int, list[bytes]] = {}

@@ -528,9 +528,10 @@ def asked(items, passages, threshold):
     return {(int(p), int(shard.item_ids[i])): s for p, i, s in zip(who, item, score, strict=True)}, posts
 
 
-@pytest.mark.parametrize("slice_", [1 << 20, 50])
-def test_op9_wand_equals_full_scoring(monkeypatch, slice_):
+@pytest.mark.parametrize(("slice_", "table"), [(1 << 20, 1 << 22), (50, 0)])
+def test_op9_wand_equals_full_scoring(monkeypatch, slice_, table):
     monkeypatch.setattr(decontam, "SLICE", slice_)
+    monkeypatch.setattr(decontam, "TABLE", table)
     rnd = random.Random(9)
     items = [" ".join(rnd.choice([f"c{i}" for i in range(8)] + [f"r{i}" for i in range(300)]) for _ in range(30)) for _ in range(50)]
     passages = [set(rnd.sample(items[rnd.randrange(50)].split() + [f"c{i}" for i in range(8)], 18)) for _ in range(200)]
