@@ -9,28 +9,35 @@ from pyspark.sql import functions as F
 MONTHS = ["january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december"]
 
 
-def _iso(year: Column, month: Column, day: Column) -> Column:
-    text = F.concat_ws("-", F.lpad(year, 4, "0"), F.lpad(month, 2, "0"), F.lpad(day, 2, "0"))
-    return F.try_to_date(F.when((year != "") & (month != "") & (day != ""), text), "yyyy-MM-dd")
+#: Shapes of a date in running text, in the order in which they are tried: its parts, and the format that reads them.
+SHAPES = [
+    (r"\d{4}-\d{2}-\d{2}", "yyyy-MM-dd"),
+    (r"(?i)\b[a-z]{3,9}\.?\s+\d{1,2},?\s+\d{4}\b", "MMM d yyyy"),
+    (r"\b\d{1,2}\.\d{1,2}\.\d{4}\b", "M d yyyy"),
+    (r"\b\d{1,2}/\d{1,2}/\d{4}\b", "M d yyyy"),
+    (r"\b\d{1,2}/\d{1,2}/\d{2}\b", "M d yy"),
+]
 
 
 def parse_date(text: Column) -> Column:
-    """ISO, Month D YYYY, mm.dd.yyyy and m/d/yy, in that order (FUN-06)."""
+    """The first date of the first shape of ``SHAPES`` that gives a day of the calendar (FUN-06).
+
+    A month's name counts by its first three letters; a year of two digits is one of this century.
+    """
     text = F.coalesce(text, F.lit(""))
 
-    def part(pattern: str, i: int) -> Column:
-        return F.regexp_extract(text, pattern, i)
-
-    iso, named, dotted, slashed = r"(\d{4})-(\d{2})-(\d{2})", r"(?i)\b([a-z]{3,9})\.?\s+(\d{1,2}),?\s+(\d{4})\b", r"\b(\d{1,2})\.(\d{1,2})\.(\d{4})\b", r"\b(\d{1,2})/(\d{1,2})/(\d{2,4})\b"
-    short = F.lower(F.substring(part(named, 1), 1, 3))
-    index = F.array_position(F.array(*(F.lit(m[:3]) for m in MONTHS)), short)
-    year = part(slashed, 3)
-    return F.coalesce(
-        _iso(part(iso, 1), part(iso, 2), part(iso, 3)),
-        _iso(part(named, 3), F.when(index > 0, index.cast("string")).otherwise(""), part(named, 2)),
-        _iso(part(dotted, 3), part(dotted, 1), part(dotted, 2)),
-        _iso(F.when(F.length(year) == 2, F.concat(F.lit("20"), year)).otherwise(year), part(slashed, 1), part(slashed, 2)),
-    )
+    def read(shape: str, form: str) -> Column:
+        found = F.regexp_extract(text, shape, 0)
+        if form.startswith("y"):
+            return F.try_to_date(F.nullif(found, F.lit("")), form)
+        parts = F.regexp_extract_all(found, F.lit("[A-Za-z]+|[0-9]+"), F.lit(0))
+        month = F.get(parts, F.lit(0))
+        if form.startswith("MMM"):
+            month = F.initcap(F.substring(F.lower(month), 1, 3))
+            month = F.when(month.isin([m[:3].capitalize() for m in MONTHS]), month)
+        return F.try_to_date(F.concat_ws(" ", month, F.get(parts, F.lit(1)), F.get(parts, F.lit(2))), form)
+
+    return F.coalesce(*(read(*s) for s in SHAPES))
 
 
 def slug_date(url: Column) -> Column:

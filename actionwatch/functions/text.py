@@ -47,6 +47,37 @@ def links(html: Column) -> Column:
     return F.regexp_extract_all(html, F.lit(r'(?i)<a\b[^>]*href="([^"]*)"'), F.lit(1))
 
 
+def resolved(href: Column, base: Column) -> Column:
+    """A link target as an absolute URL without its fragment, against the page's URL."""
+    bare = F.regexp_replace(href, "#.*$", "")
+    root = F.regexp_extract(base, "^([a-z][a-z0-9+.-]*://[^/?#]*)", 1)
+    folder = F.regexp_extract(base, "^([a-z][a-z0-9+.-]*://[^/?#]*(?:/[^?#]*/|/)?)", 1)
+    return (
+        F.when(bare.rlike("(?i)^[a-z][a-z0-9+.-]*:"), bare).when(bare.startswith("//"), F.concat(F.regexp_extract(base, "^([^/]*)//", 1), bare))
+        .when(bare.startswith("/"), F.concat(root, bare)).when(bare == "", base)
+        .otherwise(F.concat(folder, F.when(folder.endswith("/"), "").otherwise("/"), bare))
+    )
+
+
+def issue_links(html: Column, base: Column, pattern: str, cap: int = 5) -> Column:
+    """Links to the page's own host whose label or path fits the pattern, each once, at most ``cap`` (FUN-04)."""
+    anchors = F.regexp_extract_all(html, F.lit(r'(?is)<a\b[^>]*href="[^"]*"[^>]*>.*?</a>'), F.lit(0))
+    entries = F.transform(anchors, lambda a: F.struct(
+        resolved(F.regexp_extract(a, r'(?is)href="([^"]*)"', 1), base).alias("url"), strip_html(F.regexp_extract(a, r"(?is)^<a\b[^>]*>(.*)</a>$", 1)).alias("label")))
+    authority = lambda u: F.regexp_extract(u, "^[a-z][a-z0-9+.-]*://([^/?#]*)", 1)
+    path = lambda u: F.regexp_extract(u, "^[a-z][a-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
+    good = F.filter(entries, lambda e: (authority(e["url"]) == authority(base)) & (authority(base) != "") & (e["label"].rlike(pattern) | path(e["url"]).rlike(pattern)))
+    return F.slice(F.array_distinct(F.transform(good, lambda e: e["url"])), 1, cap)
+
+
+def advertised_feeds(html: Column, base: Column) -> Column:
+    """Targets of the page's alternate links of an RSS or Atom type (FUN-05)."""
+    tags = F.regexp_extract_all(html, F.lit(r"(?is)<link\b[^>]*>"), F.lit(0))
+    value = lambda tag, name: F.regexp_extract(tag, rf'(?is)\b{name}\s*=\s*"([^"]*)"', 1)
+    feeds = F.filter(tags, lambda t: F.lower(value(t, "rel")).contains("alternate") & F.lower(value(t, "type")).rlike("rss|atom") & (value(t, "href") != ""))
+    return F.transform(feeds, lambda t: resolved(value(t, "href"), base))
+
+
 def looks_like_listing(html: Column, least: int = 15) -> Column:
     """Many links and a date element (FUN-05)."""
     return (F.size(links(html)) >= least) & html.rlike("(?i)<time\\b|class=\"[^\"]*date")
@@ -86,13 +117,15 @@ def over_word_cap(text: Column, cap: int = 30) -> Column:
 
 
 #: Endings that do not end a sentence.
-ABBREVIATIONS = r"(?:U\.S|D\.C|Gov|Sen|Rep|Dr|Mr|Mrs|Ms|Jr|Sr|St|No|vs|Inc|Co|Corp|Dept)"
+ABBREVIATIONS = ["Sen", "Rep", "Gov", "Dept", "St", "No", "Inc", "vs"]
 
 
 def sentences(text: Column) -> Column:
-    """Sentences, not cut after common abbreviations."""
-    held = F.regexp_replace(strip(F.coalesce(text, F.lit(""))), rf"\b({ABBREVIATIONS})\.(?=\s)", "$1\u0001")
-    return F.filter(F.split(held, r"(?<=[.!?])\s+"), lambda s: s != "")
+    """Sentences; initials (one or more capital letters with a point each) and some abbreviations do not end one."""
+    # The space after them is kept from the cut by a stand-in.
+    held = F.regexp_replace(strip(F.coalesce(text, F.lit(""))), rf"\b((?:[A-Z]\.)+|(?:{'|'.join(ABBREVIATIONS)})\.)\s+", "$1\u0001")
+    parts = F.split(held, r"(?<=[.!?])\s+")
+    return F.filter(F.transform(parts, lambda s: F.translate(s, "\u0001", " ")), lambda s: s != "")
 
 
 def blurb_problem(text: Column, state: Column, words: int = 30) -> Column:
@@ -116,6 +149,18 @@ def paired_links(urls: Column, outlets: Column, cap: int = 3) -> Column:
     return F.transform(F.slice(urls, 1, cap), lambda u, i: F.struct(F.coalesce(blank_to_null(F.get(outlets, i)), host(u)).alias("label"), u.alias("url")))
 
 
+def digest_item(*, title: Column, why: Column, notes: Column, meta: list[Column], relevance: Column, urls: Column, outlets: Column, date: Column, sort_key: Column) -> Column:
+    """The shape of every digest item (REP-02): struct<title, summary, meta, relevance, links, date, sort_key>.
+
+    The summary is why it matters, else the first two sentences of the notes; links are paired with outlets.
+    """
+    return F.struct(
+        strip(title).alias("title"), F.coalesce(blank_to_null(strip(why)), first_sentences(notes, 2)).alias("summary"),
+        F.concat_ws(" · ", *(blank_to_null(strip(m)) for m in meta)).alias("meta"), relevance.alias("relevance"),
+        paired_links(urls, outlets).alias("links"), F.coalesce(date.cast("string"), F.lit("")).alias("date"), sort_key.alias("sort_key"),
+    )
+
+
 def publisher_links(urls: Column, outlets: Column, aggregator: str = "news.google.", label: str = "Google News", cap: int = 3) -> Column:
     """Publisher links where there are any, else one aggregator link (FUN-20)."""
     pairs = F.transform(urls, lambda u, i: F.struct(F.coalesce(blank_to_null(F.get(outlets, i)), host(u)).alias("label"), u.alias("url")))
@@ -141,6 +186,11 @@ def name_variants(name: Column) -> Column:
     return F.array_distinct(F.filter(F.array(plain, short, ends), lambda x: x.isNotNull() & (x != "")))
 
 
+def plain_words(text: Column) -> Column:
+    """Words in lower case, without punctuation."""
+    return F.filter(F.split(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}']+", " "), " "), lambda w: w != "")
+
+
 def slug_title(title: Column, url: Column) -> Column:
     """A title from the URL's slug where the title was cut with ``...`` (FUN-09)."""
     slug = F.regexp_extract(F.regexp_replace(url, r"[/?#]+$", ""), r"([^/?#]+)$", 1)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,12 +56,14 @@ def known_or(column: str, choices: list[str], default: str) -> Column:
 
 
 def categorised_counts(layers: dict[str, DataFrame], column: str = "competency") -> DataFrame:
-    """Events with a category in each layer (AGG-08)."""
-    out = None
-    for name, df in layers.items():
-        part = df.agg(F.lit(name).alias("layer"), F.count_if(F.size(column) > 0).alias("categorised"), F.count(F.lit(1)).alias("events"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    """Events with a category in each layer (AGG-08). ``layers``: a table for each; for layers of one table use ``categorised_by``."""
+    parts = [df.select(F.lit(name).alias("layer"), column) for name, df in layers.items()]
+    return categorised_by(reduce(DataFrame.unionByName, parts), "layer", column)
+
+
+def categorised_by(df: DataFrame, layer: str, column: str = "competency") -> DataFrame:
+    """Events with a category by the value of ``layer``, in one scan (AGG-08)."""
+    return df.groupBy(F.col(layer).alias("layer")).agg(F.count_if(F.size(column) > 0).alias("categorised"), F.count(F.lit(1)).alias("events"))
 
 
 def ordered_distinct(value: str, order: list[str]) -> Column:
@@ -93,15 +97,15 @@ def merged_party(value: str) -> Column:
 
 
 def first_valid(value: str, order: Column, choices: list[str]) -> Column:
-    """The first valid value in member order (AGG-12)."""
-    return F.min_by(value, F.when(F.col(value).isin(choices), order))
+    """The first valid value in member order, members without a place last (AGG-12)."""
+    return F.min_by(value, F.when(F.col(value).isin(choices), F.struct(order.isNull(), order)))
 
 
 def first_per_key(df: DataFrame, *, keys: list[str], order: list[str]) -> DataFrame:
     """The first row of each key; rows with an incomplete key go (AGG-15). Aggregates before the shuffle."""
     rest = [c for c in df.columns if c not in keys]
     complete = df.dropna(subset=keys)
-    return complete.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("r")).select(*keys, "r.*")
+    return complete.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*(x for c in order for x in (F.col(c).isNull(), F.col(c))))).alias("r")).select(*keys, "r.*")
 
 
 def repeated_keys(df: DataFrame, key: str) -> DataFrame:

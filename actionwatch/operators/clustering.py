@@ -2,41 +2,24 @@
 
 Texts become sets of word runs; equal texts of a group go on as one. MinHash bands give buckets, and all pairs of a
 bucket are compared, whatever its size: buckets are split into blocks, and blocks meet in pairs, so no task holds more
-than two blocks and no pair rows are made. A task compares signatures in arrays, then verifies the pairs that are left
-exactly, and gives for each text the least one it is connected with there. Components of these few links are joined by
-label rounds written to the shared folder.
+than two blocks. Comparing signatures gives only the texts of a bucket that have a candidate there, a row each. These
+get their sets and are dealt out anew, in blocks bounded by bytes; the same comparison gives the pairs again inside the
+task, which verifies them exactly and gives for each text the least one it is connected with there. Components of these
+few links are joined by label rounds written to the shared folder.
 """
 
 from __future__ import annotations
 
 import math
-import tempfile
-import uuid
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-
-@lru_cache(maxsize=1)
-def _own_folder() -> str:
-    return tempfile.mkdtemp(prefix="spark-")
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share (``spark.checkpoint.dir``); a temporary one only where that is unset."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or _own_folder()).rstrip("/")
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write and read back: cuts lineage, survives lost executors."""
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+from .shared import written
 
 
 def keyed_texts(df: DataFrame, *, group: str, row: str, text: str) -> DataFrame:
@@ -137,66 +120,58 @@ def _groups(batches):
         yield pa.Table.from_batches([b for _, b in held]).combine_chunks()
 
 
-def _prune(bands: int, per_band: int, threshold: float):
-    """Compare the signatures of each group's pairs; give every text that is left its partners."""
-    hashes = bands * per_band
+def _pairs(table: pa.Table, bands: int, per_band: int, looks: list[int], need: list[int]):
+    """(row, rows after it) whose signatures agree often enough, in the first band in which they meet."""
+    i, j, band = (table.column(c)[0].as_py() for c in range(1, 4))
+    block = table.column(4).to_numpy()
+    sig = np.frombuffer(b"".join(table.column(6).to_pylist()), np.uint8).reshape(-1, bands * per_band)
+    left, right = (np.flatnonzero(block == x) for x in (i, j))
+    for x in left.tolist():
+        b = right[right > x] if i == j else right
+        matches, done = np.zeros(len(b), np.int64), 0
+        for look, least in zip(looks, need, strict=True):
+            matches += (sig[b, done:look] == sig[x, done:look]).sum(1)
+            done = look
+            good = matches >= least
+            b, matches = b[good], matches[good]
+        if len(b):
+            equal = (sig[b] == sig[x]).reshape(len(b), bands, per_band).all(2)
+            b = b[equal.argmax(1) == band]
+        if len(b):
+            yield x, b
+
+
+def _looks(hashes: int, threshold: float) -> tuple[list[int], list[int]]:
     looks = [n for n in (32, 64, 128) if n < hashes] + [hashes]
+    return looks, [fewest_matches(n, threshold) for n in looks]
+
+
+def _prune(bands: int, per_band: int, threshold: float):
+    """The texts of each group that have a candidate left."""
 
     def run(batches):
-        need = [fewest_matches(n, threshold) for n in looks]
-        out, held = [[], [], [], [], []], 0
+        looks, need = _looks(bands * per_band, threshold)
         for table in _groups(batches):
-            bucket, i, j, band = (table.column(c)[0].as_py() for c in range(4))
-            block = table.column(4).to_numpy()
-            sig = np.frombuffer(b"".join(table.column(6).to_pylist()), np.uint8).reshape(-1, hashes)
-            keys = table.column(5).to_pylist()
-            left, right = (np.flatnonzero(block == x) for x in (i, j))
-            if len(left) > 1 and i == j or i != j and len(left) and len(right):
-                pairs: dict[int, list] = {}
-                for x in left.tolist():
-                    b = right[right > x] if i == j else right
-                    matches, done = np.zeros(len(b), np.int64), 0
-                    for look, least in zip(looks, need, strict=True):
-                        matches += (sig[b, done:look] == sig[x, done:look]).sum(1)
-                        done = look
-                        good = matches >= least
-                        b, matches = b[good], matches[good]
-                    if len(b):
-                        # The first band in which a pair meets handles it.
-                        equal = (sig[b] == sig[x]).reshape(len(b), bands, per_band).all(2)
-                        b = b[equal.argmax(1) == band]
-                    if len(b):
-                        pairs[x] = b.tolist()
-                for x in {*pairs, *(y for b in pairs.values() for y in b)}:
-                    partners = [keys[y] for y in pairs[x]] if x in pairs else None
-                    for column, value in zip(out, (bucket, i, j, keys[x], partners), strict=True):
-                        column.append(value)
-                    held += len(partners or ())
-                if held > 200_000:
-                    yield _left(out)
-                    out, held = [[], [], [], [], []], 0
-        if out[0]:
-            yield _left(out)
+            left = np.zeros(table.num_rows, bool)
+            for x, b in _pairs(table, bands, per_band, looks, need):
+                left[x] = left[b] = True
+            if left.any():
+                yield from table.select([0, 3, 5]).filter(pa.array(left)).to_batches()
 
     return run
 
 
-def _left(out: list[list]) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.list_(pa.binary())]
-    return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds, strict=True)], ["bucket", "i", "j", "key", "partners"])
-
-
-def _verify(threshold: float):
+def _verify(bands: int, per_band: int, threshold: float):
     """Exact similarities of each group's pairs: the least text that each one is connected with there."""
 
     def run(batches):
+        looks, need = _looks(bands * per_band, threshold)
         for table in _groups(batches):
-            keys, lists = table.column(3).to_pylist(), table.column(5).combine_chunks()
+            keys, lists = table.column(5).to_pylist(), table.column(7).combine_chunks()
             values, sizes = _numbers(lists)
             ends = np.cumsum(sizes)
             _, codes = np.unique(values, return_inverse=True)
             mark = np.zeros(len(values) and int(codes.max()) + 1, bool)
-            place = {k: x for x, k in enumerate(keys)}
             root = list(range(len(keys)))
 
             def find(x, root=root):
@@ -205,10 +180,10 @@ def _verify(threshold: float):
                     x = root[x]
                 return x
 
-            for a, partners in enumerate(table.column(4).to_pylist()):
+            for a, partners in _pairs(table, bands, per_band, looks, need):
                 mine = codes[ends[a] - sizes[a] : ends[a]]
                 mark[mine] = True
-                for b in (place[p] for p in partners or ()):
+                for b in partners.tolist():
                     p, q = find(a), find(b)
                     if p == q:
                         continue  # connected already
@@ -224,7 +199,14 @@ def _verify(threshold: float):
     return run
 
 
-def cluster(df: DataFrame, *, group: str, row: str, text: str, threshold: float = 0.7, words: int = 3, bands: int = 64, per_band: int = 4, block: int = 256) -> DataFrame:
+def _in_blocks(placed: DataFrame) -> DataFrame:
+    """Rows (bucket, band, blocks, key) in a random block of their bucket, once for each pair of blocks that it is in."""
+    mine = F.pmod(F.xxhash64("key", "bucket"), F.col("blocks").cast("long")).cast("int")
+    dealt = placed.select("bucket", "band", "key", mine.alias("block"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("with"))
+    return dealt.select("bucket", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "band", "block", "key")
+
+
+def cluster(df: DataFrame, *, group: str, row: str, text: str, threshold: float = 0.7, words: int = 3, bands: int = 64, per_band: int = 4, block: int = 1024, block_bytes: int = 8 << 20) -> DataFrame:
     """(group, row, cluster): the cluster is the least row connected with it by similarities of ``threshold`` or more.
 
     A pair at 0.7 meets in none of 64 bands of 4 with a probability of 2e-8; what is linked is exact. Rows without a
@@ -236,19 +218,20 @@ def cluster(df: DataFrame, *, group: str, row: str, text: str, threshold: float
     sketches = written(members.groupBy("key").agg(F.first("sig").alias("sig")), "sketches")
 
     banded = sketches.mapInArrow(_bands(bands, per_band), "bucket long, band int, key binary")
-    sizes = banded.groupBy("bucket", "band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    blocks = F.ceil(F.col("n") / block).cast("int")
-    mine = F.pmod(F.xxhash64("key", "bucket"), blocks.cast("long")).cast("int")
-    placed = banded.join(sizes, ["bucket", "band"]).select("bucket", "band", "key", blocks.alias("blocks"), mine.alias("block"))
-    placed = placed.select("bucket", "band", "key", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("with"))
-    met = placed.select("bucket", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "band", "block", "key").join(sketches, "key")
+    sizes = banded.groupBy("bucket", "band").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    # Written apart: the join then has an exchange on both sides, and Spark can split a bucket of very many texts.
+    met = _in_blocks(banded.join(written(sizes, "blocks"), ["bucket", "band"])).join(sketches, "key")
     met = met.select("bucket", "i", "j", "band", "block", "key", "sig").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-    left = written(met.mapInArrow(_prune(bands, per_band, threshold), "bucket long, i int, j int, key binary, partners array<binary>"), "candidates")
+    left = written(met.mapInArrow(_prune(bands, per_band, threshold), "bucket long, band int, key binary").distinct(), "candidates")
     # The keys grow with the input: never broadcast.
     needed = left.select("key").distinct().hint("merge")
     texts = rows.groupBy("key").agg(F.first(group).alias(group), F.first("words").alias("words")).join(needed, "key", "left_semi")
-    dealt = left.join(shingles(texts, group=group, words=words), "key").select("bucket", "i", "j", "key", "partners", "set").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-    links = written(dealt.mapInArrow(_verify(threshold), "u binary, v binary"), "links")
+    sets = written(shingles(texts, group=group, words=words).select("key", "set").join(sketches, "key"), "sets")
+    sized = left.join(sets.select("key", (8 * F.size("set")).cast("long").alias("bytes")), "key").groupBy("bucket", "band")
+    sized = sized.agg(F.greatest(F.ceil(F.count(F.lit(1)) / block), F.ceil(F.sum("bytes") / block_bytes)).cast("int").alias("blocks"))
+    dealt = _in_blocks(left.join(written(sized, "blocks"), ["bucket", "band"])).join(sets, "key")
+    dealt = dealt.select("bucket", "i", "j", "band", "block", "key", "sig", "set").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    links = written(dealt.mapInArrow(_verify(bands, per_band, threshold), "u binary, v binary"), "links")
 
     parents = components(links)
     least = members.groupBy("key").agg(F.min(row).alias("least")).join(parents.withColumnRenamed("node", "key"), "key", "left")

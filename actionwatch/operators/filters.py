@@ -102,18 +102,25 @@ def moved_bills(df: DataFrame, *, as_of: str, days: int, actions: tuple[str, ...
     return half_open(dated, date="moved_on", as_of=as_of, days=days).where(F.col("committee_action").isin(*actions) & (F.col("relevance") >= relevance))
 
 
+#: A status and the phrases of which one (any) or each (all) must stand in the action, in this order.
+BILL_STATUS = [
+    ("enacted", "any", ["became public law", "signed by president"]),
+    ("vetoed", "any", ["vetoed"]),
+    ("passed-both", "all", ["passed senate", "passed house"]),
+    ("passed-chamber", "any", ["passed", "agreed to"]),
+    ("reported", "any", ["reported"]),
+    ("in-committee", "any", ["referred to", "committee"]),
+]
+
+
 def bill_status(text: Column) -> Column:
-    """Status by the first phrase that fits, in this order (FIL-21)."""
+    """Status by the first rule of ``BILL_STATUS`` that fits, else ``introduced`` (FIL-21)."""
     t = F.lower(F.coalesce(text, F.lit("")))
-    return (
-        F.when(t.contains("became public law") | t.contains("signed by president"), "enacted")
-        .when(t.contains("vetoed"), "vetoed")
-        .when(t.contains("passed senate") & t.contains("passed house"), "passed-both")
-        .when(t.contains("passed") | t.contains("agreed to"), "passed-chamber")
-        .when(t.contains("reported"), "reported")
-        .when(t.contains("referred to") | t.contains("committee"), "in-committee")
-        .otherwise("introduced")
-    )
+    out = F.lit("introduced")
+    for status, how, phrases in reversed(BILL_STATUS):
+        found = [t.contains(p) for p in phrases]
+        out = F.when(reduce(lambda a, b: a | b if how == "any" else a & b, found), status).otherwise(out)  # noqa: B023
+    return out
 
 
 def hearing_status(status: Column, date: Column, as_of: str) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import name_variants, plain_words
+
 
 def drop_seen(items: DataFrame, events: DataFrame, *, url: str = "url", urls: str = "source_urls") -> DataFrame:
     """Items whose URL no event holds yet; blank URLs pass (JOI-01)."""
@@ -28,10 +30,10 @@ def with_singletons(assignments: DataFrame, rows: DataFrame, *, group: str) -> D
 def match_owners(clusters: DataFrame, events: DataFrame, *, cluster: str = "cluster_id") -> DataFrame:
     """(cluster, event_id, shared, event_date, pos) for each event that shares a URL with a cluster (JOI-05).
 
-    ``clusters``: cluster, source_urls. A URL of two events belongs to the first stored (least ``seq``).
+    ``clusters``: cluster, source_urls. A URL of two events belongs to the first stored (least ``seq``; without one, last).
     """
     owner = events.select("event_id", "date", "seq", F.explode("source_urls").alias("url")).where(F.col("url") != "")
-    owner = owner.groupBy("url").agg(F.min_by(F.struct("event_id", "date"), F.col("seq")).alias("o")).select("url", "o.*")
+    owner = owner.groupBy("url").agg(F.min_by(F.struct("event_id", "date"), F.struct(F.col("seq").isNull(), F.col("seq"), F.col("event_id"))).alias("o")).select("url", "o.*")
     mine = clusters.select(cluster, F.posexplode(F.array_distinct("source_urls")).alias("pos", "url"))
     return mine.join(owner, "url").groupBy(cluster, "event_id").agg(F.count(F.lit(1)).alias("shared"), F.min("date").alias("event_date"), F.min("pos").alias("pos"))
 
@@ -48,6 +50,22 @@ def with_roster(df: DataFrame, roster: DataFrame, *, on: list[str]) -> DataFrame
     return df.join(roster, on, "left")
 
 
+def match_names(articles: DataFrame, roster: DataFrame, *, key: str, text: str, candidate: str, name: str, longest: int = 5) -> DataFrame:
+    """(key, candidate) of the articles that hold a form of a candidate's name as a phrase (FUN-22).
+
+    Forms are those of ``name_variants``; case and punctuation do not count. Word runs of each article meet the forms
+    in an equality join. Forms of more than ``longest`` words or of one word match nothing.
+    """
+    forms = roster.select(candidate, F.explode(name_variants(F.col(name))).alias("form"))
+    forms = forms.select(candidate, plain_words(F.col("form")).alias("words")).where(F.size("words").between(2, longest))
+    forms = forms.select(candidate, F.array_join("words", " ").alias("phrase")).distinct()
+    words = articles.select(key, plain_words(F.col(text)).alias("words"))
+    runs = F.flatten(F.transform(F.array(*map(F.lit, range(2, longest + 1))), lambda n: F.transform(
+        F.sequence(F.lit(1), F.greatest(F.size("words") - n + 1, F.lit(1))), lambda i: F.when(F.size("words") >= n, F.array_join(F.slice("words", i, n), " ")))))
+    said = words.select(key, F.explode(F.array_distinct(runs)).alias("phrase")).where(F.col("phrase").isNotNull())
+    return said.join(forms, "phrase").select(key, candidate).distinct()
+
+
 def cross_check(a: DataFrame, b: DataFrame, *, key: str) -> DataFrame:
     """Two calendars by key: both, only a, only b, and the lead in days (JOI-09). Each has key, first_seen."""
     left, right = a.select(key, F.col("first_seen").alias("a_seen")), b.select(key, F.col("first_seen").alias("b_seen"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.lists import ordered_union
-from ..functions.text import blank_to_null, event_id
+from ..functions.text import blank_to_null, event_id, strip
 from .aggregates import provenance
 
 
@@ -47,12 +47,13 @@ def build_events(rows: DataFrame, *, key: str, distinct_ids: bool = True) -> Dat
 def upsert(old: DataFrame, batch: DataFrame, *, key: str, order: str, preserve: list[str] = ()) -> DataFrame:
     """The next snapshot with a ``change`` column: created, updated or unchanged (LIF-07, SRC-11).
 
-    Blank keys of the batch are skipped; of rows with one key the last by ``order`` counts. A non-empty ``preserve``
+    Blank keys of the batch are skipped; of rows with one key the last by ``order`` counts, a row without an order only
+    where no other is. A non-empty ``preserve``
     column of the stored row wins. Stored rows that the batch does not name stay.
     """
     columns = [c for c in old.columns if c != key]
     rows = batch.where(blank_to_null(F.col(key).cast("string")).isNotNull())
-    rows = rows.groupBy(key).agg(F.max_by(F.struct(*columns), F.col(order)).alias("new"))
+    rows = rows.groupBy(key).agg(F.max_by(F.struct(*columns), F.struct(F.col(order))).alias("new"))
     both = old.select(key, F.struct(*columns).alias("old")).join(rows, key, "full_outer")
 
     def value(c: str) -> Column:
@@ -70,8 +71,13 @@ def upsert(old: DataFrame, batch: DataFrame, *, key: str, order: str, preserve:
 def accrete(events: DataFrame, additions: DataFrame, *, key: str = "event_id", regenerated: list[str] = ()) -> DataFrame:
     """First writer wins: sources grow, all other columns stay (LIF-08); ``regenerated`` columns are taken anew (LIF-09).
 
-    ``additions``: key, source_urls, source_outlets and, where regenerated, those columns; one row a key.
+    ``additions``: key, source_urls, source_outlets and, where regenerated, those columns. Rows of one key are one
+    addition: their lists follow one another, and the largest of their regenerated values counts.
     """
+    lists = F.array_sort(F.collect_list(F.struct("source_urls", "source_outlets")))
+    additions = additions.groupBy(key).agg(lists.alias("rows"), F.max(F.struct(F.lit(True), *regenerated)).alias("made"))
+    together = lambda c: F.flatten(F.transform("rows", lambda r: F.coalesce(r[c], F.array().cast("array<string>")))).alias(c)
+    additions = additions.select(key, *map(together, ("source_urls", "source_outlets")), *(F.col("made")[c].alias(c) for c in regenerated))
     add = additions.select(key, F.col("source_urls").alias("add_urls"), F.col("source_outlets").alias("add_outlets"), *(F.col(c).alias(f"add_{c}") for c in regenerated), F.lit(True).alias("touched"))
     both = events.join(add, key, "left")
     urls, outlets = ordered_union(F.col("source_urls"), F.col("add_urls")), ordered_union(F.col("source_outlets"), F.col("add_outlets"))
@@ -145,10 +151,19 @@ def apply_verdict(rows: DataFrame, verdicts: DataFrame, *, key: str, choices: li
 
 
 def seed_roster(old: DataFrame, seed: DataFrame, *, keys: list[str], owned: list[str]) -> DataFrame:
-    """Seed-owned columns are overwritten where the seed has a value; all others stay; new candidates join (LIF-19)."""
+    """Seed-owned columns are overwritten where the seed has a value; all others stay; new candidates join (LIF-19).
+
+    Columns keep their types; a seed value of another type is cast, and is no value where it cannot be.
+    """
     new = seed.select(*keys, *(F.col(c).alias(f"seed_{c}") for c in owned))
     both = old.join(new, keys, "full_outer")
-    return both.select(*keys, *((F.coalesce(blank_to_null(F.col(f"seed_{c}").cast("string")), F.col(c).cast("string")) if c in owned else F.col(c)).alias(c) for c in old.columns if c not in keys))
+    kinds = dict(old.dtypes)
+
+    def value(c: str) -> Column:
+        given = F.when(blank_to_null(strip(F.col(f"seed_{c}").cast("string"))).isNotNull(), F.col(f"seed_{c}").try_cast(kinds[c]))
+        return F.coalesce(given, F.col(c)) if c in owned else F.col(c)
+
+    return both.select(*keys, *(value(c).alias(c) for c in old.columns if c not in keys))
 
 
 def subscribe(recipients: DataFrame, signups: DataFrame) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .shared import written
+
 
 def top_per_group(df: DataFrame, *, group: list[str], order: list[Column], cap: int, rank: str = "rank") -> DataFrame:
     """The first ``cap`` rows of each group. Spark keeps ``cap`` rows of a group a partition before the shuffle."""
@@ -17,6 +19,22 @@ def placed_in_group(df: DataFrame, *, group: list[str], order: list[Column], ran
     return df.withColumn(rank, F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
 
 
+def ranked(df: DataFrame, *, order: list[Column], rank: str = "rank") -> DataFrame:
+    """Every row with its place in the order of the whole table, from 1.
+
+    No task sees the whole table: rows are dealt into ranges of the order and numbered there, and the numbers of rows in
+    earlier ranges (one row a range) are added. The numbered ranges are written, so both readings see the same.
+    """
+    names = [c + "_" * max(map(len, df.columns)) for c in ("range", "place")]
+    dealt = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    # Within a partition the low 33 bits count up from 0.
+    numbered = written(dealt.withColumn(names[0], F.spark_partition_id()).withColumn(names[1], F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))), "ranked")
+    sizes = numbered.groupBy(names[0]).agg(F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy(names[0]).rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(names[0], F.coalesce(F.sum("n").over(before), F.lit(0)).alias("n"))
+    return numbered.join(F.broadcast(starts), names[0]).select(*df.columns, (F.col("n") + F.col(names[1]) + 1).alias(rank))
+
+
 def top_per_category(df: DataFrame, *, choices: list[str], cap: int = 4) -> DataFrame:
     """The best of each primary category: relevance 3, then 2; most sources; newest (WIN-01)."""
     from ..functions.lists import primary
@@ -50,10 +68,10 @@ def keep_best(df: DataFrame, *, key: str, order: list[Column]) -> DataFrame:
 
 
 def keep_first_url(df: DataFrame, *, url: str = "url", seq: str = "seq") -> DataFrame:
-    """The first row of each URL; rows with a blank URL all stay (WIN-06)."""
+    """The first row of each URL, rows without a place last; rows with a blank URL all stay (WIN-06)."""
     blank = F.coalesce(F.trim(url), F.lit("")) == ""
     rest = [c for c in df.columns if c != url]
-    first = df.where(~blank).groupBy(url).agg(F.min_by(F.struct(*rest), F.col(seq)).alias("r")).select(url, "r.*")
+    first = df.where(~blank).groupBy(url).agg(F.min_by(F.struct(*rest), F.struct(F.col(seq).isNull(), F.col(seq))).alias("r")).select(url, "r.*")
     return first.select(df.columns).unionByName(df.where(blank))
 
 

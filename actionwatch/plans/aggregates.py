@@ -61,8 +61,7 @@ def _(t):
 
 @query("AGG-08", with_("ev") + "SELECT chamber AS layer, count(*) FILTER (len(competency) > 0) AS categorised, count(*) AS events FROM ev GROUP BY 1")
 def _(t):
-    e = fx.events(t)
-    return op.categorised_counts({c: e.where(F.col("chamber") == c) for c in ("senate", "house")})
+    return op.categorised_by(fx.events(t), "chamber")
 
 
 @query("AGG-09", with_("raw") + """, o AS (SELECT grp, outlet, min(seq) AS s FROM raw GROUP BY 1, 2), u AS (SELECT grp, url, min(seq) AS s FROM raw GROUP BY 1, 2)
@@ -75,15 +74,15 @@ def _(t):
 RANKS = ["announced", "reported", "official"]
 
 
-@query("AGG-10", with_("raw") + "SELECT grp, CASE max(CASE verification WHEN 'announced' THEN 1 WHEN 'reported' THEN 2 WHEN 'official' THEN 3 END) WHEN 1 THEN 'announced' WHEN 2 THEN 'reported' WHEN 3 THEN 'official' ELSE 'reported' END AS verification FROM raw WHERE k % 5 < 2 GROUP BY 1")
+@query("AGG-10", with_("raw") + "SELECT grp, CASE max(CASE verification WHEN 'announced' THEN 1 WHEN 'reported' THEN 2 WHEN 'official' THEN 3 END) WHEN 1 THEN 'announced' WHEN 2 THEN 'reported' WHEN 3 THEN 'official' ELSE 'reported' END AS verification FROM raw GROUP BY 1")
 def _(t):
-    return fx.raw(t).where("k % 5 < 2").groupBy("grp").agg(op.highest("verification", RANKS, "reported").alias("verification"))
+    return fx.raw(t).groupBy("grp").agg(op.highest("verification", RANKS, "reported").alias("verification"))
 
 
-@query("AGG-11", with_("raw") + """, p AS (SELECT grp, nullif((['majority', 'member', '', 'minority'])[1 + k % 4], '') AS party FROM raw WHERE k % 11 = 0)
+@query("AGG-11", with_("raw") + """, p AS (SELECT grp, nullif((['majority', 'member', '', 'minority'])[1 + k % 4], '') AS party FROM raw)
 SELECT grp, CASE WHEN count(DISTINCT party) = 1 THEN min(party) WHEN bool_or(party = 'member') THEN 'member' ELSE 'majority' END AS party FROM p GROUP BY 1""")
 def _(t):
-    rows = fx.raw(t).where("k % 11 = 0").withColumn("party", fx.pick(["majority", "member", "", "minority"], F.col("k")))
+    rows = fx.raw(t).withColumn("party", fx.pick(["majority", "member", "", "minority"], F.col("k")))
     return rows.groupBy("grp").agg(op.merged_party("party").alias("party"))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import dates, text
+from ..operators import joins
 from ..sources import fixtures as fx
 from ..sources.fixtures import with_
 from .registry import query
@@ -33,14 +34,31 @@ def _(t):
     return t("pages").select("page_id", text.page_text(F.col("html")).alias("text"))
 
 
-@query("FUN-04", "SELECT DISTINCT page_id, link FROM (SELECT page_id, unnest(regexp_extract_all(html, '(?i)<a\\b[^>]*href=\"([^\"]*)\"', 1)) AS link FROM pages) WHERE regexp_matches(link, '^/[a-zA-Z]+$')")
+RESOLVED = "CASE WHEN regexp_matches({h}, '(?i)^[a-z][a-z0-9+.-]*:') THEN {h} WHEN starts_with({h}, '/') THEN root || {h} WHEN {h} = '' THEN url ELSE folder || CASE WHEN ends_with(folder, '/') THEN '' ELSE '/' END || {h} END"
+BASES = """b AS (SELECT page_id, url, html, regexp_extract(url, '^([a-z][a-z0-9+.-]*://[^/?#]*)', 1) AS root,
+  regexp_extract(url, '^([a-z][a-z0-9+.-]*://[^/?#]*(?:/[^?#]*/|/)?)', 1) AS folder FROM pages)"""
+ISSUES = "(?i)th|ie|ung"
+
+
+@query("FUN-04", f"""WITH {BASES},
+a AS (SELECT *, unnest(regexp_extract_all(html, '(?is)<a\\b[^>]*href="[^"]*"[^>]*>.*?</a>')) AS tag, generate_subscripts(regexp_extract_all(html, '(?is)<a\\b[^>]*href="[^"]*"[^>]*>.*?</a>'), 1) AS n FROM b),
+c AS (SELECT *, regexp_replace(regexp_extract(tag, '(?is)href="([^"]*)"', 1), '#.*$', '') AS h, {STRIP.format("regexp_extract(tag, '(?is)^<a[^>]*>(.*)</a>$', 1)")} AS label FROM a),
+d AS (SELECT page_id, n, root, label, {RESOLVED.format(h="h")} AS link FROM c),
+e AS (SELECT page_id, link, min(n) AS n FROM d WHERE starts_with(link, root) AND regexp_matches(substr(link, length(root) + 1, 1), '^[/?]?$') AND root <> ''
+  AND (regexp_matches(label, '{ISSUES}') OR regexp_matches(regexp_extract(link, '^[a-z][a-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '{ISSUES}')) GROUP BY 1, 2)
+SELECT page_id, link FROM (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY n) AS r FROM e) WHERE r <= 3""")
 def _(t):
-    return t("pages").select("page_id", F.explode(text.links(F.col("html"))).alias("link")).where(F.col("link").rlike("^/[a-zA-Z]+$")).distinct()
+    return t("pages").select("page_id", F.explode(text.issue_links(F.col("html"), F.col("url"), ISSUES, cap=3)).alias("link"))
 
 
-@query("FUN-05", "SELECT page_id, len(regexp_extract_all(html, '(?i)<a\\b[^>]*href=\"([^\"]*)\"', 1)) AS links, len(regexp_extract_all(html, '(?i)<a\\b[^>]*href=\"([^\"]*)\"', 1)) >= 5 AND regexp_matches(html, '(?i)<time\\b|class=\"[^\"]*date') AS listing FROM pages")
+@query("FUN-05", f"""WITH {BASES}, f AS (SELECT *, (['/feed', 'news.xml', 'https://f.example/x'])[1 + page_id % 5 % 3] AS h FROM b)
+SELECT page_id, len(regexp_extract_all(html, '(?i)<a\\b[^>]*href="([^"]*)"', 1)) AS links, len(regexp_extract_all(html, '(?i)<a\\b[^>]*href="([^"]*)"', 1)) >= 5 AND regexp_matches(html, '(?i)<time\\b|class="[^"]*date') AS listing,
+  CASE WHEN page_id % 3 < 2 THEN {RESOLVED.format(h="h")} ELSE '' END AS feeds FROM f""")
 def _(t):
-    return t("pages").select("page_id", F.size(text.links(F.col("html"))).cast("long").alias("links"), text.looks_like_listing(F.col("html"), 5).alias("listing"))
+    kind, target = fx.pick(["rss+xml", "atom+xml", "json"], F.col("page_id")), fx.pick(["/feed", "news.xml", "https://f.example/x"], F.col("page_id") % 5)
+    html = F.concat(F.lit('<head><link rel="Alternate" type="application/'), kind, F.lit('" href="'), target, F.lit('"><link rel="icon" href="/i">'), "html")
+    p = t("pages").withColumn("html", html)
+    return p.select("page_id", F.size(text.links(F.col("html"))).cast("long").alias("links"), text.looks_like_listing(F.col("html"), 5).alias("listing"), F.array_join(text.advertised_feeds(F.col("html"), F.col("url")), "|").alias("feeds"))
 
 
 @query("FUN-06", """WITH o AS (SELECT o_orderkey AS id, o_orderkey % 6 AS kind, CAST(o_orderdate AS DATE) AS d FROM orders) SELECT id, CASE WHEN kind < 4 THEN d END AS date FROM o""")
@@ -93,17 +111,23 @@ def _(t):
     return t("documents").select("doc_id", F.size(text.split_list(F.col("text"))).cast("long").alias("lines"))
 
 
-@query("FUN-14", """SELECT doc_id, rtrim(regexp_extract(trim(text, ' ' || chr(10) || chr(9) || chr(13)), '(?s)^(.*?[.!?](?:\\s|$))', 1), ' ' || chr(10) || chr(9) || chr(13)) AS lead FROM documents
-WHERE regexp_matches(text, '^\\S[^.!?]*[.!?]\\s')""")
+@query("FUN-14", """WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '^\\s+|\\s+$', '', 'g') AS s FROM documents)
+SELECT doc_id, regexp_replace(array_to_string(list_slice(string_split(regexp_replace(s, '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1)), 1, 2), ' '), '^\\s+|\\s+$', '', 'g') AS lead FROM d""")
 def _(t):
-    d = t("documents").where(F.col("text").rlike(r"^\S[^.!?]*[.!?]\s"))
-    return d.select("doc_id", text.first_sentences(F.col("text"), 1).alias("lead"))
+    return t("documents").select("doc_id", text.first_sentences(F.col("text"), 2).alias("lead"))
+
 
+#: ``#`` stands for the row's number.
+BLURBS = ["Gov. Lee of Ohio signed H.R. #. It starts now.", "Ohio acts on #.", "Ohio acts; more on #. Then rest.", "They act on #. Then rest.", "Ohio acts #. " + "word " * 31 + "end.", "J. D. Vance of Ohio met # people. All left.", "The U.S. Senate passed # bills. Ohio waits! Why?", "Ohio — # acts. No. # is next."]
 
-@query("FUN-15", with_("raw") + "SELECT row_id, (['none', 'sentences', 'punctuation', 'state', 'long'])[1 + k % 5] AS problem FROM raw")
+
+@query("FUN-15", with_("raw") + f""", b AS (SELECT row_id, replace(({BLURBS})[1 + k % {len(BLURBS)}], '#', CAST(k AS VARCHAR)) AS t FROM raw),
+h AS (SELECT *, regexp_replace(t, '\\b((?:[A-Z]\\.)+|(?:Sen|Rep|Gov|Dept|St|No|Inc|vs)\\.)\\s+', '\\1' || chr(1), 'g') AS held FROM b),
+p AS (SELECT *, list_transform(string_split(regexp_replace(held, '([.!?])\\s+', '\\1' || chr(2), 'g'), chr(2)), lambda s: len(string_split(replace(s, chr(1), ' '), ' '))) AS words FROM h)
+SELECT row_id, CASE WHEN len(words) <> 2 THEN 'sentences' WHEN list_max(words) > 30 THEN 'long' WHEN contains(t, '—') OR contains(t, ';') THEN 'punctuation' WHEN NOT contains(t, 'Ohio') THEN 'state' ELSE 'none' END AS problem FROM p""")
 def _(t):
-    blurbs = ["Gov. Lee of Ohio signed. It starts now.", "Ohio acts.", "Ohio acts; more. Then rest.", "They act. Then rest.", "Ohio acts. " + "word " * 31 + "end."]
-    problem = text.blurb_problem(fx.pick(blurbs, F.col("k")), F.lit("Ohio"))
+    blurb = F.replace(fx.pick(BLURBS, F.col("k")), F.lit("#"), F.col("k").cast("string"))
+    problem = text.blurb_problem(blurb, F.lit("Ohio"))
     return fx.raw(t).select("row_id", F.coalesce(problem, F.lit("none")).alias("problem"))
 
 
@@ -149,10 +173,18 @@ def _(t):
     return fx.raw(t).groupBy("grp").agg(ordered_distinct("lane", ["seq"]).alias("lanes")).select("grp", text.outlet_summary(F.col("lanes"), 2).alias("outlets"))
 
 
-@query("FUN-22", "SELECT c_custkey AS id, 'Ann B. Lee' || c_custkey || '|Ann Lee' || c_custkey AS variants FROM customer")
+ARTICLES = ["Ann Lee #, again", "Now ANN B. LEE # speaks", "Annlee # is another", "Lee # and Ann", "Talk: Ann  Lee #"]
+
+
+@query("FUN-22", f"""WITH a AS (SELECT o_orderkey AS article, o_custkey, replace(({ARTICLES})[1 + o_orderkey % {len(ARTICLES)}], '#', CAST(o_custkey AS VARCHAR)) AS t FROM orders),
+w AS (SELECT article, ' ' || trim(regexp_replace(lower(t), '[^a-z0-9]+', ' ', 'g')) || ' ' AS words FROM a),
+n AS (SELECT c_custkey AS id, unnest(['ann b lee ' || c_custkey, 'ann lee ' || c_custkey]) AS form FROM customer)
+SELECT DISTINCT w.article, n.id FROM a JOIN w USING (article) JOIN n ON n.id = a.o_custkey WHERE contains(w.words, ' ' || n.form || ' ')""")
 def _(t):
-    name = F.concat(F.lit("Ann  B. Lee"), F.col("c_custkey"))
-    return t("customer").select(F.col("c_custkey").alias("id"), F.array_join(text.name_variants(name), "|").alias("variants"))
+    said = F.replace(fx.pick(ARTICLES, F.col("o_orderkey")), F.lit("#"), F.col("o_custkey").cast("string"))
+    articles = t("orders").select(F.col("o_orderkey").alias("article"), said.alias("text"))
+    roster = t("customer").select(F.col("c_custkey").alias("id"), F.concat(F.lit("Ann  B. Lee "), "c_custkey").alias("name"))
+    return joins.match_names(articles, roster, key="article", text="text", candidate="id", name="name")
 
 
 @query("FUN-24", "SELECT event_id, TRUE AS pass, CAST(user_id AS INTEGER) AS score FROM events")

@@ -74,14 +74,15 @@ def _(t):
     return fx.items(t).orderBy("seq").limit(60).select("item_id")
 
 
-@query("WIN-10", with_("ev") + "SELECT event_id, date, relevance FROM ev ORDER BY date DESC, relevance DESC NULLS LAST, event_id LIMIT 200")
+@query("WIN-10", with_("ev") + "SELECT event_id, date, relevance, row_number() OVER (ORDER BY date DESC, relevance DESC NULLS LAST, event_id) AS rank FROM ev")
 def _(t):
-    return fx.events(t).orderBy(F.desc("date"), F.desc_nulls_last("relevance"), "event_id").limit(200).select("event_id", "date", "relevance")
+    return op.ranked(fx.events(t).select("event_id", "date", "relevance"), order=[F.desc("date"), F.desc_nulls_last("relevance"), F.asc("event_id")])
 
 
-@query("WIN-11", with_("bills") + "SELECT bill, pos, committee, relevance, date FROM bills ORDER BY relevance DESC, date DESC, bill, pos, committee LIMIT 200")
+@query("WIN-11", with_("bills") + "SELECT bill, pos, committee, relevance, date, row_number() OVER (ORDER BY relevance DESC, date DESC, bill, pos, committee) AS rank FROM bills")
 def _(t):
-    return fx.bills(t).orderBy(F.desc("relevance"), F.desc("date"), "bill", "pos", "committee").limit(200).select("bill", "pos", "committee", "relevance", "date")
+    rows = fx.bills(t).select("bill", "pos", "committee", "relevance", "date")
+    return op.ranked(rows, order=[F.desc("relevance"), F.desc("date"), F.asc("bill"), F.asc("pos"), F.asc("committee")])
 
 
 @query("WIN-12", """WITH h AS (SELECT o_orderkey AS id, CAST(o_orderdate AS DATE) AS date FROM orders)
@@ -115,16 +116,16 @@ def _(t):
     return op.placed_in_group(ranked, group=["state"], order=[F.asc("status_rank"), F.asc("party"), F.asc("candidate")], rank="place").select("candidate", "state", "place")
 
 
-@query("WIN-16", """SELECT p_partkey AS id, v FROM (SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN p_brand ELSE CAST(p_size AS VARCHAR) END AS v FROM part)
-ORDER BY CASE WHEN regexp_matches(v, '^[0-9]{1,9}$') THEN CAST(v AS INTEGER) END NULLS LAST, v, p_partkey LIMIT 50""".replace("CAST(v AS INTEGER)", "TRY_CAST(v AS INTEGER)"))
+@query("WIN-16", """SELECT p_partkey AS id, v, row_number() OVER (ORDER BY CASE WHEN regexp_matches(v, '^[0-9]{1,9}$') THEN CAST(v AS INTEGER) END NULLS LAST, v, p_partkey) AS rank FROM (SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN p_brand ELSE CAST(p_size AS VARCHAR) END AS v FROM part)""".replace("CAST(v AS INTEGER)", "TRY_CAST(v AS INTEGER)"))
 def _(t):
     v = F.when(F.col("p_partkey") % 3 == 0, F.col("p_brand")).otherwise(F.col("p_size").cast("string"))
-    return t("part").select(F.col("p_partkey").alias("id"), v.alias("v")).orderBy(*op.numeric_then_text("v"), "id").limit(50)
+    return op.ranked(t("part").select(F.col("p_partkey").alias("id"), v.alias("v")), order=[*op.numeric_then_text("v"), F.asc("id")])
 
 
-@query("WIN-17", with_("ev") + "SELECT event_id, relevance, date FROM ev WHERE date >= DATE '2024-01-20' ORDER BY relevance DESC NULLS LAST, date DESC, event_id LIMIT 300")
+@query("WIN-17", with_("ev") + "SELECT event_id, relevance, date, row_number() OVER (ORDER BY relevance DESC NULLS LAST, date DESC, event_id) AS rank FROM ev WHERE date >= DATE '2024-01-20'")
 def _(t):
-    return fx.events(t).where("date >= '2024-01-20'").orderBy(F.desc_nulls_last("relevance"), F.desc("date"), "event_id").limit(300).select("event_id", "relevance", "date")
+    rows = fx.events(t).where("date >= '2024-01-20'").select("event_id", "relevance", "date")
+    return op.ranked(rows, order=[F.desc_nulls_last("relevance"), F.desc("date"), F.asc("event_id")])
 
 
 @query("WIN-18", with_("ev") + f", {TOP} SELECT competency[1] AS category, event_id FROM picked WHERE rank = 1 AND relevance = 3")

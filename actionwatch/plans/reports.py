@@ -4,46 +4,81 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.text import first_sentences, outlet_summary
+from ..functions.text import digest_item, outlet_summary, state_title
 from ..operators import filters as gates
 from ..operators import ranking
 from ..sources import fixtures as fx
-from ..sources.fixtures import with_
+from ..sources.fixtures import COMPETENCIES, with_
 from . import ranking as rank_queries
 from .aggregates import CALENDARS, joi_09
-from .ranking import TOP, must_cover, window_events
+from .ranking import IN_WINDOW, TOP, must_cover, window_events
 from .registry import query
 
 
-@query("REP-01", with_("ev", "roster", "devs", "bills") + f""", {TOP}, gov AS (SELECT devs.*, row_number() OVER (ORDER BY relevance DESC, article_count DESC, date DESC, event_id) AS rank FROM devs JOIN roster USING (state, candidate)
+SIDES = {"state": ["news", "odd"], "congress": ["oversight"], "agency": ["executive-action", "rulemaking"]}
+SIDE = "CASE WHEN lane IN ('news', 'odd') THEN 'state' WHEN lane = 'oversight' THEN 'congress' ELSE 'agency' END"
+
+
+@query("REP-01", with_("ev", "roster", "devs", "bills") + f""", win AS (SELECT *, {SIDE} AS side FROM ev WHERE {IN_WINDOW}),
+top AS (SELECT *, row_number() OVER (PARTITION BY side, competency[1] ORDER BY relevance DESC, article_count DESC, date DESC, event_id) AS rank FROM win WHERE len(competency) > 0 AND relevance >= 2),
+gov AS (SELECT devs.*, row_number() OVER (ORDER BY relevance DESC, article_count DESC, date DESC, event_id) AS rank FROM devs JOIN roster USING (state, candidate)
   WHERE status NOT IN ('withdrawn', 'defeated') AND (race_rating = 'Toss-up' OR race_rating LIKE 'Lean%') AND relevance >= 2),
 mv AS (SELECT bill, row_number() OVER (ORDER BY relevance DESC, coalesce(committee_action_date, date) DESC, bill, pos, committee) AS rank FROM bills
-  WHERE coalesce(committee_action_date, date) >= DATE '1997-01-01' - 300 AND coalesce(committee_action_date, date) < DATE '1997-01-01' AND committee_action IN ('marked-up', 'reported') AND relevance >= 2)
-SELECT 'events' AS section, competency[1] AS category, CAST(rank AS INTEGER) AS rank, event_id AS id FROM picked WHERE rank <= 4
-UNION ALL SELECT 'governors', '', CAST(rank AS INTEGER), event_id FROM gov WHERE rank <= 4 UNION ALL SELECT 'bills', '', CAST(rank AS INTEGER), bill FROM mv WHERE rank <= 4""")
+  WHERE coalesce(committee_action_date, date) >= DATE '1997-01-01' - 300 AND coalesce(committee_action_date, date) < DATE '1997-01-01' AND committee_action IN ('marked-up', 'reported') AND relevance >= 2),
+h AS (SELECT o_orderkey AS id, CAST(o_orderdate AS DATE) AS date FROM orders),
+up AS (SELECT id, row_number() OVER (ORDER BY date, id) AS rank FROM h WHERE date >= DATE '1997-01-01'),
+past AS (SELECT id, row_number() OVER (ORDER BY date DESC, id) AS rank FROM h WHERE date >= DATE '1997-01-01' - 30 AND date < DATE '1997-01-01')
+SELECT side AS section, competency[1] AS category, CAST(rank AS INTEGER) AS rank, event_id AS id FROM top WHERE rank <= 4
+UNION ALL SELECT 'governors', '', CAST(rank AS INTEGER), event_id FROM gov WHERE rank <= 4 UNION ALL SELECT 'bills', '', CAST(rank AS INTEGER), bill FROM mv WHERE rank <= 4
+UNION ALL SELECT 'upcoming', '', CAST(rank AS INTEGER), id FROM up WHERE rank <= 4 UNION ALL SELECT 'recent', '', CAST(rank AS INTEGER), id FROM past WHERE rank <= 4
+UNION ALL SELECT 'total', CASE WHEN side = 'state' THEN 'state' ELSE 'federal' END, 0, count(*) FROM win GROUP BY 2""")
 def digest(t):
-    """All sections of the weekly digest as one long table."""
+    """All sections of the weekly digest and its totals as one long table: (section, category, rank, id)."""
     from pyspark.sql import Window
 
     def numbered(df, section: str, order, key: str):
         # At most four rows: a window over all of them is small.
         best = df.orderBy(*order).limit(4)
-        return best.select(F.lit(section).alias("section"), F.lit("").alias("category"), F.row_number().over(Window.orderBy(*order)).alias("rank"), F.col(key).alias("id"))
-
-    events = rank_queries.top_events(t).select(F.lit("events").alias("section"), "category", "rank", F.col("event_id").alias("id"))
+        return best.select(F.lit(section).alias("section"), F.lit("").alias("category"), F.row_number().over(Window.orderBy(*order)).alias("rank"), F.col(key).cast("long").alias("id"))
+
+    events = window_events(t)
+    out = None
+    for side, lanes in SIDES.items():
+        best = ranking.top_per_category(events.where(F.col("lane").isin(lanes)), choices=COMPETENCIES)
+        part = best.select(F.lit(side).alias("section"), F.col("primary").alias("category"), "rank", F.col("event_id").cast("long").alias("id"))
+        out = part if out is None else out.unionByName(part)
     governors = ranking.top_governors(fx.developments(t), fx.roster(t))
     moved = gates.moved_bills(fx.bills(t), as_of="1997-01-01", days=300)
-    bills = numbered(moved, "bills", [F.desc("relevance"), F.desc("moved_on"), F.asc("bill"), F.asc("pos"), F.asc("committee")], "bill")
-    return events.unionByName(numbered(governors, "governors", [F.desc("relevance"), F.desc("article_count"), F.desc("date"), F.asc("event_id")], "event_id")).unionByName(bills)
-
-
-@query("REP-02", with_("ev") + """SELECT event_id, state || ': ' || activity_type AS title, 'Why ' || k || '.' AS summary, activity_type || ' · ' || actor_type AS meta,
-  array_to_string(agency[:2], ', ') || CASE WHEN len(agency) > 2 THEN ' +' || (len(agency) - 2) || ' more' ELSE '' END AS outlets FROM ev WHERE date >= DATE '2024-01-24' AND date < DATE '2024-01-31'""")
+    hearings = rank_queries.hearings(t)
+    federal = F.when(F.col("lane").isin(SIDES["state"]), "state").otherwise("federal")
+    totals = events.groupBy(federal.alias("category")).agg(F.count(F.lit(1)).alias("id")).select(F.lit("total").alias("section"), "category", F.lit(0).alias("rank"), "id")
+    for part in (
+        numbered(governors, "governors", [F.desc("relevance"), F.desc("article_count"), F.desc("date"), F.asc("event_id")], "event_id"),
+        numbered(moved, "bills", [F.desc("relevance"), F.desc("moved_on"), F.asc("bill"), F.asc("pos"), F.asc("committee")], "bill"),
+        numbered(hearings.where("part = 'upcoming'"), "upcoming", [F.asc("date"), F.asc("id")], "id"),
+        numbered(hearings.where("part = 'recent'"), "recent", [F.desc("date"), F.asc("id")], "id"),
+        totals,
+    ):
+        out = out.unionByName(part)
+    return out
+
+
+@query("REP-02", with_("ev") + f"""SELECT event_id, state || ': ' || activity_type AS title, CASE WHEN k % 2 = 0 THEN 'Why ' || k || '.' ELSE 'First ' || k || '. Then more.' END AS summary, activity_type || ' · ' || actor_type AS meta, relevance,
+  CASE WHEN len(agency) > 1 THEN 'a.example=https://www.a.example/' || k || '|b' || k || '.example=https://b' || k || '.example/x' ELSE agency[1] || '=https://www.a.example/' || k END AS links, CAST(date AS VARCHAR) AS date,
+  array_to_string(agency[:2], ', ') || CASE WHEN len(agency) > 2 THEN ' +' || (len(agency) - 2) || ' more' ELSE '' END AS outlets, date DESC_KEY FROM ev WHERE {IN_WINDOW}""".replace("date DESC_KEY", "CAST(date AS VARCHAR) || '-' || lpad(CAST(article_count AS VARCHAR), 4, '0') AS sort_key"))
 def _(t):
-    why = F.when(F.col("k") % 2 == 0, F.concat(F.lit("Why "), "k", F.lit("."))).otherwise("")
-    notes = F.concat(F.lit("Why "), "k", F.lit("."))
-    summary = F.coalesce(F.nullif(why, F.lit("")), first_sentences(notes, 2))
-    return window_events(t).select("event_id", F.concat("state", F.lit(": "), "activity_type").alias("title"), summary.alias("summary"), F.concat_ws(" · ", "activity_type", "actor_type").alias("meta"), outlet_summary(F.col("agency"), 2).alias("outlets"))
+    why = F.when(F.col("k") % 2 == 0, F.concat(F.lit(" Why "), "k", F.lit(". "))).otherwise("")
+    notes = F.concat(F.lit("First "), "k", F.lit(". Then more. And the rest."))
+    one = F.concat(F.lit("https://www.a.example/"), "k")
+    many = F.size("agency") > 1
+    urls = F.when(many, F.array(one, F.concat(F.lit("https://b"), "k", F.lit(".example/x")))).otherwise(F.array(one))
+    # Where the two lists do not line up, links are labelled by host.
+    outlets = F.when(many, F.array().cast("array<string>")).otherwise(F.slice("agency", 1, 1))
+    rows = window_events(t).withColumn("place", F.concat_ws("-", F.col("date").cast("string"), F.lpad(F.col("article_count").cast("string"), 4, "0")))
+    item = digest_item(title=state_title(F.concat(F.lit("MD — "), "activity_type"), F.col("state")), why=why, notes=notes, meta=[F.col("activity_type"), F.lit(""), F.col("actor_type")], relevance=F.col("relevance"), urls=urls, outlets=outlets, date=F.col("date"), sort_key=F.col("place"))
+    out = rows.select("event_id", item.alias("i"), outlet_summary(F.col("agency"), 2).alias("outlets"))
+    links = F.array_join(F.transform("i.links", lambda p: F.concat(p["label"], F.lit("="), p["url"])), "|")
+    return out.select("event_id", "i.title", "i.summary", "i.meta", "i.relevance", links.alias("links"), "i.date", "outlets", "i.sort_key")
 
 
 @query("REP-03", with_("ev") + f", {TOP} SELECT competency[1] AS category, event_id, rank = 1 AND relevance = 3 AS must_cover FROM picked WHERE rank <= 4")

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..operators.clustering import shared_folder
+from ..operators.shared import shared_folder
 from ..sources import fixtures as fx
 from ..sources import tables as op
 from ..sources.fixtures import with_
@@ -36,12 +36,12 @@ def _(t):
     return op.read_table(r.sparkSession, path, r.schema, ["url"]).distinct()
 
 
-@query("SRC-03", """SELECT doc_id AS item_id, nullif(substr(trim(regexp_replace(split_part(text, chr(10), 1), '\\s+', ' ', 'g')), 1, 500), '') AS title,
-  nullif(substr(trim(regexp_replace(text, '\\s+', ' ', 'g')), 1, 4000), '') AS body, 'https://x/' || doc_id AS url, DATE '2024-01-01' + CAST(doc_id % 30 AS INTEGER) AS pub_date FROM documents WHERE NOT contains(text, '<')""")
+@query("SRC-03", """SELECT doc_id AS item_id, nullif(substr(trim(regexp_replace(regexp_replace(split_part(text, chr(10), 1), '<[^>]+>', ' ', 'g'), '\\s+', ' ', 'g')), 1, 500), '') AS title,
+  nullif(substr(trim(regexp_replace(regexp_replace(text, '<[^>]+>', ' ', 'g'), '\\s+', ' ', 'g')), 1, 4000), '') AS body, 'https://x/' || doc_id AS url, DATE '2024-01-01' + CAST(doc_id % 30 AS INTEGER) AS pub_date FROM documents""")
 def _(t):
     from ..functions.dates import parse_date
 
-    d = t("documents").where(~F.col("text").contains("<")).withColumn("title", F.substring_index("text", "\n", 1)).withColumn("link", F.concat(F.lit(" https://x/"), "doc_id", F.lit(" ")))
+    d = t("documents").withColumn("title", F.substring_index("text", "\n", 1)).withColumn("link", F.concat(F.lit(" https://x/"), "doc_id", F.lit(" ")))
     published = parse_date(F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), (F.col("doc_id") % 30).cast("int")), "MMMM d, yyyy"))
     return op.normalise_items(d, title="title", body="text", url="link", published=published, extra={"item_id": F.col("doc_id")})
 
@@ -112,6 +112,57 @@ def _(t):
     return op.review_sheet(fx.events(t), sheet="events", columns=["event_id", "state"], review=["verdict"], urls="agency", category="competency")
 
 
-@query("SRC-14", with_("ev") + "SELECT event_id AS id, state AS place, coalesce(relevance, 0) AS relevance, len(competency) AS categories FROM ev")
+MODELS = ["events", "congress", "hearings", "bills", "federal", "candidates", "developments", "state_profiles", "sources"]
+
+
+def _rows(shape: str, table: str, key: str, given: dict[str, str]) -> str:
+    """Every field of a read model as (shape, id, field, value) rows in SQL; ``given`` as in ``_models``."""
+    def value(name: str, empty) -> str:
+        if isinstance(empty, list):
+            return f"coalesce(array_to_string({given[name]}, '|'), '')" if name in given else "''"
+        blank = f"'{empty}'"
+        return f"coalesce(nullif(nullif(CAST({given[name]} AS VARCHAR), '{0 if isinstance(empty, int) else ''}'), ''), {blank})" if name in given else blank
+
+    fields = ", ".join(f"{{'field': '{n}', 'value': {value(n, e)}}}" for n, e in op.READ_MODELS[shape].items())
+    return f"SELECT '{shape}' AS shape, id, unnest([{fields}], recursive := true) FROM (SELECT CAST({key} AS VARCHAR) AS id, * FROM {table})"
+
+
+MODELS_SQL = with_("ev", "bills", "devs", "roster", "items") + """, hearings AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS date, 'Hearing ' || o_orderpriority AS title FROM orders)
+""" + "\nUNION ALL ".join([
+    _rows("events", "ev", "event_id", {"event_id": "event_id", "state": "state", "date": "date", "activity_type": "activity_type", "gov_actor": "actor_type", "competency": "competency", "relevance": "relevance", "topic_tags": "topic_tags", "article_count": "article_count"}),
+    _rows("congress", "ev", "event_id", {"event_id": "event_id", "date": "date", "committee": "committee", "chamber": "chamber", "activity_type": "activity_type", "competency": "competency", "relevance": "relevance", "topic_tags": "topic_tags", "article_count": "article_count"}),
+    _rows("hearings", "hearings", "o_orderkey", {"event_id": "o_orderkey", "title": "title", "date": "date"}),
+    _rows("bills", "bills", "bill || '-' || pos", {"bill_id": "bill", "committee": "committee", "committee_action": "committee_action", "committee_action_date": "committee_action_date", "date": "date", "policy_area": "policy_area", "relevance": "relevance"}),
+    _rows("federal", "ev", "event_id", {"event_id": "event_id", "date": "date", "lane": "lane", "branch": "branch", "agency": "agency", "verification": "verification", "competency": "competency", "relevance": "relevance", "topic_tags": "topic_tags", "article_count": "article_count"}),
+    _rows("candidates", "roster", "candidate_id", {"name": "candidate", "state": "state", "party": "party", "status": "status", "race_type": "race_type", "race_rating": "race_rating"}),
+    _rows("developments", "devs", "event_id", {"event_id": "event_id", "candidate": "candidate", "state": "state", "date": "date", "dev_type": "dev_type", "relevance": "relevance", "article_count": "article_count"}),
+    _rows("state_profiles", "nation", "n_nationkey", {"state": "n_name"}),
+    _rows("sources", "(SELECT DISTINCT source FROM items)", "source", {"source": "source"}),
+])
+
+
+@query("SRC-14", MODELS_SQL)
 def _(t):
-    return op.project(fx.events(t), {"id": "event_id", "place": "state", "relevance": "relevance", "categories": F.size("competency").cast("long")})
+    e, h = fx.events(t), t("orders").select("o_orderkey", F.to_date("o_orderdate").alias("date"), F.concat(F.lit("Hearing "), "o_orderpriority").alias("title"))
+    common = {c: F.col(c) for c in ("event_id", "date", "competency", "relevance", "topic_tags", "article_count")}
+    mine = lambda *names: {c: F.col(c) for c in names}
+    models = {
+        "events": (e, F.col("event_id"), common | mine("state", "activity_type") | {"gov_actor": F.col("actor_type")}),
+        "congress": (e, F.col("event_id"), common | mine("committee", "chamber", "activity_type")),
+        "hearings": (h, F.col("o_orderkey"), mine("title", "date") | {"event_id": F.col("o_orderkey")}),
+        "bills": (fx.bills(t), F.concat("bill", F.lit("-"), "pos"), mine("committee", "committee_action", "committee_action_date", "date", "policy_area", "relevance") | {"bill_id": F.col("bill")}),
+        "federal": (e, F.col("event_id"), common | mine("lane", "branch", "agency", "verification")),
+        "candidates": (fx.roster(t), F.col("candidate_id"), mine("state", "party", "status", "race_type", "race_rating") | {"name": F.col("candidate")}),
+        "developments": (fx.developments(t), F.col("event_id"), mine("event_id", "candidate", "state", "date", "dev_type", "relevance", "article_count")),
+        "state_profiles": (t("nation"), F.col("n_nationkey"), {"state": F.col("n_name")}),
+        "sources": (fx.items(t).select("source").distinct(), F.col("source"), mine("source")),
+    }
+    out = None
+    for shape in MODELS:
+        df, key, given = models[shape]
+        rows = op.read_model(df, shape, key, given)
+        value = lambda c: F.array_join(c, "|") if rows.schema[c].dataType.typeName() == "array" else F.col(c).cast("string")  # noqa: B023, E731
+        cells = F.array(*(F.struct(F.lit(c).alias("field"), value(c).alias("value")) for c in op.READ_MODELS[shape]))
+        part = rows.select(F.lit(shape).alias("shape"), "id", F.inline(cells))
+        out = part if out is None else out.unionByName(part)
+    return out

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -92,19 +93,47 @@ def append_raw(df: DataFrame, path: str) -> None:
     df.withColumn("ingested_date", F.to_date("ingested_at")).write.mode("append").partitionBy("ingested_date").parquet(path)
 
 
-def write_snapshot(df: DataFrame, path: str) -> str:
-    """A new version of a keyed table in a folder of its own; the pointer moves last, so readers see all or nothing.
+def _pointers(spark: SparkSession, path: str) -> list[str]:
+    """Names of the versions' pointers, the newest first."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(f"{path}/_current")
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return []
+    return sorted((s.getPath().getName() for s in fs.listStatus(folder) if s.getLen() > 0 and s.getPath().getName().isdigit()), reverse=True)
+
+
+def snapshot_number(spark: SparkSession, path: str) -> int:
+    """The number of the newest version; 0 where there is none."""
+    found = _pointers(spark, path)
+    return int(found[0]) if found else 0
 
-    Spark cannot overwrite what it is reading; a version folder needs no overwrite (SRC-11).
+
+def write_snapshot(df: DataFrame, path: str, after: int | None = None) -> str:
+    """A new version of a keyed table in a folder of its own; a numbered pointer comes last, so readers see all or nothing.
+
+    Spark cannot overwrite what it is reading; a version folder needs no overwrite, and neither does a pointer: readers
+    take the one of the highest number (SRC-11). ``after`` is the number of the version that ``df`` was made from.
+    Where another writer has taken the next number, this one raises and changes nothing.
     """
-    version = f"v-{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    number = (snapshot_number(spark, path) if after is None else after) + 1
+    version = f"v{number}-{uuid.uuid4().hex}"
     df.write.parquet(f"{path}/{version}")
-    df.sparkSession.createDataFrame([(version,)], "version string").coalesce(1).write.mode("overwrite").text(f"{path}/current")
+    pointer = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_current/{number:012d}")
+    fs = pointer.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        out = fs.create(pointer, False)
+    except Py4JJavaError as e:
+        raise RuntimeError(f"version {number} of {path} was written by another writer") from e
+    out.writeBytes(version)
+    out.close()
     return version
 
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    version = spark.read.text(f"{path}/current").first()[0]
+    """The newest version."""
+    version = spark.read.text(f"{path}/_current/{_pointers(spark, path)[0]}").first()[0]
     return spark.read.parquet(f"{path}/{version}")
 
 
@@ -129,3 +158,33 @@ def project(df: DataFrame, shape: dict[str, Column | str | int]) -> DataFrame:
     empty = {"string": F.lit(""), "int": F.lit(0), "bigint": F.lit(0).cast("long"), "array<string>": F.array().cast("array<string>")}
     kinds = dict(df.dtypes)
     return df.select(*((F.coalesce(F.col(c), empty[kinds[c]]) if isinstance(c, str) and kinds.get(c) in empty else F.col(c) if isinstance(c, str) else c).alias(n) for n, c in shape.items()))
+
+
+#: Names and empty values of the read models' rows.
+READ_MODELS = {
+    "events": {"event_id": "", "name": "", "state": "", "date": "", "activity_type": "", "gov_actor": "", "competency": [], "relevance": 0, "topic_tags": [], "article_count": 1, "review_status": "unreviewed", "urls": [], "outlets": []},
+    "congress": {"event_id": "", "short_title": "", "headline": "", "summary": "", "why_it_matters": "", "date": "", "committee": "", "chamber": "", "party_source": "", "activity_type": "", "competency": [], "relevance": 0, "topic_tags": [], "actor": "", "bill_refs": "", "status": "", "article_count": 1, "review_status": "unreviewed", "urls": [], "outlets": []},
+    "hearings": {"event_id": "", "title": "", "committee": "", "chamber": "", "date": "", "location": "", "status": "", "witnesses": [], "bill_refs": "", "competency": [], "relevance": 0},
+    "bills": {"bill_id": "", "title": "", "committee": "", "committee_action": "", "committee_action_date": "", "date": "", "policy_area": "", "sponsor": "", "status": "", "competency": [], "relevance": 0},
+    "federal": {"event_id": "", "short_title": "", "headline": "", "summary": "", "why_it_matters": "", "date": "", "lane": "news", "branch": "executive", "agency": [], "instrument_type": "", "instrument_id": "", "verification": "", "competency": [], "relevance": 0, "topic_tags": [], "actor": "", "status": "", "document_url": "", "article_count": 1, "review_status": "unreviewed", "urls": [], "outlets": []},
+    "candidates": {"name": "", "state": "", "party": "", "status": "", "role": "", "race_type": "", "race_rating": "", "primary_date": "", "website": "", "platform_summary": "", "competency_signals": [], "platform_sources": [], "platform_asof": "", "notes": ""},
+    "developments": {"event_id": "", "candidate": "", "state": "", "headline": "", "summary": "", "date": "", "dev_type": "", "relevance": 0, "article_count": 1, "urls": [], "outlets": []},
+    "state_profiles": {"state": "", "governor": "", "party": "", "legislature": "", "notes": "", "sources": []},
+    "sources": {"source": "", "lane": "news", "kind": "", "url": "", "status": ""},
+}
+
+
+def read_model(df: DataFrame, shape: str, key: Column, given: dict[str, Column]) -> DataFrame:
+    """Rows of a read model (SRC-14): ``id`` and every name of the shape, from ``given`` or empty.
+
+    Missing, null and empty values become the name's empty value; a number 0 counts as missing, as in FIL-20.
+    """
+    def value(name: str, empty) -> Column:
+        c = given.get(name)
+        if isinstance(empty, list):
+            none = F.array().cast("array<string>")
+            return none if c is None else F.coalesce(c.cast("array<string>"), none)
+        kind = "long" if isinstance(empty, int) else "string"
+        return F.lit(empty).cast(kind) if c is None else F.coalesce(F.nullif(c.cast(kind), F.lit(0 if kind == "long" else "").cast(kind)), F.lit(empty).cast(kind))
+
+    return df.select(key.cast("string").alias("id"), *(value(n, e).alias(n) for n, e in READ_MODELS[shape].items()))

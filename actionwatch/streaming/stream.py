@@ -16,7 +16,7 @@ from pyspark.sql.types import StructType
 
 from ..operators.joins import drop_seen
 from ..operators.lifecycle import accrete, upsert
-from ..sources.tables import exists, read_snapshot, write_snapshot
+from ..sources.tables import exists, read_snapshot, snapshot_number, write_snapshot
 
 
 def landed(spark: SparkSession, path: str, schema: StructType, *, files_per_batch: int | None = None) -> DataFrame:
@@ -60,10 +60,10 @@ def accrete_batches(path: str, gather: Callable[[DataFrame], DataFrame]) -> Call
     """
 
     def write(batch: DataFrame, epoch: int) -> None:
-        events = read_snapshot(batch.sparkSession, path)
+        number, events = snapshot_number(batch.sparkSession, path), read_snapshot(batch.sparkSession, path)
         grown = accrete(events, gather(batch))
         if not grown.where("new_urls > 0").isEmpty():
-            write_snapshot(grown.drop("new_urls"), path)
+            write_snapshot(grown.drop("new_urls"), path, after=number)
 
     return write
 
@@ -72,9 +72,10 @@ def upsert_batches(path: str, *, key: str, order: str, preserve: list[str] = ())
     """A batch writer for keyed tables; an unchanged batch writes no version (STR-07)."""
 
     def write(batch: DataFrame, epoch: int) -> None:
+        number = snapshot_number(batch.sparkSession, path)
         changed = upsert(read_snapshot(batch.sparkSession, path), batch, key=key, order=order, preserve=preserve)
         if not changed.where("change <> 'unchanged'").isEmpty():
-            write_snapshot(changed.drop("change"), path)
+            write_snapshot(changed.drop("change"), path, after=number)
 
     return write
 

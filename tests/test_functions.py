@@ -66,6 +66,17 @@ def test_blurb(spark):
     assert one(spark, problem, t="Ohio acts.") == "sentences"
     assert one(spark, problem, t="Ohio acts; more. Then rest.") == "punctuation"
     assert one(spark, problem, t="They act. Then rest.") == "state"
+    assert one(spark, problem, t="H.R. 1 passed in Ohio. It starts now.") is None
+    assert one(spark, text.sentences(F.col("t")), t="J. D. Vance spoke. He left.  Why?") == ["J. D. Vance spoke.", "He left.", "Why?"]
+
+
+def test_issue_links_and_feeds(spark):
+    html = '<a href="/issues/tax">Tax</a><a href="https://other.example/issues">x</a><a class="k" href="plans#top"><b>Our</b> issues</a><a href="//h.example/issues/tax">again</a><a href="/about">About</a><a href="?issues=1">q</a>'
+    got = one(spark, text.issue_links(F.col("h"), F.lit("https://h.example/a/b?x"), "(?i)issue"), h=html)
+    assert got == ["https://h.example/issues/tax", "https://h.example/a/plans"]
+    assert one(spark, text.issue_links(F.col("h"), F.lit("https://h.example/"), "(?i)issue", cap=1), h=html) == got[:1]
+    head = '<link rel="alternate" type="application/rss+xml" href="/rss"><LINK REL="stylesheet" type="text/css" href="/c"><link type="application/atom+xml" href="https://f.example/a" rel="alternate home">'
+    assert one(spark, text.advertised_feeds(F.col("h"), F.lit("https://h.example/x/y")), h=head) == ["https://h.example/rss", "https://f.example/a"]
 
 
 def test_article_body(spark):

@@ -1,9 +1,10 @@
 import datetime as dt
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
-from actionwatch.operators import aggregates, filters, joins, lifecycle, ranking
+from actionwatch.operators import aggregates, filters, joins, lifecycle, ranking, shared
 from actionwatch.operators.clustering import cluster, components
 from actionwatch.plans import ranking as plans
 from actionwatch.plans.registry import QUERIES
@@ -179,3 +180,67 @@ def test_rebuild_keeps_undated(spark):
     assert floor.first().floor == dt.date(2024, 1, 5)
     clean = spark.sql("select * from values (1, date'2024-01-04'), (2, date'2024-01-06'), (3, cast(null as date)) as t(id, date)")
     assert rows(lifecycle.rebuild(clean, spark.sql("select 9 as id, date'2024-01-07' as date"), floor).select("id")) == [(1,), (3,), (9,)]
+
+
+def test_rows_without_an_order_are_not_lost(spark):
+    old = spark.sql("select * from values ('a', 'x', 1L) as t(id, v, seq)")
+    new = spark.sql("select * from values ('a', 'y', null), ('b', 'z', null), ('a', 'w', 3L) as t(id, v, seq)")
+    assert sorted(map(tuple, lifecycle.upsert(old, new, key="id", order="seq").collect())) == [("a", "w", 3, "updated"), ("b", "z", None, "created")]
+    urls = spark.sql("select * from values ('u', 7, null), ('v', 8, null), ('v', 9, 2) as t(url, row_id, seq)")
+    assert sorted((r.url, r.row_id) for r in ranking.keep_first_url(urls).collect()) == [("u", 7), ("v", 9)]
+    clusters = spark.sql("select 'c' as cluster_id, array('u') as source_urls")
+    events = spark.sql("select 'e' as event_id, date'2024-01-01' as date, cast(null as int) as seq, array('u') as source_urls")
+    assert joins.match_owners(clusters, events).first().event_id == "e"
+
+
+def test_repeated_additions_are_one(spark):
+    events = spark.sql("select 'e' as event_id, array('u1') as source_urls, array('o1') as source_outlets")
+    more = spark.sql("select * from values ('e', array('u2'), array('o2')), ('e', array('u3', 'u1'), array('o3')) as t(event_id, source_urls, source_outlets)")
+    assert [tuple(r) for r in lifecycle.accrete(events, more).collect()] == [("e", ["u1", "u2", "u3"], ["o1", "o2", "o3"], 2)]
+
+
+def test_seed_keeps_types(spark):
+    old = spark.sql("select * from values ('a', 5, 'x'), ('b', 6, 'y') as t(name, age, note)")
+    seed = spark.sql("select * from values ('a', ' ', 'n'), ('b', '7', null), ('c', '8', 'm') as t(name, age, note)")
+    out = lifecycle.seed_roster(old, seed, keys=["name"], owned=["age", "note"])
+    assert dict(out.dtypes)["age"] == "int" and sorted(map(tuple, out.collect())) == [("a", 5, "n"), ("b", 7, "y"), ("c", 8, "m")]
+
+
+def test_ranks_of_the_whole_table(spark):
+    rows = spark.range(5000).select((F.col("id") * 37 % 5000).alias("id"), (F.col("id") % 7).alias("v"), F.lit("c").alias("place"))
+    got = ranking.ranked(rows, order=[F.desc("v"), F.asc("id")]).orderBy("rank").collect()
+    assert [r["rank"] for r in got] == list(range(1, 5001)) and [(-r.v, r.id) for r in got] == sorted((-r.v, r.id) for r in got)
+
+
+def test_names_are_matched_by_phrase(spark):
+    roster = spark.sql("select * from values (1, 'Ann B. Mae Lee'), (2, 'Bo Li'), (3, 'Solo') as t(id, name)")
+    said = spark.sql("select * from values (10, 'Today ANN LEE and bo li.'), (11, 'Annlee; Bo, then Li Bo'), (12, null), (13, 'Solo') as t(a, text)")
+    got = sorted(map(tuple, joins.match_names(said, roster, key="a", text="text", candidate="id", name="name").collect()))
+    assert got == [(10, 1), (10, 2)]
+
+
+def test_a_second_writer_of_one_version_raises(spark, tmp_path):
+    path, df = f"{tmp_path}/t", spark.range(2)
+    tables.write_snapshot(df, path)
+    tables.write_snapshot(df.limit(1), path, after=1)
+    with pytest.raises(RuntimeError, match="another writer"):
+        tables.write_snapshot(spark.range(9), path, after=1)
+    assert tables.snapshot_number(spark, path) == 2 and tables.read_snapshot(spark, path).count() == 1
+
+
+def test_no_local_folder_on_a_cluster():
+    class Conf:
+        def __init__(self, **kv):
+            self.kv = kv
+
+        def get(self, key, default=None):
+            return self.kv.get(key, default)
+
+    class Session:
+        def __init__(self, **kv):
+            self.conf = Conf(**kv)
+
+    with pytest.raises(ValueError, match="share"):
+        shared.shared_folder(Session(**{"spark.master": "spark://h:7077"}))
+    assert shared.shared_folder(Session(**{"spark.master": "spark://h:7077", "spark.checkpoint.dir": "s3a://x/"})) == "s3a://x"
+    assert shared.shared_folder(Session(**{"spark.master": "local[4]"}))
