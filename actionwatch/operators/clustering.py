@@ -24,18 +24,11 @@ from .shared import written
 
 def keyed_texts(df: DataFrame, *, group: str, row: str, text: str) -> DataFrame:
     """(group, row, key, words): equal words of a group share the key. Rows without a group, an id or a word are left out."""
-    words = F.filter(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"\s+"), lambda w: w != "")
-    rows = df.where(F.col(group).isNotNull() & F.col(row).isNotNull()).select(group, row, F.array_join(words, " ").alias("words")).where("words <> ''")
+    words = F.trim(F.regexp_replace(F.lower(F.coalesce(F.col(text), F.lit(""))), r"\s+", " "))
+    rows = df.where(F.col(group).isNotNull() & F.col(row).isNotNull()).select(group, row, words.alias("words")).where("words <> ''")
     return rows.withColumn("key", F.unhex(F.md5(F.concat(F.md5(F.col(group).cast("string")), "words"))))
 
 
-def shingles(texts: DataFrame, *, group: str, words: int = 3) -> DataFrame:
-    """The texts with ``set`` for ``words``: distinct hashes of the group and word runs; short texts are one run."""
-    runs = F.when(F.size("parts") <= words, F.array("words")).otherwise(F.transform(F.sequence(F.lit(1), F.size("parts") - (words - 1)), lambda i: F.array_join(F.slice("parts", i, words), " ")))
-    sets = F.array_distinct(F.transform(runs, lambda r: F.xxhash64(group, r)))
-    return texts.withColumn("parts", F.split("words", " ")).withColumn("set", sets).drop("words", "parts")
-
-
 def _mix(x: np.ndarray) -> np.ndarray:
     """The splitmix64 finalizer on unsigned 64-bit values."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -73,17 +66,67 @@ def fewest_matches(n: int, threshold: float, lost: float = 1e-9) -> int:
     return n
 
 
-def _numbers(lists) -> tuple[np.ndarray, np.ndarray]:
-    """Values of all lists, and each one's length."""
-    return lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64), pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+def _ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Concatenated ``arange(start, start + count)``."""
+    return np.repeat(starts - (np.cumsum(counts) - counts), counts) + np.arange(int(counts.sum()))
+
+
+def run_hashes(texts: pa.Array, seeds: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of each run of ``n`` words of the texts, and their number for each text.
+
+    Texts are words with one space between them, at least one. A text of fewer words is one run. The seed of a text's
+    group goes in, so runs of different groups differ.
+    """
+    lists = pc.split_pattern(texts.cast(pa.large_string()), " ")
+    counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    coded = lists.flatten().dictionary_encode()
+    distinct, codes = coded.dictionary, coded.indices.to_numpy()
+    lengths = pc.binary_length(distinct).to_numpy().astype(np.int64)
+    ends = np.cumsum(lengths)
+    data = np.frombuffer(distinct.buffers()[2], np.uint8)[: int(ends[-1])]
+    place = np.arange(len(data), dtype=np.uint64) - np.repeat(ends - lengths, lengths).astype(np.uint64)
+    # A sum of bytes, each times a factor of its place.
+    letters = _mix((place + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)) * (data.astype(np.uint64) + np.uint64(1))
+    table = _mix(np.add.reduceat(letters, ends - lengths) + lengths.astype(np.uint64))
+    words = table[codes]
+    sizes = np.maximum(counts - n + 1, 1)
+    begin = _ranges(np.cumsum(counts) - counts, sizes)
+    length = np.repeat(np.minimum(counts, n), sizes)
+    out = np.repeat(_mix(seeds.view(np.uint64)), sizes) + length.astype(np.uint64)
+    for k in range(n):
+        use = k < length
+        out[use] = _mix(out[use] * np.uint64(0x100000001B3) + words[begin[use] + k])
+    return out, sizes
+
+
+def _pieces(batches, column: int, most: int = 2 << 20):
+    """Record batches cut so that the texts of a piece hold about ``most`` bytes."""
+    for batch in batches:
+        ends = np.cumsum(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False).astype(np.int64))
+        at = 0
+        while at < batch.num_rows:
+            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, side="right")))
+            yield batch.slice(at, to - at)
+            at = to
+
+
+def _sketch(words: int, hashes: int):
+    def run(batches):
+        for batch in _pieces(batches, 4):
+            found = signatures(*run_hashes(batch.column(4), batch.column(3).to_numpy(), words), hashes)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array([x.tobytes() for x in found], pa.binary())], [*batch.schema.names[:3], "sig"])
 
+    return run
+
+
+def _sets(words: int):
+    """(key, distinct hashes of the text's runs)."""
 
-def _sketch(hashes: int):
     def run(batches):
-        for batch in batches:
-            if batch.num_rows:
-                found = signatures(*_numbers(batch.column(3)), hashes)
-                yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array([x.tobytes() for x in found], pa.binary())], [*batch.schema.names[:3], "sig"])
+        for batch in _pieces(batches, 2):
+            values, sizes = run_hashes(batch.column(2), batch.column(1).to_numpy(), words)
+            each = [np.unique(x) for x in np.split(values, np.cumsum(sizes)[:-1])]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.tobytes() for x in each], pa.binary())], ["key", "set"])
 
     return run
 
@@ -167,8 +210,8 @@ def _verify(bands: int, per_band: int, threshold: float):
     def run(batches):
         looks, need = _looks(bands * per_band, threshold)
         for table in _groups(batches):
-            keys, lists = table.column(5).to_pylist(), table.column(7).combine_chunks()
-            values, sizes = _numbers(lists)
+            keys, sets = table.column(5).to_pylist(), table.column(7).to_pylist()
+            values, sizes = np.frombuffer(b"".join(sets), np.uint64), np.fromiter(map(len, sets), np.int64, len(sets)) // 8
             ends = np.cumsum(sizes)
             _, codes = np.unique(values, return_inverse=True)
             mark = np.zeros(len(values) and int(codes.max()) + 1, bool)
@@ -214,7 +257,8 @@ def cluster(df: DataFrame, *, group: str, row: str, text: str, threshold: float
     """
     rows = keyed_texts(df, group=group, row=row, text=text)
     signed = T.StructType([df.schema[group], df.schema[row], T.StructField("key", T.BinaryType()), T.StructField("sig", T.BinaryType())])
-    members = written(shingles(rows.select(group, row, "key", "words"), group=group, words=words).mapInArrow(_sketch(bands * per_band), signed), "members")
+    seed = F.xxhash64(group).alias("seed")
+    members = written(rows.select(group, row, "key", seed, "words").mapInArrow(_sketch(words, bands * per_band), signed), "members")
     sketches = written(members.groupBy("key").agg(F.first("sig").alias("sig")), "sketches")
 
     banded = sketches.mapInArrow(_bands(bands, per_band), "bucket long, band int, key binary")
@@ -225,9 +269,9 @@ def cluster(df: DataFrame, *, group: str, row: str, text: str, threshold: float
     left = written(met.mapInArrow(_prune(bands, per_band, threshold), "bucket long, band int, key binary").distinct(), "candidates")
     # The keys grow with the input: never broadcast.
     needed = left.select("key").distinct().hint("merge")
-    texts = rows.groupBy("key").agg(F.first(group).alias(group), F.first("words").alias("words")).join(needed, "key", "left_semi")
-    sets = written(shingles(texts, group=group, words=words).select("key", "set").join(sketches, "key"), "sets")
-    sized = left.join(sets.select("key", (8 * F.size("set")).cast("long").alias("bytes")), "key").groupBy("bucket", "band")
+    texts = rows.groupBy("key").agg(F.first(seed).alias("seed"), F.first("words").alias("words")).join(needed, "key", "left_semi")
+    sets = written(texts.mapInArrow(_sets(words), "key binary, set binary").join(sketches, "key"), "sets")
+    sized = left.join(sets.select("key", F.octet_length("set").cast("long").alias("bytes")), "key").groupBy("bucket", "band")
     sized = sized.agg(F.greatest(F.ceil(F.count(F.lit(1)) / block), F.ceil(F.sum("bytes") / block_bytes)).cast("int").alias("blocks"))
     dealt = _in_blocks(left.join(written(sized, "blocks"), ["bucket", "band"])).join(sets, "key")
     dealt = dealt.select("bucket", "i", "j", "band", "block", "key", "sig", "set").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
