@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 import numpy as np
@@ -25,15 +26,41 @@ def _own_folder() -> str:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for written intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``; a temporary folder is used only where that is unset
-    (one machine, as in tests).
+    The cluster names it in ``spark.checkpoint.dir``. A temporary folder is used only where that is unset and Spark runs
+    in this process alone, as in tests; on a cluster it is an error, as executors would write to disks of their own.
     """
-    return (spark.conf.get("spark.checkpoint.dir", None) or _own_folder()).rstrip("/")
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        folder = _own_folder()
+    return folder.rstrip("/")
+
+
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def removing_intermediates(spark: SparkSession) -> Iterator[None]:
+    """Delete on leaving what operators have written to the shared folder inside; their results must be stored by then."""
+    paths: list[str] = []
+    _SCOPES.append(paths)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(paths)
+        for path in paths:
+            folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path under the shared folder."""
-    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    for paths in _SCOPES[-1:]:
+        paths.append(path)
+    return path
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -13,7 +13,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from actionwatch.llm import bpe_reuse, components, decontam, jaccard, ppm, quality, sharding, token_count, token_output, url_filter, warc
+from actionwatch.llm import bpe_reuse, common, components, decontam, jaccard, ppm, quality, sharding, token_count, token_output, url_filter, warc
 
 tokenizers = pytest.importorskip("tokenizers")
 public = pytest.importorskip("public_tokenizers")
@@ -632,3 +632,51 @@ def test_op10_full_filter_gives_the_same_verdicts(spark, monkeypatch):
 def test_op9_many_shards(spark, monkeypatch):
     monkeypatch.setattr(decontam, "SHARD_POSTINGS", 60)
     test_op9_finds_whole_items_only(spark, spark.createDataFrame([], "doc_id long, text string"))
+
+
+def test_intermediates_are_removed(spark, tmp_path):
+    from pathlib import Path
+
+    folder = Path(common.checkpoint_dir(spark))
+    before = {p.name for p in folder.glob("*")}
+    df = spark.createDataFrame([(1, "a b c"), (2, "a b c"), (3, "d")], "doc_id long, text string")
+    with common.removing_intermediates(spark):
+        jaccard.similar_documents(df).write.parquet(f"{tmp_path}/out")
+        assert {p.name for p in folder.glob("*")} > before
+    assert {p.name for p in folder.glob("*")} == before and spark.read.parquet(f"{tmp_path}/out").count() == 3
+
+
+def test_pipeline_stages_on_odd_tables(spark, tmp_path):
+    """Empty tables, null and repeated ids, repeated rows, null texts, and extra columns with the operators' own names."""
+    import corpus_pipeline
+
+    rnd = random.Random(11)
+    prose = lambda: "\n".join(" ".join(f"w{rnd.randint(0, 9999)}" for _ in range(20)) + "." for _ in range(6))
+    item = " ".join(f"q{i}" for i in range(30)) + ". " + " ".join(f"a{i}" for i in range(9)) + "."
+    one, two, leak = prose(), prose(), prose() + "\n" + item
+    rows = [(None, one), (1, one), (1, one), (1, two), (None, two), (2, None), (None, None), (3, ""), (4, leak), (None, leak), (5, prose() * 1), (5, prose())]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, key string, row_key int, quality int, bucket long, matches string"
+    docs = spark.createDataFrame([(i, t, None, "s", None, "k", 7, 1, 2, None) for i, t in rows], schema)
+    spark.createDataFrame([(1, 1), (1, 0), (None, 1), (5, None), (5, 1)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(None, item), (0, item), (0, None)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    now = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, docs.where("false"), str(tmp_path)).count() == 0, name
+        now = common.materialize(stage(spark, now, str(tmp_path)), name)
+        assert now.columns == docs.columns, name
+        if name == "quality_rules":
+            assert sorted(map(str, (r.doc_id for r in now.collect()))) == sorted(["None", "1", "1", "1", "None", "4", "None", "5", "5"])
+        if name == "near_duplicates":
+            assert sorted((r.doc_id, r.text) for r in now.collect()) == sorted([(1, one), (1, two), (4, leak), *((i, t) for i, t in rows[-2:])])
+    assert sorted(r.doc_id for r in now.collect()) == [1, 1, 5, 5]
+    last = corpus_pipeline.STAGES[-1][1]
+    assert last(spark, docs.where("false"), str(tmp_path)).count() == 0
+    lib = library("word_bpe_49k.json")
+    got = sorted((str(r.doc_id), tuple(r.ids)) for r in last(spark, docs, str(tmp_path)).collect())
+    assert got == sorted((str(i), tuple(lib.encode(t or "", add_special_tokens=False).ids)) for i, t in rows)
+    # Empty side tables.
+    empty = tmp_path / "empty"
+    spark.createDataFrame([], "doc_id long, quality int").write.parquet(f"{empty}/labels.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{empty}/benchmark.parquet")
+    assert corpus_pipeline.STAGES[2][1](spark, docs, str(empty)).count() == len(rows)
+    assert corpus_pipeline.STAGES[0][1](spark, docs, str(empty)).count() == 9
