@@ -31,7 +31,7 @@ HASHES = BANDS * ROWS
 #: Hashes compared before each look at the posterior, and the probability below which a pair is dropped.
 LOOKS, TOLERANCE = (32, 64, 128, HASHES), 1e-6
 #: Classes of a block, and bytes of shingle hashes of a block that is verified.
-BLOCK, BLOCK_BYTES = 2048, 8 << 20
+BLOCK, BLOCK_BYTES = 256, 8 << 20
 #: Rows of one text are dealt into so many parts where they meet their class.
 SALTS = 256
 _P = np.uint64(0x100000001B3)
