@@ -48,15 +48,15 @@ def _encode(tokenizer_path: str, end_id: int):
 def write_tokens(docs: DataFrame, path: str, *, tokenizer_path: str, end_id: int, options: dict[str, str] | None = None) -> None:
     """Encode the whole texts and write them, with ``end_id`` after each, under ``path``.
 
-    Documents are dealt by ranges of doc_id (null first; equal ids by text hash), one file a range. A null text is
+    Documents are dealt by ranges of doc_id (null first; rows of one id may go on in the next file), one file a range. A null text is
     empty and gives only the end id. Repeated rows are all written. An empty table gives an empty data folder.
     Columns other than doc_id and text are not read.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    # Ranges cut by text hash too: the rows of one id, or without one, need not meet in one task.
-    rows = rows.withColumn("order", F.xxhash64("text"))
-    dealt = rows.repartitionByRange("doc_id", "order").sortWithinPartitions("doc_id", "order", "text").drop("order")
+    # Ranges cut by a seeded number too: the rows of one id, or without one, need not meet in one task, and finding the
+    # ranges reads no text.
+    dealt = rows.withColumn("order", F.rand(7)).repartitionByRange("doc_id", "order").sortWithinPartitions("doc_id", "text").drop("order")
     dealt.mapInArrow(_encode(tokenizer_path, end_id), DATA).write.options(**(options or write_options())).parquet(f"{path}/data")
     meta = read_tokens(spark, path).select("doc_id", "part", "n_tokens")
     files = meta.groupBy("part").agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last_doc_id"), F.count(F.lit(1)).alias("documents"), F.sum("n_tokens").alias("tokens"))
