@@ -1,9 +1,8 @@
 """Exact encoding of many texts with a lower-casing, white-space-dropping BPE tokenizer, one distinct word at a time.
 
 White space always ends a token of such a tokenizer, so the ids of a text are those of its words in order. Words
-repeat; each distinct word of a batch is encoded once. Words of small Latin letters are merged many at a time, lowest
-rank first and leftmost among equals; all others go through the tokenizers library, and a bounded table in the Python
-worker remembers them.
+repeat; each distinct word goes through the tokenizers library once, and a bounded table in the Python worker
+remembers its ids.
 """
 
 from __future__ import annotations
@@ -16,15 +15,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from .common import byte_alphabet, coded_words, ranges, segment_sums, starts_of
+from .common import coded_words, ranges, segment_sums, starts_of
 
-#: Words of the library known at most; about 150 bytes each.
-KNOWN = 100_000
+#: Words remembered at most (about 150 bytes each beside their own), and bytes of these words: past either, the table begins anew.
+KNOWN, KNOWN_BYTES = 100_000, 16 << 20
 #: A tail of these after a letter is a token group of its own.
 TAIL = '!"#$%&()*+,-./:;=?@[\\]^_`{}~'
-#: Words merged together.
-TOGETHER = 8192
-NONE = 1 << 30
 
 
 @lru_cache(maxsize=4)
@@ -39,12 +35,12 @@ def tokenizer(path: str):
     return t
 
 
-#: The word pattern that plain words and tails of punctuation are merged by.
+#: The word pattern by which tails of punctuation are groups of their own.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
 def require(spec: dict) -> None:
-    """Raise unless the tokenizer file is of the kind that ``WordEncoder`` merges words for."""
+    """Raise unless the tokenizer file is of the kind that ``WordEncoder`` cuts texts for."""
     steps = [n.get("type") for n in (spec["normalizer"] or {}).get("normalizers", [])]
     cuts = (spec["pre_tokenizer"] or {}).get("pretokenizers", [{}])
     model = spec["model"]
@@ -66,31 +62,17 @@ class WordEncoder:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         require(spec)
-        model = spec["model"]
-        vocab, end = model["vocab"], model["end_of_word_suffix"]
-        letters = {b: c for c, b in byte_alphabet().items()}
-        self.first = np.array([vocab[letters[b]] for b in range(256)], np.int32)
-        self.last = np.array([vocab[letters[b] + end] for b in range(256)], np.int32)
-        pairs = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
-        self.bits = max(vocab.values()).bit_length()
-        keys = np.array([vocab[x] << self.bits | vocab[y] for x, y in pairs], np.int64)
-        self.kind = np.uint32 if self.bits <= 16 else np.int64
-        order = np.argsort(keys, kind="stable")
-        self.keys, self.ranks = keys[order].astype(self.kind), order.astype(np.int32)
-        self.made = np.array([vocab[x + y] for x, y in pairs], np.int32)
-        # Ranks of two neighbouring bytes, the second inside a word or at its end (index + 256).
-        both = np.concatenate([self.first, self.last])
-        self.byte_ranks = self._rank(np.repeat(self.first, 512), np.tile(both, 256)).astype(np.int32).reshape(256, 512)
         self._forget()
 
     def _forget(self) -> None:
-        """Words that the library encodes: place in the flat list of ids."""
-        self.known: dict[bytes, int] = {}
+        """Known words: each one's number, and by number the place of its ids in the flat list. The empty word has none."""
+        self.known: dict[bytes, int] = {b"": 0}
+        self.bytes = 0
         self.flat, self.used = np.empty(1 << 12, np.uint32), 0
         self.starts, self.lens = np.zeros(1 << 10, np.int64), np.zeros(1 << 10, np.int64)
 
     def _learn(self, words: list[bytes]) -> None:
-        """Encode words by the library."""
+        """Encode new words by the library."""
         each = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
         ids, lens = np.array([i for x in each for i in x], np.uint32), np.fromiter(map(len, each), np.int64, len(each))
         n, m = len(self.known), len(words)
@@ -102,75 +84,18 @@ class WordEncoder:
         self.starts[n : n + m] = self.used + np.cumsum(lens) - lens
         self.lens[n : n + m] = lens
         self.used += len(ids)
+        self.bytes += sum(map(len, words))
         self.known.update(zip(words, range(n, n + m), strict=True))
 
-    def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        """Rank of each pair of tokens; NONE where they do not merge."""
-        key = left.astype(self.kind) << self.kind(self.bits) | np.maximum(right, 0).astype(self.kind)
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return np.where((self.keys[at] == key) & (right >= 0), self.ranks[at], NONE)
-
-    def _merge(self, data: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of plain words (their bytes, one after the other), and the ids of each, by merging all words at once."""
-        n, width = len(lens), int(lens.max())
-        row = np.repeat(np.arange(n), lens)
-        ends = np.cumsum(lens)
-        column = np.arange(len(data)) - (ends - lens)[row]
-        tokens = np.full((n, width + 1), -1, np.int32)
-        tokens[row, column] = self.first[data]
-        tokens[np.arange(n), lens - 1] = self.last[data[ends - 1]]
-        ranks = np.full((n, width), NONE, np.int32)
-        inner = np.ones(len(data), bool)
-        inner[ends - 1] = False
-        left = np.flatnonzero(inner)
-        right = data[left + 1].astype(np.int64) + 256 * ~inner[left + 1]
-        ranks[row[left], column[left]] = self.byte_ranks[data[left], right]
-        live, columns, done = np.arange(n), np.arange(width), np.full((n, width), -1, np.int32)
-        while len(live):
-            at = ranks.argmin(1)
-            best = ranks[np.arange(len(live)), at]
-            go = best < NONE
-            if not go.all():
-                done[live[~go]] = tokens[~go, :width]
-                live, tokens, ranks, at, best = live[go], tokens[go], ranks[go], at[go], best[go]
-                if not len(live):
-                    break
-            rows = np.arange(len(live))
-            take = columns + (columns > at[:, None])
-            tokens[:, :width] = np.take_along_axis(tokens, take, 1)
-            tokens[rows, at] = self.made[best]
-            ranks = np.take_along_axis(ranks, np.minimum(take, width - 1), 1)
-            ranks[rows, at] = self._rank(tokens[rows, at], tokens[rows, at + 1])
-            before = np.flatnonzero(at > 0)
-            ranks[before, at[before] - 1] = self._rank(tokens[before, at[before] - 1], tokens[before, at[before]])
-        kept = done >= 0
-        return done[kept].astype(np.uint32), kept.sum(1)
-
     def _table(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of distinct words: a flat list, and the start and number of each word's ids in it."""
-        begin, data = buffers(words)
-        sizes = pc.binary_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
-        plain = plain_words(begin, sizes, data)
-        starts, lens, flat, used = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64), [], 0
-        order = np.flatnonzero(plain)
-        order = order[np.argsort(sizes[order], kind="stable")]
-        for i in range(0, len(order), TOGETHER):
-            some = order[i : i + TOGETHER]
-            ids, n = self._merge(data[ranges(begin[some], sizes[some])], sizes[some])
-            starts[some], lens[some] = used + np.cumsum(n) - n, n
-            flat.append(ids)
-            used += len(ids)
-        rest = np.flatnonzero(~plain & (sizes > 0))
-        if len(rest):
-            names = words.take(pa.array(rest)).to_pylist()
-            if len(self.known) > KNOWN:
-                self._forget()
-            if new := [w for w in names if w not in self.known]:
-                self._learn(new)
-            place = np.fromiter((self.known[w] for w in names), np.int64, len(names))
-            starts[rest], lens[rest] = used + self.starts[place], self.lens[place]
-            flat.append(self.flat[: self.used])
-        return np.concatenate(flat) if flat else np.empty(0, np.uint32), starts, lens
+        names = words.to_pylist()
+        if len(self.known) > KNOWN or self.bytes > KNOWN_BYTES:
+            self._forget()
+        if new := [w for w in names if w not in self.known]:
+            self._learn(new)
+        place = np.fromiter(map(self.known.__getitem__, names), np.int64, len(names))
+        return self.flat, self.starts[place], self.lens[place]
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in order, and the number of ids of each text."""
@@ -190,20 +115,6 @@ def buffers(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return offsets, np.frombuffer(words.buffers()[2] or b"", np.uint8)
 
 
-def plain_words(begin: np.ndarray, sizes: np.ndarray, data: np.ndarray) -> np.ndarray:
-    """Words of ASCII and Latin-1 small letters only: one token group each, in lower case and composed already."""
-    if not len(begin):
-        return np.empty(0, bool)
-    at = ranges(begin, sizes)
-    bytes_ = data[at]
-    lead = bytes_ == 0xC3
-    after = np.concatenate([[False], lead[:-1]])
-    letter = (bytes_ >= 97) & (bytes_ <= 122) & ~after
-    second = after & (bytes_ >= 0xA0) & (bytes_ <= 0xBF) & (bytes_ != 0xB7)
-    good = segment_sums((letter | lead | second).astype(np.int64), sizes) == sizes
-    return good & (sizes > 0)
-
-
 def lower_and_tail(words: pa.Array) -> tuple[pa.Array, pa.Array]:
     """Words in lower case without their tail of punctuation, and that tail, where the two are encoded apart.
 
