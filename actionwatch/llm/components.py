@@ -46,5 +46,6 @@ def connected_components(edges: DataFrame, *, max_rounds: int = 50) -> DataFrame
         state = now
     else:
         raise RuntimeError(f"no fixed point after {max_rounds} rounds")
-    roots = edges.select(F.col("v").alias("node")).distinct().select("node", F.col("node").alias("component"))
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
+    # A node and its component, and the component's own node, from one scan and one exchange by node.
+    both = F.array(F.struct(F.col("u").alias("node"), F.col("v").alias("component")), F.struct(F.col("v").alias("node"), F.col("v").alias("component")))
+    return edges.select(F.explode(both).alias("member")).select("member.*").groupBy("node").agg(F.min("component").alias("component"))
