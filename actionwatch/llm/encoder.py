@@ -15,10 +15,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from .common import coded_words, ranges, segment_sums, starts_of
+from .common import byte_alphabet, coded_words, ranges, segment_sums, starts_of
 
 #: Words remembered at most (about 150 bytes each beside their own), and bytes of these words: past either, the table begins anew.
 KNOWN, KNOWN_BYTES = 100_000, 16 << 20
+#: Words of letters that go through the library in one string.
+JOINED = 256
 #: A tail of these after a letter is a token group of its own.
 TAIL = '!"#$%&()*+,-./:;=?@[\\]^_`{}~'
 
@@ -48,6 +50,7 @@ def require(spec: dict) -> None:
         "normalizer": steps == ["NFC", "Replace", "Lowercase"],
         "word pattern": [c.get("type") for c in cuts] == ["Split", "ByteLevel"] and cuts[0]["pattern"].get("Regex") == WORD_PATTERN and cuts[0].get("invert") and cuts[0].get("behavior") == "Removed" and not cuts[1]["add_prefix_space"] and not cuts[1]["use_regex"],
         "model": model["type"] == "BPE" and bool(model.get("end_of_word_suffix")) and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "byte_fallback", "ignore_merges")),
+        "last bytes": all(b + (model.get("end_of_word_suffix") or "") in model["vocab"] for b in byte_alphabet()),
         "added tokens": all(t["content"].startswith("<|") and not (t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"]) for t in spec["added_tokens"]),
     }
     if wrong := [name for name, good in fits.items() if not good]:
@@ -62,6 +65,9 @@ class WordEncoder:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         require(spec)
+        suffix, vocab = spec["model"]["end_of_word_suffix"], self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
         self._forget()
 
     def _forget(self) -> None:
@@ -71,10 +77,41 @@ class WordEncoder:
         self.flat, self.used = np.empty(1 << 12, np.uint32), 0
         self.starts, self.lens = np.zeros(1 << 10, np.int64), np.zeros(1 << 10, np.int64)
 
+    def _by_library(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words by the library, and the number of ids of each; words of letters go many at a time.
+
+        The library cuts every word into one token group or more, and the last id of a group alone has the end-of-word
+        suffix. So where a string of n words has n such ids, each word is one group and these ids end the words;
+        where it has more (a letter whose lower case holds a mark), its words go one at a time.
+        """
+        letters = np.fromiter(map(str.isalpha, words), bool, len(words))
+        plain, queue = np.flatnonzero(letters), [np.flatnonzero(~letters)]
+        blocks = [plain[i : i + JOINED] for i in range(0, len(plain), JOINED)]
+        order, ids, lens = [], [], []
+        for at, e in zip(blocks, self._each([" ".join([words[i] for i in at]) for at in blocks]), strict=True):
+            found = np.array(e.ids, np.uint32)
+            last = np.flatnonzero(self.ends[found])
+            if len(last) == len(at):
+                order.append(at)
+                ids.append(found)
+                lens.append(np.diff(last, prepend=-1))
+            else:
+                queue.append(at)
+        alone = np.concatenate(queue)
+        each = [e.ids for e in self._each([words[i] for i in alone])]
+        order.append(alone)
+        ids.append(np.array([i for x in each for i in x], np.uint32))
+        lens.append(np.fromiter(map(len, each), np.int64, len(each)))
+        flat, size, back = np.concatenate(ids), np.concatenate(lens), np.argsort(np.concatenate(order))
+        starts = np.cumsum(size) - size
+        return flat[ranges(starts[back], size[back])], size[back]
+
+    def _each(self, texts: list[str]) -> list:
+        return self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+
     def _learn(self, words: list[bytes]) -> None:
         """Encode new words by the library."""
-        each = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
-        ids, lens = np.array([i for x in each for i in x], np.uint32), np.fromiter(map(len, each), np.int64, len(each))
+        ids, lens = self._by_library([w.decode() for w in words])
         n, m = len(self.known), len(words)
         while len(self.flat) < self.used + len(ids):
             self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])

@@ -451,6 +451,18 @@ def test_encoder_refuses_other_tokenizers(tmp_path):
         bpe_reuse.word_encoder(public.path("byte_bpe_50k.json"))
 
 
+def test_encoder_words_together_equal_words_alone():
+    """Letters whose lower case or normal form changes their groups, joined with plain words."""
+    path, rnd = public.path("word_bpe_49k.json"), random.Random(9)
+    odd = ["\u0130stanbul", "\u0130" * 5, "\ufb03", "\u212aelvin", "A\u030ab", "\u4e2d\u6587", "ab\u0301", "\u00a0", "a\u00a0b", "don't", "<|endoftext|>", "\u2177", "\u01c5", "\u0663", "\ud55c\uad6d", "\U0001e900", "x" * 5000]
+    words = [rnd.choice(odd) if rnd.random() < 0.02 else "".join(rnd.choices("abcdefghijklmnop\u00e9\u00df", k=rnd.randint(1, 12))) for _ in range(3000)]
+    encoder = bpe_reuse.word_encoder(path)
+    for some in ([], odd, words):
+        ids, lens = encoder._by_library(some)
+        alone = [e.ids for e in bpe_reuse.tokenizer(path).encode_batch(some, add_special_tokens=False)]
+        assert lens.tolist() == [len(x) for x in alone] and ids.tolist() == [i for x in alone for i in x]
+
+
 def test_op7_chunks_depend_on_content_only():
     rnd = random.Random(5)
     shared = " ".join(f"p{rnd.randint(0, 10**6)}" for _ in range(4000)).encode()
