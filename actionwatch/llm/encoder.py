@@ -17,8 +17,9 @@ import pyarrow.compute as pc
 
 from .common import byte_alphabet, coded_words, ranges, segment_sums, starts_of
 
-#: Words remembered at most (about 150 bytes each beside their own), and bytes of these words: past either, the table begins anew.
-KNOWN, KNOWN_BYTES = 100_000, 16 << 20
+#: Words remembered at most (about 150 bytes each beside their own), and bytes of these words: past either, only those
+#: of the texts at hand are kept.
+KNOWN, KNOWN_BYTES = 300_000, 16 << 20
 #: Words of letters that go through the library in one string.
 JOINED = 256
 #: A tail of these after a letter is a token group of its own.
@@ -111,7 +112,18 @@ class WordEncoder:
 
     def _learn(self, words: list[bytes]) -> None:
         """Encode new words by the library."""
-        ids, lens = self._by_library([w.decode() for w in words])
+        self._add(words, *self._by_library([w.decode() for w in words]))
+
+    def _keep(self, words: list[bytes]) -> None:
+        """Forget all words but these."""
+        old = [w for w in words if w and w in self.known]
+        place = np.fromiter(map(self.known.__getitem__, old), np.int64, len(old))
+        lens = self.lens[place]
+        ids = self.flat[ranges(self.starts[place], lens)]
+        self._forget()
+        self._add(old, ids, lens)
+
+    def _add(self, words: list[bytes], ids: np.ndarray, lens: np.ndarray) -> None:
         n, m = len(self.known), len(words)
         while len(self.flat) < self.used + len(ids):
             self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
@@ -128,7 +140,7 @@ class WordEncoder:
         """Ids of distinct words: a flat list, and the start and number of each word's ids in it."""
         names = words.to_pylist()
         if len(self.known) > KNOWN or self.bytes > KNOWN_BYTES:
-            self._forget()
+            self._keep(names)
         if new := [w for w in names if w not in self.known]:
             self._learn(new)
         place = np.fromiter(map(self.known.__getitem__, names), np.int64, len(names))

@@ -14,6 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from actionwatch.llm import bpe_reuse, common, components, decontam, jaccard, ppm, quality, sharding, token_count, token_output, url_filter, warc
+from actionwatch.llm.encoder import WordEncoder
 
 tokenizers = pytest.importorskip("tokenizers")
 public = pytest.importorskip("public_tokenizers")
@@ -463,6 +464,18 @@ def test_encoder_words_together_equal_words_alone():
         assert lens.tolist() == [len(x) for x in alone] and ids.tolist() == [i for x in alone for i in x]
 
 
+def test_encoder_forgets_words_without_changing_ids(monkeypatch):
+    monkeypatch.setattr("actionwatch.llm.encoder.KNOWN", 50)
+    path, rnd = public.path("word_bpe_49k.json"), random.Random(4)
+    words, encoder = ["".join(rnd.choices("abcde1.", k=rnd.randint(1, 6))) for _ in range(400)], WordEncoder(path)
+    for _ in range(30):
+        texts = [" ".join(rnd.choices(words, k=rnd.randint(0, 30))) for _ in range(3)]
+        ids, lens = encoder.encode([t.encode() for t in texts])
+        whole = [bpe_reuse.tokenizer(path).encode(t, add_special_tokens=False).ids for t in texts]
+        assert lens.tolist() == [len(x) for x in whole] and ids.tolist() == [i for x in whole for i in x]
+        assert len(encoder.known) <= 50 + 2 * 90 + 1
+
+
 def test_op7_chunks_depend_on_content_only():
     rnd = random.Random(5)
     shared = " ".join(f"p{rnd.randint(0, 10**6)}" for _ in range(4000)).encode()
