@@ -9,8 +9,12 @@ these, plus the bounds of the terms before the pivot, must meet the threshold; t
 only then is a block scored item by item. Found items are verified: enough of the question's and of the answer's word
 runs must stand in the passage.
 
-An index of at most ``SHARD_POSTINGS`` postings is sent to every executor and asked in one pass. A larger one is cut
-into shards of about that size; each is sent, asked by all texts and taken back before the next is built.
+Items are in classes of up to 64, 128, 256 ... words, and each class is asked by passages of its own width. So the
+passages that an item meets depend on its own length, and neither on other items nor on how the index is cut.
+
+An index of at most ``SHARD_POSTINGS`` postings and ``SHARD_BYTES`` of item texts is sent to every executor and asked in
+one pass. A larger one is cut into shards of about that size; each is sent, asked by all texts and taken back before the
+next is built.
 """
 
 from __future__ import annotations
@@ -32,13 +36,15 @@ K1, B, BLOCK, THRESHOLD = 1.2, 0.75, 8, 0.5
 QUESTION, ANSWER = 0.6, 0.5
 #: An index shard has about so many postings; more items make more shards, each asked by all passages.
 SHARD_POSTINGS = 1_000_000
+#: And about so many bytes of item texts (an item is never cut).
+SHARD_BYTES = 32 << 20
 #: Candidates (passage and block, or passage, block and term) handled at once; one passage alone may have more.
 SLICE = 1 << 20
 #: Largest table of (term, block) places.
 TABLE = 1 << 22
-#: Items whose word runs a worker keeps.
-PARTS = 20_000
-#: Passages of at least so many new words; longer where items are longer.
+#: Word runs of items that a worker keeps.
+PARTS = 1_000_000
+#: Passages of so many new words for items of up to as many words; twice, four times ... as many for longer ones.
 STRIDE = 64
 #: ASCII letters in lower case, ASCII punctuation as space.
 NORMAL = bytes(ord(chr(b).lower()) if b < 128 and chr(b).isalnum() else b if b >= 128 else 32 for b in range(256))
@@ -72,7 +78,7 @@ def runs(words: list[bytes], n: int) -> set[tuple[bytes, ...]]:
 
 @dataclass
 class Shard:
-    """Part of the items, ready to be asked: arrays only."""
+    """Items of one length class, ready to be asked: arrays only."""
 
     item_ids: list
     texts: list[str]
@@ -123,7 +129,25 @@ def index_of(items: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows, materialize(scored.join(own, "entry").select("entry", "term", (F.col("impact") / F.col("own")).alias("impact")), "index-postings")
 
 
-def build_shard(entries: pa.Table, postings: pa.Table) -> Shard:
+def stride_of(words: int) -> int:
+    """New words of the passages for an item: the least of 64, 128, 256 ... that holds it."""
+    stride = STRIDE
+    while stride < words:
+        stride *= 2
+    return stride
+
+
+def build_shards(entries: pa.Table, postings: pa.Table) -> list[Shard]:
+    """A shard for each length class of the given entries."""
+    strides = pa.array([stride_of(len(terms_of(t))) for t in entries.column("text").to_pylist()], pa.int64())
+    out = []
+    for stride in pc.unique(strides).to_pylist():
+        mine = entries.filter(pc.equal(strides, stride))
+        out.append(build_shard(mine, postings.filter(pc.is_in(postings.column("entry"), value_set=mine.column("entry").combine_chunks())), stride))
+    return out
+
+
+def build_shard(entries: pa.Table, postings: pa.Table, stride: int = STRIDE) -> Shard:
     """Arrays of the given entries and their postings."""
     used = pc.is_in(entries.column("entry"), value_set=pc.unique(postings.column("entry")))
     entries = entries.filter(used).sort_by([("item_id", "ascending"), ("entry", "ascending")])
@@ -135,11 +159,10 @@ def build_shard(entries: pa.Table, postings: pa.Table) -> Shard:
     term, item, impact = term[order], item[order], postings.column("impact").to_numpy()[order]
     block_posts, first = np.unique(term * blocks + item // BLOCK, return_index=True)
     texts = entries.column("text").to_pylist()
-    longest = max((len(terms_of(t)) for t in texts), default=0)
     upper = np.maximum.reduceat(impact, np.searchsorted(term, np.arange(len(vocabulary)))) if len(term) else np.zeros(0)
     return Shard(
         entries.column("item_id").to_pylist(), texts, [v.encode() for v in vocabulary.to_pylist()], upper, term * n + item, impact,
-        block_posts, np.maximum.reduceat(impact, first) if len(first) else impact, max(STRIDE, longest),
+        block_posts, np.maximum.reduceat(impact, first) if len(first) else impact, stride,
     )
 
 
@@ -221,15 +244,19 @@ class Asker:
         self.shard, self.threshold = shard, threshold
         self.vocabulary = pa.array(shard.vocabulary, pa.large_binary()).cast(pa.large_string())
         self.parts: dict[int, tuple] = {}
+        self.kept = 0
 
     def part(self, item: int) -> tuple:
         """Question runs, answer runs and their lengths of an item."""
         known = self.parts.get(item)
         if known is None:
-            if len(self.parts) >= PARTS:
-                self.parts.clear()
             q, a = question_and_answer(self.shard.texts[item])
-            known = self.parts[item] = (runs(q, 5), runs(a, 2), min(5, len(q)), min(2, len(a)))
+            known = (runs(q, 5), runs(a, 2), min(5, len(q)), min(2, len(a)))
+            if self.kept >= PARTS:
+                self.parts.clear()
+                self.kept = 0
+            self.parts[item] = known
+            self.kept += len(known[0]) + len(known[1])
         return known
 
     def ask(self, texts: list[bytes]) -> list[tuple[int, int, float, float, float]]:
@@ -279,16 +306,17 @@ MATCH = "array<struct<item_id:long,score:double,question:double,answer:double>>"
 MATCH_STRUCT = pa.struct([("item_id", pa.int64()), ("score", pa.float64()), ("question", pa.float64()), ("answer", pa.float64())])
 
 
-def _asking(shard, threshold: float):
-    """A function that gives the matches of each text; the asker is built once a worker's task."""
+def _asking(shards, threshold: float):
+    """A function that gives the matches of each text; the askers are built once a worker's task."""
     held: list[Asker] = []
 
     def ask(texts: list[bytes]) -> list[list[dict]]:
         if not held:
-            held.append(Asker(shard.value, threshold))
+            held.extend(Asker(s, threshold) for s in shards.value)
         out: list[list[dict]] = [[] for _ in texts]
-        for t, i, s, q, a in held[0].ask(texts):
-            out[t].append({"item_id": shard.value.item_ids[i], "score": s, "question": q, "answer": a})
+        for asker in held:
+            for t, i, s, q, a in asker.ask(texts):
+                out[t].append({"item_id": asker.shard.item_ids[i], "score": s, "question": q, "answer": a})
         return out
 
     return ask
@@ -297,13 +325,14 @@ def _asking(shard, threshold: float):
 def _plan(items: DataFrame) -> tuple[DataFrame, DataFrame, int]:
     """Entries and postings of the index, and the number of shards."""
     entries, postings = index_of(items)
-    return entries, postings, -(-postings.count() // SHARD_POSTINGS)
+    size = entries.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    return entries, postings, max(-(-postings.count() // SHARD_POSTINGS), -(-size // SHARD_BYTES))
 
 
 def _broadcast(entries: DataFrame, postings: DataFrame, k: int, n: int):
     """Shard ``k`` of ``n``, on every executor."""
     mine = F.pmod(F.xxhash64("entry"), F.lit(n)) == k
-    return entries.sparkSession.sparkContext.broadcast(build_shard(entries.where(mine).toArrow(), postings.where(mine).toArrow()))
+    return entries.sparkSession.sparkContext.broadcast(build_shards(entries.where(mine).toArrow(), postings.where(mine).toArrow()))
 
 
 def _hits(rows: DataFrame, entries: DataFrame, postings: DataFrame, n: int, threshold: float) -> DataFrame:

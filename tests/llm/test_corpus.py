@@ -659,6 +659,31 @@ def test_op9_many_shards(spark, monkeypatch):
     test_op9_finds_whole_items_only(spark, spark.createDataFrame([], "doc_id long, text string"))
 
 
+def test_op9_items_of_any_length_do_not_change_each_other(spark, monkeypatch):
+    """Items of 8 to 3,000 words: the same verdicts alone and beside others, however the index is cut."""
+    rnd = random.Random(21)
+    body = lambda n: [f"b{rnd.randint(0, 9**9)}" for _ in range(n)]
+    items = {i: [f"i{i}x{rnd.randint(0, 9**6)}" for _ in range(n)] for i, n in enumerate([8, 15, 60, 64, 65, 129, 500, 3000])}
+    text = lambda ws: " ".join(ws)
+    docs = [(i, text(body(150) + ws + body(70))) for i, ws in items.items()]
+    docs += [(100, text(items[2][:40] + body(600) + items[2][40:])), (101, text(items[7][:1500])), (102, text(body(90) + items[7][:300] + body(2000) + items[7][300:])), (103, text(items[6][:250] + items[0]))]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = lambda keep: spark.createDataFrame([(i, text(ws)) for i, ws in items.items() if i in keep], "item_id long, text string")
+
+    def verdicts(keep):
+        return {r.doc_id: [m.item_id for m in r.matches] for r in decontam.find_leaks(docs, bench(keep)).collect()}
+
+    whole = verdicts(items)
+    assert all(whole[i] == [i] for i in items) and whole[100] == [] and whole[101] == [] and whole[103] == [0]
+    for postings, size in ((2000, 1 << 30), (300, 1 << 30), (1 << 30, 2000)):
+        monkeypatch.setattr(decontam, "SHARD_POSTINGS", postings)
+        monkeypatch.setattr(decontam, "SHARD_BYTES", size)
+        assert verdicts(items) == whole
+    monkeypatch.setattr(decontam, "SHARD_POSTINGS", 1_000_000)
+    for i in (0, 2, 5):
+        assert verdicts([i]) == {d: [x for x in found if x == i] for d, found in whole.items()}
+
+
 def test_intermediates_are_removed(spark, tmp_path):
     from pathlib import Path
 
