@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import uuid
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from . import versions
+
 #: Lengths to which feed fields are cut.
 TITLE, EXCERPT, BODY = 500, 1500, 4000
 
@@ -93,48 +94,35 @@ def append_raw(df: DataFrame, path: str) -> None:
     df.withColumn("ingested_date", F.to_date("ingested_at")).write.mode("append").partitionBy("ingested_date").parquet(path)
 
 
-def _pointers(spark: SparkSession, path: str) -> list[str]:
-    """Names of the versions' pointers, the newest first."""
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(f"{path}/_current")
-    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(folder):
-        return []
-    return sorted((s.getPath().getName() for s in fs.listStatus(folder) if s.getLen() > 0 and s.getPath().getName().isdigit()), reverse=True)
-
-
 def snapshot_number(spark: SparkSession, path: str) -> int:
     """The number of the newest version; 0 where there is none."""
-    found = _pointers(spark, path)
-    return int(found[0]) if found else 0
+    return versions.numbers(spark, f"{path}/_current")[0]
 
 
 def write_snapshot(df: DataFrame, path: str, after: int | None = None) -> str:
-    """A new version of a keyed table in a folder of its own; a numbered pointer comes last, so readers see all or nothing.
+    """A new version of a table in a folder of its own; a numbered pointer comes last, so readers see all or nothing.
 
     Spark cannot overwrite what it is reading; a version folder needs no overwrite, and neither does a pointer: readers
-    take the one of the highest number (SRC-11). ``after`` is the number of the version that ``df`` was made from.
-    Where another writer has taken the next number, this one raises and changes nothing.
+    take the one of the highest number. ``after`` is the number of the version that ``df`` was made from.
+    Where another writer has taken the next number, this one raises and changes nothing; a number that a dead writer has
+    left empty is passed over. Tables that change in parts are better kept by ``keyed``.
     """
     spark = df.sparkSession
-    number = (snapshot_number(spark, path) if after is None else after) + 1
-    version = f"v{number}-{uuid.uuid4().hex}"
+    version = f"v-{uuid.uuid4().hex}"
     df.write.parquet(f"{path}/{version}")
-    pointer = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_current/{number:012d}")
-    fs = pointer.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    try:
-        out = fs.create(pointer, False)
-    except Py4JJavaError as e:
-        raise RuntimeError(f"version {number} of {path} was written by another writer") from e
-    out.writeBytes(version)
-    out.close()
+    last, taken = versions.numbers(spark, f"{path}/_current")
+    if after is not None and last != after:
+        raise RuntimeError(f"version {after + 1} of {path} was written by another writer")
+    versions.publish(spark, f"{path}/_current", max(last, taken) + 1, version)
     return version
 
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
     """The newest version."""
-    version = spark.read.text(f"{path}/_current/{_pointers(spark, path)[0]}").first()[0]
-    return spark.read.parquet(f"{path}/{version}")
+    number = snapshot_number(spark, path)
+    if not number:
+        raise FileNotFoundError(f"{path} has no version")
+    return spark.read.parquet(f"{path}/{spark.read.text(f'{path}/_current/{number:012d}').first()[0]}")
 
 
 def reconcile(df: DataFrame, schema: StructType) -> DataFrame:
