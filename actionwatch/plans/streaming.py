@@ -49,7 +49,7 @@ def _(t):
     fresh = stream.first_seen(stream.landed(spark, path, schema, files_per_batch=1)).select("url")
     known = r.where("k % 10 = 0").select("url").distinct()
     stream.run(fresh, _folder(spark, "progress"), each=stream.append_unseen(out, known))
-    return spark.read.parquet(out)
+    return spark.read.parquet(out).select("url")
 
 
 @query("STR-03", with_("raw") + "SELECT url, count(*) FILTER (CAST(ingested_at AS DATE) - date > 7) AS late, count(*) AS n FROM raw GROUP BY 1")

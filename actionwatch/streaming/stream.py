@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
 
-from ..operators.joins import drop_seen
 from ..operators.lifecycle import accrete, upsert
+from ..operators.shared import written
+from ..sources import seen, versions
 from ..sources.tables import exists, read_snapshot, snapshot_number, write_snapshot
 
 
@@ -37,17 +38,30 @@ def daily_funnel(items: DataFrame, *, source: str, time: str = "ingested_at", la
     return items.withWatermark(time, late).groupBy(F.window(time, "1 day").alias("w"), source).agg(F.count(F.lit(1)).alias("n")).select(F.to_date("w.start").alias("day"), source, "n")
 
 
-def append_unseen(path: str, known: DataFrame | None = None) -> Callable[[DataFrame, int], None]:
-    """A batch writer that appends the rows whose URL the table does not hold; a repeated batch adds nothing."""
+def append_unseen(path: str, known: DataFrame | None = None, *, parts: int = seen.PARTS) -> Callable[[DataFrame, int], None]:
+    """A batch writer that appends the rows whose URL the table does not hold; a repeated batch adds nothing.
+
+    Which URLs are held is asked of an index beside the table, so old rows are not scanned; the index knows the URLs of
+    ``known`` from the first batch on. A batch is named by its number and contents and has a folder of that name, so
+    rows with a blank URL, which are always new, are not added again by its replay either; a crash between its rows
+    and its index entry is made good by the replay.
+    """
 
     def write(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
-        table = spark.read.schema(batch.schema).parquet(path) if exists(spark, path) else None
-        rows = batch
-        for old in (known, table):
-            if old is not None:
-                rows = drop_seen(rows, old.select(F.array("url").alias("source_urls")))
-        rows.write.mode("append").parquet(path)
+        index = f"{path}/_seen"
+        if known is not None and not versions.load(spark, index)[0]:
+            seen.append(known, index, parts=parts, batch="known")
+        batch = written(batch, "batch")
+        # A sum of row hashes does not depend on the order of rows.
+        shape = batch.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(*batch.columns).cast("decimal(38,0)")).alias("h")).first()
+        name = f"{epoch}-{shape.n}-{shape.h or 0}"
+        if not shape.n or seen.holds(spark, index, name):
+            return
+        folder = f"{path}/batch={name}"
+        if not exists(spark, f"{folder}/_SUCCESS"):
+            seen.unseen(batch, index).write.mode("overwrite").parquet(folder)
+        seen.append(spark.read.schema(batch.schema).parquet(folder), index, parts=parts, batch=name)
 
     return write
 
