@@ -1,32 +1,48 @@
 """Clustering reports of a group into events (LIF-04).
 
 Texts become sets of word runs; equal texts of a group go on as one. MinHash bands give buckets, and all pairs of a
-bucket are compared, whatever its size: buckets are split into blocks, and blocks meet in pairs, so no task holds more
-than two blocks. Comparing signatures gives only the texts of a bucket that have a candidate there, a row each. These
-get their sets and are dealt out anew, in blocks bounded by bytes; the same comparison gives the pairs again inside the
-task, which verifies them exactly and gives for each text the least one it is connected with there. Components of these
-few links are joined by label rounds written to the shared folder.
+bucket are compared: buckets are split into blocks, and blocks meet in pairs, so no task holds more than two blocks.
+Comparing signatures gives only the texts of a bucket that have a candidate there, a row each. These get their sets and
+are dealt out anew, in blocks bounded by bytes; the same comparison gives the pairs again inside the task, which
+verifies them exactly and gives for each text the least one it is connected with there. Components of these few links
+are joined by label rounds written to the shared folder.
+
+A bucket of more texts than a block goes in two steps. First it is cut into small buckets of its own by a hash, other
+ones in every band, which connects a family of similar texts by rows in proportion to its size. Then, of the buckets
+that still hold several components, the texts outside the largest one meet each other and those of the largest; pairs
+inside it need no link any more. The result is that of comparing all pairs.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .shared import written
 
 
+def plain_text(text: Column) -> Column:
+    """Lower-case words with one space between them; null is empty."""
+    return F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"\s+", " "))
+
+
+def text_key(group: Column, words: Column) -> Column:
+    """The key of a text in its group."""
+    return F.unhex(F.md5(F.concat(F.md5(group.cast("string")), words)))
+
+
 def keyed_texts(df: DataFrame, *, group: str, row: str, text: str) -> DataFrame:
     """(group, row, key, words): equal words of a group share the key. Rows without a group, an id or a word are left out."""
-    words = F.trim(F.regexp_replace(F.lower(F.coalesce(F.col(text), F.lit(""))), r"\s+", " "))
-    rows = df.where(F.col(group).isNotNull() & F.col(row).isNotNull()).select(group, row, words.alias("words")).where("words <> ''")
-    return rows.withColumn("key", F.unhex(F.md5(F.concat(F.md5(F.col(group).cast("string")), "words"))))
+    rows = df.where(F.col(group).isNotNull() & F.col(row).isNotNull()).select(group, row, plain_text(F.col(text)).alias("words")).where("words <> ''")
+    return rows.withColumn("key", text_key(F.col(group), F.col("words")))
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -164,7 +180,7 @@ def _groups(batches):
 
 
 def _pairs(table: pa.Table, bands: int, per_band: int, looks: list[int], need: list[int]):
-    """(row, rows after it) whose signatures agree often enough, in the first band in which they meet."""
+    """(row, rows after it) whose signatures agree often enough, in the first band in which they meet (in any, if -1)."""
     i, j, band = (table.column(c)[0].as_py() for c in range(1, 4))
     block = table.column(4).to_numpy()
     sig = np.frombuffer(b"".join(table.column(6).to_pylist()), np.uint8).reshape(-1, bands * per_band)
@@ -177,7 +193,7 @@ def _pairs(table: pa.Table, bands: int, per_band: int, looks: list[int], need: l
             done = look
             good = matches >= least
             b, matches = b[good], matches[good]
-        if len(b):
+        if len(b) and band >= 0:
             equal = (sig[b] == sig[x]).reshape(len(b), bands, per_band).all(2)
             b = b[equal.argmax(1) == band]
         if len(b):
@@ -199,7 +215,7 @@ def _prune(bands: int, per_band: int, threshold: float):
             for x, b in _pairs(table, bands, per_band, looks, need):
                 left[x] = left[b] = True
             if left.any():
-                yield from table.select([0, 3, 5]).filter(pa.array(left)).to_batches()
+                yield from table.select([0, 3, 5, 7]).filter(pa.array(left)).to_batches()
 
     return run
 
@@ -243,10 +259,81 @@ def _verify(bands: int, per_band: int, threshold: float):
 
 
 def _in_blocks(placed: DataFrame) -> DataFrame:
-    """Rows (bucket, band, blocks, key) in a random block of their bucket, once for each pair of blocks that it is in."""
-    mine = F.pmod(F.xxhash64("key", "bucket"), F.col("blocks").cast("long")).cast("int")
-    dealt = placed.select("bucket", "band", "key", mine.alias("block"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("with"))
-    return dealt.select("bucket", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "band", "block", "key")
+    """Rows (bucket, i, j, band, block, key, fresh), once for each pair of blocks of the bucket that a row is in.
+
+    Fresh texts are in the first ``blocks`` blocks, the others in ``others`` more. Two blocks meet where one is fresh.
+    """
+    deal = lambda n: F.pmod(F.xxhash64("key", "bucket"), F.greatest(n, F.lit(1)).cast("long")).cast("int")
+    mine = F.when(F.col("fresh"), deal(F.col("blocks"))).otherwise(F.col("blocks") + deal(F.col("others")))
+    met = F.sequence(F.lit(0), F.col("blocks") + F.when(F.col("fresh"), F.col("others")).otherwise(0) - 1)
+    dealt = placed.where("blocks > 0").select("bucket", "band", "key", "fresh", mine.alias("block"), F.explode(met).alias("with"))
+    return dealt.select("bucket", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "band", "block", "key", "fresh")
+
+
+@dataclass(frozen=True)
+class Bands:
+    """How texts are compared: a pair at ``threshold`` 0.7 meets in none of 64 bands of 4 with a probability of 2e-8."""
+
+    threshold: float = 0.7
+    words: int = 3
+    bands: int = 64
+    per_band: int = 4
+    block: int = 1024
+    block_bytes: int = 8 << 20
+
+    def sketch(self, rows: DataFrame, group: str, row: str) -> DataFrame:
+        """(group, row, key, sig) of ``keyed_texts``."""
+        signed = T.StructType([rows.schema[group], rows.schema[row], T.StructField("key", T.BinaryType()), T.StructField("sig", T.BinaryType())])
+        return rows.select(group, row, "key", F.xxhash64(group).alias("seed"), "words").mapInArrow(_sketch(self.words, self.bands * self.per_band), signed)
+
+    def banded(self, sketches: DataFrame) -> DataFrame:
+        """(bucket, band, key): a row for each band."""
+        return sketches.select("key", "sig").mapInArrow(_bands(self.bands, self.per_band), "bucket long, band int, key binary")
+
+    def sets(self, texts: DataFrame) -> DataFrame:
+        """(key, set) of (key, seed, words)."""
+        return texts.select("key", "seed", "words").mapInArrow(_sets(self.words), "key binary, set binary")
+
+    def links(self, placed: DataFrame, sketches: DataFrame, sets_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        """Verified links (u, v) that connect what is similar in the buckets of ``placed`` (bucket, band, key, fresh).
+
+        Pairs without a fresh text are not looked at. ``sets_of`` gives (key, set) of the keys it is asked for.
+        """
+        need = lambda c: F.ceil(c / self.block).cast("int")
+        fresh = F.when(F.col("fresh"), 1)
+        sizes = placed.groupBy("bucket", "band").agg(need(F.count(fresh)).alias("blocks"), need(F.count(F.lit(1)) - F.count(fresh)).alias("others"), F.count(F.lit(1)).alias("n")).where("n > 1 and blocks > 0").drop("n")
+        # Written apart: the join then has an exchange on both sides, and Spark can split a bucket of very many texts.
+        met = _in_blocks(placed.join(written(sizes, "blocks"), ["bucket", "band"])).join(sketches.select("key", "sig"), "key")
+        met = met.select("bucket", "i", "j", "band", "block", "key", "sig", "fresh").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+        left = written(met.mapInArrow(_prune(self.bands, self.per_band, self.threshold), "bucket long, band int, key binary, fresh boolean").distinct(), "candidates")
+        # The keys grow with the input: never broadcast.
+        needed = left.select("key").distinct().hint("merge")
+        sets = written(sets_of(needed).join(sketches.select("key", "sig"), "key"), "sets")
+        sized = left.join(sets.select("key", F.octet_length("set").cast("long").alias("bytes")), "key").groupBy("bucket", "band")
+        most = lambda n, size: F.greatest(F.ceil(n / self.block), F.ceil(F.coalesce(size, F.lit(0)) / self.block_bytes)).cast("int")
+        old = F.when(~F.col("fresh"), F.col("bytes"))
+        sized = sized.agg(most(F.count(fresh), F.sum(fresh * F.col("bytes"))).alias("blocks"), most(F.count(old), F.sum(old)).alias("others"))
+        dealt = _in_blocks(left.join(written(sized, "blocks"), ["bucket", "band"])).join(sets, "key")
+        dealt = dealt.select("bucket", "i", "j", "band", "block", "key", "sig", "set").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+        return written(dealt.mapInArrow(_verify(self.bands, self.per_band, self.threshold), "u binary, v binary"), "links")
+
+    def all_links(self, sketches: DataFrame, sets_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        """Links that connect all similar texts."""
+        banded = self.banded(sketches)
+        large = written(banded.groupBy("bucket", "band").agg(F.ceil(F.count(F.lit(1)) / self.block).cast("int").alias("pieces")).where("pieces > 1"), "large-buckets")
+        if large.isEmpty():
+            return self.links(banded.withColumn("fresh", F.lit(True)), sketches, sets_of)
+        both = banded.join(large, ["bucket", "band"], "left")
+        cut = F.col("pieces").isNotNull()
+        piece = F.xxhash64("bucket", F.pmod(F.xxhash64("key", "bucket"), F.col("pieces").cast("long")))
+        small = both.select(F.when(cut, piece).otherwise(F.col("bucket")).alias("bucket"), F.when(cut, -1).otherwise(F.col("band")).alias("band"), "key", F.lit(True).alias("fresh"))
+        first = self.links(small, sketches, sets_of)
+        parts = components(first).withColumnRenamed("node", "key")
+        rest = written(both.where(cut).select("bucket", "band", "key").join(parts, "key", "left").select("bucket", "band", "key", F.coalesce("component", "key").alias("part")), "parts")
+        counted = rest.groupBy("bucket", "band", "part").agg(F.count(F.lit(1)).alias("n"))
+        largest = counted.groupBy("bucket", "band").agg(F.max_by("part", "n").alias("largest"), F.count(F.lit(1)).alias("parts")).where("parts > 1").drop("parts")
+        rest = rest.join(written(largest, "largest"), ["bucket", "band"]).select("bucket", "band", "key", (F.col("part") != F.col("largest")).alias("fresh"))
+        return first.unionByName(self.links(rest, sketches, sets_of))
 
 
 def cluster(df: DataFrame, *, group: str, row: str, text: str, threshold: float = 0.7, words: int = 3, bands: int = 64, per_band: int = 4, block: int = 1024, block_bytes: int = 8 << 20) -> DataFrame:
@@ -255,27 +342,12 @@ def cluster(df: DataFrame, *, group: str, row: str, text: str, threshold: float
     A pair at 0.7 meets in none of 64 bands of 4 with a probability of 2e-8; what is linked is exact. Rows without a
     word are clusters of their own.
     """
+    how = Bands(threshold, words, bands, per_band, block, block_bytes)
     rows = keyed_texts(df, group=group, row=row, text=text)
-    signed = T.StructType([df.schema[group], df.schema[row], T.StructField("key", T.BinaryType()), T.StructField("sig", T.BinaryType())])
-    seed = F.xxhash64(group).alias("seed")
-    members = written(rows.select(group, row, "key", seed, "words").mapInArrow(_sketch(words, bands * per_band), signed), "members")
+    members = written(how.sketch(rows, group, row), "members")
     sketches = written(members.groupBy("key").agg(F.first("sig").alias("sig")), "sketches")
-
-    banded = sketches.mapInArrow(_bands(bands, per_band), "bucket long, band int, key binary")
-    sizes = banded.groupBy("bucket", "band").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    # Written apart: the join then has an exchange on both sides, and Spark can split a bucket of very many texts.
-    met = _in_blocks(banded.join(written(sizes, "blocks"), ["bucket", "band"])).join(sketches, "key")
-    met = met.select("bucket", "i", "j", "band", "block", "key", "sig").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-    left = written(met.mapInArrow(_prune(bands, per_band, threshold), "bucket long, band int, key binary").distinct(), "candidates")
-    # The keys grow with the input: never broadcast.
-    needed = left.select("key").distinct().hint("merge")
-    texts = rows.groupBy("key").agg(F.first(seed).alias("seed"), F.first("words").alias("words")).join(needed, "key", "left_semi")
-    sets = written(texts.mapInArrow(_sets(words), "key binary, set binary").join(sketches, "key"), "sets")
-    sized = left.join(sets.select("key", F.octet_length("set").cast("long").alias("bytes")), "key").groupBy("bucket", "band")
-    sized = sized.agg(F.greatest(F.ceil(F.count(F.lit(1)) / block), F.ceil(F.sum("bytes") / block_bytes)).cast("int").alias("blocks"))
-    dealt = _in_blocks(left.join(written(sized, "blocks"), ["bucket", "band"])).join(sets, "key")
-    dealt = dealt.select("bucket", "i", "j", "band", "block", "key", "sig", "set").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-    links = written(dealt.mapInArrow(_verify(bands, per_band, threshold), "u binary, v binary"), "links")
+    texts = rows.groupBy("key").agg(F.first(F.xxhash64(group)).alias("seed"), F.first("words").alias("words"))
+    links = how.all_links(sketches, lambda needed: how.sets(texts.join(needed, "key", "left_semi")))
 
     parents = components(links)
     least = members.groupBy("key").agg(F.min(row).alias("least")).join(parents.withColumnRenamed("node", "key"), "key", "left")
@@ -287,7 +359,7 @@ def cluster(df: DataFrame, *, group: str, row: str, text: str, threshold: float
     return clustered.unionByName(others.select(group, row, F.col(row).alias("cluster")))
 
 
-def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(node, component) of ``edges(u, v)``: every node learns the least node that it can reach.
 
     Each round takes the least label of the neighbours, then the label of that label, so rounds grow with the
@@ -295,7 +367,7 @@ def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
     """
     both = written(edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct(), "edges")
     labels = written(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("label")).select(F.col("u").alias("node"), "label"), "labels")
-    for _ in range(max_rounds):
+    while True:
         heard = both.join(labels.select(F.col("node").alias("v"), F.col("label").alias("heard")), "v").groupBy(F.col("u").alias("node")).agg(F.min("heard").alias("heard"))
         step = labels.join(heard, "node").select("node", "label", F.least("label", "heard").alias("near"))
         jump = labels.select(F.col("node").alias("near"), F.col("label").alias("far"))
@@ -305,4 +377,3 @@ def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
         labels = new.select("node", F.col("next").alias("label"))
         if not changed:
             return labels.withColumnRenamed("label", "component")
-    raise RuntimeError(f"no fixed point after {max_rounds} rounds")

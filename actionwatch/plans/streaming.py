@@ -12,9 +12,9 @@ from ..operators.shared import shared_folder
 from ..sources import fixtures as fx
 from ..sources.fixtures import with_
 from ..sources.tables import read_snapshot, snapshot_number, write_snapshot
-from ..streaming import stream
+from ..streaming import clusters, stream
 from .aggregates import STORED, stored
-from .lifecycle import ACCRETE, snapshot
+from .lifecycle import ACCRETE, CLUSTERED, snapshot
 from .registry import query
 
 
@@ -79,6 +79,16 @@ def _(t):
     return read_snapshot(spark, events).select("event_id", "date", F.array_join("source_urls", "|").alias("urls"))
 
 
+@query("STR-04-clusters", CLUSTERED)
+def _(t):
+    d = t("documents").select("lang", "doc_id", "text")
+    spark = d.sparkSession
+    landing, state = _folder(spark, "landing"), _folder(spark, "clusters")
+    d.repartition(3, "doc_id").write.parquet(landing)
+    stream.run(stream.landed(spark, landing, d.schema, files_per_batch=1), _folder(spark, "progress"), each=clusters.grow(state, group="lang", row="doc_id", text="text"))
+    return clusters.read_clusters(spark, state).select("lang", "doc_id", "cluster")
+
+
 @query("STR-05", with_("raw") + "SELECT CAST(ingested_at AS DATE) AS day, outlet, count(*) AS n FROM raw GROUP BY 1, 2")
 def _(t):
     r = fx.raw(t)
