@@ -178,10 +178,10 @@ def primary_and_press(urls: Column) -> Column:
 
 
 def name_variants(name: Column) -> Column:
-    """The name, without initials, and first with last of three words or more (FUN-22)."""
+    """The name, without initials (single letters of either case, anywhere), and first with last of three words or more (FUN-22)."""
     plain = F.trim(F.regexp_replace(name, r"\s+", " "))
-    short = F.trim(F.regexp_replace(F.regexp_replace(plain, r"(^|\s)[A-Z]\.?(?=\s)", "$1"), r"\s+", " "))
-    parts = F.split(short, " ")
+    parts = F.filter(F.split(plain, " "), lambda w: ~w.rlike(r"^[A-Za-z]\.?$"))
+    short = F.array_join(parts, " ")
     ends = F.when(F.size(parts) >= 3, F.concat_ws(" ", F.element_at(parts, 1), F.element_at(parts, -1)))
     return F.array_distinct(F.filter(F.array(plain, short, ends), lambda x: x.isNotNull() & (x != "")))
 

@@ -111,3 +111,15 @@ def first_per_key(df: DataFrame, *, keys: list[str], order: list[str]) -> DataFr
 def repeated_keys(df: DataFrame, key: str) -> DataFrame:
     """Keys on more than one row (AGG-20)."""
     return df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+
+
+def text_drift(rows: DataFrame, changes: DataFrame, *, group: str, text: str) -> DataFrame:
+    """Rows of each group, and of how many a text differs between two versions (REP-08).
+
+    ``rows`` are those of the first version, ``changes`` the rows that differ (``sources.keyed.changes``).
+    """
+    moved = changes.where((F.col("change") == "updated") & ~F.col(f"old.{text}").eqNullSafe(F.col(f"new.{text}")))
+    drifted = moved.groupBy(F.col(f"old.{group}").alias(group)).agg(F.count(F.lit(1)).alias("drifted"))
+    counts = rows.groupBy(group).agg(F.count(F.lit(1)).alias("n"))
+    same = counts[group].eqNullSafe(drifted[group])
+    return counts.join(drifted, same, "left").select(counts[group], "n", F.coalesce("drifted", F.lit(0)).alias("drifted"))

@@ -50,9 +50,11 @@ def screen(df: DataFrame, *, texts: list[str], dictionary: dict[str, list[str]],
 def verdict_gate(items: DataFrame, verdicts: DataFrame, *, key: str, choices: list[str]) -> DataFrame:
     """Items with their verdict's outcome: ``kept``, the valid ``pillars`` and a ``drop_reason`` (FIL-06, JOI-02).
 
-    An item without a verdict is an error row, not a rejection.
+    An item without a verdict is an error row, not a rejection. Of several verdicts for one item, one that passes counts
+    before one that does not, then the greatest by pillars and reason, so an item stays one row.
     """
-    out = items.join(verdicts.select(key, F.col("pass").alias("passed"), "pillars", "reason"), key, "left")
+    given = verdicts.select(key, F.struct(F.col("pass").alias("passed"), "pillars", "reason").alias("v")).groupBy(key).agg(F.max("v").alias("v"))
+    out = items.join(given.select(key, "v.*"), key, "left")
     valid = valid_list(F.col("pillars"), choices)
     reason = (
         F.when(F.col("passed").isNull(), "error").when(~F.col("passed"), F.coalesce(blank_to_null(F.col("reason")), F.lit("rejected")))

@@ -50,20 +50,26 @@ def with_roster(df: DataFrame, roster: DataFrame, *, on: list[str]) -> DataFrame
     return df.join(roster, on, "left")
 
 
-def match_names(articles: DataFrame, roster: DataFrame, *, key: str, text: str, candidate: str, name: str, longest: int = 5) -> DataFrame:
+def match_names(articles: DataFrame, roster: DataFrame, *, key: str, text: str, candidate: str, name: str) -> DataFrame:
     """(key, candidate) of the articles that hold a form of a candidate's name as a phrase (FUN-22).
 
-    Forms are those of ``name_variants``; case and punctuation do not count. Word runs of each article meet the forms
-    in an equality join. Forms of more than ``longest`` words or of one word match nothing.
+    Forms are those of ``name_variants``, of any number of words; case and punctuation do not count. A form is indexed
+    by the one of its words that fewest articles hold. Each different word of an article meets the index once, and the
+    forms found there are checked word by word in the article. Articles or forms without a word match nothing.
     """
     forms = roster.select(candidate, F.explode(name_variants(F.col(name))).alias("form"))
-    forms = forms.select(candidate, plain_words(F.col("form")).alias("words")).where(F.size("words").between(2, longest))
-    forms = forms.select(candidate, F.array_join("words", " ").alias("phrase")).distinct()
+    forms = forms.select(candidate, plain_words(F.col("form")).alias("words")).where(F.size("words") > 0).distinct()
     words = articles.select(key, plain_words(F.col(text)).alias("words"))
-    runs = F.flatten(F.transform(F.array(*map(F.lit, range(2, longest + 1))), lambda n: F.transform(
-        F.sequence(F.lit(1), F.greatest(F.size("words") - n + 1, F.lit(1))), lambda i: F.when(F.size("words") >= n, F.array_join(F.slice("words", i, n), " ")))))
-    said = words.select(key, F.explode(F.array_distinct(runs)).alias("phrase")).where(F.col("phrase").isNotNull())
-    return said.join(forms, "phrase").select(key, candidate).distinct()
+    said = words.select(key, F.explode(F.array_distinct("words")).alias("word"))
+    used = forms.select(F.explode(F.array_distinct("words")).alias("word")).distinct()
+    held = said.join(used, "word", "left_semi").groupBy("word").agg(F.count(F.lit(1)).alias("articles"))
+    # A form with a word that no article holds is in none.
+    parts = forms.select(candidate, "words", F.explode(F.array_distinct("words")).alias("word")).join(held, "word", "left")
+    index = parts.groupBy(candidate, "words").agg(F.min_by("word", F.struct("articles", "word")).alias("word"), F.bool_and(F.col("articles").isNotNull()).alias("possible"))
+    index = index.where("possible").select("word", candidate, F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" ")).alias("phrase"))
+    found = said.join(index, "word").select(key, candidate, "phrase")
+    lines = words.select(key, F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" ")).alias("line"))
+    return found.join(lines, key).where(F.contains("line", F.col("phrase"))).select(key, candidate).distinct()
 
 
 def cross_check(a: DataFrame, b: DataFrame, *, key: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.lists import ordered_union
 from ..functions.text import blank_to_null, event_id, strip
 from .aggregates import provenance
+from .shared import written
 
 
 def recent(df: DataFrame, *, as_of: str, days: int | None) -> DataFrame:
@@ -15,10 +16,19 @@ def recent(df: DataFrame, *, as_of: str, days: int | None) -> DataFrame:
     return df if days is None else df.where(F.col("ingested_at") >= F.date_sub(F.lit(as_of).cast("date"), days).cast("timestamp"))
 
 
-def trigger_and_context(df: DataFrame, seen: DataFrame, *, group: str, as_of: str, trigger_days: int, context_days: int = 30) -> DataFrame:
-    """Context rows of the groups that have an unseen URL in the trigger window (LIF-02). ``seen``: url."""
+def trigger_and_context(df: DataFrame, seen: DataFrame, *, group: str, as_of: str, trigger_days: int, context_days: int = 30, bucket: str | None = None) -> DataFrame:
+    """Context rows of the groups that have an unseen URL in the trigger window (LIF-02). ``seen``: url.
+
+    ``bucket`` names the partition column of a raw layer that is partitioned by group (``tables.append_raw``): the
+    buckets of the triggered groups, at most as many as there are, become a filter on partitions of the wide window.
+    """
     fresh = recent(df, as_of=as_of, days=trigger_days).join(seen.select("url"), "url", "left_anti")
-    return recent(df, as_of=as_of, days=max(trigger_days, context_days)).join(fresh.select(group).distinct(), group, "left_semi")
+    context = recent(df, as_of=as_of, days=max(trigger_days, context_days))
+    if bucket is None:
+        return context.join(fresh.select(group).distinct(), group, "left_semi")
+    groups = written(fresh.select(group, bucket).distinct(), "triggered")
+    use = [r[0] for r in groups.select(bucket).distinct().collect()]
+    return context.where(F.col(bucket).isin(use)).join(groups.select(group), group, "left_semi")
 
 
 def agency_group(agencies: Column, reporters: list[str]) -> Column:
@@ -137,25 +147,43 @@ def backfill_id(current: Column, urls: Column) -> Column:
     return F.when(F.coalesce(current, F.lit("")).rlike("^[0-9a-f]{16}$"), current).otherwise(event_id(urls))
 
 
-def apply_verdict(rows: DataFrame, verdicts: DataFrame, *, key: str, choices: list[str]) -> DataFrame:
-    """Categories and relevance of a verdict; rows without one stay as they are (LIF-18)."""
+def apply_verdict(rows: DataFrame, verdicts: DataFrame, *, key: str, choices: list[str], tags: list[str] | None = None) -> DataFrame:
+    """What a verdict says of a row: categories, relevance, summary, title and topic tags (LIF-18).
+
+    Verdicts: key, competencies, relevance and, where they have them, summary, title, topic_tags. Rows without a verdict
+    stay as they are; so do a text or a list of tags for which the verdict has nothing, and columns that either side
+    lacks. Tags are those of ``tags`` (any, where not given). Of several verdicts of one key the greatest by its columns
+    counts.
+    """
     from ..functions.lists import clamp_relevance, valid_list
 
-    v = verdicts.select(key, F.col("competencies"), F.col("relevance").alias("new_relevance"), F.lit(True).alias("judged"))
+    more = [c for c in ("summary", "title", "topic_tags") if c in verdicts.columns and c in rows.columns]
+    v = verdicts.groupBy(key).agg(F.max(F.struct("competencies", "relevance", *more)).alias("verdict"))
     both = rows.join(v, key, "left")
-    categories = valid_list(F.col("competencies"), choices)
-    return both.withColumns({
-        "competency": F.when(F.col("judged"), categories).otherwise(F.col("competency")),
-        "relevance": F.when(F.col("judged"), clamp_relevance(F.col("new_relevance"), categories)).otherwise(F.col("relevance")),
-    }).drop("competencies", "new_relevance", "judged")
+    judged = F.col("verdict").isNotNull()
+    categories = valid_list(F.col("verdict.competencies"), choices)
+    new = {
+        "competency": F.when(judged, categories).otherwise(F.col("competency")),
+        "relevance": F.when(judged, clamp_relevance(F.col("verdict.relevance"), categories)).otherwise(F.col("relevance")),
+    }
+    for c in more:
+        said = F.col(f"verdict.{c}")
+        if c == "topic_tags":
+            said = valid_list(said, tags) if tags is not None else said
+            new[c] = F.when(F.size(F.coalesce(said, F.array().cast("array<string>"))) > 0, said).otherwise(F.col(c))
+        else:
+            new[c] = F.coalesce(blank_to_null(strip(said)), F.col(c))
+    return both.withColumns(new).drop("verdict")
 
 
 def seed_roster(old: DataFrame, seed: DataFrame, *, keys: list[str], owned: list[str]) -> DataFrame:
     """Seed-owned columns are overwritten where the seed has a value; all others stay; new candidates join (LIF-19).
 
-    Columns keep their types; a seed value of another type is cast, and is no value where it cannot be.
+    Columns keep their types; a seed value of another type is cast, and is no value where it cannot be. Of several seed
+    rows for one candidate the greatest value of each column counts, so a candidate stays one row.
     """
-    new = seed.select(*keys, *(F.col(c).alias(f"seed_{c}") for c in owned))
+    filled = lambda c: F.when(blank_to_null(strip(F.col(c).cast("string"))).isNotNull(), F.col(c))
+    new = seed.groupBy(*keys).agg(*(F.max(filled(c)).alias(f"seed_{c}") for c in owned))
     both = old.join(new, keys, "full_outer")
     kinds = dict(old.dtypes)
 
@@ -180,6 +208,14 @@ def subscribe(recipients: DataFrame, signups: DataFrame) -> DataFrame:
     return both.select("email", F.when(back, "active").otherwise(F.col("status")).alias("status"), F.when(~back, F.col("unsubscribed_at")).alias("unsubscribed_at"), action.alias("action"))
 
 
+def malformed_recipients(recipients: DataFrame) -> DataFrame:
+    """The number of active rows whose address is no address, in one row (LIF-21)."""
+    from ..functions.text import valid_email
+
+    wrong = (F.col("status") == "active") & ~F.coalesce(valid_email(F.trim("email")), F.lit(False))
+    return recipients.agg(F.count_if(wrong).alias("malformed"))
+
+
 def active_recipients(recipients: DataFrame, *, seq: str = "seq") -> DataFrame:
     """Valid, active addresses, the first row of each in lower case (LIF-21)."""
     from ..functions.text import valid_email

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions.text import event_id
@@ -9,12 +11,20 @@ from ..operators import joins
 from ..operators import lifecycle as op
 from ..operators.clustering import cluster
 from ..operators.ranking import keep_best
+from ..operators.shared import shared_folder
+from ..sources import dated, keyed
 from ..sources import fixtures as fx
 from ..sources.fixtures import AS_OF, COMPETENCIES, with_
+from ..sources.tables import append_raw
 from .aggregates import STORED, batch, stored
 from .registry import query
 
 
+def folder(spark, name: str) -> str:
+    """A new folder for a stored table of a query."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 @query("LIF-01", with_("raw") + "SELECT row_id FROM raw WHERE ingested_at >= TIMESTAMP '2024-01-24'")
 def _(t):
     return op.recent(fx.raw(t), as_of=AS_OF, days=7).select("row_id")
@@ -27,9 +37,11 @@ fresh AS (SELECT DISTINCT grp FROM raw WHERE ingested_at >= TIMESTAMP '2024-01-2
 
 @query("LIF-02", TRIGGER + "SELECT row_id, grp FROM raw WHERE ingested_at >= TIMESTAMP '2024-01-21' AND grp IN (SELECT grp FROM fresh)")
 def _(t):
-    r = fx.raw(t)
+    layer = folder(t("events").sparkSession, "raw")
+    append_raw(fx.raw(t), layer, group="grp", buckets=16)
+    r = t("events").sparkSession.read.parquet(layer)
     seen = r.where("ingested_at < '2024-01-29'").where(~F.col("url").rlike("7$")).select("url").distinct()
-    return op.trigger_and_context(r, seen, group="grp", as_of=AS_OF, trigger_days=2, context_days=10).select("row_id", "grp")
+    return op.trigger_and_context(r, seen, group="grp", as_of=AS_OF, trigger_days=2, context_days=10, bucket="group_bucket").select("row_id", "grp")
 
 
 @query("LIF-03", with_("ev") + "SELECT event_id, coalesce(list_min(list_filter(agency, lambda a: a NOT IN ('opm', 'a1'))), list_min(agency), '(unattributed)') AS grp FROM ev")
@@ -138,7 +150,22 @@ def _(t):
     r = fx.raw(t)
     clean = r.where("k % 2 = 0").select("row_id", F.lit("old").alias("origin"), F.when(F.col("k") % 14 != 0, F.col("date")).alias("date"))
     rebuilt = r.where("k % 2 = 1").select("row_id", F.lit("new").alias("origin"), "date")
-    return op.rebuild(clean, rebuilt, op.rebuild_floor(r, as_of=AS_OF, days=7)).select("row_id", "origin")
+    table = folder(r.sparkSession, "clean")
+    dated.create(clean, table)
+    dated.rebuild(rebuilt, table, floor=op.rebuild_floor(r, as_of=AS_OF, days=7).first()[0])
+    return dated.read(r.sparkSession, table).select("row_id", "origin")
+
+
+@query("LIF-12-scope", with_("raw") + """, f AS (SELECT least(min(date), DATE '2024-01-24') AS floor FROM raw WHERE CAST(ingested_at AS DATE) >= DATE '2024-01-24')
+SELECT row_id, 'old' AS origin FROM raw, f WHERE k % 2 = 0 AND (k % 14 = 0 OR date < floor OR grp % 5 <> 0) UNION ALL SELECT row_id, 'new' FROM raw, f WHERE k % 2 = 1 AND date >= floor AND grp % 5 = 0""")
+def _(t):
+    r = fx.raw(t)
+    clean = r.where("k % 2 = 0").select("row_id", "grp", F.lit("old").alias("origin"), F.when(F.col("k") % 14 != 0, F.col("date")).alias("date"))
+    rebuilt = r.where("k % 2 = 1").select("row_id", "grp", F.lit("new").alias("origin"), "date")
+    table = folder(r.sparkSession, "clean")
+    dated.create(clean, table)
+    dated.rebuild(rebuilt, table, floor=op.rebuild_floor(r, as_of=AS_OF, days=7).first()[0], scope=F.col("grp") % 5 == 0)
+    return dated.read(r.sparkSession, table).select("row_id", "origin")
 
 
 @query("LIF-13", STORED + """, g AS (SELECT CAST(seq % 50 AS INTEGER) AS group_no, *, CASE WHEN seq % 6 = 0 THEN 'checked' ELSE '' END AS review FROM stored WHERE seq % 3 = 0)
@@ -212,7 +239,14 @@ def _(t):
 
 @query("SRC-11", SNAP + "SELECT count(*) FILTER (old.id IS NULL) AS created, count(*) FILTER (old.id IS NOT NULL AND new.id IS NOT NULL AND old.lane <> new.lane) AS updated FROM (SELECT * FROM old) old FULL JOIN new USING (id)")
 def _(t):
-    return lif_07(t).agg(F.count_if(F.col("change") == "created").alias("created"), F.count_if(F.col("change") == "updated").alias("updated"))
+    old, new = snapshot(t)
+    table = folder(old.sparkSession, "table")
+    keyed.create(old, table, key="id", buckets=16)
+    keyed.upsert_into(new, table, order="seq", preserve=["note"])
+    # ``seq`` moves with every batch; a row counts as updated where more than that has changed.
+    found = keyed.changes(old.sparkSession, table, 1, keyed.number(old.sparkSession, table))
+    updated = (F.col("change") == "updated") & ~F.col("old.lane").eqNullSafe(F.col("new.lane"))
+    return found.agg(F.count_if(F.col("change") == "created").alias("created"), F.count_if(updated).alias("updated"))
 
 
 @query("FUN-25-repeats", with_("raw") + "SELECT grp, substr(sha1(string_agg(url, chr(10) ORDER BY url)), 1, 16) AS event_id FROM raw GROUP BY 1")

@@ -10,8 +10,8 @@ from ..functions import text
 from ..operators import aggregates, udf
 from ..operators.shared import shared_folder
 from ..sources import fixtures as fx
+from ..sources import keyed
 from ..sources.fixtures import with_
-from ..sources.tables import read_snapshot, snapshot_number, write_snapshot
 from ..streaming import clusters, stream
 from .aggregates import STORED, stored
 from .lifecycle import ACCRETE, CLUSTERED, snapshot
@@ -30,6 +30,17 @@ def _land(df, files: int = 3) -> tuple[str, object]:
     return path, rows.schema
 
 
+def _land_in_order(df, files: int = 3) -> tuple[str, object]:
+    """As ``_land``, one file after the other: streams take files in the order of their times."""
+    rows = df.withColumn("ingested_at", F.col("ingested_at").cast("timestamp"))
+    path, at = _folder(df.sparkSession, "landing"), F.unix_micros("ingested_at")
+    low, high = rows.agg(F.min(at), F.max(at)).first()
+    part = F.least(F.floor((at - low) * files / ((high or 0) - (low or 0) + 1)), F.lit(files - 1))
+    for k in range(files):
+        rows.where(part == k).repartitionByRange(1, "ingested_at").write.mode("append").parquet(path)
+    return path, rows.schema
+
+
 @query("STR-01", with_("raw") + "SELECT row_id, url FROM raw")
 def _(t):
     r = fx.raw(t)
@@ -68,15 +79,15 @@ def _(t):
 def _(t):
     spark = t("events").sparkSession
     events = _folder(spark, "events")
-    write_snapshot(stored(t).select("event_id", "source_urls", F.array(F.lit("first")).alias("source_outlets"), "date"), events)
+    keyed.create(stored(t).select("event_id", "source_urls", F.array(F.lit("first")).alias("source_outlets"), "date"), events, key="event_id", buckets=8)
 
     def gather(batch):
         rows = batch.select(F.concat(F.lit("e"), F.substring(F.sha1("url"), 1, 15)).alias("event_id"), "seq", F.concat(F.lit("https://new.example/"), "lane").alias("add"), "lane")
         return rows.groupBy("event_id").agg(aggregates.ordered_distinct("add", ["seq"]).alias("source_urls"), aggregates.ordered_distinct("lane", ["seq"]).alias("source_outlets"))
 
     path, schema = _land(fx.raw(t).where("ingested_at >= '2024-01-20'"), files=2)
-    stream.run(stream.landed(spark, path, schema, files_per_batch=1), _folder(spark, "progress"), each=stream.accrete_batches(events, gather))
-    return read_snapshot(spark, events).select("event_id", "date", F.array_join("source_urls", "|").alias("urls"))
+    stream.run(stream.landed(spark, path, schema, files_per_batch=1), _folder(spark, "progress"), each=stream.keyed_accretion(events, gather))
+    return keyed.read(spark, events).select("event_id", "date", F.array_join("source_urls", "|").alias("urls"))
 
 
 @query("STR-04-clusters", CLUSTERED)
@@ -93,11 +104,11 @@ def _(t):
 def _(t):
     r = fx.raw(t)
     spark = r.sparkSession
-    path, schema = _land(r)
+    path, schema = _land_in_order(r)
     table = _folder(spark, "funnel")
     counts = stream.daily_funnel(stream.landed(spark, path, schema, files_per_batch=1), source="outlet")
-    stream.run(counts, _folder(spark, "progress"), each=lambda batch, epoch: write_snapshot(batch, table) and None, mode="complete")
-    return read_snapshot(spark, table)
+    stream.run(counts, _folder(spark, "progress"), each=stream.funnel_batches(table, source="outlet"), mode="update")
+    return keyed.read(spark, table).drop("id")
 
 
 @query("STR-06", "SELECT event_id AS id, attempts, attempts > 2 AS limited FROM (SELECT event_id, count(*) OVER (PARTITION BY user_id ORDER BY epoch_us(ts) RANGE BETWEEN 21599999999 PRECEDING AND CURRENT ROW) AS attempts FROM events)")
@@ -116,14 +127,14 @@ def _(t):
     old, new = snapshot(t)
     spark = old.sparkSession
     table = _folder(spark, "table")
-    write_snapshot(old, table)
+    keyed.create(old, table, key="id", buckets=8)
     # The batch lands once, and is streamed twice by runs that know nothing of each other; the second writes no version.
     landing = _folder(spark, "landing")
     new.write.parquet(landing)
     for _ in range(2):
         arrived = stream.landed(spark, landing, new.schema)
-        stream.run(arrived, _folder(spark, "progress"), each=stream.upsert_batches(table, key="id", order="seq", preserve=["note"]))
-    return read_snapshot(spark, table).agg(F.count(F.lit(1)).alias("rows"), F.lit(snapshot_number(spark, table)).cast("long").alias("version"))
+        stream.run(arrived, _folder(spark, "progress"), each=stream.keyed_upserts(table, order="seq", preserve=["note"]))
+    return keyed.read(spark, table).agg(F.count(F.lit(1)).alias("rows"), F.lit(keyed.number(spark, table)).cast("long").alias("version"))
 
 
 def _score(row: dict) -> dict:

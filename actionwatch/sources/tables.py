@@ -89,9 +89,17 @@ def flatten_register(json: DataFrame, column: str = "value", schema: str = REGIS
     return r.select("document_number", "title", body.alias("body"), hint.alias("instrument_hint"))
 
 
-def append_raw(df: DataFrame, path: str) -> None:
-    """The append-only raw layer, partitioned by day of ingestion (SRC-10)."""
-    df.withColumn("ingested_date", F.to_date("ingested_at")).write.mode("append").partitionBy("ingested_date").parquet(path)
+def append_raw(df: DataFrame, path: str, *, group: str | None = None, buckets: int = 64) -> None:
+    """The append-only raw layer, partitioned by day of ingestion (SRC-10), and by a hash of ``group`` before it.
+
+    With groups, the context of a few of them over many days is a few partitions (``lifecycle.trigger_and_context``).
+    """
+    rows = df.withColumn("ingested_date", F.to_date("ingested_at"))
+    parts = ["ingested_date"]
+    if group is not None:
+        rows = rows.withColumn("group_bucket", F.pmod(F.xxhash64(F.col(group).cast("string")), F.lit(buckets)).cast("int"))
+        parts = ["group_bucket", *parts]
+    rows.write.mode("append").partitionBy(*parts).parquet(path)
 
 
 def snapshot_number(spark: SparkSession, path: str) -> int:

@@ -11,15 +11,18 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StructType
 
 from ..operators.lifecycle import accrete, upsert
 from ..operators.shared import written
-from ..sources import seen, versions
+from ..sources import keyed, seen, versions
 from ..sources.tables import exists, read_snapshot, snapshot_number, write_snapshot
 
 
+STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def landed(spark: SparkSession, path: str, schema: StructType, *, files_per_batch: int | None = None) -> DataFrame:
     """New files of a landing folder (STR-01)."""
     reader = spark.readStream.schema(schema)
@@ -94,33 +97,78 @@ def upsert_batches(path: str, *, key: str, order: str, preserve: list[str] = ())
     return write
 
 
-def rate_limits(attempts: DataFrame, *, key: str, id_column: str, ts: str, seconds: int, most: int, late: str = "1 hour") -> DataFrame:
-    """(id, attempts, limited) for each attempt: attempts of the key in the last ``seconds``, kept as state (STR-06).
+def keyed_upserts(path: str, *, order: str, preserve: list[str] = (), key: str | None = None) -> Callable[[DataFrame, int], None]:
+    """As ``upsert_batches`` into a table in buckets (``sources.keyed``): only buckets with a change are written (SRC-11, STR-07)."""
+    return lambda batch, epoch: keyed.upsert_into(batch, path, order=order, preserve=preserve, key=key) and None
+
+
+def keyed_accretion(path: str, gather: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
+    """As ``accrete_batches`` into a table in buckets."""
+    return lambda batch, epoch: keyed.accrete_into(gather(batch), path) and None
+
 
-    Of a key only the times of the last ``seconds`` are kept; a key that stays silent loses its state.
+def funnel_batches(path: str, *, source: str) -> Callable[[DataFrame, int], None]:
+    """A writer for ``daily_funnel`` in update mode: the windows that a batch changed replace their stored counts (STR-05).
+
+    Counts of a window only grow, so the largest stands. Spark drops a window's state once the watermark has passed it.
     """
-    span = seconds * 1_000_000
 
-    def step(name: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        old = list(state.get[0]) if state.exists else []
-        rows = pd.concat(frames).sort_values(["at", "id"], kind="stable")
-        times = pd.Series(sorted(old + rows["at"].tolist()))
-        upto = times.searchsorted(rows["at"].to_numpy(), side="right")
-        counts = upto - times.searchsorted(rows["at"].to_numpy() - span, side="right")
-        state.update((times[times > times.iloc[-1] - span].astype(int).tolist(),))
-        state.setTimeoutTimestamp(max(int(times.iloc[-1]) // 1000 + seconds * 1000, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame({"id": rows["id"], "attempts": counts, "limited": counts > most})
+    def write(batch: DataFrame, epoch: int) -> None:
+        rows = batch.withColumn("id", F.to_json(F.struct("day", source)))
+        keyed.upsert_into(rows, path, order="n", key="id")
+
+    return write
+
 
+class _Attempts(StatefulProcessor):
+    """The times of a key's attempts in the last window, and a timer that ends them."""
+
+    def __init__(self, seconds: int, most: int):
+        self.seconds, self.most = seconds, most
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.times = handle.getListState("times", "at long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        span = self.seconds * 1_000_000
+        new = pd.concat(rows).sort_values(["at", "id"], kind="stable")
+        times = pd.Series(sorted([r[0] for r in self.times.get()] + new["at"].tolist()))
+        upto = times.searchsorted(new["at"].to_numpy(), side="right")
+        counts = upto - times.searchsorted(new["at"].to_numpy() - span, side="right")
+        self.times.put([(int(t),) for t in times[times > times.iloc[-1] - span]])
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        end = int(times.iloc[-1]) // 1000 + self.seconds * 1000
+        self.handle.registerTimer(max(end, timerValues.getCurrentWatermarkInMs() + 1))
+        yield pd.DataFrame({"id": new["id"], "attempts": counts, "limited": counts > self.most})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        self.times.clear()
+        return iter([])
+
+    def close(self) -> None:
+        pass
+
+
+def rate_limits(attempts: DataFrame, *, key: str, id_column: str, ts: str, seconds: int, most: int, late: str = "1 hour") -> DataFrame:
+    """(id, attempts, limited) for each attempt: attempts of the key in the last ``seconds``, kept as state (STR-06).
+
+    Of a key only the times of the last ``seconds`` are kept, as a list of its own; a timer removes them once the
+    watermark has passed the window. The session needs the RocksDB state store, which ``run`` sets.
+    """
     timed = attempts.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, late)
     rows = timed.select(ts, F.col(key).alias("key"), F.col(id_column).alias("id"), F.unix_micros(ts).alias("at"))
-    return rows.groupBy("key").applyInPandasWithState(step, "id long, attempts long, limited boolean", "times array<long>", "append", GroupStateTimeout.EventTimeTimeout)
+    return rows.groupBy("key").transformWithStateInPandas(_Attempts(seconds, most), "id long, attempts long, limited boolean", "Append", "EventTime")
 
 
 def run(df: DataFrame, checkpoint: str, *, path: str | None = None, each: Callable[[DataFrame, int], None] | None = None, mode: str = "append") -> None:
-    """Process everything that has landed, then stop. A restart with the same checkpoint takes only what is new."""
+    """Process everything that has landed, then stop. A restart with the same checkpoint takes only what is new.
+
+    State is kept in RocksDB, on disk beside the executor, and copied to the checkpoint; a stream that was begun with
+    another store goes on with it.
+    """
+    df.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STORE)
     writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
     writer = writer.foreachBatch(each) if each else writer.format("parquet").option("path", path)
     writer.start().awaitTermination()
