@@ -161,6 +161,18 @@ def digest_item(*, title: Column, why: Column, notes: Column, meta: list[Column]
     )
 
 
+def title_state(title: Column) -> Column:
+    """The state that a title begins with (``MD: ...``), else null."""
+    return F.nullif(F.regexp_extract(title, "^([A-Z]{2}):", 1), F.lit(""))
+
+
+def brief_line(item: Column, side: Column, must: Column) -> Column:
+    """A line of the brief's input (REP-03): must-cover flag, side with its state, title, summary and who."""
+    state = title_state(item["title"])
+    tag = F.when(side == "state", F.concat(F.lit("state"), F.coalesce(F.concat(F.lit(": "), state), F.lit("")))).otherwise("federal")
+    return F.concat(F.lit("- "), F.when(must, "MUST COVER ").otherwise(""), F.lit("["), tag, F.lit("] "), item["title"], F.lit(" :: "), F.coalesce(item["summary"], F.lit("")), F.lit(" :: who: "), item["meta"])
+
+
 def publisher_links(urls: Column, outlets: Column, aggregator: str = "news.google.", label: str = "Google News", cap: int = 3) -> Column:
     """Publisher links where there are any, else one aggregator link (FUN-20)."""
     pairs = F.transform(urls, lambda u, i: F.struct(F.coalesce(blank_to_null(F.get(outlets, i)), host(u)).alias("label"), u.alias("url")))

@@ -72,16 +72,45 @@ def ordered_distinct(value: str, order: list[str]) -> Column:
     return F.array_distinct(F.transform(entries, lambda e: e[value]))
 
 
-def provenance(df: DataFrame, *, key: list[str], order: list[str], url: str = "url", outlet: str = "outlet") -> DataFrame:
-    """Merged sources of a cluster (AGG-09), earliest date (AGG-13) and rows.
+def provenance(df: DataFrame, *, key: list[str], order: list[str], url: str = "url", outlet: str = "outlet", kind: str | None = None) -> DataFrame:
+    """Merged sources of a cluster (AGG-09), earliest date (AGG-13) and rows; source types too, where ``kind`` is given.
 
-    Rows are first summed up by (cluster, URL, outlet), so a cluster's list holds different sources only, however many
-    rows repeat them.
+    Rows are first summed up by (cluster, URL, outlet, type), so a cluster's list holds different sources only, however
+    many rows repeat them.
     """
-    pairs = df.groupBy(*dict.fromkeys([*key, url, outlet])).agg(F.min(F.struct(*order)).alias("o"), F.count(F.lit(1)).alias("n"), F.min("date").alias("date"))
-    lists = pairs.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("o", F.col(url).alias("u"), F.col(outlet).alias("t")))).alias("e"), F.sum("n").alias("members"), F.min("date").alias("date"))
-    values = lambda c: F.array_distinct(F.filter(F.transform("e", lambda e: e[c]), lambda x: F.coalesce(x, F.lit("")) != ""))
-    return lists.select(*key, values("u").alias("source_urls"), values("t").alias("source_outlets"), "members", "date")
+    columns = {"source_urls": url, "source_outlets": outlet} | ({"source_types": kind} if kind else {})
+    pairs = df.groupBy(*dict.fromkeys([*key, *columns.values()])).agg(F.min(F.struct(*order)).alias("o"), F.count(F.lit(1)).alias("n"), F.min("date").alias("date"))
+    lists = pairs.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("o", *(F.col(c).alias(f"_{name}") for name, c in columns.items())))).alias("e"), F.sum("n").alias("members"), F.min("date").alias("date"))
+    values = lambda c: F.array_distinct(F.filter(F.transform("e", lambda e: e[f"_{c}"]), lambda x: F.coalesce(x, F.lit("")) != ""))
+    return lists.select(*key, *(values(name).alias(name) for name in columns), "members", "date")
+
+
+def run_summary(clusters: DataFrame, owners: DataFrame, events: DataFrame, *, cluster: str = "cluster_id") -> DataFrame:
+    """What a run did, in one row: clusters, merged ones (of several sources), new, accreted and unchanged (AGG-18).
+
+    ``owners``: the stored event of each cluster that has one (WIN-03). A cluster whose URLs are all stored with its
+    event leaves it unchanged.
+    """
+    known = owners.join(events.select("event_id", F.col("source_urls").alias("stored_urls")), "event_id").select(cluster, "stored_urls")
+    rows = clusters.join(known, cluster, "left")
+    new, grown = F.col("stored_urls").isNull(), F.size(F.array_except("source_urls", "stored_urls")) > 0
+    counts = {"clusters": F.lit(True), "merged": F.size("source_urls") > 1, "new": new, "accreted": ~new & grown, "unchanged": ~new & ~grown}
+    return rows.agg(*(F.count_if(c).alias(n) for n, c in counts.items()))
+
+
+def gate_and_classifier(raw: DataFrame, events: DataFrame, *, choices: list[str], source: str = "source") -> DataFrame:
+    """Where the gate's ``pillars`` of raw rows and the ``competency`` of the event that holds their URL differ (REP-05).
+
+    For each source and category: rows that both name, the gate only, or the classifier only, and all rows with an event.
+    A URL of several events counts with the first of these by id; rows whose URL no event holds are left out.
+    """
+    owner = events.select("event_id", "competency", F.explode(F.array_distinct("source_urls")).alias("url")).where(F.coalesce("url", F.lit("")) != "")
+    owner = owner.groupBy("url").agg(F.min_by("competency", "event_id").alias("competency"))
+    said = lambda c, v: F.coalesce(F.array_contains(c, v), F.lit(False))
+    each = F.array(*(F.struct(F.lit(v).alias("category"), said("pillars", v).alias("gate"), said("competency", v).alias("classifier")) for v in choices))
+    rows = raw.select(source, "url", "pillars").join(owner, "url").select(source, F.inline(each))
+    gate, classifier = F.col("gate"), F.col("classifier")
+    return rows.groupBy(source, "category").agg(F.count_if(gate & classifier).alias("both"), F.count_if(gate & ~classifier).alias("gate_only"), F.count_if(~gate & classifier).alias("classifier_only"), F.count(F.lit(1)).alias("n"))
 
 
 def highest(value: str, ranks: list[str], default: str) -> Column:

@@ -98,8 +98,20 @@ def facets(df: DataFrame, *, since: str | None = None, date: str = "date", categ
     return df.where(reduce(lambda a, b: a & b, conditions)) if conditions else df
 
 
-def moved_bills(df: DataFrame, *, as_of: str, days: int, actions: tuple[str, ...] = ("marked-up", "reported"), relevance: int = 2) -> DataFrame:
-    """Bills that a committee moved in the window, by committee date else date (FIL-19)."""
+def review_layer(df: DataFrame, *, cutoff: str, relevant_only: bool = False, date: str = "date", relevance_field: str = "competency") -> DataFrame:
+    """Rows of a review layer from the cutoff on, without an end; undated ones go (REP-04).
+
+    ``relevant_only`` keeps rows whose list of categories is not empty: ``competency`` of events, hearings and bills,
+    ``pillars`` of raw layers.
+    """
+    rows = df.where(F.col(date) >= F.lit(cutoff).cast("date"))
+    return rows.where(F.size(F.coalesce(F.col(relevance_field), F.array().cast("array<string>"))) > 0) if relevant_only else rows
+
+
+def moved_bills(df: DataFrame, *, as_of: str, days: int, actions: tuple[str, ...] = ("marked-up", "reported"), relevance: int = 2, category: str | None = None) -> DataFrame:
+    """Bills that a committee moved in the window, by committee date else date (FIL-19); with a ``category``, where given."""
+    if category is not None:
+        df = df.where(F.size(category) > 0)
     dated = df.withColumn("moved_on", F.coalesce("committee_action_date", "date"))
     return half_open(dated, date="moved_on", as_of=as_of, days=days).where(F.col("committee_action").isin(*actions) & (F.col("relevance") >= relevance))
 

@@ -81,18 +81,18 @@ def upsert(old: DataFrame, batch: DataFrame, *, key: str, order: str, preserve:
 def accrete(events: DataFrame, additions: DataFrame, *, key: str = "event_id", regenerated: list[str] = ()) -> DataFrame:
     """First writer wins: sources grow, all other columns stay (LIF-08); ``regenerated`` columns are taken anew (LIF-09).
 
-    ``additions``: key, source_urls, source_outlets and, where regenerated, those columns. Rows of one key are one
-    addition: their lists follow one another, and the largest of their regenerated values counts.
+    ``additions``: key, source_urls, source_outlets, source_types where both tables have them and, where regenerated,
+    those columns. Rows of one key are one addition: their lists follow one another, and the largest of their
+    regenerated values counts.
     """
-    lists = F.array_sort(F.collect_list(F.struct("source_urls", "source_outlets")))
+    grown = [c for c in ("source_urls", "source_outlets", "source_types") if c in events.columns and c in additions.columns]
+    lists = F.array_sort(F.collect_list(F.struct(*grown)))
     additions = additions.groupBy(key).agg(lists.alias("rows"), F.max(F.struct(F.lit(True), *regenerated)).alias("made"))
-    together = lambda c: F.flatten(F.transform("rows", lambda r: F.coalesce(r[c], F.array().cast("array<string>")))).alias(c)
-    additions = additions.select(key, *map(together, ("source_urls", "source_outlets")), *(F.col("made")[c].alias(c) for c in regenerated))
-    add = additions.select(key, F.col("source_urls").alias("add_urls"), F.col("source_outlets").alias("add_outlets"), *(F.col(c).alias(f"add_{c}") for c in regenerated), F.lit(True).alias("touched"))
+    together = lambda c: F.flatten(F.transform("rows", lambda r: F.coalesce(r[c], F.array().cast("array<string>")))).alias(f"add_{c}")
+    add = additions.select(key, *map(together, grown), *(F.col("made")[c].alias(f"add_{c}") for c in regenerated), F.lit(True).alias("touched"))
     both = events.join(add, key, "left")
-    urls, outlets = ordered_union(F.col("source_urls"), F.col("add_urls")), ordered_union(F.col("source_outlets"), F.col("add_outlets"))
-    fresh = F.size(F.array_except(F.coalesce("add_urls", F.array().cast("array<string>")), "source_urls"))
-    both = both.withColumn("new_urls", fresh).withColumns({"source_urls": urls, "source_outlets": outlets})
+    fresh = F.size(F.array_except(F.coalesce("add_source_urls", F.array().cast("array<string>")), "source_urls"))
+    both = both.withColumn("new_urls", fresh).withColumns({c: ordered_union(F.col(c), F.col(f"add_{c}")) for c in grown})
     return both.withColumns({c: F.when(F.col("touched"), F.col(f"add_{c}")).otherwise(F.col(c)) for c in regenerated}).select(*events.columns, "new_urls")
 
 
@@ -147,33 +147,36 @@ def backfill_id(current: Column, urls: Column) -> Column:
     return F.when(F.coalesce(current, F.lit("")).rlike("^[0-9a-f]{16}$"), current).otherwise(event_id(urls))
 
 
-def apply_verdict(rows: DataFrame, verdicts: DataFrame, *, key: str, choices: list[str], tags: list[str] | None = None) -> DataFrame:
-    """What a verdict says of a row: categories, relevance, summary, title and topic tags (LIF-18).
+#: Fixed value: length to which a verdict's short title is cut.
+SHORT_TITLE = 160
 
-    Verdicts: key, competencies, relevance and, where they have them, summary, title, topic_tags. Rows without a verdict
-    stay as they are; so do a text or a list of tags for which the verdict has nothing, and columns that either side
-    lacks. Tags are those of ``tags`` (any, where not given). Of several verdicts of one key the greatest by its columns
-    counts.
+
+def apply_verdict(rows: DataFrame, verdicts: DataFrame, *, key: str, choices: list[str], tags: list[str] | None = None, summary: str = "summary") -> DataFrame:
+    """What a verdict says of a row (LIF-18); rows without a verdict stay as they are.
+
+    Verdicts: key, competencies, relevance and, where they have them, summary, short_title, why_it_matters, topic_tags.
+    Categories, relevance, tags (valid ones only, where ``tags`` is given) and why it matters are replaced; a summary and a
+    short title only where the verdict has one. Columns that either side lacks are left alone; ``summary`` names the
+    row's column. Of several verdicts of one key the greatest by its columns counts.
     """
     from ..functions.lists import clamp_relevance, valid_list
 
-    more = [c for c in ("summary", "title", "topic_tags") if c in verdicts.columns and c in rows.columns]
+    names = {"summary": summary, "short_title": "short_title", "why_it_matters": "why_it_matters", "topic_tags": "topic_tags"}
+    more = [c for c in names if c in verdicts.columns and names[c] in rows.columns]
     v = verdicts.groupBy(key).agg(F.max(F.struct("competencies", "relevance", *more)).alias("verdict"))
     both = rows.join(v, key, "left")
-    judged = F.col("verdict").isNotNull()
-    categories = valid_list(F.col("verdict.competencies"), choices)
-    new = {
-        "competency": F.when(judged, categories).otherwise(F.col("competency")),
-        "relevance": F.when(judged, clamp_relevance(F.col("verdict.relevance"), categories)).otherwise(F.col("relevance")),
-    }
-    for c in more:
-        said = F.col(f"verdict.{c}")
-        if c == "topic_tags":
-            said = valid_list(said, tags) if tags is not None else said
-            new[c] = F.when(F.size(F.coalesce(said, F.array().cast("array<string>"))) > 0, said).otherwise(F.col(c))
-        else:
-            new[c] = F.coalesce(blank_to_null(strip(said)), F.col(c))
-    return both.withColumns(new).drop("verdict")
+    judged, said = F.col("verdict").isNotNull(), lambda c: F.col(f"verdict.{c}")
+    categories = valid_list(said("competencies"), choices)
+    new = {"competency": categories, "relevance": clamp_relevance(said("relevance"), categories)}
+    if "summary" in more:
+        new[summary] = F.coalesce(F.nullif(said("summary"), F.lit("")), F.col(summary), F.lit(""))
+    if "short_title" in more:
+        new["short_title"] = F.coalesce(F.substring(F.nullif(said("short_title"), F.lit("")), 1, SHORT_TITLE), F.col("short_title"))
+    if "why_it_matters" in more:
+        new["why_it_matters"] = F.coalesce(said("why_it_matters"), F.lit(""))
+    if "topic_tags" in more:
+        new["topic_tags"] = F.coalesce(said("topic_tags"), F.array().cast("array<string>")) if tags is None else valid_list(said("topic_tags"), tags)
+    return both.withColumns({c: F.when(judged, value).otherwise(F.col(c)) for c, value in new.items()}).drop("verdict")
 
 
 def seed_roster(old: DataFrame, seed: DataFrame, *, keys: list[str], owned: list[str]) -> DataFrame:

@@ -61,12 +61,25 @@ def ranked(df: DataFrame, *, order: list[Column], rank: str = "rank") -> DataFra
     return numbered.join(F.broadcast(starts), part).select(*df.columns, (F.col("n") + F.col(f"{part}_at") + 1).alias(rank))
 
 
-def top_per_category(df: DataFrame, *, choices: list[str], cap: int = 4) -> DataFrame:
-    """The best of each primary category: relevance 3, then 2; most sources; newest (WIN-01)."""
+def top_per_category(df: DataFrame, *, choices: list[str], cap: int = 4, within: list[str] | None = None) -> DataFrame:
+    """The best of each primary category (of each value of ``within``): relevance 3, then 2; most sources; newest (WIN-01)."""
     from ..functions.lists import primary
 
     rows = df.withColumn("primary", primary(F.col("competency"), choices)).where(F.col("primary").isNotNull() & (F.col("relevance") >= 2))
-    return top_per_group(rows, group=["primary"], order=[F.desc("relevance"), F.desc("article_count"), F.desc("date"), F.asc("event_id")], cap=cap)
+    return top_per_group(rows, group=[*(within or []), "primary"], order=[F.desc("relevance"), F.desc("article_count"), F.desc("date"), F.asc("event_id")], cap=cap)
+
+
+def brief_lines(items: DataFrame) -> DataFrame:
+    """(category, side, rank, line) of the brief's input (REP-03). ``items``: category, side, rank, item; a few a category.
+
+    A category must cover its first state item of relevance 3 that names its state, if it has one.
+    """
+    from ..functions.text import brief_line, title_state
+
+    can = (F.col("side") == "state") & (F.col("item.relevance") == 3) & title_state(F.col("item.title")).isNotNull()
+    first = F.min(F.when(can, F.col("rank"))).over(Window.partitionBy("category"))
+    must = F.coalesce((F.col("side") == "state") & (F.col("rank") == F.col("must")), F.lit(False))
+    return items.withColumn("must", first).select("category", "side", "rank", brief_line(F.col("item"), F.col("side"), must).alias("line"))
 
 
 def competitive(rating: Column) -> Column:

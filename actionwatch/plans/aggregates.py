@@ -65,10 +65,11 @@ def _(t):
 
 
 @query("AGG-09", with_("raw") + """, o AS (SELECT grp, outlet, min(seq) AS s FROM raw GROUP BY 1, 2), u AS (SELECT grp, url, min(seq) AS s FROM raw GROUP BY 1, 2)
-SELECT r.grp, (SELECT string_agg(url, '|' ORDER BY s) FROM u WHERE u.grp = r.grp) AS urls, (SELECT string_agg(outlet, '|' ORDER BY s) FROM o WHERE o.grp = r.grp) AS outlets, count(*) AS members FROM raw r GROUP BY r.grp""")
+SELECT r.grp, (SELECT string_agg(url, '|' ORDER BY s) FROM u WHERE u.grp = r.grp) AS urls, (SELECT string_agg(outlet, '|' ORDER BY s) FROM o WHERE o.grp = r.grp) AS outlets,
+  (SELECT string_agg(lane, '|' ORDER BY s) FROM (SELECT grp, lane, min(seq) AS s FROM raw GROUP BY 1, 2) l WHERE l.grp = r.grp) AS types, count(*) AS members FROM raw r GROUP BY r.grp""")
 def _(t):
-    out = op.provenance(fx.raw(t), key=["grp"], order=["seq"])
-    return out.select("grp", F.array_join("source_urls", "|").alias("urls"), F.array_join("source_outlets", "|").alias("outlets"), "members")
+    out = op.provenance(fx.raw(t), key=["grp"], order=["seq"], kind="lane")
+    return out.select("grp", F.array_join("source_urls", "|").alias("urls"), F.array_join("source_outlets", "|").alias("outlets"), F.array_join("source_types", "|").alias("types"), "members")
 
 
 RANKS = ["announced", "reported", "official"]
@@ -259,3 +260,16 @@ def _(t):
 @query("JOI-13", STORED + "SELECT event_id, row_id FROM stored JOIN raw USING (url)")
 def _(t):
     return joins.rows_by_url(stored(t), fx.raw(t).select("row_id", "url")).select("event_id", "row_id")
+
+
+@query("AGG-18-run", STORED + """, c AS (SELECT grp, list(DISTINCT url) AS urls FROM batch GROUP BY 1),
+m AS (SELECT b.grp, s.event_id, s.date, s.url, count(DISTINCT b.url) AS shared, min(b.seq) AS pos FROM batch b JOIN stored s USING (url) GROUP BY 1, 2, 3, 4),
+o AS (SELECT grp, arg_min(url, (date, -shared, pos)) AS url FROM m GROUP BY 1)
+SELECT count(*) AS clusters, count(*) FILTER (len(urls) > 1) AS merged, count(*) FILTER (o.url IS NULL) AS new,
+  count(*) FILTER (o.url IS NOT NULL AND len(list_filter(urls, lambda u: u <> o.url)) > 0) AS accreted, count(*) FILTER (o.url IS NOT NULL AND len(list_filter(urls, lambda u: u <> o.url)) = 0) AS unchanged
+FROM c LEFT JOIN o USING (grp)""")
+def _(t):
+    from ..operators.ranking import choose_owner
+
+    mine = clusters(t)
+    return op.run_summary(mine, choose_owner(joins.match_owners(mine, stored(t))), stored(t))

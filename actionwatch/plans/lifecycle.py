@@ -168,10 +168,10 @@ def _(t):
     return dated.read(r.sparkSession, table).select("row_id", "origin")
 
 
-@query("LIF-13", STORED + """, g AS (SELECT CAST(seq % 50 AS INTEGER) AS group_no, *, CASE WHEN seq % 6 = 0 THEN 'checked' ELSE '' END AS review FROM stored WHERE seq % 3 = 0)
+@query("LIF-13", STORED + """, g AS (SELECT CAST(seq % 50 AS INTEGER) AS group_no, *, CASE WHEN seq % 6 = 0 THEN 'checked' ELSE '' END AS review FROM stored)
 SELECT group_no, arg_min(event_id, (CAST(date AS VARCHAR), event_id)) AS survivor, count(*) AS members, CASE WHEN bool_or(review <> '') THEN 'checked' END AS review_status, count(*) < 2 AS bad FROM g GROUP BY 1""")
 def _(t):
-    old = stored(t).where("seq % 3 = 0").withColumn("review_status", F.when(F.col("seq") % 6 == 0, "checked").otherwise(""))
+    old = stored(t).withColumn("review_status", F.when(F.col("seq") % 6 == 0, "checked").otherwise(""))
     groups = old.select((F.col("seq") % 50).cast("int").alias("group_no"), "event_id")
     return op.human_merge(old, groups).select("group_no", "survivor", "members", "review_status", "bad")
 
@@ -200,11 +200,20 @@ def _(t):
     return r.join(kept, "row_id", "left_anti").select("url", "row_id")
 
 
-@query("LIF-18", with_("ev") + "SELECT event_id, CASE WHEN k % 3 = 0 THEN 'digital' WHEN k % 3 = 1 THEN '' ELSE array_to_string(competency, ',') END AS competency, CASE WHEN k % 3 = 0 THEN 2 WHEN k % 3 = 1 THEN NULL ELSE relevance END AS relevance FROM ev")
+@query("LIF-18", with_("ev") + """SELECT event_id, CASE WHEN k % 3 = 0 THEN 'digital' WHEN k % 3 = 1 THEN '' ELSE array_to_string(competency, ',') END AS competency, CASE WHEN k % 3 = 0 THEN 2 WHEN k % 3 = 1 THEN NULL ELSE relevance END AS relevance,
+  CASE WHEN k % 3 = 0 THEN 'verdict ' || k ELSE activity_type END AS summary, CASE WHEN k % 3 = 0 THEN repeat('t', 160) ELSE lane END AS short_title, CASE WHEN k % 3 = 0 THEN 'because' WHEN k % 3 = 1 THEN '' ELSE branch END AS why_it_matters,
+  CASE WHEN k % 3 = 0 THEN 't1' WHEN k % 3 = 1 THEN '' ELSE array_to_string(topic_tags, ',') END AS topic_tags FROM ev""")
 def _(t):
-    e = fx.events(t)
-    v = e.where("k % 3 < 2").select("event_id", F.when(F.col("k") % 3 == 0, F.array(F.lit("bogus"), F.lit("digital"))).otherwise(F.array(F.lit("bogus"))).alias("competencies"), F.lit("2").alias("relevance"))
-    return op.apply_verdict(e, v, key="event_id", choices=COMPETENCIES).select("event_id", F.array_join("competency", ",").alias("competency"), "relevance")
+    e = fx.events(t).withColumn("summary", F.col("activity_type")).withColumn("short_title", F.col("lane")).withColumn("why_it_matters", F.col("branch"))
+    one, none = F.col("k") % 3 == 0, F.array().cast("array<string>")
+    v = e.where("k % 3 < 2").select(
+        "event_id", F.when(one, F.array(F.lit("bogus"), F.lit("digital"))).otherwise(F.array(F.lit("bogus"))).alias("competencies"), F.lit("2").alias("relevance"), F.when(one, F.concat(F.lit("verdict "), "k")).otherwise("").alias("summary"),
+        F.when(one, F.repeat(F.lit("t"), F.lit(200))).alias("short_title"), F.when(one, "because").alias("why_it_matters"), F.when(one, F.array(F.lit("odd"), F.lit("t1"))).otherwise(none).alias("topic_tags"),
+    )
+    # Some verdicts come twice.
+    v = v.unionByName(v.where("event_id % 5 = 0"))
+    out = op.apply_verdict(e, v, key="event_id", choices=COMPETENCIES, tags=[f"t{i}" for i in range(10)])
+    return out.select("event_id", F.array_join("competency", ",").alias("competency"), "relevance", "summary", "short_title", "why_it_matters", F.array_join("topic_tags", ",").alias("topic_tags"))
 
 
 @query("LIF-19", with_("roster") + "SELECT candidate, CASE WHEN candidate_id % 3 = 0 THEN 'Seed' ELSE party END AS party, CASE WHEN candidate_id % 5 <> 0 THEN status END AS status FROM roster")
@@ -237,6 +246,11 @@ def _(t):
     return op.active_recipients(rows)
 
 
+@query("LIF-21-malformed", "SELECT count(*) FILTER (c_custkey % 3 <> 0 AND c_custkey % 5 = 0) AS malformed FROM customer")
+def _(t):
+    return op.malformed_recipients(recipients(t).withColumn("email", F.when(F.col("seq") % 5 > 0, F.col("email"))))
+
+
 @query("SRC-11", SNAP + "SELECT count(*) FILTER (old.id IS NULL) AS created, count(*) FILTER (old.id IS NOT NULL AND new.id IS NOT NULL AND old.lane <> new.lane) AS updated FROM (SELECT * FROM old) old FULL JOIN new USING (id)")
 def _(t):
     old, new = snapshot(t)

@@ -14,7 +14,7 @@ from ..sources.fixtures import COMPETENCIES, with_
 from . import ranking as rank_queries
 from .aggregates import CALENDARS, joi_09
 from .lifecycle import folder
-from .ranking import IN_WINDOW, TOP, must_cover, window_events
+from .ranking import IN_WINDOW, window_events
 from .registry import query
 
 
@@ -22,12 +22,16 @@ SIDES = {"state": ["news", "odd"], "congress": ["oversight"], "agency": ["execut
 SIDE = "CASE WHEN lane IN ('news', 'odd') THEN 'state' WHEN lane = 'oversight' THEN 'congress' ELSE 'agency' END"
 
 
+def side_of(lane):
+    return F.when(lane.isin(SIDES["state"]), "state").when(lane.isin(SIDES["congress"]), "congress").otherwise("agency")
+
+
 @query("REP-01", with_("ev", "roster", "devs", "bills") + f""", win AS (SELECT *, {SIDE} AS side FROM ev WHERE {IN_WINDOW}),
 top AS (SELECT *, row_number() OVER (PARTITION BY side, competency[1] ORDER BY relevance DESC, article_count DESC, date DESC, event_id) AS rank FROM win WHERE len(competency) > 0 AND relevance >= 2),
 gov AS (SELECT devs.*, row_number() OVER (ORDER BY relevance DESC, article_count DESC, date DESC, event_id) AS rank FROM devs JOIN roster USING (state, candidate)
-  WHERE status NOT IN ('withdrawn', 'defeated') AND (race_rating = 'Toss-up' OR race_rating LIKE 'Lean%') AND relevance >= 2),
+  WHERE date >= DATE '1997-01-01' - 300 AND date < DATE '1997-01-01' AND len(competency) > 0 AND status NOT IN ('withdrawn', 'defeated') AND (race_rating = 'Toss-up' OR race_rating LIKE 'Lean%') AND relevance >= 2),
 mv AS (SELECT bill, row_number() OVER (ORDER BY relevance DESC, coalesce(committee_action_date, date) DESC, bill, pos, committee) AS rank FROM bills
-  WHERE coalesce(committee_action_date, date) >= DATE '1997-01-01' - 300 AND coalesce(committee_action_date, date) < DATE '1997-01-01' AND committee_action IN ('marked-up', 'reported') AND relevance >= 2),
+  WHERE coalesce(committee_action_date, date) >= DATE '1997-01-01' - 300 AND coalesce(committee_action_date, date) < DATE '1997-01-01' AND committee_action IN ('marked-up', 'reported') AND relevance >= 2 AND len(competency) > 0),
 h AS (SELECT o_orderkey AS id, CAST(o_orderdate AS DATE) AS date FROM orders),
 up AS (SELECT id, row_number() OVER (ORDER BY date, id) AS rank FROM h WHERE date >= DATE '1997-01-01'),
 past AS (SELECT id, row_number() OVER (ORDER BY date DESC, id) AS rank FROM h WHERE date >= DATE '1997-01-01' - 30 AND date < DATE '1997-01-01')
@@ -44,16 +48,15 @@ def digest(t):
         best = df.orderBy(*order).limit(4)
         return best.select(F.lit(section).alias("section"), F.lit("").alias("category"), F.row_number().over(Window.orderBy(*order)).alias("rank"), F.col(key).cast("long").alias("id"))
 
-    events = window_events(t)
-    out = None
-    for side, lanes in SIDES.items():
-        best = ranking.top_per_category(events.where(F.col("lane").isin(lanes)), choices=COMPETENCIES)
-        part = best.select(F.lit(side).alias("section"), F.col("primary").alias("category"), "rank", F.col("event_id").cast("long").alias("id"))
-        out = part if out is None else out.unionByName(part)
-    governors = ranking.top_governors(fx.developments(t), fx.roster(t))
-    moved = gates.moved_bills(fx.bills(t), as_of="1997-01-01", days=300)
+    events = window_events(t).withColumn("side", side_of(F.col("lane")))
+    # All sides in one pass.
+    best = ranking.top_per_category(events, choices=COMPETENCIES, within=["side"])
+    out = best.select(F.col("side").alias("section"), F.col("primary").alias("category"), "rank", F.col("event_id").cast("long").alias("id"))
+    developments = gates.half_open(fx.developments(t).where(F.size("competency") > 0), date="date", as_of="1997-01-01", days=300)
+    governors = ranking.top_governors(developments, fx.roster(t))
+    moved = gates.moved_bills(fx.bills(t), as_of="1997-01-01", days=300, category="competency")
     hearings = rank_queries.hearings(t)
-    federal = F.when(F.col("lane").isin(SIDES["state"]), "state").otherwise("federal")
+    federal = F.when(F.col("side") == "state", "state").otherwise("federal")
     totals = events.groupBy(federal.alias("category")).agg(F.count(F.lit(1)).alias("id")).select(F.lit("total").alias("section"), "category", F.lit(0).alias("rank"), "id")
     for part in (
         numbered(governors, "governors", [F.desc("relevance"), F.desc("article_count"), F.desc("date"), F.asc("event_id")], "event_id"),
@@ -84,23 +87,51 @@ def _(t):
     return out.select("event_id", "i.title", "i.summary", "i.meta", "i.relevance", links.alias("links"), "i.date", "outlets", "i.sort_key")
 
 
-@query("REP-03", with_("ev") + f", {TOP} SELECT competency[1] AS category, event_id, rank = 1 AND relevance = 3 AS must_cover FROM picked WHERE rank <= 4")
+POSTAL = ["MD", "VA", "", "TX"]
+
+
+@query("REP-03", with_("ev") + f""", t AS (SELECT *, CASE WHEN lane IN ('news', 'odd') THEN 'state' ELSE 'federal' END AS side, (['MD', 'VA', '', 'TX'])[1 + user_id % 4] AS st FROM ev WHERE {IN_WINDOW} AND len(competency) > 0 AND relevance >= 2),
+p AS (SELECT *, row_number() OVER (PARTITION BY side, competency[1] ORDER BY relevance DESC, article_count DESC, date DESC, event_id) AS rank FROM t),
+q AS (SELECT *, min(CASE WHEN side = 'state' AND relevance = 3 AND st <> '' THEN rank END) OVER (PARTITION BY competency[1]) AS must FROM p WHERE rank <= 4)
+SELECT competency[1] AS category, side, CAST(rank AS INTEGER) AS rank, '- ' || CASE WHEN side = 'state' AND rank = must THEN 'MUST COVER ' ELSE '' END || '[' || CASE WHEN side = 'federal' THEN 'federal' WHEN st <> '' THEN 'state: ' || st ELSE 'state' END || '] '
+  || CASE WHEN st <> '' THEN st || ': ' ELSE '' END || activity_type || ' :: Why ' || k || '. :: who: ' || actor_type AS line FROM q""")
 def _(t):
-    must = must_cover(t).withColumn("must", F.lit(True))
-    rows = rank_queries.top_events(t).select("category", "event_id").join(must, ["category", "event_id"], "left")
-    return rows.select("category", "event_id", F.coalesce("must", F.lit(False)).alias("must_cover"))
+    rows = window_events(t).withColumn("side", F.when(F.col("lane").isin(SIDES["state"]), "state").otherwise("federal"))
+    best = ranking.top_per_category(rows, choices=COMPETENCIES, within=["side"])
+    none = F.array().cast("array<string>")
+    item = digest_item(title=state_title(F.col("activity_type"), fx.pick(POSTAL, F.col("user_id"))), why=F.concat(F.lit("Why "), "k", F.lit(".")), notes=F.lit(""), meta=[F.col("actor_type")], relevance=F.col("relevance"), urls=none, outlets=none, date=F.col("date"), sort_key=F.lit(""))
+    return ranking.brief_lines(best.select(F.col("primary").alias("category"), "side", "rank", item.alias("item")))
 
 
-@query("REP-04", with_("ev") + "SELECT event_id, date, relevance FROM ev WHERE date >= DATE '2024-01-20' AND len(competency) > 0")
+@query("REP-04", with_("ev", "bills", "items", "verdicts") + """SELECT 'events' AS layer, event_id AS id, date, relevance FROM ev WHERE date >= DATE '2024-01-20' AND len(competency) > 0
+UNION ALL SELECT 'bills', bill * 10 + pos, date, relevance FROM bills WHERE date >= DATE '1997-06-01' AND len(competency) > 0
+UNION ALL SELECT 'hearings', o_orderkey, CAST(o_orderdate AS DATE), NULL FROM orders WHERE CAST(o_orderdate AS DATE) >= DATE '1997-06-01' AND o_orderkey % 3 <> 0
+UNION ALL SELECT 'raw', item_id, pub_date, NULL FROM items JOIN verdicts USING (item_id) WHERE pub_date >= DATE '2024-01-20' AND len(pillars) > 0""")
 def _(t):
-    return fx.events(t).where((F.col("date") >= "2024-01-20") & (F.size("competency") > 0)).select("event_id", "date", "relevance")
+    hearings = t("orders").select(F.col("o_orderkey").alias("id"), F.to_date("o_orderdate").alias("date"), F.lit(None).cast("int").alias("relevance"), fx.by_key(F.col("o_orderkey")).alias("competency"))
+    raw = fx.items(t).join(fx.verdicts(t), "item_id").select(F.col("item_id").alias("id"), F.col("pub_date").alias("date"), F.lit(None).cast("int").alias("relevance"), "pillars")
+    bills = fx.bills(t).withColumn("id", F.col("bill") * 10 + F.col("pos"))
+    layers = {"events": (fx.events(t).withColumnRenamed("event_id", "id"), "2024-01-20", "competency"), "bills": (bills, "1997-06-01", "competency"), "hearings": (hearings, "1997-06-01", "competency"), "raw": (raw, "2024-01-20", "pillars")}
+    out = None
+    for name, (df, cutoff, field) in layers.items():
+        part = gates.review_layer(df, cutoff=cutoff, relevant_only=True, relevance_field=field).select(F.lit(name).alias("layer"), F.col("id").cast("long").alias("id"), "date", F.col("relevance").cast("int").alias("relevance"))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
-@query("REP-05", with_("items", "verdicts") + """SELECT source, count(*) FILTER (list_contains(pillars, 'digital') AND NOT k) AS gate_only, count(*) FILTER (NOT list_contains(pillars, 'digital') AND k) AS classifier_only, count(*) AS n
-FROM (SELECT source, pillars, item_id % 3 > 0 AS k FROM items JOIN verdicts USING (item_id)) GROUP BY 1""")
+@query("REP-05", with_("items", "verdicts") + """, r AS (SELECT item_id, source, pillars FROM items JOIN verdicts USING (item_id)),
+e AS (SELECT item_id // 2 AS event_id, unnest([item_id]) AS item_id, (['digital', 'procedure', 'incentives', 'civil-service', ''])[1 + (item_id // 2) % 5] AS competency FROM items WHERE item_id % 10 <> 9),
+c AS (SELECT unnest(['civil-service', 'procedure', 'digital', 'incentives']) AS category)
+SELECT source, category, count(*) FILTER (list_contains(pillars, category) AND competency = category) AS both, count(*) FILTER (list_contains(pillars, category) AND competency <> category) AS gate_only,
+  count(*) FILTER (NOT list_contains(pillars, category) AND competency = category) AS classifier_only, count(*) AS n FROM r JOIN e USING (item_id), c GROUP BY 1, 2""")
 def _(t):
-    rows = fx.items(t).join(fx.verdicts(t), "item_id").select("source", F.array_contains("pillars", "digital").alias("gate"), (F.col("item_id") % 3 > 0).alias("classifier"))
-    return rows.groupBy("source").agg(F.count_if(F.col("gate") & ~F.col("classifier")).alias("gate_only"), F.count_if(~F.col("gate") & F.col("classifier")).alias("classifier_only"), F.count(F.lit(1)).alias("n"))
+    url = F.concat(F.lit("https://x.example/"), "item_id")
+    raw = fx.items(t).join(fx.verdicts(t), "item_id").select("source", url.alias("url"), "pillars")
+    # Events of two items each; every tenth item is in none.
+    event = F.floor(F.col("item_id") / 2)
+    named = fx.pick(["digital", "procedure", "incentives", "civil-service", ""], event)
+    events = fx.items(t).where("item_id % 10 <> 9").groupBy(event.alias("event_id")).agg(F.collect_list(url).alias("source_urls"), F.array_remove(F.array(F.first(named)), "").alias("competency"))
+    return aggregates.gate_and_classifier(raw, events, choices=COMPETENCIES)
 
 
 @query("REP-06", with_("raw") + "SELECT count(*) AS n, count(*) FILTER (CAST(ingested_at AS DATE) - date > 7) AS late, round(avg(CASE WHEN CAST(ingested_at AS DATE) - date > 7 THEN 1.0 ELSE 0.0 END), 6) AS share FROM raw")

@@ -18,6 +18,15 @@ def pick(values: list[str], n) -> object:
     return F.element_at(F.array(*map(F.lit, values)), (n % len(values) + 1).cast("int"))
 
 
+def by_key(n) -> object:
+    """Categories of rows that have none of their own: none, one or two."""
+    none = F.array().cast("array<string>")
+    return F.when(n % 3 == 0, none).when(n % 3 == 1, F.array(F.lit("digital"))).otherwise(F.array(F.lit("procedure"), F.lit("incentives")))
+
+
+BY_KEY = "CASE o_orderkey % 3 WHEN 0 THEN [] WHEN 1 THEN ['digital'] ELSE ['procedure', 'incentives'] END AS competency"
+
+
 def raw(t: Table) -> DataFrame:
     """Raw article rows from ``events``."""
     e = t("events").withColumn("k", F.get_json_object("props", "$.k").cast("int"))
@@ -81,14 +90,14 @@ def roster(t: Table) -> DataFrame:
 def developments(t: Table) -> DataFrame:
     """Candidate developments from ``orders``."""
     o = t("orders").join(t("customer"), F.col("o_custkey") == F.col("c_custkey")).join(F.broadcast(t("nation")), F.col("c_nationkey") == F.col("n_nationkey"))
-    return o.select(F.col("o_orderkey").alias("event_id"), F.col("c_name").alias("candidate"), F.col("n_name").alias("state"), F.to_date("o_orderdate").alias("date"), (F.col("o_orderkey") % 4).cast("int").alias("relevance"), (F.col("o_orderkey") % 3 + 1).cast("int").alias("article_count"), F.col("o_orderpriority").alias("dev_type"), "o_totalprice")
+    return o.select(F.col("o_orderkey").alias("event_id"), F.col("c_name").alias("candidate"), F.col("n_name").alias("state"), F.to_date("o_orderdate").alias("date"), (F.col("o_orderkey") % 4).cast("int").alias("relevance"), (F.col("o_orderkey") % 3 + 1).cast("int").alias("article_count"), F.col("o_orderpriority").alias("dev_type"), "o_totalprice", by_key(F.col("o_orderkey")).alias("competency"))
 
 
 def bills(t: Table) -> DataFrame:
     """Bill listings by committee from ``orders`` and ``lineitem``."""
     b = t("lineitem").join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
     action = F.when(F.col("l_returnflag") == "R", "reported").when(F.col("l_returnflag") == "A", "marked-up").otherwise("referred")
-    return b.select(F.col("o_orderkey").alias("bill"), F.col("l_linenumber").alias("pos"), F.concat(F.lit("cmte"), F.col("l_suppkey") % 7).alias("committee"), action.alias("committee_action"), F.to_date("o_orderdate").alias("date"), F.when(F.col("l_linenumber") % 2 == 0, F.to_date("l_shipdate")).alias("committee_action_date"), (F.col("o_orderkey") % 4).cast("int").alias("relevance"), pick(["Government Operations", "Health", "", "Taxation"], F.col("o_orderkey")).alias("policy_area"), F.col("o_orderpriority").alias("topic"))
+    return b.select(F.col("o_orderkey").alias("bill"), F.col("l_linenumber").alias("pos"), F.concat(F.lit("cmte"), F.col("l_suppkey") % 7).alias("committee"), action.alias("committee_action"), F.to_date("o_orderdate").alias("date"), F.when(F.col("l_linenumber") % 2 == 0, F.to_date("l_shipdate")).alias("committee_action_date"), (F.col("o_orderkey") % 4).cast("int").alias("relevance"), pick(["Government Operations", "Health", "", "Taxation"], F.col("o_orderkey")).alias("policy_area"), F.col("o_orderpriority").alias("topic"), by_key(F.col("o_orderkey")).alias("competency"))
 
 
 K = "CAST(json_extract_string(props, '$.k') AS INTEGER)"
@@ -121,12 +130,12 @@ SQL = {
   {_list(["Toss-up", "Lean D", "Lean R", "Likely D", "Likely R", "Safe D", "Safe R"], "c_custkey")} AS race_rating,
   {_list(["nominee", "running", "incumbent", "declared", "withdrawn", "defeated", "won", "lost"], "c_custkey")} AS status,
   {_list(["open", "incumbent"], "c_custkey")} AS race_type FROM customer JOIN nation ON c_nationkey = n_nationkey)""",
-    "devs": """devs AS (SELECT o_orderkey AS event_id, c_name AS candidate, n_name AS state, CAST(o_orderdate AS DATE) AS date, CAST(o_orderkey % 4 AS INTEGER) AS relevance,
-  CAST(o_orderkey % 3 + 1 AS INTEGER) AS article_count, o_orderpriority AS dev_type, o_totalprice FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)""",
+    "devs": f"""devs AS (SELECT o_orderkey AS event_id, c_name AS candidate, n_name AS state, CAST(o_orderdate AS DATE) AS date, CAST(o_orderkey % 4 AS INTEGER) AS relevance,
+  CAST(o_orderkey % 3 + 1 AS INTEGER) AS article_count, o_orderpriority AS dev_type, o_totalprice, {BY_KEY} FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)""",
     "bills": f"""bills AS (SELECT o_orderkey AS bill, l_linenumber AS pos, 'cmte' || (l_suppkey % 7) AS committee,
   CASE WHEN l_returnflag = 'R' THEN 'reported' WHEN l_returnflag = 'A' THEN 'marked-up' ELSE 'referred' END AS committee_action, CAST(o_orderdate AS DATE) AS date,
   CASE WHEN l_linenumber % 2 = 0 THEN CAST(l_shipdate AS DATE) END AS committee_action_date, CAST(o_orderkey % 4 AS INTEGER) AS relevance,
-  {_list(["Government Operations", "Health", "", "Taxation"], "o_orderkey")} AS policy_area, o_orderpriority AS topic FROM lineitem JOIN orders ON l_orderkey = o_orderkey)""",
+  {_list(["Government Operations", "Health", "", "Taxation"], "o_orderkey")} AS policy_area, o_orderpriority AS topic, {BY_KEY} FROM lineitem JOIN orders ON l_orderkey = o_orderkey)""",
 }
 
 

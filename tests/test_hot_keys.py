@@ -107,10 +107,14 @@ def test_repeated_keys_do_not_multiply_rows(spark):
     got = {r.item_id: (r.kept, r.drop_reason) for r in filters.verdict_gate(items, verdicts, key="item_id", choices=["digital"]).collect()}
     assert got == {1: (True, None), 2: (False, "b"), 3: (False, "error")}
 
-    events = spark.createDataFrame([(1, ["x"], 1, "old", "t", ["a"]), (2, ["x"], 1, "old", "t", ["a"])], "id long, competency array<string>, relevance int, summary string, title string, topic_tags array<string>")
-    v = spark.createDataFrame([(1, ["digital"], "3", " new ", "", ["b", "odd"]), (1, ["digital"], "2", "other", "", [])], "id long, competencies array<string>, relevance string, summary string, title string, topic_tags array<string>")
-    got = rows(lifecycle.apply_verdict(events, v, key="id", choices=["digital"], tags=["a", "b"]))
-    assert got == [(1, ["digital"], 3, "new", "t", ["b"]), (2, ["x"], 1, "old", "t", ["a"])]
+    events = spark.createDataFrame([(1, ["x"], 1, "old", "t", ["a"], "w"), (2, ["x"], 1, "old", "t", ["a"], "w"), (3, ["x"], 1, None, "t", ["a"], "w")], "id long, competency array<string>, relevance int, agenda string, short_title string, topic_tags array<string>, why_it_matters string")
+    v = spark.createDataFrame([(1, ["digital"], "3", "new", "", ["b", "odd"], None), (1, ["digital"], "2", "other", "", [], "x"), (3, ["bad"], "3", "", "s" * 200, None, "why")], "id long, competencies array<string>, relevance string, summary string, short_title string, topic_tags array<string>, why_it_matters string")
+    got = rows(lifecycle.apply_verdict(events, v, key="id", choices=["digital"], tags=["a", "b"], summary="agenda"))
+    assert got == [(1, ["digital"], 3, "new", "t", ["b"], ""), (2, ["x"], 1, "old", "t", ["a"], "w"), (3, [], None, "", "s" * 160, [], "why")]
+    # Source types grow with the other lists.
+    stored = spark.createDataFrame([("e", ["u"], ["o"], ["news"])], "event_id string, source_urls array<string>, source_outlets array<string>, source_types array<string>")
+    add = spark.createDataFrame([("e", ["u", "v"], ["p"], ["agency"])], stored.schema)
+    assert rows(lifecycle.accrete(stored, add)) == [("e", ["u", "v"], ["o", "p"], ["news", "agency"], 1)]
 
     old = spark.createDataFrame([("A", "p", "s")], "candidate string, party string, status string")
     seed = spark.createDataFrame([("A", "q"), ("A", ""), ("A", None), ("B", "r"), ("B", "r")], "candidate string, party string")
