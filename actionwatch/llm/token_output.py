@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import byte_texts, pieces, starts_of, text_of
+from .common import byte_texts, materialize, pieces, starts_of, text_of
 from .encoder import word_encoder
 
 DATA = "doc_id long, part int, rel_start long, n_tokens long, ids array<int>"
@@ -48,15 +48,26 @@ def _encode(tokenizer_path: str, end_id: int):
 def write_tokens(docs: DataFrame, path: str, *, tokenizer_path: str, end_id: int, options: dict[str, str] | None = None) -> None:
     """Encode the whole texts and write them, with ``end_id`` after each, under ``path``.
 
-    Documents are dealt by ranges of doc_id (null first; rows of one id may go on in the next file), one file a range. A null text is
+    Documents are dealt by ranges of doc_id (null first; an id of very many rows goes over many files), one file a range. A null text is
     empty and gives only the end id. Repeated rows are all written. An empty table gives an empty data folder.
     Columns other than doc_id and text are not read.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    # Ranges cut by a seeded number too: the rows of one id, or without one, need not meet in one task, and finding the
-    # ranges reads no text.
-    dealt = rows.withColumn("order", F.rand(7)).repartitionByRange("doc_id", "order").sortWithinPartitions("doc_id", "text").drop("order")
+    # Ranges are cut by the id alone, so that a task that runs again deals its rows to the same files. Ids of so many
+    # rows that they would fill much of a file, null among them, get a number a row, written once.
+    counts = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    size = counts.agg(F.sum("n").alias("rows"), F.max("n").alias("most")).first()
+    most = max(1, (size["rows"] or 0) // (4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    if (size["most"] or 0) <= most:
+        dealt = rows.repartitionByRange("doc_id")
+    else:
+        hot = counts.where(F.col("n") > most).select(F.col("doc_id").alias("hot"))
+        same = F.col("doc_id").eqNullSafe(F.col("hot"))
+        numbered = materialize(rows.join(hot, same, "left_semi").withColumn("order", F.monotonically_increasing_id()), "rows-of-large-ids")
+        rest = rows.join(hot, same, "left_anti").withColumn("order", F.lit(0).cast("long"))
+        dealt = rest.unionByName(numbered).repartitionByRange("doc_id", "order").drop("order")
+    dealt = dealt.sortWithinPartitions("doc_id", "text")
     dealt.mapInArrow(_encode(tokenizer_path, end_id), DATA).write.options(**(options or write_options())).parquet(f"{path}/data")
     meta = read_tokens(spark, path).select("doc_id", "part", "n_tokens")
     files = meta.groupBy("part").agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last_doc_id"), F.count(F.lit(1)).alias("documents"), F.sum("n_tokens").alias("tokens"))
