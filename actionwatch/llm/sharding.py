@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import scratch
+from ..operators.ranking import placed_in_group
+from .common import materialize, scratch
 
 SLOTS = 8192
 #: What a record takes besides its text.
@@ -85,8 +86,9 @@ def place(recs: DataFrame, slot_map: DataFrame, by_slot: DataFrame) -> DataFrame
     """
     shard = Window.partitionBy("shard").orderBy("vslot").rowsBetween(Window.unboundedPreceding, -1)
     offsets = slot_map.join(by_slot.select("vslot", "rows"), "vslot").select("vslot", "shard", F.coalesce(F.sum("rows").over(shard), F.lit(0)).alias("before"))
-    rank = Window.partitionBy("vslot").orderBy("doc_id", "text_crc32", "size")
-    ranked = recs.withColumn("rank", F.row_number().over(rank))
+    # A slot of very many rows (an id that repeats) is ranked by ranges of (slot, id), whatever its size.
+    order = [F.asc(c) for c in ("doc_id", "text_crc32", "size", *(["row"] if "row" in recs.columns else []))]
+    ranked = placed_in_group(recs, group=["vslot"], order=order)
     return ranked.join(F.broadcast(offsets), "vslot").select("doc_id", "size", "text_crc32", "shard", (F.col("before") + F.col("rank") - 1).alias("slot"), "vslot")
 
 
@@ -100,7 +102,8 @@ def shard_documents(docs: DataFrame, *, shards: int, slots: int = SLOTS, path: s
     """
     spark = docs.sparkSession
     path = path or scratch(spark, "slot-map")
-    recs = records(docs, slots)
+    # A short row for each document, written once with a number: texts are read once, and repeated rows are told apart.
+    recs = materialize(records(docs, slots).withColumn("row", F.monotonically_increasing_id()), "records")
     by_slot = slot_bytes(recs, slots)
     sizes = f"{path}/sizes"
     by_slot.coalesce(1).write.parquet(sizes)
