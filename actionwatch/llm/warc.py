@@ -3,9 +3,10 @@
 A revisit record (a 304 answer) has no body. It belongs to the latest earlier full response with the same canonical
 URL. The two are compared by validators, and the stored headers are updated with those that a 304 may carry.
 
-The as-of join is DataFrame functions only. Time is cut into buckets: within (URL, bucket) a window finds the latest
-response; a second, small table of the last response of each (URL, bucket) is carried forward over buckets. A URL
-that holds a large share of all records is thereby dealt over its buckets instead of one task.
+The as-of join is DataFrame functions only. Records are dealt into ranges of (URL, time), whose borders follow their
+number: within (URL, range) a window finds the latest response; a second, small table of the last response of each
+(URL, range) is carried forward over ranges. So a URL that holds a large share of all records, at whatever times, lies
+in many tasks.
 """
 
 from __future__ import annotations
@@ -13,12 +14,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import materialize
 from .url_filter import canonical
 
 #: Headers that a 304 may update (fixed values of the HTTP standard).
 PERMITTED = ["age", "cache-control", "content-location", "date", "etag", "expires", "last-modified", "vary"]
-#: Width of a time bucket, in the unit of ``ts``.
-BUCKET = 3600
 
 RECORDS = "record_id long, url string, ts long, kind string, status int, headers map<string,string>, payload long"
 
@@ -41,7 +41,7 @@ def lower_names(headers: Column) -> Column:
     return F.map_from_entries(F.transform(last, lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value"))))
 
 
-def resolve_revisits(records: DataFrame, *, bucket: int = BUCKET) -> DataFrame:
+def resolve_revisits(records: DataFrame, *, ranges: int | None = None) -> DataFrame:
     """One row for each revisit of ``records`` (see ``RECORDS``): what it confirms and its merged headers.
 
     Returns record_id, canonical_url, ts, resolution, target_id, payload, headers. ``resolution``:
@@ -61,7 +61,11 @@ def resolve_revisits(records: DataFrame, *, bucket: int = BUCKET) -> DataFrame:
     full = (F.col("kind") == "response") & (F.col("status") == 200)
     placed = plain.where(F.col("canonical_url").isNotNull() & F.col("ts").isNotNull() & (full | (F.col("kind") == "revisit")))
     response = F.when(full, F.struct("ts", "record_id", "payload", "headers"))
-    placed = placed.withColumn("bucket", F.floor(F.col("ts") / bucket)).withColumn("response", response)
+    # Ranges of (URL, time, record): a URL of very many records lies in many of them. Written, as all readings below must
+    # see the same ranges.
+    order = [F.col("canonical_url"), F.col("ts"), F.col("record_id"), F.desc("kind")]
+    ordered = placed.repartitionByRange(*([ranges] if ranges else []), *order)
+    placed = materialize(ordered.withColumn("bucket", F.spark_partition_id()), "crawl-ranges").withColumn("response", response)
 
     order = Window.partitionBy("canonical_url", "bucket").orderBy("ts", "record_id", F.desc("kind"))
     near = placed.withColumn("near", F.last("response", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1))).where(F.col("kind") == "revisit")
