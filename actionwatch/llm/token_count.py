@@ -100,12 +100,27 @@ def _marks(data: np.ndarray, heads: np.ndarray) -> np.ndarray:
     return out
 
 
+def require(spec: dict) -> None:
+    """Raise unless the tokenizer file is of the byte-level kind that texts are cut for here."""
+    cut, model = spec.get("pre_tokenizer") or {}, spec["model"]
+    fits = {
+        "normalizer": not spec.get("normalizer"),
+        "pre-tokenizer": cut.get("type") == "ByteLevel" and not cut.get("add_prefix_space") and cut.get("use_regex", True),
+        "model": model.get("type") == "BPE" and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")),
+        "bytes": all(c in model["vocab"] for c in byte_alphabet()),
+        "added tokens": not any(t[k] for t in spec["added_tokens"] for k in ("single_word", "lstrip", "rstrip", "normalized")),
+    }
+    if wrong := [name for name, good in fits.items() if not good]:
+        raise ValueError(f"the tokenizer is of another kind: {', '.join(wrong)}")
+
+
 class Transducer:
     """A lazily compiled deterministic transducer that counts BPE tokens."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        require(spec)
         to_byte = byte_alphabet()
         special = {t["content"] for t in spec["added_tokens"]}
         # Leftmost first, the longest of those that begin at one place.
