@@ -126,11 +126,11 @@ def _block_keys(batches):
                 yield from flush()
                 block, words, grams = blocks[a], {}, None
             part = batch.slice(a, b - a)
-            train = part.column(1).to_numpy(zero_copy_only=False)
+            weight = part.column(1).to_numpy()
             texts = lowered(byte_texts(part, "text"))
             codes, found, counts = coded_words(texts)
             distinct = found.cast(pa.large_binary()).to_pylist()
-            n = np.bincount(codes, weights=np.repeat(train, counts), minlength=len(distinct)).astype(np.int64).tolist()
+            n = np.bincount(codes, weights=np.repeat(weight, counts), minlength=len(distinct)).astype(np.int64).tolist()
             if words:
                 for w, k in zip(distinct, n, strict=True):
                     words[w] = words.get(w, 0) + k
@@ -138,7 +138,7 @@ def _block_keys(batches):
                 words = dict(zip(distinct, n, strict=True))
             packed, counts = text_grams(texts)
             dense = Dense(packed, alphabet_of(texts))
-            n = np.bincount(dense.codes, weights=np.repeat(train, counts)).astype(np.int64)
+            n = np.bincount(dense.codes, weights=np.repeat(weight, counts)).astype(np.int64)
             values = dense.values()
             if grams is not None:
                 both = np.concatenate([grams[0], values])
@@ -257,15 +257,20 @@ def score_documents(docs: DataFrame, *, block_bytes: int = BLOCK_BYTES, mod: int
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", text_of().alias("text"))
     held = held_out(F.col("doc_id"), mod)
-    size = rows.agg(F.sum(F.octet_length("text")).alias("bytes"), F.count_if(~held).alias("texts")).first()
+    prints = rows.groupBy(F.xxhash64("doc_id", "text").alias("print")).agg(F.count(F.lit(1)).alias("n"), F.count_if(~held).alias("texts"), F.sum(F.octet_length("text")).alias("bytes"))
+    size = prints.agg(F.sum("bytes").alias("bytes"), F.sum("texts").alias("texts"), F.max("n").alias("most")).first()
+    # Repeated rows go on as one with their number, combined before the shuffle.
+    copies = F.count(F.lit(1)).alias("copies")
+    counted = rows.groupBy("doc_id", "text").agg(copies) if (size["most"] or 0) > 1 else rows.withColumn("copies", F.lit(1).cast("long"))
     blocks = max(1, -(-int(size["bytes"] or 0) // block_bytes))
     block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).alias("block")
-    blocked = rows.select(block, (~held).alias("train"), "text", "doc_id").repartition("block")
+    weight = F.when(held, F.lit(0).cast("long")).otherwise(F.col("copies")).alias("weight")
+    blocked = counted.select(block, weight, "text", "doc_id", "copies").repartition("block")
 
-    keys = materialize(blocked.select("block", "train", "text").sortWithinPartitions("block").mapInArrow(_block_keys, KEYS), "block-keys")
+    keys = materialize(blocked.select("block", "weight", "text").sortWithinPartitions("block").mapInArrow(_block_keys, KEYS), "block-keys")
     sums = materialize(keys.groupBy("kind", "key").agg(F.sum("n").alias("n")), "corpus-counts")
     total = sums.where(F.col("kind") == WORD).agg(F.sum("n").alias("n"), F.count_if(F.col("n") > 0).alias("v")).first()
-    ends = size["texts"]  # one end token a training text
+    ends = int(size["texts"] or 0)  # one end token a training text
     big_n, big_v = int(total["n"] or 0) + ends, int(total["v"]) + (ends > 0)
     base = np.log10(big_n + ADD * (big_v + 1))
 
@@ -294,12 +299,15 @@ def score_documents(docs: DataFrame, *, block_bytes: int = BLOCK_BYTES, mod: int
             dense = Dense(packed, alphabet_of(texts))
             lengths = gram_values[np.searchsorted(gram_keys, dense.values())]
             sums_ = segment_sums(lengths[dense.codes], n_grams)
-            out.append(pa.Table.from_arrays([part.column(part.schema.get_field_index("doc_id")), pa.array(~part.column(1).to_numpy(zero_copy_only=False)), pa.array(n_words + 1), pa.array(n_known), pa.array(np.full(len(texts), big_n)), pa.array(base_sums), pa.array(sums_), pa.array(n_grams - 1)], OUT))
+            out.append(pa.Table.from_arrays([part.column(part.schema.get_field_index("doc_id")), part.column(part.schema.get_field_index("copies")), pa.array(part.column(1).to_numpy() == 0), pa.array(n_words + 1), pa.array(n_known), pa.array(np.full(len(texts), big_n)), pa.array(base_sums), pa.array(sums_), pa.array(n_grams - 1)], OUT))
         return pa.concat_tables(out)
 
     left, right = blocked.groupBy("block"), given.groupBy("block")
-    return left.cogroup(right).applyInArrow(score, f"doc_id {kind}, {SCHEMA}")
+    found = left.cogroup(right).applyInArrow(score, f"doc_id {kind}, copies long, {SCHEMA}")
+    if (size["most"] or 0) > 1:
+        found = found.withColumn("copies", F.explode(F.array_repeat("copies", F.col("copies").cast("int"))))
+    return found.drop("copies")
 
 
 SCHEMA = "held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, n_bytes long"
-OUT = ["doc_id", *(c.split()[0] for c in SCHEMA.split(", "))]
+OUT = ["doc_id", "copies", *(c.split()[0] for c in SCHEMA.split(", "))]

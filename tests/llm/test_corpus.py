@@ -631,7 +631,7 @@ def test_op4_equals_brute_force(spark):
         full = rnd.random() < 0.3
         tag = f'"{rnd.randint(0, 2)}"'
         rows.append((i, f"http://h{rnd.choice('aaab')}.example/", rnd.randint(0, 200), "response" if full else "revisit", 200 if full else 304, {"etag": tag} if rnd.random() < 0.8 else {}, i if full else None))
-    got = {r.record_id: (r.resolution, r.target_id) for r in warc.resolve_revisits(spark.createDataFrame(rows, warc.RECORDS).repartition(5), bucket=10).collect()}
+    got = {r.record_id: (r.resolution, r.target_id) for r in warc.resolve_revisits(spark.createDataFrame(rows, warc.RECORDS).repartition(5), ranges=7).collect()}
     for i, url, ts, kind, _, headers, _ in rows:
         if kind != "revisit":
             continue
@@ -654,6 +654,79 @@ def test_op10_full_filter_gives_the_same_verdicts(spark, monkeypatch):
     assert out.where("(verdict = 'block') <> (page_id % 3 = 0)").count() == 0
 
 
+def test_op4_one_url_holds_all_records(spark):
+    """Records of one URL within one moment lie in many ranges, and the answer is that of a plain scan."""
+    rnd = random.Random(6)
+    rows = [(i, "http://x.org/a", 5 + i // 1000, "response" if rnd.random() < 0.05 else "revisit", 200, {"etag": f"e{rnd.randrange(3)}"}, i) for i in range(2000)]
+    rows += [(7, "http://x.org/a", 5, "response", 200, {"etag": "e1"}, 7)]
+    df = spark.createDataFrame(rows, warc.RECORDS).repartition(5)
+    got = {r.record_id: (r.resolution, r.target_id) for r in warc.resolve_revisits(df, ranges=16).collect()}
+    last, want = None, {}
+    for i, _, ts, kind, _, headers, _ in sorted(rows, key=lambda r: (r[2], r[0], r[3] == "response")):
+        if kind == "response":
+            last = (i, headers["etag"])
+        else:
+            want[i] = ("orphan", None) if last is None else ("resolved" if last[1] == headers["etag"] else "mismatch", last[0])
+    assert got == want
+    ordered = df.repartitionByRange(16, "url", "ts", "record_id").groupBy(F.spark_partition_id().alias("p")).count().agg(F.max("count")).first()[0]
+    assert ordered < 600
+
+
+def test_op6_refuses_other_tokenizers(spark, tmp_path):
+    import json
+
+    spec = json.loads(open(public.path("byte_bpe_50k.json")).read())
+    for change in ({"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": True}}, {"normalizer": {"type": "NFC"}}, {"pre_tokenizer": {"type": "Whitespace"}}, {"added_tokens": [spec["added_tokens"][0] | {"lstrip": True}]}, {"model": spec["model"] | {"ignore_merges": True}}):
+        path = tmp_path / "t.json"
+        path.write_text(json.dumps(spec | change))
+        with pytest.raises(ValueError, match="another kind"):
+            token_count.Transducer(str(path))
+
+
+def test_op8_one_row_repeated_past_a_block(spark):
+    """A row that repeats goes on as one with its number; scores are those of all rows."""
+    text = "the same words again and again " * 20
+    rows = [(1, text)] * 400 + [(2, "some other words"), (3, None), (10, text)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    got = ppm.score_documents(df, block_bytes=4000).collect()
+    assert len(got) == len(rows) and len({tuple(r) for r in got}) == 4
+    held = {i: zlib.crc32(str(i).encode()) % 10 == 0 for i in (1, 2, 3, 10)}
+    train = Counter(w for i, t in rows if not held[i] for w in [*WORD.findall((t or "").lower()), "<end>"])
+    n, v = sum(train.values()), len(train)
+    for r in got:
+        words = [*WORD.findall((dict(rows)[r.doc_id] or "").lower()), "<end>"]
+        want = sum(math.log10((train[w] + 0.1) / (n + 0.1 * (v + 1))) for w in words)
+        assert r.train_tokens == n and r.held_out == held[r.doc_id] and abs(r.base_score - want) < 1e-6 * max(1, abs(want))
+    few = {r.doc_id: r.score for r in ppm.score_documents(df, block_bytes=1 << 30).collect()}
+    assert all(abs(few[r.doc_id] - r.score) < 1e-6 * max(1, abs(r.score)) for r in got)
+
+
+def test_op2_one_id_on_many_rows(spark, tmp_path, monkeypatch):
+    """Rows of one id are one slot; their places come from many ranges."""
+    from actionwatch.operators import ranking
+
+    most, dealt = [], ranking._dealt
+
+    def counted(*a):
+        out = dealt(*a)
+        most.append(max((r["count"] for r in out.groupBy(a[3]).count().collect()), default=0))
+        return out
+
+    monkeypatch.setattr(ranking, "_dealt", counted)
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(3000).select(F.when(F.col("id") % 3 > 0, 5).otherwise(F.col("id")).cast("long").alias("doc_id"), F.lit("same text").alias("text"))
+        got = sharding.shard_documents(df, shards=4, slots=64, path=f"{tmp_path}/m").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    by = defaultdict(list)
+    for r in got:
+        by[r.shard].append(r.slot)
+    assert len(got) == 3000 and all(sorted(s) == list(range(len(s))) for s in by.values()) and most[0] < 800
+
+
 def test_op9_many_shards(spark, monkeypatch):
     monkeypatch.setattr(decontam, "SHARD_POSTINGS", 60)
     test_op9_finds_whole_items_only(spark, spark.createDataFrame([], "doc_id long, text string"))
