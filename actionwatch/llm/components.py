@@ -29,23 +29,20 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
 
 
-def connected_components(edges: DataFrame, *, max_rounds: int = 50) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of ``edges(u, v)``; the component is its least node.
 
     Each round is written to the shared folder, so lineage stays short and no executor's loss restarts the loop.
-    Self-links and repeated edges are harmless. Raises if ``max_rounds`` do not suffice (they grow with the
-    logarithm of the size).
+    Self-links and repeated edges are harmless. The number of rounds grows with the logarithm of the size.
     """
     edges = materialize(edges.select("u", "v").where("u <> v").distinct(), "edges")
     state = None
-    for _ in range(max_rounds):
+    while True:
         edges = materialize(_small_star(_large_star(edges)), "stars")
         now = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
         if now == state:
             break
         state = now
-    else:
-        raise RuntimeError(f"no fixed point after {max_rounds} rounds")
     # A node and its component, and the component's own node, from one scan and one exchange by node.
     both = F.array(F.struct(F.col("u").alias("node"), F.col("v").alias("component")), F.struct(F.col("v").alias("node"), F.col("v").alias("component")))
     return edges.select(F.explode(both).alias("member")).select("member.*").groupBy("node").agg(F.min("component").alias("component"))

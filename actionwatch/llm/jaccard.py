@@ -11,6 +11,12 @@ size. Comparing signatures gives only the classes of a bucket that still have a
 many partners it has. These alone get their shingle hashes and are dealt out anew, in blocks bounded by bytes; the same
 comparison then gives the pairs again, inside the task, which verifies them and returns each class's number of links
 and the least class it is connected with there. These few links give the classes' connected components.
+
+Numbers of links ask for all pairs of a family: compute grows with the square of its size, and so do the rows that
+blocks exchange, by a factor that is less by the size of a block. ``keep_one`` needs no numbers. There a large bucket is
+first cut into small ones by a hash, other ones in every band, which connects a family by rows in proportion to its
+size; of the buckets that then still hold several components, the classes outside the largest meet each other and
+those of the largest. The components are the same.
 """
 
 from __future__ import annotations
@@ -30,8 +36,11 @@ BANDS, ROWS = 40, 6
 HASHES = BANDS * ROWS
 #: Hashes compared before each look at the posterior, and the probability below which a pair is dropped.
 LOOKS, TOLERANCE = (32, 64, 128, HASHES), 1e-6
-#: Classes of a block, and bytes of shingle hashes of a block that is verified.
-BLOCK, BLOCK_BYTES = 256, 8 << 20
+#: Classes of a block, and bytes of shingle hashes of a block that is verified. A bucket of more than ``SPREAD`` blocks has
+#: larger ones, up to eight times, before it has more.
+BLOCK, BLOCK_BYTES, SPREAD = 256, 8 << 20, 16
+#: Buckets from here on are pieces of large ones, in which pairs are compared in whatever band they meet.
+PIECE = 1 << 62
 #: Rows of one text are dealt into so many parts where they meet their class.
 SALTS = 256
 _P = np.uint64(0x100000001B3)
@@ -167,7 +176,7 @@ def _candidates(bucket: np.ndarray, i: np.ndarray, j: np.ndarray, block: np.ndar
             continue
         # The first band in which a pair meets handles it.
         equal = (sig[a] == sig[b]).reshape(len(a), BANDS, ROWS).all(2)
-        mine = equal.argmax(1) == (bucket[a] >> 48)
+        mine = (equal.argmax(1) == (bucket[a] >> 48)) | (bucket[a] >= PIECE)
         if mine.any():
             yield a[mine], b[mine]
 
@@ -187,7 +196,7 @@ def _prune(tolerance: float, threshold: float):
             for a, b in _candidates(bucket, i, j, block, _signed(table, 5), need):
                 left[a] = left[b] = True
             if left.any():
-                yield from table.select([0, 4]).filter(pa.array(left)).to_batches()
+                yield from table.select([0, 4, 6]).filter(pa.array(left)).to_batches()
 
     return run
 
@@ -250,11 +259,15 @@ def _verify(tolerance: float, threshold: float):
 
 
 def _in_blocks(placed: DataFrame) -> DataFrame:
-    """Rows (bucket, blocks, key, ...) in a random block of their bucket, once for each pair of blocks that it is in."""
-    mine = F.pmod(F.xxhash64("key", "bucket"), F.col("blocks").cast("long")).cast("int")
-    rest = [c for c in placed.columns if c not in ("bucket", "blocks", "key")]
-    dealt = placed.select("bucket", "key", *rest, mine.alias("block"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("with"))
-    return dealt.select("bucket", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "key", *rest)
+    """Rows (bucket, i, j, block, key, fresh) in a random block of their bucket, once for each pair of blocks it is in.
+
+    Fresh classes are in the first ``blocks`` blocks, the others in ``others`` more. Two blocks meet where one is fresh.
+    """
+    deal = lambda n: F.pmod(F.xxhash64("key", "bucket"), F.greatest(n, F.lit(1)).cast("long")).cast("int")
+    mine = F.when(F.col("fresh"), deal(F.col("blocks"))).otherwise(F.col("blocks") + deal(F.col("others")))
+    met = F.sequence(F.lit(0), F.col("blocks") + F.when(F.col("fresh"), F.col("others")).otherwise(0) - 1)
+    dealt = placed.where("blocks > 0").select("bucket", "key", "fresh", mine.alias("block"), F.explode(met).alias("with"))
+    return dealt.select("bucket", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "key", "fresh")
 
 
 def _grouped(df: DataFrame) -> DataFrame:
@@ -273,18 +286,19 @@ def similar_documents(docs: DataFrame, *, threshold: float = THRESHOLD, toleranc
     return _classes(docs, threshold, tolerance, block, block_bytes).drop("component")
 
 
-def _classes(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE, block: int = BLOCK, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``similar_documents`` with the class's own key, ``component``."""
-    rows = docs.select("doc_id", F.unhex(F.md5(text_of())).alias("key"), text_of().alias("text"))
-    sketches = rows.select("key", "text").mapInArrow(_sketch, "key binary, sig binary")
-    sketches = materialize(sketches.groupBy("key").agg(F.first("sig").alias("sig")), "sketches")
+def _blocks(n: Column, block: int) -> Column:
+    """Blocks of a bucket of ``n`` classes."""
+    return F.greatest(F.ceil(n / (8 * block)), F.least(F.ceil(n / block), F.lit(SPREAD).cast("long"))).cast("int")
 
-    banded = sketches.mapInArrow(_bands, "bucket long, key binary")
-    sizes = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
+
+def _links(placed: DataFrame, sketches: DataFrame, rows: DataFrame, tolerance: float, threshold: float, block: int, block_bytes: int) -> DataFrame:
+    """(key, links, root) of the similar classes in the buckets of ``placed`` (bucket, key, fresh), where one is fresh."""
+    fresh, every = F.count_if("fresh"), F.count(F.lit(1))
+    sizes = placed.groupBy("bucket").agg(_blocks(fresh, block).alias("blocks"), _blocks(every - fresh, block).alias("others"), every.alias("n")).where("n > 1 and blocks > 0").drop("n")
     # Written apart: the join then has an exchange on both sides, and Spark can split a bucket of very many classes.
     sizes = materialize(sizes, "bucket-blocks")
-    met = _in_blocks(banded.join(sizes, "bucket")).join(sketches, "key").select("bucket", "i", "j", "block", "key", "sig")
-    left = _grouped(met).mapInArrow(_prune(tolerance, threshold), "bucket long, key binary").distinct()
+    met = _in_blocks(placed.join(sizes, "bucket")).join(sketches, "key").select("bucket", "i", "j", "block", "key", "sig", "fresh")
+    left = _grouped(met).mapInArrow(_prune(tolerance, threshold), "bucket long, key binary, fresh boolean").distinct()
     left = materialize(left, "candidates")
 
     # The keys grow with the input: never broadcast.
@@ -293,12 +307,47 @@ def _classes(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = T
     texts = rows.groupBy("key").agg(F.first("text").alias("text")).join(needed, "key", "left_semi")
     sets = materialize(texts.mapInArrow(_hashed, "key binary, hashes binary").join(sketches, "key"), "shingles")
     sized = left.join(sets.select("key", F.octet_length("hashes").cast("long").alias("bytes")), "key")
-    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / block), F.ceil(F.sum("bytes") / block_bytes)).cast("int")
-    placed = _in_blocks(left.join(materialize(sized.groupBy("bucket").agg(blocks.alias("blocks")), "verified-blocks"), "bucket"))
-    dealt = _grouped(placed.join(sets, "key").select("bucket", "i", "j", "block", "key", "sig", "hashes"))
-    links = materialize(dealt.mapInArrow(_verify(tolerance, threshold), "key binary, links long, root binary"), "links")
-
-    members = connected_components(links.select(F.col("key").alias("u"), F.col("root").alias("v")))
+    least = lambda n, size: F.greatest(_blocks(n, block), F.ceil(F.coalesce(F.sum(size), F.lit(0)) / block_bytes)).cast("int")
+    sized = sized.groupBy("bucket").agg(least(fresh, F.when(F.col("fresh"), F.col("bytes"))).alias("blocks"), least(every - fresh, F.when(~F.col("fresh"), F.col("bytes"))).alias("others"))
+    dealt = _in_blocks(left.join(materialize(sized, "verified-blocks"), "bucket"))
+    dealt = _grouped(dealt.join(sets, "key").select("bucket", "i", "j", "block", "key", "sig", "hashes"))
+    return materialize(dealt.mapInArrow(_verify(tolerance, threshold), "key binary, links long, root binary"), "links")
+
+
+def _connecting_links(banded: DataFrame, sketches: DataFrame, rows: DataFrame, tolerance: float, threshold: float, block: int, block_bytes: int) -> DataFrame:
+    """(u, v): links that connect what is similar, without counting all of them."""
+    edges = lambda links: links.select(F.col("key").alias("u"), F.col("root").alias("v"))
+    params = (sketches, rows, tolerance, threshold, block, block_bytes)
+    most = 4 * block
+    large = materialize(banded.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / most).cast("int").alias("pieces")).where("pieces > 1"), "large-buckets")
+    if large.isEmpty():
+        return edges(_links(banded.withColumn("fresh", F.lit(True)), *params))
+    both = banded.join(large, "bucket", "left")
+    cut = F.col("pieces").isNotNull()
+    piece = F.xxhash64("bucket", F.pmod(F.xxhash64("key", "bucket"), F.col("pieces").cast("long"))).bitwiseAND(F.lit(PIECE - 1)).bitwiseOR(F.lit(PIECE))
+    first = edges(_links(both.select(F.when(cut, piece).otherwise(F.col("bucket")).alias("bucket"), "key", F.lit(True).alias("fresh")), *params))
+    parts = connected_components(first).withColumnRenamed("node", "key")
+    rest = materialize(both.where(cut).select("bucket", "key").join(parts, "key", "left").select("bucket", "key", F.coalesce("component", "key").alias("part")), "parts")
+    counted = rest.groupBy("bucket", "part").agg(F.count(F.lit(1)).alias("n"))
+    largest = counted.groupBy("bucket").agg(F.max_by("part", "n").alias("largest"), F.count(F.lit(1)).alias("parts")).where("parts > 1").drop("parts")
+    rest = rest.join(materialize(largest, "largest-parts"), "bucket").select("bucket", "key", (F.col("part") != F.col("largest")).alias("fresh"))
+    return first.unionByName(edges(_links(rest, *params)))
+
+
+def _classes(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE, block: int = BLOCK, block_bytes: int = BLOCK_BYTES, counted: bool = True) -> DataFrame:
+    """``similar_documents`` with the class's own key, ``component``; numbers of links only where ``counted``."""
+    rows = docs.select("doc_id", F.unhex(F.md5(text_of())).alias("key"), text_of().alias("text"))
+    sketches = rows.select("key", "text").mapInArrow(_sketch, "key binary, sig binary")
+    sketches = materialize(sketches.groupBy("key").agg(F.first("sig").alias("sig")), "sketches")
+    banded = sketches.mapInArrow(_bands, "bucket long, key binary")
+    if counted:
+        links = _links(banded.withColumn("fresh", F.lit(True)), sketches, rows, tolerance, threshold, block, block_bytes)
+        edges = links.select(F.col("key").alias("u"), F.col("root").alias("v"))
+    else:
+        edges = _connecting_links(banded, sketches, rows, tolerance, threshold, block, block_bytes)
+        links = edges.select(F.explode(F.array("u", "v")).alias("key"), F.lit(None).cast("long").alias("links"))
+
+    members = connected_components(edges)
     counts = links.groupBy("key").agg(F.sum("links").alias("n_links"))
     linked = counts.join(members.withColumnRenamed("node", "key"), "key").select("key", "n_links", "component")
     # Rows of one text are dealt into parts, and its class has a row for each part that there is.
@@ -316,7 +365,7 @@ def keep_one(docs: DataFrame, **params) -> DataFrame:
 
     Of repeated rows with that id one stays. Documents with a null id are their class's choice only where no other is.
     """
-    found = _classes(docs, **params)
+    found = _classes(docs, **params, counted=False)
     # By the component: different classes may have the same least id.
     place = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("text_key"))
     chosen = found.groupBy("component").agg(F.min_by(F.struct("doc_id", "text_key"), place).alias("row")).select("row.*")

@@ -654,6 +654,43 @@ def test_op10_full_filter_gives_the_same_verdicts(spark, monkeypatch):
     assert out.where("(verdict = 'block') <> (page_id % 3 = 0)").count() == 0
 
 
+def near_copies(rnd, n, words=60, edits=2):
+    base = [f"w{rnd.randrange(10**6)}" for _ in range(words)]
+    out = []
+    for _ in range(n):
+        w = list(base)
+        for _ in range(rnd.randint(0, edits)):
+            w[rnd.choice([0, 1, words - 2, words - 1])] = f"x{rnd.randrange(10**6)}"
+        out.append(" ".join(w))
+    return out
+
+
+def test_op3_connecting_gives_the_components_of_counting(spark):
+    """Large buckets in pieces: the same classes as by all pairs, also where a bucket holds several families."""
+    rnd = random.Random(31)
+    texts = near_copies(rnd, 90) + near_copies(rnd, 50, edits=4) + [" ".join([f"p{i}" for i in range(40)] + [f"o{rnd.randrange(10**6)}" for _ in range(8 + 3 * k)]) for k in range(8) for _ in range(6)] + ["lonely words of no family at all"] * 3
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    classes = {r.doc_id: r.class_id for r in jaccard.similar_documents(df).collect()}
+    for block in (2, 5, 64):
+        found = jaccard._classes(df, block=block, counted=False).collect()
+        assert {r.doc_id: r.class_id for r in found} == classes
+    kept = {r.doc_id for r in jaccard.keep_one(df, block=4).collect()}
+    assert kept == set(classes.values()) and 3 < len(kept) < len(texts)
+
+
+def test_op3_rows_of_a_family_grow_with_its_size(spark, monkeypatch):
+    """What blocks exchange for ``keep_one`` is about four times as much for four times the near copies."""
+    rnd, dealt, seen = random.Random(32), jaccard._in_blocks, []
+    monkeypatch.setattr(jaccard, "_in_blocks", lambda placed: seen.append(dealt(placed).count()) or dealt(placed))
+    made = {}
+    for n in (256, 1024):
+        df = spark.createDataFrame(list(enumerate(near_copies(rnd, n, edits=3))), "doc_id long, text string")
+        seen.clear()
+        assert jaccard._classes(df, block=16, counted=False).select("class_id").distinct().count() == 1
+        made[n] = sum(seen)
+    assert made[1024] < 6 * made[256], made
+
+
 def test_op4_one_url_holds_all_records(spark):
     """Records of one URL within one moment lie in many ranges, and the answer is that of a plain scan."""
     rnd = random.Random(6)
