@@ -22,7 +22,8 @@ SHAPES = [
 def parse_date(text: Column) -> Column:
     """The first date of the first shape of ``SHAPES`` that gives a day of the calendar (FUN-06).
 
-    A month's name counts by its first three letters; a year of two digits is one of this century.
+    A month's name counts by its first three letters; a year of two digits is one of this century, and a year of four
+    digits is read as it stands, those before 2000 too. A shape that is no day of the calendar gives way to the next one.
     """
     text = F.coalesce(text, F.lit(""))
 

@@ -18,7 +18,7 @@ def date_gate(df: DataFrame, *, date: str, as_of: str, days: int, keep_undated:
 
 
 def dictionary_pattern(words: list[str], bounded: bool = True) -> str:
-    """One constant pattern for a dictionary; bounded by ASCII word characters or found anywhere."""
+    """One constant pattern for a dictionary; bounded by ASCII word characters or found anywhere. Terms are regular expressions."""
     any_ = "|".join(sorted(words))
     return rf"(^|[^a-z0-9])({any_})([^a-z0-9]|$)" if bounded else f"({any_})"
 

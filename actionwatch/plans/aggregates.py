@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators import aggregates as op
 from ..operators import joins
+from ..operators.shared import shared_folder
 from ..sources import fixtures as fx
+from ..sources import seen
 from ..sources.fixtures import COMPETENCIES, with_
 from .filters import GATE, HITS
 from .registry import query
@@ -161,6 +165,16 @@ def _(t):
     return joins.drop_seen(batch(t), stored(t)).select("row_id", "url")
 
 
+@query("JOI-01-index", STORED + "SELECT row_id, url FROM batch WHERE url NOT IN (SELECT url FROM stored)")
+def _(t):
+    """The same by a stored index: two earlier batches are added, the later rows ask it."""
+    index = f"{shared_folder(t('events').sparkSession)}/seen-{uuid.uuid4().hex}"
+    old = fx.raw(t).where("ingested_at < '2024-01-20'")
+    for part in ("ingested_at < '2024-01-10'", "ingested_at >= '2024-01-10'"):
+        seen.append(old.where(part), index, parts=16)
+    return seen.unseen(batch(t).select("row_id", "url"), index)
+
+
 @query("JOI-02", with_("items", "verdicts") + "SELECT item_id, pass, pass IS NULL AS error FROM items LEFT JOIN verdicts USING (item_id)")
 def _(t):
     return fx.items(t).join(fx.verdicts(t), "item_id", "left").select("item_id", "pass", F.col("pass").isNull().alias("error"))

@@ -187,6 +187,25 @@ def _(t):
     return joins.match_names(articles, roster, key="article", text="text", candidate="id", name="name")
 
 
+NAME = ["Maria", "de", "la", "Cruz", "y", "Lopez", "B."]
+
+
+@query("FUN-22-long", r"""WITH n AS (SELECT c_custkey AS id, list_concat((['Maria', 'de', 'la', 'Cruz', 'y', 'Lopez', 'B.'])[1 : c_custkey % 8], ['N' || c_custkey]) AS w FROM customer),
+k AS (SELECT id, w, list_filter(w, lambda x: NOT regexp_matches(x, '^[A-Za-z]\.?$')) AS s FROM n),
+f AS (SELECT id, unnest([array_to_string(w, ' '), array_to_string(s, ' '), CASE WHEN len(s) > 2 THEN s[1] || ' ' || s[-1] END]) AS form, w, s FROM k),
+a AS (SELECT o_orderkey AS article, o_custkey, 'Today: ' || CASE o_orderkey % 4 WHEN 0 THEN array_to_string(w, ' ') WHEN 1 THEN upper(array_to_string(s, ' ')) WHEN 2 THEN s[1] || ' ' || s[-1] ELSE array_to_string(list_reverse(w), ' ') END || ', in state.' AS t FROM orders JOIN k ON id = o_custkey)
+SELECT DISTINCT article, id FROM a JOIN f ON id = o_custkey WHERE form IS NOT NULL AND contains(' ' || trim(regexp_replace(lower(t), '[^a-z0-9]+', ' ', 'g')) || ' ', ' ' || trim(regexp_replace(lower(form), '[^a-z0-9]+', ' ', 'g')) || ' ')""")
+def _(t):
+    """Names of one to eight words, with single letters among them, in four forms."""
+    words = F.concat(F.slice(F.array(*map(F.lit, NAME)), F.lit(1), (F.col("c_custkey") % 8).cast("int")), F.array(F.concat(F.lit("N"), "c_custkey")))
+    roster = t("customer").select(F.col("c_custkey").alias("id"), words.alias("w")).withColumn("name", F.array_join("w", " "))
+    short = F.filter("w", lambda w: ~w.rlike(r"^[A-Za-z]\.?$"))
+    k = F.col("o_orderkey") % 4
+    said = F.when(k == 0, F.col("name")).when(k == 1, F.upper(F.array_join(short, " "))).when(k == 2, F.concat_ws(" ", F.element_at(short, 1), F.element_at(short, -1))).otherwise(F.array_join(F.reverse("w"), " "))
+    articles = t("orders").join(roster, F.col("o_custkey") == F.col("id")).select(F.col("o_orderkey").alias("article"), F.concat(F.lit("Today: "), said, F.lit(", in state.")).alias("text"))
+    return joins.match_names(articles, roster.select("id", "name"), key="article", text="text", candidate="id", name="name")
+
+
 @query("FUN-24", "SELECT event_id, TRUE AS pass, CAST(user_id AS INTEGER) AS score FROM events")
 def _(t):
     said = F.concat(F.lit('```json\n{"pass": true, "score": '), "user_id", F.lit('} {"pass": false}\n```'))

@@ -32,8 +32,12 @@ def landed(spark: SparkSession, path: str, schema: StructType, *, files_per_batc
 
 
 def first_seen(items: DataFrame, *, url: str = "url", time: str = "ingested_at", keep: str = "60 days") -> DataFrame:
-    """One row for each URL within the hot range; older URLs are checked against the table in the batch (STR-02, STR-03)."""
-    return items.withWatermark(time, keep).dropDuplicatesWithinWatermark([url])
+    """One row for each URL within the hot range; older URLs are checked against the index in the batch (STR-02, STR-03).
+
+    Rows with a blank URL all stay.
+    """
+    timed = items.withWatermark(time, keep)
+    return timed.where(~seen.blank(url)).dropDuplicatesWithinWatermark([url]).unionByName(timed.where(seen.blank(url)))
 
 
 def daily_funnel(items: DataFrame, *, source: str, time: str = "ingested_at", late: str = "8 days") -> DataFrame:

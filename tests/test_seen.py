@@ -52,6 +52,18 @@ def test_replay_adds_nothing_blank_urls_included(spark, tmp_path):
     assert read() == ["-"] * 4 + [f"https://x.example/{i}" for i in (1, 2, 3)]
 
 
+def test_a_stream_keeps_all_rows_with_a_blank_url(spark, tmp_path):
+    from pyspark.sql.types import StructType
+
+    schema = StructType.fromDDL("id long, url string, ingested_at timestamp")
+    rows = [(1, "u1"), (2, "u1"), (3, ""), (4, None), (5, ""), (6, "u2")]
+    spark.createDataFrame(rows, "id long, url string").withColumn("ingested_at", F.to_timestamp(F.lit("2024-01-01"))).write.parquet(f"{tmp_path}/in")
+    out = f"{tmp_path}/out"
+    stream.run(stream.first_seen(stream.landed(spark, f"{tmp_path}/in", schema)), f"{tmp_path}/progress", each=stream.append_unseen(out, parts=4))
+    got = [r.id for r in spark.read.parquet(out).collect()]
+    assert len(got) == 5 and {3, 4, 5, 6} < set(got)
+
+
 def test_crash_between_rows_and_index(spark, tmp_path, monkeypatch):
     path = f"{tmp_path}/t"
     write = stream.append_unseen(path, parts=4)
