@@ -101,6 +101,13 @@ def _(t):
     return op.page(fx.events(t).where("state = 'S7'"), order=[F.desc("date"), F.asc("event_id")], number=3).select("event_id", "page", "pages")
 
 
+@query("WIN-13-deep", with_("ev") + "SELECT event_id, CAST(least(75, ceil((SELECT count(*) FROM ev) / 10.0)) AS INTEGER) AS page, CAST(ceil((SELECT count(*) FROM ev) / 10.0) AS INTEGER) AS pages FROM ev ORDER BY date DESC, event_id LIMIT 10 OFFSET (SELECT least(74, CAST(ceil(count(*) / 10.0) AS INTEGER) - 1) * 10 FROM ev)")
+def _(t):
+    """A page far in the whole table, read from its own range."""
+    pages = op.Pages(fx.events(t).select("event_id", "date"), order=[F.desc("date"), F.asc("event_id")])
+    return pages.page(75).select("event_id", "page", "pages")
+
+
 @query("WIN-14", with_("ev") + "SELECT event_id, date FROM ev WHERE state = 'S11' ORDER BY date DESC, event_id LIMIT 5")
 def _(t):
     return fx.events(t).where("state = 'S11'").orderBy(F.desc("date"), "event_id").limit(5).select("event_id", "date")
