@@ -59,7 +59,7 @@ def _(t):
     out = _folder(spark, "unseen")
     fresh = stream.first_seen(stream.landed(spark, path, schema, files_per_batch=1)).select("url")
     known = r.where("k % 10 = 0").select("url").distinct()
-    stream.run(fresh, _folder(spark, "progress"), each=stream.append_unseen(out, known))
+    stream.run(fresh, _folder(spark, "progress"), each=stream.append_unseen(out, known, parts=16))
     return spark.read.parquet(out).select("url")
 
 
@@ -96,7 +96,7 @@ def _(t):
     spark = d.sparkSession
     landing, state = _folder(spark, "landing"), _folder(spark, "clusters")
     d.repartition(3, "doc_id").write.parquet(landing)
-    stream.run(stream.landed(spark, landing, d.schema, files_per_batch=1), _folder(spark, "progress"), each=clusters.grow(state, group="lang", row="doc_id", text="text"))
+    stream.run(stream.landed(spark, landing, d.schema, files_per_batch=1), _folder(spark, "progress"), each=clusters.grow(state, group="lang", row="doc_id", text="text", parts=8))
     return clusters.read_clusters(spark, state).select("lang", "doc_id", "cluster")
 
 
