@@ -61,3 +61,20 @@ def test_failures_stay_with_their_row(spark):
     got = {r.id: (r.passed, r.error) for r in udf.score_rows(df, scorer, key="id", result="passed boolean").collect()}
     assert got[1] == (True, None) and got[3] == (False, None)
     assert got[2][0] is None and got[2][1].startswith("ZeroDivisionError")
+
+
+def test_rate_limit_state_ends_with_the_window(spark, tmp_path):
+    """Times of a silent key leave the state once the watermark has passed their window."""
+    from pyspark.sql.types import StructType
+
+    schema = StructType.fromDDL(SCHEMA)
+    landing, out, progress = f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/progress"
+    held = []
+    for values in ([(k, f"key{k}", "2024-01-01 00:00:00") for k in range(20)], [(50, "late", "2024-01-01 05:00:00")], [(51, "late", "2024-01-01 05:00:01")]):
+        land(spark, landing, values)
+        rows = stream.rate_limits(stream.landed(spark, landing, schema), key="url", id_column="row_id", ts="ingested_at", seconds=60, most=2)
+        stream.run(rows, progress, path=out)
+        state = spark.read.format("statestore").option("stateVarName", "times").option("flattenCollectionTypes", "true").load(progress)
+        held.append({r.key.key for r in state.select("key").collect()})
+    assert len(held[0]) == 20 and held[-1] == {"late"}
+    assert spark.read.parquet(out).count() == 22
