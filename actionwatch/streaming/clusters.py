@@ -23,6 +23,7 @@ from ..functions.text import event_id
 from ..operators.clustering import Bands, components, plain_text, text_key
 from ..operators.shared import written
 from ..sources import versions
+from .stream import batch_name
 
 #: Parts of each table of the state.
 PARTS = 64
@@ -42,23 +43,27 @@ def _numbers(df: DataFrame) -> set[int]:
 def grow(path: str, *, group: str, row: str, text: str, url: str | None = None, how: Bands = Bands(), parts: int = PARTS) -> Callable[[DataFrame, int], None]:
     """A batch writer that adds rows to the clusters under ``path``.
 
-    Rows whose (group, row) is stored already change nothing, so a repeated batch adds nothing; of several rows of one
-    id in a batch all are kept. Rows without a group, an id or a word are clusters of their own and ask nothing. ``url``
-    names the column of which event ids are made, the row's id where there is none.
+    Rows whose (group, row) is stored already change nothing; of several rows of one id in a batch all are kept, and rows
+    without an id are always new. A repeated batch (of the same number and rows) adds nothing; the last thousand are
+    remembered. Rows without a group, an id or a word are clusters of their own and ask nothing. ``url`` names the column
+    of which event ids are made, the row's id where there is none.
     """
 
     def write(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
         after, m = versions.load(spark, path)
-        m = m or {"parts": parts, "members": {}, "sets": {}, "bands": {}, "labels": {}, "merges": {}, "events": {}, "epoch": 0}
+        m = m or {"parts": parts, "members": {}, "sets": {}, "bands": {}, "labels": {}, "merges": {}, "events": {}, "epoch": 0, "batches": []}
         n = m["parts"]
         named = batch.select(group, row, plain_text(F.col(text)).alias("words"), (F.col(url) if url else F.col(row).cast("string")).alias("url"))
         has_key = F.col(group).isNotNull() & F.col(row).isNotNull() & (F.col("words") != "")
         named = named.withColumn("key", F.when(has_key, text_key(F.col(group), F.col("words"))))
-        named = written(named.withColumn("part", F.coalesce(_part(F.col(row), n), F.lit(0))), "batch")
+        named = written(named.withColumn("part", _part(F.col(row), n)), "batch")
+        name, _ = batch_name(named, epoch)
+        if name in m["batches"]:
+            return
         kinds = StructType([named.schema[group], named.schema[row]])
         known = versions.get(spark, path, m["members"], kinds, _numbers(named)).distinct()
-        same = (F.col(f"n.{group}").eqNullSafe(F.col(f"k.{group}"))) & (F.col(f"n.{row}").eqNullSafe(F.col(f"k.{row}")))
+        same = (F.col(f"n.{group}").eqNullSafe(F.col(f"k.{group}"))) & (F.col(f"n.{row}") == F.col(f"k.{row}"))
         rows = written(named.alias("n").join(known.alias("k"), same, "left_anti"), "new-rows")
         if rows.isEmpty():
             return
@@ -106,7 +111,7 @@ def grow(path: str, *, group: str, row: str, text: str, url: str | None = None,
         events = versions.put(urls.withColumn("epoch", F.lit(m["epoch"]).cast("long")).withColumn("part", _part(F.col("component"), n)), path, "part")
         members = rows.select(group, row, "key", "part")
         m = m | {
-            "rows": json.loads(kinds.json()), "group": group, "row": row, "epoch": m["epoch"] + 1,
+            "rows": json.loads(kinds.json()), "group": group, "row": row, "epoch": m["epoch"] + 1, "batches": [*m["batches"], name][-1000:],
             "members": versions.joined(m["members"], versions.put(members, path, "part")),
             "sets": versions.joined(m["sets"], versions.put(sets, path, "part")), "bands": versions.joined(m["bands"], versions.put(banded, path, "part")),
             "labels": versions.joined(m["labels"], versions.put(given, path, "part")), "events": versions.joined(m["events"], events),

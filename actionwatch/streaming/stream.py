@@ -45,6 +45,13 @@ def daily_funnel(items: DataFrame, *, source: str, time: str = "ingested_at", la
     return items.withWatermark(time, late).groupBy(F.window(time, "1 day").alias("w"), source).agg(F.count(F.lit(1)).alias("n")).select(F.to_date("w.start").alias("day"), source, "n")
 
 
+def batch_name(batch: DataFrame, epoch: int) -> tuple[str, int]:
+    """A name by a batch's number and contents, which its replay shares, and its number of rows."""
+    # A sum of row hashes does not depend on the order of rows.
+    shape = batch.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(*batch.columns).cast("decimal(38,0)")).alias("h")).first()
+    return f"{epoch}-{shape.n}-{shape.h or 0}", shape.n
+
+
 def append_unseen(path: str, known: DataFrame | None = None, *, parts: int = seen.PARTS) -> Callable[[DataFrame, int], None]:
     """A batch writer that appends the rows whose URL the table does not hold; a repeated batch adds nothing.
 
@@ -60,10 +67,8 @@ def append_unseen(path: str, known: DataFrame | None = None, *, parts: int = see
         if known is not None and not versions.load(spark, index)[0]:
             seen.append(known, index, parts=parts, batch="known")
         batch = written(batch, "batch")
-        # A sum of row hashes does not depend on the order of rows.
-        shape = batch.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(*batch.columns).cast("decimal(38,0)")).alias("h")).first()
-        name = f"{epoch}-{shape.n}-{shape.h or 0}"
-        if not shape.n or seen.holds(spark, index, name):
+        name, n = batch_name(batch, epoch)
+        if not n or seen.holds(spark, index, name):
             return
         folder = f"{path}/batch={name}"
         if not exists(spark, f"{folder}/_SUCCESS"):

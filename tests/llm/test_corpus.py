@@ -665,6 +665,24 @@ def near_copies(rnd, n, words=60, edits=2):
     return out
 
 
+def test_op3_very_long_texts(spark):
+    """Texts of 60,000 words in blocks of few bytes: links by whole sets, copies and near copies among them."""
+    rnd = random.Random(33)
+    words = [f"w{rnd.randrange(10**7)}" for _ in range(60_000)]
+    close, far = list(words), list(words)
+    for k in rnd.sample(range(60_000), 1_000):
+        close[k] = "x"
+    for k in rnd.sample(range(60_000), 6_000):
+        far[k] = "y"
+    texts = [" ".join(words), " ".join(close), " ".join(far), " ".join(words), " ".join(words[:30_000]), "a b c d e"]
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in map(str.split, texts)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    linked = {i: sum(5 * len(sets[i] & s) >= 4 * len(sets[i] | s) for s in {texts[j]: sets[j] for j in range(6) if texts[j] != texts[i]}.values()) for i in range(6)}
+    for size in (1 << 10, 8 << 20):
+        got = {r.doc_id: (r.class_id, r.n_links, r.n_copies) for r in jaccard.similar_documents(df, block_bytes=size).collect()}
+        assert got == {0: (0, 1, 2), 1: (0, 1, 1), 2: (2, 0, 1), 3: (0, 1, 2), 4: (4, 0, 1), 5: (5, 0, 1)} and {i: g[1] for i, g in got.items()} == linked
+
+
 def test_op3_connecting_gives_the_components_of_counting(spark):
     """Large buckets in pieces: the same classes as by all pairs, also where a bucket holds several families."""
     rnd = random.Random(31)

@@ -90,19 +90,23 @@ def test_stream_gives_the_clusters_of_the_batch(spark, tmp_path):
     a, b = [f"a{i}" for i in range(40)], [f"b{i}" for i in range(40)]
     texts = family(rnd, 40, 14, a) + family(rnd, 40, 12, b) + family(rnd, 30, 9) + [" ".join(rnd.sample(a + b, 30)) for _ in range(12)] + [None, " ", "one", "one", "ONE  "]
     rows = [(rnd.choice(["g", "g", "h"]), i, t) for i, t in enumerate(texts)] + [(None, 900, texts[0]), ("g", 901, texts[0])]
+    nameless = ("g", None, texts[0])
     rnd.shuffle(rows)
     write = clusters.grow(path, group="grp", row="id", text="text", parts=8)
     ids = {}
     third = -(-len(rows) // 3)
     for k in range(3):
         part = rows[k * third : (k + 1) * third]
-        df = spark.createDataFrame([(*r, "extra") for r in part], "grp string, id long, text string, key string")
+        df = spark.createDataFrame([(*r, "extra") for r in [*part, nameless]], "grp string, id long, text string, key string")
         write(df, k)
         before = versions.load(spark, path)[0]
         write(df, k)  # a repeated batch writes no version
         assert versions.load(spark, path)[0] == before == k + 1
         sofar = rows[: (k + 1) * third]
         got = clusters.read_clusters(spark, path).collect()
+        # A row without an id is new in every batch, but not in a repeated one.
+        assert sum(r.id is None for r in got) == k + 1
+        got = [r for r in got if r.id is not None]
         assert len(got) == len(sofar) and {(r.grp, r.id): r.cluster for r in got} == by_all_pairs(sofar)
         now = {(r.grp, r.id): r.event_id for r in got if r.event_id}
         taken = {i for r in clusters.read_events(spark, path).collect() for i in r.superseded}
