@@ -11,6 +11,8 @@ A bucket of more texts than a block goes in two steps. First it is cut into smal
 ones in every band, which connects a family of similar texts by rows in proportion to its size. Then, of the buckets
 that still hold several components, the texts outside the largest one meet each other and those of the largest; pairs
 inside it need no link any more. The result is that of comparing all pairs.
+
+A group of few texts needs no bands: it is one bucket, and its texts go once for each of its blocks instead of once a band.
 """
 
 from __future__ import annotations
@@ -41,7 +43,8 @@ def text_key(group: Column, words: Column) -> Column:
 
 def keyed_texts(df: DataFrame, *, group: str, row: str, text: str) -> DataFrame:
     """(group, row, key, words): equal words of a group share the key. Rows without a group, an id or a word are left out."""
-    rows = df.where(F.col(group).isNotNull() & F.col(row).isNotNull()).select(group, row, plain_text(F.col(text)).alias("words")).where("words <> ''")
+    # Asked of the text as it is: asked of its words, Spark would make these twice.
+    rows = df.where(F.col(group).isNotNull() & F.col(row).isNotNull() & F.col(text).rlike(r"\S")).select(group, row, plain_text(F.col(text)).alias("words"))
     return rows.withColumn("key", text_key(F.col(group), F.col("words")))
 
 
@@ -280,6 +283,8 @@ class Bands:
     per_band: int = 4
     block: int = 1024
     block_bytes: int = 8 << 20
+    #: Groups of at most so many blocks are compared whole.
+    whole_blocks: int = 8
 
     def sketch(self, rows: DataFrame, group: str, row: str) -> DataFrame:
         """(group, row, key, sig) of ``keyed_texts``."""
@@ -318,16 +323,20 @@ class Bands:
         return written(dealt.mapInArrow(_verify(self.bands, self.per_band, self.threshold), "u binary, v binary"), "links")
 
     def all_links(self, sketches: DataFrame, sets_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
-        """Links that connect all similar texts."""
-        banded = self.banded(sketches)
+        """Links that connect all similar texts of (key, seed, sig); texts of one group have one seed."""
+        sized = written(sketches.groupBy("seed").agg((F.count(F.lit(1)) > self.block * self.whole_blocks).alias("banded")), "groups")
+        whole = sketches.join(sized.where("not banded"), "seed").select(F.col("seed").alias("bucket"), F.lit(-1).alias("band"), "key", F.lit(True).alias("fresh"))
+        if sized.where("banded").isEmpty():
+            return self.links(whole, sketches, sets_of)
+        banded = self.banded(sketches.join(sized.where("banded"), "seed"))
         large = written(banded.groupBy("bucket", "band").agg(F.ceil(F.count(F.lit(1)) / self.block).cast("int").alias("pieces")).where("pieces > 1"), "large-buckets")
         if large.isEmpty():
-            return self.links(banded.withColumn("fresh", F.lit(True)), sketches, sets_of)
+            return self.links(whole.unionByName(banded.withColumn("fresh", F.lit(True))), sketches, sets_of)
         both = banded.join(large, ["bucket", "band"], "left")
         cut = F.col("pieces").isNotNull()
         piece = F.xxhash64("bucket", F.pmod(F.xxhash64("key", "bucket"), F.col("pieces").cast("long")))
         small = both.select(F.when(cut, piece).otherwise(F.col("bucket")).alias("bucket"), F.when(cut, -1).otherwise(F.col("band")).alias("band"), "key", F.lit(True).alias("fresh"))
-        first = self.links(small, sketches, sets_of)
+        first = self.links(whole.unionByName(small), sketches, sets_of)
         parts = components(first).withColumnRenamed("node", "key")
         rest = written(both.where(cut).select("bucket", "band", "key").join(parts, "key", "left").select("bucket", "band", "key", F.coalesce("component", "key").alias("part")), "parts")
         counted = rest.groupBy("bucket", "band", "part").agg(F.count(F.lit(1)).alias("n"))
@@ -336,21 +345,27 @@ class Bands:
         return first.unionByName(self.links(rest, sketches, sets_of))
 
 
-def cluster(df: DataFrame, *, group: str, row: str, text: str, threshold: float = 0.7, words: int = 3, bands: int = 64, per_band: int = 4, block: int = 1024, block_bytes: int = 8 << 20) -> DataFrame:
+def cluster(df: DataFrame, *, group: str, row: str, text: str, threshold: float = 0.7, words: int = 3, bands: int = 64, per_band: int = 4, block: int = 1024, block_bytes: int = 8 << 20, whole_blocks: int = 8) -> DataFrame:
     """(group, row, cluster): the cluster is the least row connected with it by similarities of ``threshold`` or more.
 
-    A pair at 0.7 meets in none of 64 bands of 4 with a probability of 2e-8; what is linked is exact. Rows without a
-    word are clusters of their own.
+    Texts of a group of at most ``block * whole_blocks`` different ones all meet. In a larger group, a pair at 0.7 meets in
+    none of 64 bands of 4 with a probability of 2e-8. Comparing signatures loses a pair with 1e-9 a look; what is linked is
+    exact. Rows without a word are clusters of their own.
     """
-    how = Bands(threshold, words, bands, per_band, block, block_bytes)
+    how = Bands(threshold, words, bands, per_band, block, block_bytes, whole_blocks)
     rows = keyed_texts(df, group=group, row=row, text=text)
     members = written(how.sketch(rows, group, row), "members")
-    sketches = written(members.groupBy("key").agg(F.first("sig").alias("sig")), "sketches")
-    texts = rows.groupBy("key").agg(F.first(F.xxhash64(group)).alias("seed"), F.first("words").alias("words"))
-    links = how.all_links(sketches, lambda needed: how.sets(texts.join(needed, "key", "left_semi")))
+    # One row stands for each text; only the texts that still have a candidate are read again.
+    one = [F.first(F.xxhash64(group)).alias("seed"), F.first("sig").alias("sig"), F.first(group).alias("of_group"), F.min(row).alias("least")]
+    sketches = written(members.groupBy("key").agg(*one), "sketches")
+
+    def sets_of(needed: DataFrame) -> DataFrame:
+        wanted = sketches.join(needed, "key").select(F.col("of_group").alias(group), F.col("least").alias(row))
+        again = keyed_texts(df.select(group, row, text).join(wanted, [group, row], "left_semi"), group=group, row=row, text=text)
+        return how.sets(again.groupBy("key").agg(F.first(F.xxhash64(group)).alias("seed"), F.first("words").alias("words")))
 
-    parents = components(links)
-    least = members.groupBy("key").agg(F.min(row).alias("least")).join(parents.withColumnRenamed("node", "key"), "key", "left")
+    parents = components(how.all_links(sketches, sets_of))
+    least = sketches.select("key", "least").join(parents.withColumnRenamed("node", "key"), "key", "left")
     classes = written(least.withColumn("component", F.coalesce("component", "key")), "classes")
     named = classes.groupBy("component").agg(F.min("least").alias("cluster"))
     per_key = classes.join(named, "component").select("key", "cluster")

@@ -59,7 +59,7 @@ def shuffled(spark, n):
     texts = family(rnd, 50, n)
     df = spark.createDataFrame([("g", i, t) for i, t in enumerate(texts)], "grp string, id long, text string")
     seen = []
-    how = Bands(block=32)
+    how = Bands(block=32, whole_blocks=0)
 
     class Counted(Bands):
         def links(self, placed, sketches, sets_of):
@@ -72,9 +72,9 @@ def shuffled(spark, n):
     from actionwatch.operators import clustering
 
     rows = clustering.keyed_texts(df, group="grp", row="id", text="text")
-    sketches = how.sketch(rows, "grp", "id").groupBy("key").agg(F.first("sig").alias("sig"))
+    sketches = how.sketch(rows, "grp", "id").groupBy("key").agg(F.first(F.xxhash64("grp")).alias("seed"), F.first("sig").alias("sig"))
     texts = rows.select("key", F.xxhash64("grp").alias("seed"), "words")
-    links = Counted(block=32).all_links(sketches, lambda needed: how.sets(texts.join(needed, "key", "left_semi")))
+    links = Counted(block=32, whole_blocks=0).all_links(sketches, lambda needed: how.sets(texts.join(needed, "key", "left_semi")))
     assert clustering.components(links).select("component").distinct().count() == 1
     return sum(seen)
 
@@ -84,6 +84,18 @@ def test_rows_of_a_family_grow_with_its_size(spark):
     assert large < 6 * small, (small, large)
 
 
+def test_whole_groups_give_the_clusters_of_bands(spark):
+    """Groups of less than a block, of several blocks and of too many for a whole comparison, beside each other."""
+    rnd = random.Random(11)
+    sizes = {"one": 1, "few": 12, "blocks": 70, "many": 300}
+    rows = [(g, 1000 * k + i, t) for k, (g, n) in enumerate(sizes.items()) for i, t in enumerate((family(rnd, 40, n // 2) + family(rnd, 40, n - n // 2)))]
+    rows += [(g, 9000 + i, rows[0][2]) for i, g in enumerate(sizes)] + [("few", 9100, None)]
+    df = spark.createDataFrame(rows, "grp string, id long, text string").repartition(5)
+    found = [{r.id: r.cluster for r in cluster(df, group="grp", row="id", text="text", block=32, whole_blocks=w).collect()} for w in (0, 4, 100)]
+    assert found[0] == found[1] == found[2] and len(found[0]) == len(rows)
+    assert len({c for i, c in found[0].items() if 3000 <= i < 4000}) == 2 and found[0][9100] == 9100
+
+
 def test_stream_gives_the_clusters_of_the_batch(spark, tmp_path):
     rnd = random.Random(9)
     path = f"{tmp_path}/state"
