@@ -61,11 +61,15 @@ def _(t):
     return p.select("page_id", F.size(text.links(F.col("html"))).cast("long").alias("links"), text.looks_like_listing(F.col("html"), 5).alias("listing"), F.array_join(text.advertised_feeds(F.col("html"), F.col("url")), "|").alias("feeds"))
 
 
-@query("FUN-06", """WITH o AS (SELECT o_orderkey AS id, o_orderkey % 6 AS kind, CAST(o_orderdate AS DATE) AS d FROM orders) SELECT id, CASE WHEN kind < 4 THEN d END AS date FROM o""")
-def _(t):
-    d = F.to_date("o_orderdate")
-    kind = F.col("o_orderkey") % 6
-    spelled = F.when(kind == 0, F.concat(F.lit("on "), d.cast("string"))).when(kind == 1, F.date_format(d, "'Posted' MMMM d, yyyy")).when(kind == 2, F.date_format(d, "MM.dd.yyyy")).when(kind == 3, F.date_format(d, "M/d/yyyy")).when(kind == 4, "2024-13-01").otherwise("")
+@query("FUN-06", """WITH o AS (SELECT o_orderkey AS id, CAST(CAST(o_orderdate AS DATE) + INTERVAL 10 YEAR AS DATE) AS d FROM orders) SELECT id, CASE WHEN id % 6 <> 4 THEN d END AS date FROM o""")
+def _(t):
+    d = F.add_months(F.to_date("o_orderdate"), 120)
+    kind, numbers = F.col("o_orderkey") % 6, F.date_format(d, "M/d/yyyy")
+    # A shape that is no day of the calendar decides all the same; a named month of another century is no date.
+    spelled = (
+        F.when(kind == 0, F.concat(F.lit("on "), d.cast("string"))).when(kind == 1, F.date_format(d, "'Posted' MMMM d, yyyy")).when(kind == 2, F.date_format(d, "MM.dd.yyyy")).when(kind == 3, numbers)
+        .when(kind == 4, F.concat(F.lit("2024-13-01 "), numbers)).otherwise(F.concat(F.date_format(F.add_months(d, -240), "MMMM d, yyyy "), numbers))
+    )
     return t("orders").select(F.col("o_orderkey").alias("id"), dates.parse_date(spelled).alias("date"))
 
 
