@@ -19,8 +19,8 @@ from .common import byte_texts, coded_words, pieces, ranges, segment_sums, start
 #: Fixed values of the base rules.
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS, MAX_REPEAT = 50, 50
-#: A training sample has at most so many labelled documents, and so many lines of each.
-SAMPLE_DOCS, SAMPLE_LINES = 2000, 100
+#: A training sample has at most so many labelled documents, and so many lines of each, in so many stretches over the text.
+SAMPLE_DOCS, SAMPLE_LINES, STRETCHES = 2000, 100, 4
 #: Rounds in which the lines of rejected documents are labelled anew.
 LABEL_ROUNDS = 5
 #: Content must make up this share of the characters.
@@ -205,40 +205,50 @@ def line_labels(features: np.ndarray, hashes: np.ndarray, doc: np.ndarray, quali
     return labels
 
 
+def stretches(n: int, most: int = SAMPLE_LINES, parts: int = STRETCHES) -> list[tuple[int, int]]:
+    """Stretches (from, to) of ``n`` lines: all of them, or ``parts`` equal ones spread from the first line to the last."""
+    if n <= most:
+        return [(0, n)] if n else []
+    size = most // parts
+    return [(k * (n - size) // (parts - 1), k * (n - size) // (parts - 1) + size) for k in range(parts)]
+
+
 def _sample_rows(batches):
     for batch in pieces(batches, "text"):
         lines, counts = lines_of(byte_texts(batch, "text"))
         features, _ = line_features(lines, counts)
-        at = starts_of(counts)
-        cut = [slice(a, min(b, a + SAMPLE_LINES)) for a, b in zip(at[:-1], at[1:], strict=True)]
-        hashes = [[xxhash.xxh3_64_intdigest(x) >> 1 for x in lines[c]] for c in cut]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([features[c].ravel().tolist() for c in cut], pa.list_(pa.float64())), pa.array(hashes, pa.list_(pa.int64()))], ["doc_id", "quality", "features", "hashes"])
+        cut = [[(a + i, a + j) for i, j in stretches(n)] for a, n in zip(starts_of(counts)[:-1].tolist(), counts.tolist(), strict=True)]
+        sizes = [[j - i for i, j in c] for c in cut]
+        hashes = [[xxhash.xxh3_64_intdigest(x) >> 1 for i, j in c for x in lines[i:j]] for c in cut]
+        rows = [np.concatenate([np.zeros(0), *(features[i:j].ravel() for i, j in c)]).tolist() for c in cut]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(rows, pa.list_(pa.float64())), pa.array(hashes, pa.list_(pa.int64())), pa.array(sizes, pa.list_(pa.int64()))], ["doc_id", "quality", "features", "hashes", "sizes"])
 
 
 def labelled_lines(docs: DataFrame, labels: DataFrame, *, sample_docs: int = SAMPLE_DOCS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Features, lines of each document and line labels of the training sample (see ``train_field``)."""
+    """Features, lines of each stretch and line labels of the training sample (see ``train_field``)."""
     chosen = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.max("quality").cast("int").alias("quality"))
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs)
     rows = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(chosen), "doc_id")
     rows = rows.groupBy("doc_id").agg(F.first("quality").alias("quality"), F.min("text").alias("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    found = rows.mapInArrow(_sample_rows, f"doc_id {kind}, quality int, features array<double>, hashes array<long>").collect()
+    found = rows.mapInArrow(_sample_rows, f"doc_id {kind}, quality int, features array<double>, hashes array<long>, sizes array<long>").collect()
     # At most ``sample_docs`` rows, in an order that no partitioning changes.
     found = sorted((r for r in found if r.hashes), key=lambda r: r.doc_id)
-    counts = np.array([len(r.hashes) for r in found], np.int64)
+    counts = np.array([n for r in found for n in r.sizes], np.int64)
     features = np.concatenate([np.zeros(0), *(np.asarray(r.features, float) for r in found)]).reshape(-1, len(FEATURES))
     hashes = np.array([h for r in found for h in r.hashes], np.int64)
     quality = np.array([r.quality != 0 for r in found], np.int64)
     if not len(found):
         return features, counts, hashes
-    return features, counts, line_labels(features, hashes, np.repeat(np.arange(len(found)), counts), quality)
+    return features, counts, line_labels(features, hashes, np.repeat(np.arange(len(found)), [len(r.hashes) for r in found]), quality)
 
 
 def train_field(docs: DataFrame, labels: DataFrame, *, sample_docs: int = SAMPLE_DOCS) -> LineField:
     """Fit the field on at most ``sample_docs`` labelled documents (the smallest id hashes).
 
     Documents without a label, with a null label or a null text are not used; of labels of one id the best counts, of
-    documents of one id the least text. Only feature rows of the sample reach the driver. The field is the same on any
+    documents of one id the least text. A text of more than ``SAMPLE_LINES`` lines gives stretches spread over the whole of
+    it, each a sequence of its own. Only feature rows of the sample reach the driver. The field is the same on any
     partitioning of the tables.
     """
     return LineField.train(*labelled_lines(docs, labels, sample_docs=sample_docs))

@@ -339,6 +339,22 @@ def test_op5_finds_segments_of_mixed_documents(spark):
     assert (again.emit == field.emit).all() and (again.move == field.move).all()
 
 
+def test_op5_lines_are_sampled_over_the_whole_text(spark):
+    assert quality.stretches(0) == [] and quality.stretches(100) == [(0, 100)]
+    for n in (101, 150, 1000):
+        found = quality.stretches(n)
+        assert found[0][0] == 0 and found[-1][1] == n and sum(b - a for a, b in found) == quality.SAMPLE_LINES
+        assert all(a[1] <= b[0] for a, b in zip(found, found[1:], strict=False))
+    # Junk that stands only at the end of long texts is learned.
+    body = "\n".join(f"And line {i} of plain words, as ever." for i in range(300))
+    foot = "\n".join(f"HOME | ABOUT | LOGIN!! | *** $$$ {i}" for i in range(30))
+    train = spark.createDataFrame([(i, body + f"\nEnd {i}." if i % 2 else body + "\n" + foot) for i in range(20)], "doc_id long, text string")
+    field = quality.train_field(train, spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, quality int"))
+    lines, counts = quality.lines_of([(body + "\n" + foot).encode()])
+    got = field.viterbi(quality.line_features(lines, counts)[0], counts)
+    assert (got[:300] == quality.CONTENT).mean() > 0.95 and (got[300:] == quality.BOILERPLATE).mean() > 0.9
+
+
 def test_op5_null_and_repeated_ids(spark):
     text = "Some plain line of words here, all of them different from one another.\n" * 2
     df = spark.createDataFrame([(None, text), (3, text), (3, text), (3, None)], "doc_id long, text string")
