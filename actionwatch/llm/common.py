@@ -77,7 +77,11 @@ def text_of(column: str = "text") -> Column:
 
 
 def pieces(batches: Iterable[pa.RecordBatch], column: str, most: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut record batches so that the texts of a piece hold about ``most`` bytes at the most."""
+    """Cut record batches so that the texts of a piece hold about ``most`` bytes at the most.
+
+    Arrow's pool keeps what a piece has freed, tens of MB a worker; it is given back after each piece.
+    """
+    pool = pa.default_memory_pool()
     for batch in batches:
         n = batch.num_rows
         if not n:
@@ -90,6 +94,7 @@ def pieces(batches: Iterable[pa.RecordBatch], column: str, most: int = PIECE_BYT
             base = ends[at - 1] if at else 0
             to = max(at + 1, int(np.searchsorted(ends, base + most, side="right")))
             yield batch.slice(at, to - at)
+            pool.release_unused()
             at = to
 
 

@@ -39,6 +39,8 @@ LOOKS, TOLERANCE = (32, 64, 128, HASHES), 1e-6
 #: Classes of a block, and bytes of shingle hashes of a block that is verified. A bucket of more than ``SPREAD`` blocks has
 #: larger ones, up to eight times, before it has more.
 BLOCK, BLOCK_BYTES, SPREAD = 256, 8 << 20, 16
+#: Pairs compared at once in a task: two signatures each, and a mark for each of their bytes.
+PAIRS = 40_000
 #: Buckets from here on are pieces of large ones, in which pairs are compared in whatever band they meet.
 PIECE = 1 << 62
 #: Rows of one text are dealt into so many parts where they meet their class.
@@ -162,7 +164,7 @@ def _candidates(bucket: np.ndarray, i: np.ndarray, j: np.ndarray, block: np.ndar
     upto = np.cumsum(count)
     at = 0
     while at < n:
-        to = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + 200_000, side="right")))
+        to = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + PAIRS, side="right")))
         rows = np.arange(at, to)
         a, b = np.repeat(rows, count[rows]), ranges(begin[rows], count[rows])
         at = to
@@ -197,6 +199,8 @@ def _prune(tolerance: float, threshold: float):
                 left[a] = left[b] = True
             if left.any():
                 yield from table.select([0, 4, 6]).filter(pa.array(left)).to_batches()
+            del table
+            pa.default_memory_pool().release_unused()
 
     return run
 
@@ -223,7 +227,10 @@ def _verify(tolerance: float, threshold: float):
                 keys, sets = table.column(4).slice(s, e - s).to_pylist(), table.column(6).slice(s, e - s).to_pylist()
                 size = np.fromiter(map(len, sets), np.int64, len(sets)) // 8
                 at = starts_of(size)
-                _, codes = np.unique(np.frombuffer(b"".join(sets), np.uint64), return_inverse=True)
+                whole = np.frombuffer(b"".join(sets), np.uint64)
+                del sets
+                codes = np.unique(whole, return_inverse=True)[1]
+                del whole
                 mark = np.zeros(int(codes.max(initial=-1)) + 1, bool)
                 links, root = np.zeros(e - s, np.int64), list(range(e - s))
 
@@ -254,6 +261,8 @@ def _verify(tolerance: float, threshold: float):
                     out[2].append(keys[find(x)])
             if out[0]:
                 yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.binary()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.binary())], ["key", "links", "root"])
+            del table
+            pa.default_memory_pool().release_unused()
 
     return run
 

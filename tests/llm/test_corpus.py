@@ -874,3 +874,23 @@ def test_pipeline_stages_on_odd_tables(spark, tmp_path):
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{empty}/benchmark.parquet")
     assert corpus_pipeline.STAGES[2][1](spark, docs, str(empty)).count() == len(rows)
     assert corpus_pipeline.STAGES[0][1](spark, docs, str(empty)).count() == 9
+
+
+def test_a_large_group_of_near_copies_is_compared_in_bounded_memory():
+    """All pairs of a block stay candidates up to the last look; before, 200,000 of them took over 100 MB at once."""
+    import tracemalloc
+
+    import numpy as np
+
+    from actionwatch.llm import jaccard
+
+    n = 700
+    sig = np.tile(np.arange(jaccard.HASHES, dtype=np.uint8), (n, 1))
+    zero = np.zeros(n, np.int64)
+    bucket = np.full(n, jaccard.PIECE, np.int64)
+    need = jaccard.fewest_matches()
+    tracemalloc.start()
+    pairs = sum(len(a) for a, _ in jaccard._candidates(bucket, zero, zero, zero, sig, need))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert pairs == n * (n - 1) // 2 and peak < 64 << 20, peak
