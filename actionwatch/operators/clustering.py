@@ -2,8 +2,9 @@
 
 Texts become sets of word runs; equal texts of a group go on as one. MinHash bands give buckets, and all pairs of a
 bucket are compared: buckets are split into blocks, and blocks meet in pairs, so no task holds more than two blocks.
-Comparing signatures gives only the texts of a bucket that have a candidate there, a row each. These get their sets and
-are dealt out anew, in blocks bounded by bytes; the same comparison gives the pairs again inside the task, which
+A row of a bucket carries one bit of each hash; comparing these leaves few rows but those of similar texts, which then get
+their signatures. Comparing these gives only the texts of a bucket that have a candidate there, a row each. They get their
+sets and are dealt out anew, in blocks bounded by bytes; the same comparison gives the pairs again inside the task, which
 verifies them exactly and gives for each text the least one it is connected with there. Components of these few links
 are joined by label rounds written to the shared folder.
 
@@ -150,6 +151,36 @@ def _sets(words: int):
     return run
 
 
+def _sketched_sets(words: int, hashes: int):
+    """(key, signature, distinct hashes of the text's runs)."""
+
+    def run(batches):
+        for batch in _pieces(batches, 2):
+            values, sizes = run_hashes(batch.column(2), batch.column(1).to_numpy(), words)
+            found = signatures(values, sizes, hashes)
+            each = [np.unique(x) for x in np.split(values, np.cumsum(sizes)[:-1])]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([x.tobytes() for x in y], pa.binary()) for y in (found, each))], ["key", "sig", "set"])
+
+    return run
+
+
+def packed(sig: np.ndarray) -> np.ndarray:
+    """The lowest bit of each byte of the signatures, as rows of whole 64-bit words."""
+    bits = np.packbits(sig & np.uint8(1), axis=1)
+    return np.pad(bits, ((0, 0), (0, -bits.shape[1] % 8)))
+
+
+def _bits(hashes: int):
+    """The bits of signatures in the last column, in their place."""
+
+    def run(batches):
+        for batch in batches:
+            bits = packed(np.frombuffer(b"".join(batch.column(batch.num_columns - 1).to_pylist()), np.uint8).reshape(-1, hashes))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array([x.tobytes() for x in bits], pa.binary())], [*batch.schema.names[:-1], "bits"])
+
+    return run
+
+
 def _bands(bands: int, per_band: int):
     """A bucket number for each band: a hash of the band and its bytes."""
 
@@ -160,7 +191,8 @@ def _bands(bands: int, per_band: int):
             bucket = np.broadcast_to(np.arange(1, bands + 1, dtype=np.uint64), (n, bands))
             for k in range(per_band):
                 bucket = _mix(bucket * np.uint64(0x100000001B3) + sig[:, :, k])
-            yield pa.RecordBatch.from_arrays([pa.array(bucket.ravel().view(np.int64)), pa.array(np.tile(np.arange(bands, dtype=np.int32), n)), batch.column(0).take(pa.array(np.repeat(np.arange(n), bands)))], ["bucket", "band", "key"])
+            bits, each = pa.array([x.tobytes() for x in packed(sig.reshape(n, -1))], pa.binary()), pa.array(np.repeat(np.arange(n), bands))
+            yield pa.RecordBatch.from_arrays([pa.array(bucket.ravel().view(np.int64)), pa.array(np.tile(np.arange(bands, dtype=np.int32), n)), batch.column(0).take(each), bits.take(each)], ["bucket", "band", "key", "bits"])
 
     return run
 
@@ -203,6 +235,65 @@ def _pairs(table: pa.Table, bands: int, per_band: int, looks: list[int], need: l
             yield x, b
 
 
+def _whole_groups(batches):
+    """Record batches of whole (bucket, i, j) groups from rows sorted by these first columns."""
+    held = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        same = np.ones(batch.num_rows, bool)
+        for c in range(3):
+            values = batch.column(c).to_numpy()
+            same &= values == values[-1]
+        last = batch.num_rows - (batch.num_rows if same.all() else int(same[::-1].argmin()))
+        if last:
+            yield pa.Table.from_batches([*held, batch.slice(0, last)]).combine_chunks()
+            held = []
+        held.append(batch.slice(last))
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+#: Pairs of bits compared at once in a task.
+PAIRS = 1 << 17
+
+
+def _near(hashes: int, threshold: float):
+    """The rows of each group that agree with another in often enough a bit, one of the two fresh.
+
+    Rows are sorted by block: of a pair of two blocks, the second's rows end the group.
+    """
+
+    def run(batches):
+        # Bits of different runs agree by chance in one half.
+        most = hashes - fewest_matches(hashes, (1 + threshold) / 2)
+        for table in _whole_groups(batches):
+            bucket, i, j, block = (table.column(c).to_numpy() for c in (0, 1, 2, 4))
+            fresh, n = table.column(6).to_numpy(), table.num_rows
+            bits = np.frombuffer(b"".join(table.column(7).to_pylist()), np.uint64).reshape(n, -1)
+            if n < 2:
+                continue
+            new = (np.diff(bucket) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0)
+            edge, run_edge = np.append(np.flatnonzero(new) + 1, n), np.append(np.flatnonzero(new | (np.diff(block) != 0)) + 1, n)
+            ends, run_ends = np.repeat(edge, np.diff(edge, prepend=0)), np.repeat(run_edge, np.diff(run_edge, prepend=0))
+            begin = np.where(i == j, np.arange(n) + 1, np.where(block == i, run_ends, ends))
+            count = ends - begin
+            upto, left, at = np.cumsum(count), np.zeros(n, bool), 0
+            while at < n:
+                to = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + PAIRS, side="right")))
+                a, b = np.repeat(np.arange(at, to), count[at:to]), _ranges(begin[at:to], count[at:to])
+                at = to
+                differ = np.zeros(len(a), np.int64)
+                for k in range(bits.shape[1]):
+                    differ += np.bitwise_count(bits[a, k] ^ bits[b, k])
+                good = (differ <= most) & (fresh[a] | fresh[b])
+                left[a[good]] = left[b[good]] = True
+            if left.any():
+                yield from table.select([0, 3, 5, 6]).filter(pa.array(left)).to_batches()
+
+    return run
+
+
 def _looks(hashes: int, threshold: float) -> tuple[list[int], list[int]]:
     looks = [n for n in (32, 64, 128) if n < hashes] + [hashes]
     return looks, [fewest_matches(n, threshold) for n in looks]
@@ -261,16 +352,16 @@ def _verify(bands: int, per_band: int, threshold: float):
     return run
 
 
-def _in_blocks(placed: DataFrame) -> DataFrame:
-    """Rows (bucket, i, j, band, block, key, fresh), once for each pair of blocks of the bucket that a row is in.
+def _in_blocks(placed: DataFrame, *more: str) -> DataFrame:
+    """Rows (bucket, i, j, band, block, key, fresh, more), once for each pair of blocks of the bucket that a row is in.
 
     Fresh texts are in the first ``blocks`` blocks, the others in ``others`` more. Two blocks meet where one is fresh.
     """
     deal = lambda n: F.pmod(F.xxhash64("key", "bucket"), F.greatest(n, F.lit(1)).cast("long")).cast("int")
     mine = F.when(F.col("fresh"), deal(F.col("blocks"))).otherwise(F.col("blocks") + deal(F.col("others")))
     met = F.sequence(F.lit(0), F.col("blocks") + F.when(F.col("fresh"), F.col("others")).otherwise(0) - 1)
-    dealt = placed.where("blocks > 0").select("bucket", "band", "key", "fresh", mine.alias("block"), F.explode(met).alias("with"))
-    return dealt.select("bucket", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "band", "block", "key", "fresh")
+    dealt = placed.where("blocks > 0").select("bucket", "band", "key", "fresh", *more, mine.alias("block"), F.explode(met).alias("with"))
+    return dealt.select("bucket", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "band", "block", "key", "fresh", *more)
 
 
 @dataclass(frozen=True)
@@ -292,23 +383,40 @@ class Bands:
         return rows.select(group, row, "key", F.xxhash64(group).alias("seed"), "words").mapInArrow(_sketch(self.words, self.bands * self.per_band), signed)
 
     def banded(self, sketches: DataFrame) -> DataFrame:
-        """(bucket, band, key): a row for each band."""
-        return sketches.select("key", "sig").mapInArrow(_bands(self.bands, self.per_band), "bucket long, band int, key binary")
+        """(bucket, band, key, bits): a row for each band."""
+        return sketches.select("key", "sig").mapInArrow(_bands(self.bands, self.per_band), "bucket long, band int, key binary, bits binary")
+
+    def bits(self, sketches: DataFrame) -> DataFrame:
+        """``sig``, the last column, becomes ``bits``: one bit of each hash."""
+        out = T.StructType([*sketches.schema.fields[:-1], T.StructField("bits", T.BinaryType())])
+        return sketches.mapInArrow(_bits(self.bands * self.per_band), out)
 
     def sets(self, texts: DataFrame) -> DataFrame:
         """(key, set) of (key, seed, words)."""
         return texts.select("key", "seed", "words").mapInArrow(_sets(self.words), "key binary, set binary")
 
+    def sketched_sets(self, texts: DataFrame) -> DataFrame:
+        """(key, sig, set) of (key, seed, words)."""
+        return texts.select("key", "seed", "words").mapInArrow(_sketched_sets(self.words, self.bands * self.per_band), "key binary, sig binary, set binary")
+
     def links(self, placed: DataFrame, sketches: DataFrame, sets_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
-        """Verified links (u, v) that connect what is similar in the buckets of ``placed`` (bucket, band, key, fresh).
+        """Verified links (u, v) that connect what is similar in the buckets of ``placed`` (bucket, band, key, bits, fresh).
 
         Pairs without a fresh text are not looked at. ``sets_of`` gives (key, set) of the keys it is asked for.
         """
         need = lambda c: F.ceil(c / self.block).cast("int")
         fresh = F.when(F.col("fresh"), 1)
-        sizes = placed.groupBy("bucket", "band").agg(need(F.count(fresh)).alias("blocks"), need(F.count(F.lit(1)) - F.count(fresh)).alias("others"), F.count(F.lit(1)).alias("n")).where("n > 1 and blocks > 0").drop("n")
+        blocks = [need(F.count(fresh)).alias("blocks"), need(F.count(F.lit(1)) - F.count(fresh)).alias("others"), F.count(F.lit(1)).alias("n")]
+        # Only large buckets are cut; one of a block's size is one group, whether its texts are fresh or not.
+        large = written(placed.groupBy("bucket", "band").agg(*blocks).where(f"n > {self.block} and blocks > 0").drop("n"), "large")
+        sized = placed.join(large, ["bucket", "band"], "left")
+        alone = sized.where("blocks is null").select("bucket", F.lit(0).alias("i"), F.lit(0).alias("j"), "band", F.lit(0).alias("block"), "key", "fresh", "bits")
+        cut = alone if large.isEmpty() else alone.unionByName(_in_blocks(sized.where("blocks is not null"), "bits"))
+        met = cut.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "block")
+        near = written(met.mapInArrow(_near(self.bands * self.per_band, self.threshold), "bucket long, band int, key binary, fresh boolean").distinct(), "near")
         # Written apart: the join then has an exchange on both sides, and Spark can split a bucket of very many texts.
-        met = _in_blocks(placed.join(written(sizes, "blocks"), ["bucket", "band"])).join(sketches.select("key", "sig"), "key")
+        sizes = written(near.groupBy("bucket", "band").agg(*blocks).where("n > 1 and blocks > 0").drop("n"), "blocks")
+        met = _in_blocks(near.join(sizes, ["bucket", "band"])).join(sketches.select("key", "sig"), "key")
         met = met.select("bucket", "i", "j", "band", "block", "key", "sig", "fresh").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
         left = written(met.mapInArrow(_prune(self.bands, self.per_band, self.threshold), "bucket long, band int, key binary, fresh boolean").distinct(), "candidates")
         # The keys grow with the input: never broadcast.
@@ -325,7 +433,8 @@ class Bands:
     def all_links(self, sketches: DataFrame, sets_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
         """Links that connect all similar texts of (key, seed, sig); texts of one group have one seed."""
         sized = written(sketches.groupBy("seed").agg((F.count(F.lit(1)) > self.block * self.whole_blocks).alias("banded")), "groups")
-        whole = sketches.join(sized.where("not banded"), "seed").select(F.col("seed").alias("bucket"), F.lit(-1).alias("band"), "key", F.lit(True).alias("fresh"))
+        whole = sketches.join(sized.where("not banded"), "seed").select(F.col("seed").alias("bucket"), F.lit(-1).alias("band"), "key", "sig")
+        whole = self.bits(whole).withColumn("fresh", F.lit(True))
         if sized.where("banded").isEmpty():
             return self.links(whole, sketches, sets_of)
         banded = self.banded(sketches.join(sized.where("banded"), "seed"))
@@ -335,13 +444,13 @@ class Bands:
         both = banded.join(large, ["bucket", "band"], "left")
         cut = F.col("pieces").isNotNull()
         piece = F.xxhash64("bucket", F.pmod(F.xxhash64("key", "bucket"), F.col("pieces").cast("long")))
-        small = both.select(F.when(cut, piece).otherwise(F.col("bucket")).alias("bucket"), F.when(cut, -1).otherwise(F.col("band")).alias("band"), "key", F.lit(True).alias("fresh"))
+        small = both.select(F.when(cut, piece).otherwise(F.col("bucket")).alias("bucket"), F.when(cut, -1).otherwise(F.col("band")).alias("band"), "key", "bits", F.lit(True).alias("fresh"))
         first = self.links(whole.unionByName(small), sketches, sets_of)
         parts = components(first).withColumnRenamed("node", "key")
-        rest = written(both.where(cut).select("bucket", "band", "key").join(parts, "key", "left").select("bucket", "band", "key", F.coalesce("component", "key").alias("part")), "parts")
+        rest = written(both.where(cut).select("bucket", "band", "key", "bits").join(parts, "key", "left").select("bucket", "band", "key", "bits", F.coalesce("component", "key").alias("part")), "parts")
         counted = rest.groupBy("bucket", "band", "part").agg(F.count(F.lit(1)).alias("n"))
         largest = counted.groupBy("bucket", "band").agg(F.max_by("part", "n").alias("largest"), F.count(F.lit(1)).alias("parts")).where("parts > 1").drop("parts")
-        rest = rest.join(written(largest, "largest"), ["bucket", "band"]).select("bucket", "band", "key", (F.col("part") != F.col("largest")).alias("fresh"))
+        rest = rest.join(written(largest, "largest"), ["bucket", "band"]).select("bucket", "band", "key", "bits", (F.col("part") != F.col("largest")).alias("fresh"))
         return first.unionByName(self.links(rest, sketches, sets_of))
 
 
@@ -349,8 +458,8 @@ def cluster(df: DataFrame, *, group: str, row: str, text: str, threshold: float
     """(group, row, cluster): the cluster is the least row connected with it by similarities of ``threshold`` or more.
 
     Texts of a group of at most ``block * whole_blocks`` different ones all meet. In a larger group, a pair at 0.7 meets in
-    none of 64 bands of 4 with a probability of 2e-8. Comparing signatures loses a pair with 1e-9 a look; what is linked is
-    exact. Rows without a word are clusters of their own.
+    none of 64 bands of 4 with a probability of 2e-8. Comparing bits or signatures loses a pair with 1e-9 a look; what is
+    linked is exact. Rows without a word are clusters of their own.
     """
     how = Bands(threshold, words, bands, per_band, block, block_bytes, whole_blocks)
     rows = keyed_texts(df, group=group, row=row, text=text)

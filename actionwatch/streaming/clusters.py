@@ -64,27 +64,32 @@ def grow(path: str, *, group: str, row: str, text: str, url: str | None = None,
         kinds = StructType([named.schema[group], named.schema[row]])
         known = versions.get(spark, path, m["members"], kinds, _numbers(named)).distinct()
         same = (F.col(f"n.{group}").eqNullSafe(F.col(f"k.{group}"))) & (F.col(f"n.{row}") == F.col(f"k.{row}"))
-        rows = written(named.alias("n").join(known.alias("k"), same, "left_anti"), "new-rows")
+        rows = written(named.drop("words").alias("n").join(known.alias("k"), same, "left_anti"), "new-rows")
         if rows.isEmpty():
             return
         keyed = rows.where("key is not null")
-        keys = keyed.groupBy("key").agg(F.first(F.xxhash64(group)).alias("seed"), F.first("words").alias("words"), F.first(group).alias(group), F.first(row).alias(row))
+        keys = keyed.groupBy("key").agg(F.first(group).alias(group), F.first(row).alias(row))
         keys = written(keys.withColumn("part", _part(F.col("key"), n)), "keys")
         stored = versions.get(spark, path, m["labels"], LABELS, _numbers(keys))
-        fresh = keys.join(stored.select("key"), "key", "left_anti")
-        sketched = how.sketch(fresh.select(group, row, "key", "words"), group, row).select("key", "sig")
-        sets = written(sketched.join(how.sets(fresh), "key").withColumn("part", _part(F.col("key"), n)), "sets")
-        banded = written(how.banded(sets.select("key", "sig")).withColumn("part", _part(F.col("bucket"), n)), "banded")
+        fresh = written(keys.join(stored.select("key"), "key", "left_anti"), "fresh")
+        # Words go once: to one row for each text. Sets and bands go once to the state, and are read from there.
+        texts = named.where("key is not null").groupBy("key").agg(F.first(F.xxhash64(group)).alias("seed"), F.first("words").alias("words")).join(fresh.select("key"), "key", "left_semi")
+        made = how.sketched_sets(texts)
+        set_folders = versions.put(made.withColumn("part", _part(F.col("key"), n)), path, "part")
+        sets = versions.get(spark, path, set_folders, made.schema)
+        band_folders = versions.put(how.banded(sets.select("key", "sig")).drop("bits").withColumn("part", _part(F.col("bucket"), n)), path, "part")
 
         # Stored texts of the buckets that the batch hits, from the parts of these only.
-        hit = banded.select("bucket", "band").distinct()
-        old = written(versions.get(spark, path, m["bands"], BANDS, _numbers(banded)).join(hit, ["bucket", "band"], "left_semi"), "hit")
+        hit = versions.get(spark, path, band_folders, "bucket long, band int").distinct()
+        old = written(versions.get(spark, path, m["bands"], BANDS, {int(k) for k in band_folders}).join(hit, ["bucket", "band"], "left_semi"), "hit")
         old_keys = written(old.select("key").distinct().withColumn("part", _part(F.col("key"), n)), "old-keys")
         use = _numbers(old_keys)
-        old_sets = versions.get(spark, path, m["sets"], SETS, use).join(old_keys.select("key"), "key", "left_semi")
-        every = written(sets.select("key", "sig", "set").unionByName(old_sets), "compared")
-        placed = banded.select("bucket", "band", "key", F.lit(True).alias("fresh")).unionByName(old.withColumn("fresh", F.lit(False)))
-        links = how.links(placed, every, lambda needed: every.select("key", "set").join(needed, "key", "left_semi"))
+        every = sets.unionByName(versions.get(spark, path, m["sets"], SETS, use))
+        met = how.banded(sets.select("key", "sig")).withColumn("fresh", F.lit(True))
+        if use:
+            old_bits = how.bits(versions.get(spark, path, m["sets"], SETS, use).select("key", "sig"))
+            met = met.unionByName(old.join(old_bits, "key").withColumn("fresh", F.lit(False)))
+        links = how.links(met, every.select("key", "sig"), lambda needed: every.select("key", "set").join(needed, "key", "left_semi"))
 
         # Links between new texts and stored components.
         merges = versions.get(spark, path, m["merges"], MERGES)
@@ -113,7 +118,7 @@ def grow(path: str, *, group: str, row: str, text: str, url: str | None = None,
         m = m | {
             "rows": json.loads(kinds.json()), "group": group, "row": row, "epoch": m["epoch"] + 1, "batches": [*m["batches"], name][-1000:],
             "members": versions.joined(m["members"], versions.put(members, path, "part")),
-            "sets": versions.joined(m["sets"], versions.put(sets, path, "part")), "bands": versions.joined(m["bands"], versions.put(banded, path, "part")),
+            "sets": versions.joined(m["sets"], set_folders), "bands": versions.joined(m["bands"], band_folders),
             "labels": versions.joined(m["labels"], versions.put(given, path, "part")), "events": versions.joined(m["events"], events),
         }
         versions.commit(spark, path, after, m)

@@ -157,3 +157,32 @@ def test_a_batch_reads_only_the_parts_it_hits(spark, tmp_path, monkeypatch):
     sets = [x for x in read if x[0] == clusters.SETS]
     assert sets[0][1] == set()
     assert Path(path, versions.FOLDER).exists()
+
+
+def test_bits_leave_only_similar_texts_of_a_bucket():
+    """Texts that share a bucket by chance need no signatures; two stored texts are not compared; blocks meet in pairs."""
+    import numpy as np
+    import pyarrow as pa
+
+    from actionwatch.operators import clustering
+
+    rnd = np.random.RandomState(5)
+    sig = rnd.randint(0, 256, (400, 256)).astype(np.uint8)
+    sig[[7, 350]] = sig[3]
+    sig[7, :60] ^= 1  # 196 of 256 bits agree with rows 3 and 350, about what a pair at 0.7 has less one deviation
+    sig[20] = sig[21]
+    block = np.repeat([0, 1], 200)
+    fresh = np.ones(400, bool)
+    fresh[[20, 21]] = False
+
+    def left(i, j, block):
+        names = ["bucket", "i", "j", "band", "block", "key", "fresh", "bits"]
+        n = len(sig)
+        full = lambda v: pa.array(np.full(n, v))
+        bits = pa.array([x.tobytes() for x in clustering.packed(sig)], pa.binary())
+        batch = pa.RecordBatch.from_arrays([full(9), full(i), full(j), full(0), pa.array(block), pa.array([str(k).encode() for k in range(n)]), pa.array(fresh), bits], names)
+        made = clustering._near(256, 0.7)([batch.slice(k, 90) for k in range(0, n, 90)])
+        return sorted(int(k) for b in made for k in b.column("key").to_pylist())
+
+    assert left(0, 0, np.zeros(400, int)) == [3, 7, 350]
+    assert left(0, 1, block) == [3, 7, 350]
