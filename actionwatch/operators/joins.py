@@ -6,6 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import name_variants, plain_words
+from .shared import written
+
+#: A word of more rows than this goes in parts where rows meet by words.
+WORD_ROWS = 50_000
 
 
 def drop_seen(items: DataFrame, events: DataFrame, *, url: str = "url", urls: str = "source_urls") -> DataFrame:
@@ -50,24 +54,45 @@ def with_roster(df: DataFrame, roster: DataFrame, *, on: list[str]) -> DataFrame
     return df.join(roster, on, "left")
 
 
+def _dealt(rows: DataFrame, counts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``rows`` with a ``part`` of their word, and (word, parts) of the words of more than ``WORD_ROWS`` rows.
+
+    ``counts``: word, n. The words of many rows are few (a row for each ``WORD_ROWS`` rows at the most), so Spark sends them.
+    """
+    many = written(counts.select("word", F.ceil(F.col("n") / WORD_ROWS).cast("int").alias("parts")).where("parts > 1"), "frequent-words")
+    own = F.xxhash64(*(c for c in rows.columns if c != "word"))
+    return rows.join(many, "word", "left").withColumn("part", F.coalesce(F.pmod(own, F.col("parts").cast("long")).cast("int"), F.lit(0))).drop("parts"), many
+
+
+def _to_parts(rows: DataFrame, many: DataFrame) -> DataFrame:
+    """``rows`` once for each part of their word."""
+    return rows.join(many, "word", "left").withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
+
+
 def match_names(articles: DataFrame, roster: DataFrame, *, key: str, text: str, candidate: str, name: str) -> DataFrame:
     """(key, candidate) of the articles that hold a form of a candidate's name as a phrase (FUN-22).
 
     Forms are those of ``name_variants``, of any number of words; case and punctuation do not count. A form is indexed
     by the one of its words that fewest articles hold. Each different word of an article meets the index once, and the
-    forms found there are checked word by word in the article. Articles or forms without a word match nothing.
+    forms found there are checked word by word in the article. Articles or forms without a word match nothing. A word that
+    very many articles or forms hold is dealt into parts, so its rows never meet in one task.
     """
     forms = roster.select(candidate, F.explode(name_variants(F.col(name))).alias("form"))
     forms = forms.select(candidate, plain_words(F.col("form")).alias("words")).where(F.size("words") > 0).distinct()
     words = articles.select(key, plain_words(F.col(text)).alias("words"))
     said = words.select(key, F.explode(F.array_distinct("words")).alias("word"))
-    used = forms.select(F.explode(F.array_distinct("words")).alias("word")).distinct()
-    held = said.join(used, "word", "left_semi").groupBy("word").agg(F.count(F.lit(1)).alias("articles"))
+    counts = written(said.groupBy("word").agg(F.count(F.lit(1)).alias("n")), "word-counts")
     # A form with a word that no article holds is in none.
-    parts = forms.select(candidate, "words", F.explode(F.array_distinct("words")).alias("word")).join(held, "word", "left")
+    parts = forms.select(candidate, "words", F.explode(F.array_distinct("words")).alias("word"))
+    parts, many = _dealt(parts, parts.groupBy("word").agg(F.count(F.lit(1)).alias("n")))
+    parts = parts.join(_to_parts(counts.select("word", F.col("n").alias("articles")), many), ["word", "part"], "left")
     index = parts.groupBy(candidate, "words").agg(F.min_by("word", F.struct("articles", "word")).alias("word"), F.bool_and(F.col("articles").isNotNull()).alias("possible"))
     index = index.where("possible").select("word", candidate, F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" ")).alias("phrase"))
-    found = said.join(index, "word").select(key, candidate, "phrase")
+    index = written(index, "name-index")
+    # Frequent words that index no form go before rows meet: a few words, as for ``_dealt``.
+    idle = written(counts.where(F.col("n") > WORD_ROWS).join(index.select("word").distinct(), "word", "left_anti").select("word"), "idle-words")
+    dealt, many = _dealt(said.join(idle, "word", "left_anti"), counts)
+    found = dealt.join(_to_parts(index, many), ["word", "part"]).select(key, candidate, "phrase")
     lines = words.select(key, F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" ")).alias("line"))
     return found.join(lines, key).where(F.contains("line", F.col("phrase"))).select(key, candidate).distinct()
 

@@ -154,3 +154,20 @@ def test_context_of_triggered_groups_reads_their_buckets(spark, tmp_path):
     plan = pruned._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(group_bucket" in plan or "group_bucket#" in plan.split("PartitionFilters")[1].split("]")[0]
     assert len({Path(f).parents[1].name for f in spark.read.parquet(path).where(F.col("group_bucket").isin([r[0] for r in raw.where("grp = '7'").select("group_bucket").distinct().collect()])).inputFiles()}) >= 1
+
+
+def test_words_of_very_many_articles_are_dealt_into_parts(spark, monkeypatch):
+    monkeypatch.setattr(joins, "WORD_ROWS", 20)
+    roster = spark.range(200).select("id", F.concat(F.lit("Maria Cruz N"), "id").alias("name")).unionByName(spark.createDataFrame([(900, "Maria"), (901, "Cruz")], "id long, name string"))
+    articles = spark.range(400).select(F.col("id").alias("a"), F.concat(F.lit("Today MARIA Cruz N"), F.col("id") % 250, F.lit(" spoke")).alias("text"))
+    most, deal = [], joins._dealt
+
+    def counted(*a):
+        out = deal(*a)
+        most.append(out[0].groupBy("word", "part").count().agg(F.max("count")).first()[0])
+        return out
+
+    monkeypatch.setattr(joins, "_dealt", counted)
+    got = rows(joins.match_names(articles, roster, key="a", text="text", candidate="id", name="name"))
+    want = [(a, i) for a in range(400) for i in [a % 250, 900, 901] if i < 200 or i >= 900]
+    assert got == sorted(want, key=str) and len(most) == 2 and max(most) < 60
