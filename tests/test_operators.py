@@ -4,6 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__
 from actionwatch.operators import aggregates, filters, joins, lifecycle, ranking, shared
 from actionwatch.operators.clustering import cluster, components
 from actionwatch.plans import ranking as plans
@@ -244,3 +245,20 @@ def test_no_local_folder_on_a_cluster():
         shared.shared_folder(Session(**{"spark.master": "spark://h:7077"}))
     assert shared.shared_folder(Session(**{"spark.master": "spark://h:7077", "spark.checkpoint.dir": "s3a://x/"})) == "s3a://x"
     assert shared.shared_folder(Session(**{"spark.master": "local[4]"}))
+
+
+def test_read_models_of_one_table_share_a_reading(spark):
+    plan = __spark_entry__.queries()["SRC-14"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan()
+    assert plan.toString().count("get_json_object") == 1
+
+
+def test_fields_of_read_models_are_those_of_each(spark):
+    df = spark.sql("select * from values (1, '', 0, array('a', 'b')), (2, 'x', 3, array()), (3, null, null, null) as t(k, lane, n, tags)")
+    given = {"lane": F.col("lane"), "relevance": F.col("n"), "topic_tags": F.col("tags"), "article_count": F.col("n")}
+    models = {"events": {c: given[c] for c in ("relevance", "topic_tags", "article_count")}, "federal": given}
+    got = {tuple(r) for r in tables.read_model_fields(df, F.col("k"), models).select("shape", "id", "field", "value").collect()}
+    want = set()
+    for shape, columns in models.items():
+        for r in tables.read_model(df, shape, F.col("k"), columns).collect():
+            want |= {(shape, r["id"], c, "|".join(r[c]) if isinstance(r[c], list) else str(r[c])) for c in tables.READ_MODELS[shape]}
+    assert got == want
